@@ -32,6 +32,6 @@ def parse_page_file_name(name) -> tuple[Column, Column]:
     n = _c(name)
     date_txt = F.regexp_extract(n, PAGE_FILE_PATTERN, 1)
     page_txt = F.regexp_extract(n, PAGE_FILE_PATTERN, 2)
-    page_date = F.try_to_date(date_txt, F.lit(PAGE_FILE_DATE_FORMAT))
+    page_date = F.try_to_date(date_txt, PAGE_FILE_DATE_FORMAT)
     page_no = F.when(page_txt != "", page_txt.try_cast("bigint"))
     return page_date, page_no

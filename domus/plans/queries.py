@@ -6,12 +6,15 @@ stated in plain SQL over the raw tables, for the DuckDB cross-check.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from domus.operators import decode
+from domus.functions import geo, names
+from domus.operators import decode, incremental, search, upsert
+from domus.operators import pages as pages_op
 from domus.plans import derive
 from domus.sources.tables import read_table
 
@@ -66,3 +69,338 @@ FROM part
 def listing_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = derive.listing_messages_from_part(read_table(spark, sf_dir, "part"))
     return decode.decode_and_publish(messages.select("value"))
+
+
+# ---------------------------------------------------------------------------------------
+# Map lookups (present key, missing key) on decoded JSON maps.
+# ---------------------------------------------------------------------------------------
+@register(
+    "props_map_lookup",
+    """
+SELECT event_id,
+       CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+       json_extract_string(props, '$.k') AS k_text,
+       CAST(json_extract(props, '$.missing') AS BIGINT) AS missing_key
+FROM events
+""",
+)
+def props_map_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events")
+    m_long = F.from_json("props", "map<string,bigint>")
+    m_text = F.from_json("props", "map<string,string>")
+    return ev.select(
+        "event_id",
+        m_long.getItem("k").alias("k"),
+        m_text.getItem("k").alias("k_text"),
+        m_long.getItem("missing").alias("missing_key"),
+    )
+
+
+# ---------------------------------------------------------------------------------------
+# H1-H3: last write wins per key; the newest row replaces the older one in full.
+# ---------------------------------------------------------------------------------------
+@register(
+    "upsert_latest",
+    """
+SELECT user_id, event_id, ts, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) WHERE rn = 1
+""",
+)
+def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events")
+    return upsert.latest_per_key(ev, "user_id", ["ts", "event_id"])
+
+
+# ---------------------------------------------------------------------------------------
+# Skip what the manifest lists (exact anti join; NULL names are kept).
+# ---------------------------------------------------------------------------------------
+@register(
+    "unprocessed_anti",
+    """
+SELECT o_orderkey, o_orderdate, o_totalprice FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+""",
+)
+def unprocessed_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    manifest = read_table(spark, sf_dir, "lineitem")
+    return incremental.exclude_processed(pages, manifest, on="o_orderkey", manifest_col="l_orderkey")
+
+
+# ---------------------------------------------------------------------------------------
+# Page envelopes -> one row per element with (page, position) provenance.
+# Pages are blocks of 50 consecutive event ids, dated by their first event.
+# ---------------------------------------------------------------------------------------
+_PAGES_SQL = """
+WITH blk AS (
+  SELECT event_id // 50 AS block, min(ts) AS first_ts FROM events GROUP BY 1),
+dated AS (SELECT block, CAST(first_ts AS DATE) AS page_date FROM blk),
+bounds AS (SELECT page_date, min(block) AS fb, max(block) AS lb FROM dated GROUP BY 1),
+pg AS (
+  SELECT d.block, d.page_date, d.block - b.fb + 1 AS page_no, b.lb - b.fb + 1 AS total_pages
+  FROM dated d JOIN bounds b USING (page_date))
+"""
+
+
+@register(
+    "page_explode",
+    _PAGES_SQL
+    + """
+SELECT pg.page_date, pg.page_no,
+       CAST(row_number() OVER (PARTITION BY e.event_id // 50 ORDER BY e.event_id) - 1 AS INTEGER) AS pos,
+       e.event_id, e.event_type, e.value
+FROM events e JOIN pg ON pg.block = e.event_id // 50
+""",
+)
+def page_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    env = derive.envelopes_from_events(read_table(spark, sf_dir, "events"))
+    pages = pages_op.decode_envelope(env.select("page_date", "page_no", "value"))
+    rows = pages_op.explode_pages(pages, keep=["page_date", "page_no"])
+    el = F.from_json("element", "eventId BIGINT, eventType STRING, value DOUBLE")
+    return rows.select(
+        "page_date", "page_no", "pos",
+        el["eventId"].alias("event_id"), el["eventType"].alias("event_type"), el["value"].alias("value"),
+    )
+
+
+# ---------------------------------------------------------------------------------------
+# Page-set completeness per pull date.
+# ---------------------------------------------------------------------------------------
+@register(
+    "envelope_complete",
+    _PAGES_SQL
+    + """,
+items AS (SELECT event_id // 50 AS block, count(*) AS n FROM events GROUP BY 1)
+SELECT pg.page_date, count(*) AS pages, count(DISTINCT pg.page_no) AS distinct_pages,
+       CAST(sum(items.n) AS BIGINT) AS items, max(pg.total_pages) AS total_pages,
+       (count(DISTINCT pg.page_no) = max(pg.total_pages) AND min(pg.page_no) = 1
+        AND max(pg.page_no) = max(pg.total_pages)) AS complete
+FROM pg JOIN items USING (block)
+GROUP BY pg.page_date
+""",
+)
+def envelope_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    env = derive.envelopes_from_events(read_table(spark, sf_dir, "events"))
+    pages = pages_op.decode_envelope(env.select("page_date", "value"))
+    return pages_op.page_set_status(pages, "page_date")
+
+
+# ---------------------------------------------------------------------------------------
+# Search (D2-D7, C16, F1-F2) over orders viewed as listings.
+# ---------------------------------------------------------------------------------------
+def _listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive.listings_from_orders(read_table(spark, sf_dir, "orders"))
+
+
+_LISTINGS_SQL = f"""
+WITH listings AS (
+  SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS propertycode, o_totalprice AS price,
+         o_orderstatus AS operation, o_orderpriority AS propertytype, 'es' AS country,
+         {_dbl(LAT0)} + CAST((o_orderkey * 7919) % 2003 - 1001 AS DOUBLE) * {_dbl(STEP)} * {_dbl(0.1)} AS latitude,
+         {_dbl(LON0)} + CAST((o_orderkey * 104729) % 1999 - 999 AS DOUBLE) * {_dbl(STEP)} * {_dbl(0.1)} AS longitude,
+         o_orderdate AS published_at
+  FROM orders)
+"""
+
+
+def _haversine_sql(lat: str, lon: str) -> str:
+    r = geo.EARTH_RADIUS_M
+    return (
+        f"(2 * {_dbl(r)} * asin(sqrt(pow(sin((radians({lat}) - radians({_dbl(LAT0)})) / 2), 2)"
+        f" + cos(radians({_dbl(LAT0)})) * cos(radians({lat}))"
+        f" * pow(sin((radians({lon}) - radians({_dbl(LON0)})) / 2), 2))))"
+    )
+
+
+RADIUS = geo.DEFAULT_RADIUS_M
+
+
+@register(
+    "radius_search",
+    _LISTINGS_SQL
+    + f"""
+SELECT propertycode, CAST(CAST(floor({_haversine_sql('latitude', 'longitude')}) AS BIGINT) AS VARCHAR) AS distance
+FROM listings WHERE {_haversine_sql('latitude', 'longitude')} <= {_dbl(RADIUS)}
+""",
+)
+def radius_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    req = search.SearchRequest(center=(LAT0, LON0), distance_m=RADIUS)
+    hits = search.search_filter(_listings(spark, sf_dir), req)
+    return search.with_distance(hits, (LAT0, LON0)).select("propertycode", "distance")
+
+
+PRICE_REQ = search.SearchRequest(
+    country="es", operation="O", property_types=("1-URGENT", "2-HIGH"),
+    min_price=100000.0, max_price=200000.0,
+)
+
+
+@register(
+    "price_range",
+    _LISTINGS_SQL
+    + """
+SELECT propertycode, price, propertytype FROM listings
+WHERE country = 'es' AND operation = 'O' AND propertytype IN ('1-URGENT', '2-HIGH')
+  AND price BETWEEN 100000.0 AND 200000.0
+""",
+)
+def price_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = search.search_filter(_listings(spark, sf_dir), PRICE_REQ)
+    return hits.select("propertycode", "price", "propertytype")
+
+
+@register(
+    "newest_page",
+    _LISTINGS_SQL
+    + """
+SELECT o_orderkey, published_at, price FROM listings
+ORDER BY published_at DESC, o_orderkey DESC LIMIT 50 OFFSET 50
+""",
+)
+def newest_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    page = search.order_and_page(_listings(spark, sf_dir), "published_at", "o_orderkey",
+                                 descending=True, max_items=50, num_page=2)
+    return page.select("o_orderkey", "published_at", "price")
+
+
+FULL_AS_OF = dt.datetime(1998, 8, 2)
+FULL_REQ = search.SearchRequest(
+    country="es", operation="F", property_types=("1-URGENT", "2-HIGH", "3-MEDIUM"),
+    min_price=50000.0, max_price=400000.0, center=(LAT0, LON0), distance_m=RADIUS,
+    since="M", as_of=FULL_AS_OF, max_items=50, num_page=1,
+)
+
+
+@register(
+    "full_search",
+    _LISTINGS_SQL
+    + f"""
+SELECT o_orderkey, propertycode, published_at, price,
+       CAST(CAST(floor({_haversine_sql('latitude', 'longitude')}) AS BIGINT) AS VARCHAR) AS distance
+FROM listings
+WHERE country = 'es' AND operation = 'F' AND propertytype IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
+  AND price BETWEEN 50000.0 AND 400000.0
+  AND {_haversine_sql('latitude', 'longitude')} <= {_dbl(RADIUS)}
+  AND published_at >= TIMESTAMP '1998-07-03 00:00:00'
+ORDER BY published_at DESC, o_orderkey DESC LIMIT 50
+""",
+)
+def full_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cols = search.ListingColumns(key="o_orderkey")
+    page = search.search(_listings(spark, sf_dir), FULL_REQ, cols)
+    page = search.with_distance(page, (LAT0, LON0))
+    return page.select("o_orderkey", "propertycode", "published_at", "price", "distance")
+
+
+# ---------------------------------------------------------------------------------------
+# Whole elapsed days and the recency bucket, with a clock in the middle of the
+# data (negative and small deltas) and one after it (month and beyond).
+# ---------------------------------------------------------------------------------------
+AS_OF_MID = dt.datetime(2024, 1, 16, 6, 0, 0)
+AS_OF_LATE = dt.datetime(2024, 2, 20, 0, 0, 0)
+
+
+def _bucket_sql(days: str) -> str:
+    return (
+        f"CASE WHEN {days} = -1 THEN 'AllTime' WHEN {days} = 0 THEN 'NoPull' "
+        f"WHEN {days} = 1 THEN 'T' WHEN {days} <= 2 THEN 'Y' WHEN {days} <= 7 THEN 'W' "
+        f"WHEN {days} <= 30 THEN 'M' END"
+    )
+
+
+def _days_sql(as_of: dt.datetime) -> str:
+    return (f"CAST(floor((epoch_us(TIMESTAMP '{as_of:%Y-%m-%d %H:%M:%S}') - epoch_us(ts))"
+            f" / 86400000000) AS BIGINT)")
+
+
+@register(
+    "since_bucket",
+    f"""
+SELECT event_id, days, {_bucket_sql('days')} AS bucket, days_late, {_bucket_sql('days_late')} AS bucket_late
+FROM (SELECT event_id, {_days_sql(AS_OF_MID)} AS days, {_days_sql(AS_OF_LATE)} AS days_late FROM events)
+""",
+)
+def since_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts")
+    ev = incremental.with_since_bucket(ev, "ts", AS_OF_MID, "days", "bucket")
+    ev = incremental.with_since_bucket(ev, "ts", AS_OF_LATE, "days_late", "bucket_late")
+    return ev.select("event_id", "days", "bucket", "days_late", "bucket_late")
+
+
+# ---------------------------------------------------------------------------------------
+# Recency window from a bucket (W = 7 days before as_of).
+# ---------------------------------------------------------------------------------------
+RECENCY_AS_OF = dt.datetime(2024, 1, 31, 0, 0, 0)
+
+
+@register(
+    "recency_window",
+    """
+SELECT event_id, ts, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-24 00:00:00'
+""",
+)
+def recency_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    req = search.SearchRequest(since="W", as_of=RECENCY_AS_OF)
+    return search.search_filter(ev, req, search.ListingColumns(published_at="ts"))
+
+
+# ---------------------------------------------------------------------------------------
+# the sink probe's limit(1).
+# ---------------------------------------------------------------------------------------
+@register("limit_one", "SELECT count(*) AS n FROM (SELECT * FROM orders LIMIT 1)")
+def limit_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    one = search.limit_one(read_table(spark, sf_dir, "orders"))
+    return one.agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------------------------------
+# Landed file names built from (date, page) and parsed back.
+# ---------------------------------------------------------------------------------------
+@register(
+    "file_name_parse",
+    """
+SELECT o_orderkey,
+       'response' || strftime(o_orderdate, '%Y_%m_%d') || '_p_' || CAST(o_orderkey % 9 + 1 AS VARCHAR) || '.json' AS file_name,
+       CAST(o_orderdate AS DATE) AS page_date,
+       CAST(o_orderkey % 9 + 1 AS BIGINT) AS page_no
+FROM orders
+""",
+)
+def file_name_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    named = o.select("o_orderkey", names.page_file_name("o_orderdate", F.col("o_orderkey") % 9 + 1).alias("file_name"))
+    page_date, page_no = names.parse_page_file_name("file_name")
+    return named.select("o_orderkey", "file_name", page_date.alias("page_date"), page_no.alias("page_no"))
+
+
+# ---------------------------------------------------------------------------------------
+# G8 + section 1.4: malformed messages. Every 10th key's message is cut in half (not JSON),
+# every 11th has its price sent as a string. Each message still yields one row: the cut
+# ones lose their key and are quarantined; the string price becomes NULL, the rest stays,
+# and decode flags the row.
+# ---------------------------------------------------------------------------------------
+@register(
+    "quarantine_split",
+    """
+SELECT CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE CAST(p_partkey AS VARCHAR) END AS propertycode,
+       CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE p_name END AS address,
+       CASE WHEN p_partkey % 10 = 0 OR p_partkey % 11 = 0 THEN NULL ELSE p_retailprice END AS price,
+       (p_partkey % 10 = 0) AS quarantined,
+       (p_partkey % 10 = 0 OR p_partkey % 11 = 0) AS flagged
+FROM part
+""",
+)
+def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    msgs = derive.listing_messages_from_part(read_table(spark, sf_dir, "part"))
+    text = F.col("value").cast("string")
+    k = F.col("p_partkey")
+    bad = (
+        F.when(k % 10 == 0, F.substring(text, 1, (F.length(text) / 2).cast("int")))
+        .when(k % 11 == 0, F.regexp_replace(text, r'"price":([-0-9.Ee+]+)', '"price":"$1"'))
+        .otherwise(text)
+    )
+    published = decode.decode_and_publish(msgs.select(bad.alias("value")), keep_corrupt=True)
+    flagged = decode.quarantine_flags(published)
+    return flagged.select("propertycode", "address", "price", "quarantined", "flagged")
