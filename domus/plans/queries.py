@@ -15,8 +15,15 @@ from pyspark.sql import functions as F
 from domus.functions import geo, names
 from domus.operators import decode, incremental, search, upsert
 from domus.operators import pages as pages_op
+from domus import schemas as S
 from domus.plans import derive
-from domus.sources.tables import read_table
+from domus.session import shared_dir
+from domus.sinks.changelog import ChangeLog
+from domus.sinks.tables import append_manifest, write_landing, write_messages
+from domus.sources.endpoints import read_message_files
+from domus.sources.pages import stream_pages
+from domus.sources.tables import read_state, read_table
+from domus.streaming import job
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -404,3 +411,81 @@ def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     published = decode.decode_and_publish(msgs.select(bad.alias("value")), keep_corrupt=True)
     flagged = decode.quarantine_flags(published)
     return flagged.select("propertycode", "address", "price", "quarantined", "flagged")
+
+
+# ---------------------------------------------------------------------------------------
+# Streaming (A1/A4, G1-G4, G9, B2/B3, H1-H3). Each query runs a Structured Streaming job to
+# completion (availableNow) into a change log under the shared checkpoint folder, then
+# returns the keyed table read back from the log.
+# ---------------------------------------------------------------------------------------
+EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = read_table(spark, sf_dir, "events").schema
+    return (spark.readStream.schema(schema)
+            .option("pathGlobFilter", "events.parquet")
+            .option("maxFilesPerTrigger", "1")
+            .parquet(sf_dir))
+
+
+@register("stream_events", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = shared_dir(spark, "stream-events")
+    log = ChangeLog(f"{work}/log", key="event_id", order=["ts"])
+    job.run_stream(spark, _event_stream(spark, sf_dir), log.write_batch, f"{work}/checkpoint")
+    return log.latest(spark).select(*EVENT_COLS)
+
+
+@register("stream_upsert", ORACLE_SQL["upsert_latest"])
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = shared_dir(spark, "stream-upsert")
+    log = ChangeLog(f"{work}/log", key="user_id", order=["ts", "event_id"])
+    job.run_stream(spark, _event_stream(spark, sf_dir), log.write_batch, f"{work}/checkpoint")
+    return log.latest(spark).select("user_id", "event_id", "ts", "event_type", "value", "props")
+
+
+@register("stream_listings", ORACLE_SQL["listing_decode"])
+def stream_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upstream job end to end: listing messages land as files (B1), a file stream
+    reads them four files per trigger-group (G9), decode + publish (C1-C11), quarantine
+    split (G8), per-batch dedupe and change-log upsert (H1-H3), latest view (B3)."""
+    work = shared_dir(spark, "stream-listings")
+    msgs = derive.listing_messages_from_part(read_table(spark, sf_dir, "part"))
+    write_messages(msgs.select("value").repartition(4), path=f"{work}/messages")
+    stream = read_message_files(spark, f"{work}/messages", max_files_per_trigger=2)
+    # Versions of a key within one batch are ordered by file, then by message text: a text
+    # file carries no line numbers (a broker's partition offset is the real order there).
+    stream = stream.withColumn("message", F.col("value"))
+    log = ChangeLog(f"{work}/log", key=S.PUBLISHED_KEY, order=["file_name", "message"])
+    published, on_batch = job.publish_stream(stream, log, ["file_name", "message"],
+                                             quarantine_path=f"{work}/quarantine")
+    job.run_stream(spark, published, on_batch, f"{work}/checkpoint")
+    return log.latest(spark).select(*S.struct(S.PUBLISHED_DDL).fieldNames())
+
+
+@register("page_ingest", "SELECT event_id, event_type, value FROM events")
+def page_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed pages end to end: land envelopes (B5), incremental page stream (A4) with
+    manifest exclusion (D1), explode (E1), message sink (B1), manifest append (B6)."""
+    work = shared_dir(spark, "page-ingest")
+    env = derive.envelopes_from_events(read_table(spark, sf_dir, "events"))
+    write_landing(env, f"{work}/landing")
+    manifest_path = f"{work}/manifest"
+
+    def on_batch(pages: DataFrame, batch_id: int) -> None:
+        done = read_state(spark, manifest_path, S.MANIFEST_DDL)
+        todo = incremental.exclude_processed(pages, done).persist()
+        try:
+            rows = pages_op.explode_pages(todo, keep=["file_name"])
+            write_messages(rows.select(F.col("element").alias("value")), path=f"{work}/messages")
+            append_manifest(incremental.pages_to_mark(todo), manifest_path)
+        finally:
+            todo.unpersist()
+
+    job.run_stream(spark, stream_pages(spark, f"{work}/landing", max_files_per_trigger=1000),
+                   on_batch, f"{work}/checkpoint")
+    msgs = read_message_files(spark, f"{work}/messages", streaming=False)
+    el = F.from_json("value", "eventId BIGINT, eventType STRING, value DOUBLE")
+    return msgs.select(el["eventId"].alias("event_id"), el["eventType"].alias("event_type"),
+                       el["value"].alias("value"))
