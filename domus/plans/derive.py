@@ -108,7 +108,7 @@ def envelopes_from_events(events: DataFrame, items_per_page: int = ITEMS_PER_PAG
     """
     blocks = (
         events.select(
-            F.floor(F.col("event_id") / items_per_page).alias("block"),
+            F.expr(f"event_id div {int(items_per_page)}").alias("block"),
             "event_id",
             "ts",
             event_element_json().alias("element"),
@@ -143,3 +143,30 @@ def envelopes_from_events(events: DataFrame, items_per_page: int = ITEMS_PER_PAG
         page_file_name("page_date", "page_no").alias("file_name"),
         F.to_json(envelope).alias("value"),
     )
+
+
+def listing_messages_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """(value BINARY): one listing message per line item; the large-table decode input."""
+    ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
+    code = F.concat(ok.cast("string"), F.lit("-"), ln.cast("string"))
+    listing = F.struct(
+        F.concat_ws(" ", "l_returnflag", "l_linestatus").alias("address"),
+        (F.col("l_partkey") % 4).cast("bigint").alias("bathrooms"),
+        F.lit("es").alias("country"),
+        F.concat_ws(" ", "l_returnflag", "l_linestatus", code).alias("description"),
+        F.create_map(F.lit("typology"), F.col("l_returnflag")).alias("detailedType"),
+        (F.col("l_suppkey") % 2 == 0).alias("exterior"),
+        F.col("l_returnflag").alias("floor"),
+        (F.col("l_discount") > F.lit(0.05)).alias("hasLift"),
+        (F.lit(LAT0) + _offset(F.col("l_partkey"), 201, 100)).alias("latitude"),
+        (F.lit(LON0) + _offset(F.col("l_suppkey"), 199, 99)).alias("longitude"),
+        F.create_map(F.lit("hasParkingSpace"), F.col("l_tax") > F.lit(0.04)).alias("parkingSpace"),
+        F.col("l_extendedprice").alias("price"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("priceByArea"),
+        code.alias("propertyCode"),
+        F.col("l_linestatus").alias("propertyType"),
+        ln.cast("bigint").alias("rooms"),
+        F.col("l_quantity").alias("size"),
+        F.concat(F.lit("listing/"), code, F.lit("/")).alias("url"),
+    )
+    return lineitem.select(F.to_json(listing).cast("binary").alias("value"))

@@ -22,7 +22,7 @@ from domus.sinks.changelog import ChangeLog
 from domus.sinks.tables import append_manifest, write_landing, write_messages
 from domus.sources.endpoints import read_message_files
 from domus.sources.pages import stream_pages
-from domus.sources.tables import read_state, read_table
+from domus.sources.tables import read_state, read_table, spread
 from domus.streaming import job
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,10 +74,39 @@ FROM part
 """,
 )
 def listing_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = derive.listing_messages_from_part(read_table(spark, sf_dir, "part"))
+    messages = derive.listing_messages_from_part(spread(read_table(spark, sf_dir, "part")))
     return decode.decode_and_publish(messages.select("value"))
 
 
+@register(
+    "decode_lineitem",
+    f"""
+SELECT l_returnflag || ' ' || l_linestatus AS address,
+       l_quantity AS size,
+       l_extendedprice AS price,
+       l_extendedprice / l_quantity AS pricebyarea,
+       l_linenumber AS rooms,
+       CAST(l_partkey % 4 AS INTEGER) AS bathrooms,
+       l_returnflag AS floor,
+       (l_discount > {_dbl(0.05)}) AS haslift,
+       l_linestatus AS propertytype,
+       (l_tax > {_dbl(0.04)}) AS parkingspace,
+       (l_suppkey % 2 = 0) AS exterior,
+       {_dbl(LAT0)} + CAST(l_partkey % 201 - 100 AS DOUBLE) * {_dbl(STEP)} AS latitude,
+       {_dbl(LON0)} + CAST(l_suppkey % 199 - 99 AS DOUBLE) * {_dbl(STEP)} AS longitude,
+       l_returnflag || ' ' || l_linestatus || ' ' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS description,
+       l_returnflag AS typology,
+       'listing/' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '/' AS url,
+       CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS propertycode
+FROM lineitem
+""",
+)
+def decode_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The decode/publish transform over the largest table (one message per line item)."""
+    messages = derive.listing_messages_from_lineitem(spread(read_table(spark, sf_dir, "lineitem")))
+    return decode.decode_and_publish(messages)
+
+
 # ---------------------------------------------------------------------------------------
 # Map lookups (present key, missing key) on decoded JSON maps.
 # ---------------------------------------------------------------------------------------
@@ -400,7 +429,7 @@ FROM part
 """,
 )
 def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    msgs = derive.listing_messages_from_part(read_table(spark, sf_dir, "part"))
+    msgs = derive.listing_messages_from_part(spread(read_table(spark, sf_dir, "part")))
     text = F.col("value").cast("string")
     k = F.col("p_partkey")
     bad = (
@@ -469,7 +498,7 @@ def page_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed pages end to end: land envelopes (B5), incremental page stream (A4) with
     manifest exclusion (D1), explode (E1), message sink (B1), manifest append (B6)."""
     work = shared_dir(spark, "page-ingest")
-    env = derive.envelopes_from_events(read_table(spark, sf_dir, "events"))
+    env = derive.envelopes_from_events(spread(read_table(spark, sf_dir, "events")))
     write_landing(env, f"{work}/landing")
     manifest_path = f"{work}/manifest"
 
@@ -483,7 +512,7 @@ def page_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         finally:
             todo.unpersist()
 
-    job.run_stream(spark, stream_pages(spark, f"{work}/landing", max_files_per_trigger=1000),
+    job.run_stream(spark, stream_pages(spark, f"{work}/landing", layout="lines", max_files_per_trigger=16),
                    on_batch, f"{work}/checkpoint")
     msgs = read_message_files(spark, f"{work}/messages", streaming=False)
     el = F.from_json("value", "eventId BIGINT, eventType STRING, value DOUBLE")

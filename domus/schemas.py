@@ -64,7 +64,7 @@ def with_corrupt_column(schema: StructType) -> StructType:
     """The schema plus the string column PERMISSIVE decode fills with the raw bad record."""
     if CORRUPT_COLUMN in schema.fieldNames():
         return schema
-    return StructType(schema.fields).add(CORRUPT_COLUMN, "string", True)
+    return StructType(list(schema.fields)).add(CORRUPT_COLUMN, "string", True)
 
 
 def subset(schema: StructType, names: list[str]) -> StructType:

@@ -1,10 +1,15 @@
 """Landed page scans (batch and incremental).
 
-A landed page is one JSON document per file (possibly pretty-printed over many lines), so
-the reader uses ``wholetext``: one row per file, never split. Two layouts are accepted:
+Two layouts are read:
 
-* named:        <root>/response<yyyy_MM_dd>_p_<n>.json    (date and page from the name)
-* partitioned:  <root>/page_date=<d>/page_no=<n>/part-*   (what :func:`write_landing` writes)
+* ``named``: what an external puller lands, one JSON document per object named
+  ``response<yyyy_MM_dd>_p_<n>.json`` (possibly pretty-printed over many lines). Read with
+  ``wholetext`` (one row per file, never split); date and page come from the name.
+* ``lines``: what :func:`domus.sinks.tables.write_landing` writes, one envelope per line
+  under ``page_date=<d>/`` folders. Read line by line (files split freely); the page
+  number is the envelope's ``actualPage`` and the logical file name is rebuilt from both.
+
+Either way the result is ``(file_name, page_date, page_no, envelope)``.
 """
 
 from __future__ import annotations
@@ -16,36 +21,44 @@ from domus.functions.names import page_file_name, parse_page_file_name
 from domus.operators.pages import decode_envelope
 
 PAGE_COLUMNS = ["file_name", "page_date", "page_no", "envelope"]
+LAYOUTS = ("named", "lines")
 
 
-def _shape(df: DataFrame) -> DataFrame:
-    if "page_date" in df.columns and "page_no" in df.columns:
-        # partitioned layout: identity comes from the partition folders
-        df = df.withColumn("page_date", F.col("page_date").cast("date")).withColumn(
-            "page_no", F.col("page_no").cast("bigint")
-        ).withColumn("file_name", page_file_name("page_date", "page_no"))
-    else:
-        d, n = parse_page_file_name("file_name")
-        df = df.withColumn("page_date", d).withColumn("page_no", n)
+def _shape(df: DataFrame, layout: str) -> DataFrame:
+    if layout == "lines":
+        pages = decode_envelope(df.withColumn("page_date", F.col("page_date").cast("date")), "value")
+        pages = pages.withColumn("page_no", F.col("envelope.actualPage"))
+        return pages.withColumn("file_name", page_file_name("page_date", "page_no")).select(*PAGE_COLUMNS)
+    d, n = parse_page_file_name("file_name")
+    df = df.withColumn("page_date", d).withColumn("page_no", n)
     return decode_envelope(df, "value").select(*PAGE_COLUMNS)
 
 
-def read_pages(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """A3: every landed page under ``path`` -> (file_name, page_date, page_no, envelope)."""
-    r = spark.read.option("wholetext", "true")
+def _reader(r, layout: str, glob: str | None):
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}")
+    if layout == "named":
+        r = r.option("wholetext", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    df = r.text(path).withColumn("file_name", F.col("_metadata.file_name"))
-    return _shape(df)
+    return r
+
+
+def read_pages(spark: SparkSession, path: str, layout: str = "named", glob: str | None = None) -> DataFrame:
+    """A3: every landed page under ``path``."""
+    df = _reader(spark.read.format("text"), layout, glob).load(path)
+    if layout == "named":
+        df = df.withColumn("file_name", F.col("_metadata.file_name"))
+    return _shape(df, layout)
 
 
-def stream_pages(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                 glob: str | None = None) -> DataFrame:
+def stream_pages(spark: SparkSession, path: str, layout: str = "named",
+                 max_files_per_trigger: int | None = None, glob: str | None = None) -> DataFrame:
     """A4: the same as a file stream; the checkpoint remembers which files were processed."""
-    r = spark.readStream.format("text").option("wholetext", "true")
+    r = _reader(spark.readStream.format("text"), layout, glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    df = r.load(path).withColumn("file_name", F.col("_metadata.file_name"))
-    return _shape(df)
+    df = r.load(path)
+    if layout == "named":
+        df = df.withColumn("file_name", F.col("_metadata.file_name"))
+    return _shape(df, layout)

@@ -38,3 +38,17 @@ def read_state(spark: SparkSession, path: str, ddl: str) -> DataFrame:
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return spark.createDataFrame([], schema)
         raise
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a batch input that arrives in fewer partitions than the cluster has cores.
+
+    For CPU-heavy per-row work (JSON encode/decode) on a source that cannot be split (one
+    row group, one file). A large input already has more splits than cores and is returned
+    unchanged, so no shuffle is added at scale. Streaming inputs are returned unchanged
+    (set the source's own split option, e.g. ``minPartitions``, instead).
+    """
+    if df.isStreaming:
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
