@@ -1,0 +1,163 @@
+"""Decode edge cases: one test per row of the malformed-data table, plus publish."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from domus import schemas as S
+from domus.operators import decode
+
+
+def listing(**over):
+    base = {
+        "propertyCode": "104", "address": "calle Mayor 1", "price": 1200.0, "size": 70.0,
+        "priceByArea": 17.0, "rooms": 2, "bathrooms": 2, "floor": "1", "hasLift": True,
+        "propertyType": "flat", "exterior": True, "latitude": 38.38, "longitude": -0.41,
+        "description": "Piso luminoso, cerca del mar ñ", "url": "u/104",
+        "parkingSpace": {"hasParkingSpace": True, "isParkingSpaceIncludedInPrice": True},
+        "detailedType": {"typology": "flat"}, "neighborhood": "PAU 5",
+        "priceInfo": {"price": {"amount": 1200.0}},
+    }
+    base.update(over)
+    return json.dumps(base)
+
+
+def decode_one(spark, text, keep_corrupt=False):
+    df = spark.createDataFrame([(text,)], "value string")
+    return decode.decode_messages(df, keep_corrupt=keep_corrupt).first()
+
+
+def publish_one(spark, text):
+    df = spark.createDataFrame([(text,)], "value string")
+    return decode.decode_and_publish(df).first()
+
+
+def test_missing_key_is_null(spark):
+    d = json.loads(listing())
+    del d["floor"]
+    assert decode_one(spark, json.dumps(d))["floor"] is None
+
+
+def test_unknown_key_dropped(spark):
+    row = decode_one(spark, listing())
+    assert "neighborhood" not in row.asDict()
+    assert len(row) == len(S.struct(S.LISTING_DDL).fields)
+
+
+@pytest.mark.parametrize("bad", [2.0, "2"])
+def test_wrong_type_nulls_only_that_field(spark, bad):
+    row = decode_one(spark, listing(rooms=bad))
+    assert row["rooms"] is None
+    assert row["price"] == 1200.0 and row["propertyCode"] == "104"
+
+
+def test_int_for_double_widens(spark):
+    assert decode_one(spark, listing(price=1200))["price"] == 1200.0
+
+
+def test_string_for_double_is_null(spark):
+    assert decode_one(spark, listing(price="5"))["price"] is None
+
+
+def test_number_for_string_keeps_text(spark):
+    assert decode_one(spark, listing(distance=1594))["distance"] == "1594"
+
+
+@pytest.mark.parametrize("order", [("hasParkingSpace", "other"), ("other", "hasParkingSpace")])
+def test_one_bad_map_value_nulls_whole_map(spark, order):
+    m = {order[0]: True if order[0] == "hasParkingSpace" else 50.0,
+         order[1]: True if order[1] == "hasParkingSpace" else 50.0}
+    row = publish_one(spark, listing(parkingSpace=m))
+    assert row["parkingspace"] is None
+
+
+def test_bad_nested_map_leaf_nulls_map(spark):
+    row = decode_one(spark, listing(priceInfo={"price": {"amount": "x"}}))
+    assert row["priceInfo"] is None
+
+
+@pytest.mark.parametrize("m", [{}, {"isParkingSpaceIncludedInPrice": True}])
+def test_missing_map_key_is_null(spark, m):
+    assert publish_one(spark, listing(parkingSpace=m))["parkingspace"] is None
+
+
+def test_json_keys_are_case_sensitive(spark):
+    d = json.loads(listing())
+    d["propertycode"] = d.pop("propertyCode")
+    assert publish_one(spark, json.dumps(d))["propertycode"] is None
+
+
+@pytest.mark.parametrize("text", ["not json", '{"propertyCode": "1", "price": 1', "[1, 2]", "null", "{}", ""])
+def test_unparseable_gives_row_of_nulls(spark, text):
+    row = publish_one(spark, text)
+    assert all(v is None for v in row.asDict().values())
+
+
+def test_null_value_gives_row_of_nulls(spark):
+    df = spark.createDataFrame([(None,)], "value string")
+    row = decode.decode_and_publish(df).first()
+    assert all(v is None for v in row.asDict().values())
+
+
+def test_repeated_key_last_wins(spark):
+    text = '{"propertyCode": "1", "price": 1.0, "price": 2.0}'
+    assert decode_one(spark, text)["price"] == 2.0
+
+
+def test_binary_value_and_bad_utf8(spark):
+    df = spark.createDataFrame([(bytearray(listing().encode()),), (bytearray(b'{"address": "a\xff"}'),)],
+                               "value binary")
+    rows = decode.decode_and_publish(df).collect()
+    assert rows[0]["propertycode"] == "104"
+    assert rows[1]["address"] == "a�"
+
+
+def test_publish_projection_names_types_and_lookups(spark):
+    df = spark.createDataFrame([(listing(),)], "value string")
+    out = decode.decode_and_publish(df)
+    assert out.columns == S.struct(S.PUBLISHED_DDL).fieldNames()
+    assert dict(out.dtypes)["rooms"] == "int"
+    r = out.first()
+    assert (r["parkingspace"], r["typology"], r["pricebyarea"], r["propertycode"]) == (True, "flat", 17.0, "104")
+    assert r["description"].endswith("ñ")
+
+
+def test_rooms_above_int_range_narrow_to_null(spark):
+    r = publish_one(spark, listing(rooms=2**31, bathrooms=2**31 - 1))
+    assert r["rooms"] is None and r["bathrooms"] == 2**31 - 1
+
+
+def test_pruned_schema_same_rows_as_full(spark):
+    texts = [listing(), listing(rooms="x"), "junk", listing(parkingSpace={"hasParkingSpace": 1})]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    a = decode.decode_and_publish(df, prune_schema=True).collect()
+    b = decode.decode_and_publish(df, prune_schema=False).collect()
+    assert a == b
+
+
+def test_corrupt_record_annotates_but_does_not_drop(spark):
+    df = spark.createDataFrame([(listing(price="x"),), ("junk",), (listing(),), ("",)], "value string")
+    out = decode.quarantine_flags(decode.decode_and_publish(df, keep_corrupt=True)).collect()
+    assert [r["quarantined"] for r in out] == [False, True, False, True]
+    assert [r["flagged"] for r in out] == [True, True, False, False]
+    assert out[0]["propertycode"] == "104" and out[0]["price"] is None
+
+
+def test_split_quarantine(spark):
+    df = spark.createDataFrame([(listing(),), ("junk",)], "value string")
+    good, bad = decode.split_quarantine(decode.decode_and_publish(df, keep_corrupt=True))
+    assert good.count() == 1 and bad.count() == 1
+    assert "quarantined" not in good.columns
+
+
+def test_one_row_per_message(spark):
+    texts = [listing(), "junk", "", None, "{}", listing(propertyCode=None)]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    assert decode.decode_and_publish(df).count() == len(texts)
+
+
+def test_decode_plan_is_single_projection_without_python(spark):
+    df = spark.createDataFrame([(listing(),)], "value string").select(F.col("value"))
+    plan = decode.decode_and_publish(df)._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan

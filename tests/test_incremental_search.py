@@ -1,0 +1,116 @@
+"""Manifest exclusion, pull decision, search predicates, paging and plan shape."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from domus import schemas as S
+from domus.operators import incremental, search
+from domus.sinks.tables import append_manifest, write_marker
+from domus.sources.tables import read_state
+
+
+def test_exclude_processed_is_exact_and_keeps_null_names(spark):
+    pages = spark.createDataFrame([("response2024_05_21_p_1.json",), ("response2024_05_21_p_11.json",),
+                                   ("p_1",), (None,)], "file_name string")
+    manifest = spark.createDataFrame([("response2024_05_21_p_1.json",), ("response2024_05_21_p_1.json",)],
+                                     "file_name string")
+    left = sorted((r[0] or "") for r in incremental.exclude_processed(pages, manifest).collect())
+    assert left == ["", "p_1", "response2024_05_21_p_11.json"]
+
+
+def test_manifest_and_marker_state(spark, tmp):
+    m = read_state(spark, tmp + "/manifest", S.MANIFEST_DDL)
+    assert m.count() == 0
+    now = dt.datetime(2024, 5, 28, 18, 29, 5)
+    rows = spark.createDataFrame([("a.json", now)], S.MANIFEST_DDL)
+    append_manifest(rows, tmp + "/manifest")
+    append_manifest(rows, tmp + "/manifest")
+    assert read_state(spark, tmp + "/manifest", S.MANIFEST_DDL).count() == 2
+    marker = read_state(spark, tmp + "/marker", S.MARKER_DDL)
+    assert incremental.pull_decision(spark, marker, now) == "AllTime"
+    write_marker(spark, tmp + "/marker", now)
+    marker = read_state(spark, tmp + "/marker", S.MARKER_DDL)
+    assert incremental.pull_decision(spark, marker, now + dt.timedelta(hours=5)) == "NoPull"
+    assert incremental.pull_decision(spark, marker, now + dt.timedelta(days=3, hours=1)) == "W"
+    assert incremental.pull_decision(spark, marker, now + dt.timedelta(days=40)) is None
+    assert not incremental.should_pull("NoPull") and not incremental.should_pull(None)
+    assert incremental.should_pull("T")
+
+
+LISTINGS = "propertycode string, country string, operation string, propertytype string, price double, " \
+           "latitude double, longitude double, published_at timestamp_ntz"
+
+
+def _listings(spark):
+    lat0, lon0 = 38.371622, -0.424756
+    base = dt.datetime(2024, 5, 21)
+    rows = [
+        ("1", "es", "rent", "flat", 1200.0, 38.382912, -0.4134749, base),
+        ("2", "es", "rent", "studio", 1000.0, 38.3651024, -0.4197595, base - dt.timedelta(days=3)),
+        ("3", "es", "rent", "flat", 1200.01, lat0, lon0, base),
+        ("4", "es", "sale", "flat", 900.0, lat0, lon0, base),
+        ("5", "pt", "rent", "flat", 900.0, lat0, lon0, base),
+        ("6", "es", "rent", "flat", 499.99, lat0, lon0, base),
+        ("7", "es", "rent", "flat", 700.0, lat0 + 0.1, lon0, base),
+        ("8", "es", "rent", "chalet", 700.0, lat0, lon0, base - dt.timedelta(days=10)),
+    ]
+    return spark.createDataFrame(rows, LISTINGS)
+
+
+def test_search_predicates(spark):
+    req = search.SearchRequest(country="es", operation="rent", property_types=("flat", "studio"),
+                               min_price=500, max_price=1200, center=(38.371622, -0.424756), distance_m=4500)
+    got = sorted(r["propertycode"] for r in search.search_filter(_listings(spark), req).collect())
+    assert got == ["1", "2"]  # 1200.0 included, 1200.01 / 499.99 / far / sale / pt / chalet out
+
+
+def test_recency_window(spark):
+    as_of = dt.datetime(2024, 5, 21, 12)
+    ids = lambda b: sorted(r["propertycode"] for r in search.search_filter(
+        _listings(spark), search.SearchRequest(since=b, as_of=as_of)).collect())
+    assert ids("T") == ["1", "3", "4", "5", "6", "7"]
+    assert ids("W") == ["1", "2", "3", "4", "5", "6", "7"]
+    assert ids("AllTime") == [str(i) for i in range(1, 9)]
+    with pytest.raises(ValueError):
+        search.search_filter(_listings(spark), search.SearchRequest(since="W"))
+
+
+def test_paging_is_deterministic_and_complete(spark):
+    df = spark.range(0, 237).select(F.col("id").cast("string").alias("propertycode"),
+                                    (F.col("id") % 5).alias("published_at"))
+    seen = []
+    for n in range(1, 6):
+        page = search.order_and_page(df, "published_at", "propertycode", True, 50, n).collect()
+        seen += [(r["published_at"], r["propertycode"]) for r in page]
+    assert len(seen) == 237 and len(set(seen)) == 237
+    assert seen == sorted(seen, reverse=True)
+
+
+def test_paging_plan_is_top_k_not_global_sort(spark):
+    df = spark.range(0, 1000).select(F.col("id").alias("propertycode"), (F.col("id") % 7).alias("published_at"))
+    plan = search.order_and_page(df, "published_at", "propertycode", True, 50, 3)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_search_predicates_reach_parquet_scan(spark, tmp):
+    _listings(spark).write.parquet(tmp + "/l")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    req = search.SearchRequest(country="es", min_price=500, max_price=1200,
+                               center=(38.371622, -0.424756), distance_m=4500,
+                               since="W", as_of=dt.datetime(2024, 5, 21))
+    plan = search.search_filter(spark.read.parquet(tmp + "/l"), req)._jdf.queryExecution().executedPlan().toString()
+    for frag in ("EqualTo(country,es)", "LessThanOrEqual(price,1200.0)", "GreaterThanOrEqual(latitude",
+                 "GreaterThanOrEqual(published_at"):
+        assert frag in plan, frag
+
+
+def test_with_distance(spark):
+    out = search.with_distance(_listings(spark).filter("propertycode = '1'"), (38.371622, -0.424756))
+    assert out.first()["distance"] == "1594"
+
+
+def test_limit_one(spark):
+    assert search.limit_one(spark.range(10)).count() == 1
