@@ -67,6 +67,8 @@ def run_stream(
             stopper = InactivityStopper(spark, listener, inactivity_timeout, poll_interval)
             stopper.watch(str(q.id))
         q.awaitTermination()
+        # listener events travel on an asynchronous bus; let the last ones arrive
+        listener.wait_terminated(str(q.id), timeout=10.0)
         batches = len([p for p in q.recentProgress if p.get("numInputRows", 0) > 0]) if q.recentProgress else 0
         return StreamRun(str(q.id), batches, bool(stopper and stopper.stopped_for_inactivity),
                          list(listener.events))

@@ -22,8 +22,17 @@ class InactivityListener(StreamingQueryListener):
         self._clock = clock
         self._last: dict[str, float] = {}
         self._lock = threading.Lock()
+        self._ended: dict[str, threading.Event] = {}
         self.events: list[tuple[str, str]] = []
 
+    def _ended_flag(self, qid: str) -> threading.Event:
+        with self._lock:
+            return self._ended.setdefault(qid, threading.Event())
+
+    def wait_terminated(self, qid: str, timeout: float) -> bool:
+        """Block until this listener has seen the query's terminated event (bus is async)."""
+        return self._ended_flag(qid).wait(timeout)
+
     def _touch(self, qid: str) -> None:
         with self._lock:
             self._last[qid] = self._clock()
@@ -43,6 +52,7 @@ class InactivityListener(StreamingQueryListener):
         self.events.append(("terminated", str(event.id)))
         with self._lock:
             self._last.pop(str(event.id), None)
+        self._ended_flag(str(event.id)).set()
 
     def idle_seconds(self, qid: str) -> float | None:
         with self._lock:
