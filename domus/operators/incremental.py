@@ -61,6 +61,12 @@ def pull_decision(spark: SparkSession, marker: DataFrame, now: dt.datetime,
     return since_bucket_py(days)
 
 
+def pull_gate(bucket) -> "F.Column":
+    """D8 as a Column: pull only for a real bucket (NoPull and no-bucket both skip)."""
+    b = F.col(bucket) if isinstance(bucket, str) else bucket
+    return b.isNotNull() & (b != F.lit(BUCKET_NO_PULL))
+
+
 def should_pull(bucket: str | None) -> bool:
     """Pull only for a real bucket; NoPull and None skip the pull (and keep the marker)."""
     return bucket is not None and bucket != BUCKET_NO_PULL

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from domus.functions import geo, names
+from domus.functions import geo, names, timefn
 from domus.operators import decode, incremental, search, upsert
 from domus.operators import pages as pages_op
 from domus import schemas as S
@@ -364,6 +364,47 @@ def since_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", "days", "bucket", "days_late", "bucket_late")
 
 
+# ---------------------------------------------------------------------------------------
+# D8 over many sources: each user's latest event is its last pull; decide per user whether
+# a pull is due at a fixed clock, and how far back it should look.
+# ---------------------------------------------------------------------------------------
+GATE_AS_OF = dt.datetime(2024, 1, 31, 0, 0, 0)
+
+
+@register(
+    "pull_gate",
+    f"""
+SELECT user_id, last_pull, days, bucket,
+       (bucket IS NOT NULL AND bucket <> 'NoPull') AS pull
+FROM (SELECT user_id, last_pull, days, {_bucket_sql('days')} AS bucket
+      FROM (SELECT user_id, max(ts) AS last_pull,
+                   CAST(floor((epoch_us(TIMESTAMP '{GATE_AS_OF:%Y-%m-%d %H:%M:%S}') - epoch_us(max(ts)))
+                        / 86400000000) AS BIGINT) AS days
+            FROM events GROUP BY user_id))
+""",
+)
+def pull_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    last = read_table(spark, sf_dir, "events").groupBy("user_id").agg(F.max("ts").alias("last_pull"))
+    gated = incremental.with_since_bucket(last, "last_pull", GATE_AS_OF, "days", "bucket")
+    return gated.withColumn("pull", incremental.pull_gate("bucket"))
+
+
+# ---------------------------------------------------------------------------------------
+# Last-pull marker text ('yyyy-MM-dd HH:mm:ss') written and parsed back.
+# ---------------------------------------------------------------------------------------
+@register(
+    "marker_text",
+    """
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS marker,
+       CAST(strptime(strftime(ts, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS pulled_at
+FROM events
+""",
+)
+def marker_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events").select("event_id", timefn.format_marker("ts").alias("marker"))
+    return ev.withColumn("pulled_at", timefn.parse_marker("marker").cast("timestamp_ntz"))
+
+
 # ---------------------------------------------------------------------------------------
 # Recency window from a bucket (W = 7 days before as_of).
 # ---------------------------------------------------------------------------------------
