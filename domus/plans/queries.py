@@ -491,6 +491,11 @@ def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
+def _files_per_trigger(spark: SparkSession) -> int:
+    """Admission control for file streams: about one file per core per micro-batch."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = read_table(spark, sf_dir, "events").schema
     return (spark.readStream.schema(schema)
@@ -522,8 +527,8 @@ def stream_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     split (G8), per-batch dedupe and change-log upsert (H1-H3), latest view (B3)."""
     work = shared_dir(spark, "stream-listings")
     msgs = derive.listing_messages_from_part(read_table(spark, sf_dir, "part"))
-    write_messages(msgs.select("value").repartition(4), path=f"{work}/messages")
-    stream = read_message_files(spark, f"{work}/messages", max_files_per_trigger=2)
+    write_messages(msgs.select("value"), path=f"{work}/messages")
+    stream = read_message_files(spark, f"{work}/messages", max_files_per_trigger=_files_per_trigger(spark))
     # Versions of a key within one batch are ordered by file, then by message text: a text
     # file carries no line numbers (a broker's partition offset is the real order there).
     stream = stream.withColumn("message", F.col("value"))
@@ -548,12 +553,14 @@ def page_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         todo = incremental.exclude_processed(pages, done).persist()
         try:
             rows = pages_op.explode_pages(todo, keep=["file_name"])
-            write_messages(rows.select(F.col("element").alias("value")), path=f"{work}/messages")
+            write_messages(rows.select(F.col("element").alias("value")), path=f"{work}/messages",
+                           batch_id=batch_id)
             append_manifest(incremental.pages_to_mark(todo), manifest_path)
         finally:
             todo.unpersist()
 
-    job.run_stream(spark, stream_pages(spark, f"{work}/landing", layout="lines", max_files_per_trigger=16),
+    job.run_stream(spark, stream_pages(spark, f"{work}/landing", layout="lines",
+                                       max_files_per_trigger=_files_per_trigger(spark)),
                    on_batch, f"{work}/checkpoint")
     msgs = read_message_files(spark, f"{work}/messages", streaming=False)
     el = F.from_json("value", "eventId BIGINT, eventType STRING, value DOUBLE")

@@ -73,4 +73,5 @@ def read_message_files(spark: SparkSession, path: str, max_files_per_trigger: in
     r = r.format("text")
     if streaming and max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    # only the message text and its file; a batch=<id>/ folder layout adds nothing needed here
     return r.load(path).selectExpr("value", "_metadata.file_name AS file_name")
