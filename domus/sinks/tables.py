@@ -24,19 +24,17 @@ def create_table(spark: SparkSession, name: str, location: str, ddl: str = S.PUB
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING {fmt} LOCATION '{location}'")
 
 
-def write_landing(pages: DataFrame, path: str, files_per_date: int = 16) -> None:
-    """Land page documents (columns page_date, page_no, value = envelope JSON).
+def write_landing(pages: DataFrame, path: str) -> None:
+    """Land page documents (columns page_date, value = envelope JSON with actualPage).
 
     One envelope per line under ``page_date=<d>/``, dynamic partition overwrite: re-landing
     a date replaces that date's page set, as a same-day re-pull rewrote the same objects.
-    Rows are spread by (date, page_no mod ``files_per_date``), so a date holding a third of
-    all pages is written by up to ``files_per_date`` tasks rather than one, and the file
-    count stays bounded per date.
+    The ``rebalance`` hint lets AQE size the write tasks from measured shuffle sizes: small
+    dates are coalesced into few files and a date holding a third of all pages is split
+    over several tasks (``optimizeSkewsInRebalancePartitions``) instead of one.
     """
-    salt = F.pmod(F.col("page_no"), F.lit(files_per_date))
-    (pages.select("page_date", "page_no", "value")
-     .repartition("page_date", salt)
-     .select("page_date", "value")
+    (pages.select("page_date", "value")
+     .hint("rebalance", "page_date")
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("page_date")

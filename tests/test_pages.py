@@ -87,3 +87,23 @@ def test_explode_plan_has_no_exchange(spark):
     df = spark.createDataFrame([("x", json.dumps(envelope(["{}", "{}"], 1, 1)))], "file_name string, value string")
     plan = P.explode_pages(P.decode_envelope(df))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Generate" in plan
+
+
+def test_landing_splits_a_hot_date_and_keeps_every_page(spark, tmp):
+    import glob
+    # incompressible padding: AQE measures compressed shuffle bytes
+    hot = [(dt.date(2024, 5, 21), p, json.dumps(envelope([json.dumps({"id": p, "pad": os.urandom(150).hex()})], p, 400)))
+           for p in range(1, 401)]
+    cold = [(dt.date(2024, 5, 22), 1, json.dumps(envelope([], 1, 1)))]
+    df = spark.createDataFrame(hot + cold, "page_date date, page_no bigint, value string").repartition(8)
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        write_landing(df, tmp + "/landing")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot_files = glob.glob(tmp + "/landing/page_date=2024-05-21/*.txt")
+    assert len(hot_files) > 1
+    pages = read_pages(spark, tmp + "/landing", layout="lines")
+    assert pages.count() == 401
+    assert P.page_set_status(pages).filter("complete").count() == 2
