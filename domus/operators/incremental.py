@@ -9,7 +9,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from domus.functions.timefn import BUCKET_NO_PULL, elapsed_days, since_bucket, since_bucket_py
+from domus.functions.timefn import (BUCKET_NO_PULL, elapsed_days, since_bucket, since_bucket_py,
+                                   ts_literal)
 
 
 def exclude_processed(pages: DataFrame, manifest: DataFrame, on: str = "file_name",
@@ -32,7 +33,7 @@ def pages_to_mark(pages: DataFrame, file_col: str = "file_name", now: dt.datetim
     Built from the page rows, not the exploded rows, so a page with an empty element list
     is still marked; a page whose element list is missing is not.
     """
-    ts = F.lit(now) if now is not None else F.current_timestamp()
+    ts = ts_literal(now, "timestamp") if now is not None else F.current_timestamp()
     return pages.filter(F.col("envelope.elementList").isNotNull()).select(
         F.col(file_col).alias("file_name"), ts.cast("timestamp").alias("processed_at")
     )
@@ -41,7 +42,7 @@ def pages_to_mark(pages: DataFrame, file_col: str = "file_name", now: dt.datetim
 def with_since_bucket(df: DataFrame, last_col: str, now, days_col: str = "days",
                       bucket_col: str = "bucket") -> DataFrame:
     """C14 + C15 over a column of last-pull times against ``now`` (literal or column)."""
-    n = F.lit(now) if isinstance(now, (dt.datetime, str)) else now
+    n = F.lit(now).cast("timestamp_ntz") if isinstance(now, str) else now
     return df.withColumn(days_col, elapsed_days(n, F.col(last_col))).withColumn(
         bucket_col, since_bucket(F.col(days_col))
     )

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from domus.functions import geo
-from domus.functions.timefn import bucket_days
+from domus.functions.timefn import bucket_days, ts_literal
 
 
 @dataclass(frozen=True)
@@ -52,8 +52,9 @@ class ListingColumns:
 
 
 def _ts_literal(df: DataFrame, col: str, value: dt.datetime) -> Column:
-    # Same type as the column, so the comparison folds to a literal and reaches the scan.
-    return F.lit(value).cast(df.schema[col].dataType)
+    # Wall-clock text cast to the column's own type: the comparison folds to a literal that
+    # reaches the scan, and no Python-process time zone leaks into it.
+    return ts_literal(value, df.schema[col].dataType.simpleString())
 
 
 def recency_predicate(df: DataFrame, col: str, since: str | None, as_of: dt.datetime) -> Column | None:
