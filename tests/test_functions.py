@@ -107,3 +107,16 @@ def test_file_name_build_and_parse(spark):
     assert (rows[0]["d"], rows[0]["n"]) == (dt.date(2024, 5, 21), 3)
     assert all(r["d"] is None for r in rows[1:])
     assert rows[1]["n"] is None and rows[3]["n"] is None
+
+
+def test_elapsed_days_ignores_session_zone_and_dst(spark):
+    # 2024-03-10 is a DST change in New York: 24 wall-clock hours are 23 real hours there.
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2024-03-09 12:00:00", "2024-03-10 12:00:00")], "a string, b string").select(
+            F.col("a").cast("timestamp_ntz").alias("a"), F.col("b").cast("timestamp_ntz").alias("b"))
+        assert df.select(timefn.elapsed_days("b", "a")).first()[0] == 1
+        lit_days = df.select(timefn.elapsed_days(dt.datetime(2024, 3, 10, 12), "a")).first()[0]
+        assert lit_days == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
