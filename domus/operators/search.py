@@ -66,7 +66,19 @@ def recency_predicate(df: DataFrame, col: str, since: str | None, as_of: dt.date
 
 
 def predicates(df: DataFrame, req: SearchRequest, c: ListingColumns = ListingColumns()) -> list[Column]:
-    """The filter list for ``req`` (empty list = everything matches)."""
+    """The filter list for ``req`` (empty list = everything matches).
+
+    A predicate on a column the table does not have is an error, never silently dropped.
+    """
+    needed = {
+        c.country: req.country, c.operation: req.operation, c.property_type: req.property_types,
+        c.price: req.min_price if req.min_price is not None else req.max_price,
+        c.latitude: req.center, c.longitude: req.center,
+        c.published_at: req.since if req.since not in (None, "AllTime") else None,
+    }
+    missing = sorted(k for k, v in needed.items() if v is not None and k not in df.columns)
+    if missing:
+        raise ValueError(f"search needs columns the table does not have: {missing}")
     out: list[Column] = []
     if req.country is not None:
         out.append(F.col(c.country) == req.country)

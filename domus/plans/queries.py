@@ -18,9 +18,9 @@ from domus.operators import pages as pages_op
 from domus import schemas as S
 from domus.plans import derive
 from domus.session import shared_dir
-from domus.sinks.changelog import ChangeLog
+from domus.sinks.changelog import ChangeLog, new_run_id
 from domus.sinks.tables import append_manifest, write_landing, write_messages
-from domus.sources.endpoints import read_message_files
+from domus.sources.endpoints import MESSAGE_ORDER, read_message_files
 from domus.sources.pages import stream_pages
 from domus.sources.tables import read_state, read_table, spread
 from domus.streaming import job
@@ -529,12 +529,9 @@ def stream_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = derive.listing_messages_from_part(read_table(spark, sf_dir, "part"))
     write_messages(msgs.select("value"), path=f"{work}/messages")
     stream = read_message_files(spark, f"{work}/messages", max_files_per_trigger=_files_per_trigger(spark))
-    # Versions of a key within one batch are ordered by file, then by message text: a text
-    # file carries no line numbers (a broker's partition offset is the real order there).
-    stream = stream.withColumn("message", F.col("value"))
-    log = ChangeLog(f"{work}/log", key=S.PUBLISHED_KEY, order=["file_name", "message"])
-    published, on_batch = job.publish_stream(stream, log, ["file_name", "message"],
-                                             quarantine_path=f"{work}/quarantine")
+    # Versions of a key are ordered by producing run, batch, file, then message text.
+    log = ChangeLog(f"{work}/log", key=S.PUBLISHED_KEY, order=MESSAGE_ORDER)
+    published, on_batch = job.publish_stream(stream, log, MESSAGE_ORDER, quarantine_path=f"{work}/quarantine")
     job.run_stream(spark, published, on_batch, f"{work}/checkpoint")
     return log.latest(spark).select(*S.struct(S.PUBLISHED_DDL).fieldNames())
 
@@ -547,6 +544,7 @@ def page_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     env = derive.envelopes_from_events(spread(read_table(spark, sf_dir, "events")))
     write_landing(env, f"{work}/landing")
     manifest_path = f"{work}/manifest"
+    run_id = new_run_id()
 
     def on_batch(pages: DataFrame, batch_id: int) -> None:
         done = read_state(spark, manifest_path, S.MANIFEST_DDL)
@@ -554,7 +552,7 @@ def page_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         try:
             rows = pages_op.explode_pages(todo, keep=["file_name"])
             write_messages(rows.select(F.col("element").alias("value")), path=f"{work}/messages",
-                           batch_id=batch_id)
+                           batch_id=batch_id, run_id=run_id)
             append_manifest(incremental.pages_to_mark(todo), manifest_path)
         finally:
             todo.unpersist()

@@ -52,14 +52,16 @@ def write_marker(spark: SparkSession, path: str, now: dt.datetime) -> None:
 
 
 def write_messages(df: DataFrame, ep: KafkaEndpoint | None = None, path: str | None = None,
-                   key: str = "propertyCode", batch_id: int | None = None) -> None:
+                   key: str = "propertyCode", batch_id: int | None = None,
+                   run_id: int | None = None) -> None:
     """B1: one message per row (``value`` = raw element JSON), keyed by the listing id.
 
     Keying by id sends every version of a listing to one topic partition, so the offset
     orders versions of a key (a broker write is at-least-once; the keyed upsert downstream
     makes a resend harmless). Without a broker the messages land as text files; given the
-    micro-batch id they go to ``batch=<id>/`` with dynamic overwrite, so a replayed batch
-    replaces its own files instead of duplicating them.
+    micro-batch id they go to ``run=<r>/batch=<id>/`` with dynamic overwrite, so a replayed
+    batch replaces its own files instead of duplicating them, and a new run (fresh
+    checkpoint, batch ids from 0 again) never overwrites an earlier run's batches.
     """
     text = F.col("value").cast("string")
     key_col = F.get_json_object(text, f"$.{key}") if key else F.lit(None).cast("string")
@@ -67,9 +69,12 @@ def write_messages(df: DataFrame, ep: KafkaEndpoint | None = None, path: str | N
     if ep is not None:
         out.write.format("kafka").options(**ep.write_options()).save()
     elif path is not None and batch_id is not None:
-        (out.select(F.lit(batch_id).cast("bigint").alias("batch"), "value")
+        if run_id is None:
+            raise ValueError("a per-batch message write needs the run id too")
+        (out.select(F.lit(run_id).cast("bigint").alias("run"), F.lit(batch_id).cast("bigint").alias("batch"),
+                    "value")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch").text(path))
+         .partitionBy("run", "batch").text(path))
     elif path is not None:
         out.select("value").write.mode("append").text(path)
     else:

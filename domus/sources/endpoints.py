@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -63,15 +64,28 @@ def has_data(df: DataFrame) -> bool:
     return not df.limit(1).isEmpty()
 
 
+MESSAGE_ORDER = ["src_run", "src_batch", "file_name", "message"]
+
+
 def read_message_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                        streaming: bool = True) -> DataFrame:
     """Messages landed as text, one JSON message per line -> ``value`` (string), like a broker.
 
-    Also yields the file name, used with the line position as a version order.
+    Adds the version-order columns of :data:`MESSAGE_ORDER`: the producing run and batch
+    (from a ``run=<r>/batch=<b>/`` folder, NULL when absent), the file name, and the message
+    text itself as the last tie-break (a text file carries no line numbers; with a broker
+    the order is (partition, offset)).
     """
     r = spark.readStream if streaming else spark.read
     r = r.format("text")
     if streaming and max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    # only the message text and its file; a batch=<id>/ folder layout adds nothing needed here
-    return r.load(path).selectExpr("value", "_metadata.file_name AS file_name")
+    df = r.load(path).select("value", F.col("_metadata.file_path").alias("_path"),
+                             F.col("_metadata.file_name").alias("file_name"))
+
+    def part(name: str):
+        txt = F.regexp_extract("_path", rf"/{name}=(\d+)/", 1)
+        return F.when(txt != "", txt.cast("bigint"))
+
+    return df.select("value", part("run").alias("src_run"), part("batch").alias("src_batch"),
+                     "file_name", F.col("value").alias("message"))

@@ -12,7 +12,7 @@ from domus.operators import decode
 from domus.sinks.changelog import ChangeLog
 from domus.streaming import job
 from domus.streaming.listener import InactivityListener
-from domus.sources.endpoints import read_message_files
+from domus.sources.endpoints import MESSAGE_ORDER, read_message_files
 
 
 def _msg(code, price, **kw):
@@ -28,8 +28,8 @@ def _land(root, name, lines):
 
 
 def _run(spark, tmp, log, quarantine=True):
-    stream = read_message_files(spark, tmp + "/in", max_files_per_trigger=1).withColumn("message", F.col("value"))
-    published, fn = job.publish_stream(stream, log, ["file_name", "message"],
+    stream = read_message_files(spark, tmp + "/in", max_files_per_trigger=1)
+    published, fn = job.publish_stream(stream, log, MESSAGE_ORDER,
                                        quarantine_path=tmp + "/quarantine" if quarantine else None)
     return job.run_stream(spark, published, fn, tmp + "/ckpt")
 
@@ -37,7 +37,7 @@ def _run(spark, tmp, log, quarantine=True):
 def test_stream_equals_batch_and_restart_is_idempotent(spark, tmp):
     _land(tmp + "/in", "m1.txt", [_msg("a", 1.0), _msg("b", 2.0), "junk"])
     _land(tmp + "/in", "m2.txt", [_msg("a", 3.0), _msg("c", None)])
-    log = ChangeLog(tmp + "/log", key=S.PUBLISHED_KEY, order=["file_name", "message"])
+    log = ChangeLog(tmp + "/log", key=S.PUBLISHED_KEY, order=MESSAGE_ORDER)
     run = _run(spark, tmp, log)
     assert run.batches == 2
     got = {r["propertycode"]: r["price"] for r in log.latest(spark).collect()}
@@ -59,7 +59,7 @@ def test_stream_equals_batch_and_restart_is_idempotent(spark, tmp):
 
 def test_listener_removed_and_events_seen(spark, tmp):
     _land(tmp + "/in", "m1.txt", [_msg("a", 1.0)])
-    log = ChangeLog(tmp + "/log", key=S.PUBLISHED_KEY, order=["file_name", "message"])
+    log = ChangeLog(tmp + "/log", key=S.PUBLISHED_KEY, order=MESSAGE_ORDER)
     n_before = len(spark.streams._jsqm.listListeners()) if hasattr(spark.streams, "_jsqm") else None
     run = _run(spark, tmp, log, quarantine=False)
     kinds = {k for k, _ in run.events}
@@ -70,9 +70,9 @@ def test_listener_removed_and_events_seen(spark, tmp):
 
 def test_inactivity_stops_query_by_id(spark, tmp):
     _land(tmp + "/in", "m1.txt", [_msg("a", 1.0)])
-    log = ChangeLog(tmp + "/log", key=S.PUBLISHED_KEY, order=["file_name", "message"])
-    stream = read_message_files(spark, tmp + "/in").withColumn("message", F.col("value"))
-    published, fn = job.publish_stream(stream, log, ["file_name", "message"])
+    log = ChangeLog(tmp + "/log", key=S.PUBLISHED_KEY, order=MESSAGE_ORDER)
+    stream = read_message_files(spark, tmp + "/in")
+    published, fn = job.publish_stream(stream, log, MESSAGE_ORDER)
     t0 = time.time()
     run = job.run_stream(spark, published, fn, tmp + "/ckpt", available_now=False,
                          processing_time="1 second", inactivity_timeout=3.0, poll_interval=0.5)
