@@ -18,22 +18,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from domus.plans.queries import QUERIES  # noqa: E402
 from domus.session import get_session  # noqa: E402
 
-HEADLINE = [
-    "listing_decode",
-    "decode_lineitem",
-    "quarantine_split",
-    "page_explode",
-    "envelope_complete",
-    "upsert_latest",
-    "unprocessed_anti",
-    "full_search",
-    "radius_search",
-    "newest_page",
-    "since_bucket",
-    "stream_upsert",
-    "stream_listings",
-    "page_ingest",
+# Headline order: decode, explode, upsert, search, then the rest of the registered queries.
+FIRST = [
+    "listing_decode", "decode_lineitem", "quarantine_split", "page_explode", "envelope_complete",
+    "upsert_latest", "unprocessed_anti", "full_search", "radius_search", "newest_page",
+    "stream_upsert", "stream_listings", "page_ingest",
 ]
+HEADLINE = FIRST + [q for q in QUERIES if q not in FIRST]
 
 
 def main() -> None:

@@ -20,7 +20,7 @@ from domus.plans import derive
 from domus.session import shared_dir
 from domus.sinks.changelog import ChangeLog, new_run_id
 from domus.sinks.tables import append_manifest, write_landing, write_messages
-from domus.sources.endpoints import MESSAGE_ORDER, read_message_files
+from domus.sources.endpoints import MESSAGE_ORDER, admission_bytes, read_message_files
 from domus.sources.pages import stream_pages
 from domus.sources.tables import read_state, read_table, spread
 from domus.streaming import job
@@ -491,11 +491,6 @@ def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
-def _files_per_trigger(spark: SparkSession) -> int:
-    """Admission control for file streams: about one file per core per micro-batch."""
-    return max(1, spark.sparkContext.defaultParallelism)
-
-
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = read_table(spark, sf_dir, "events").schema
     return (spark.readStream.schema(schema)
@@ -528,7 +523,7 @@ def stream_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = shared_dir(spark, "stream-listings")
     msgs = derive.listing_messages_from_part(read_table(spark, sf_dir, "part"))
     write_messages(msgs.select("value"), path=f"{work}/messages")
-    stream = read_message_files(spark, f"{work}/messages", max_files_per_trigger=_files_per_trigger(spark))
+    stream = read_message_files(spark, f"{work}/messages", max_bytes_per_trigger=admission_bytes(spark))
     # Versions of a key are ordered by producing run, batch, file, then message text.
     log = ChangeLog(f"{work}/log", key=S.PUBLISHED_KEY, order=MESSAGE_ORDER)
     published, on_batch = job.publish_stream(stream, log, MESSAGE_ORDER, quarantine_path=f"{work}/quarantine")
@@ -558,7 +553,7 @@ def page_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
             todo.unpersist()
 
     job.run_stream(spark, stream_pages(spark, f"{work}/landing", layout="lines",
-                                       max_files_per_trigger=_files_per_trigger(spark)),
+                                       max_bytes_per_trigger=admission_bytes(spark)),
                    on_batch, f"{work}/checkpoint")
     msgs = read_message_files(spark, f"{work}/messages", streaming=False)
     el = F.from_json("value", "eventId BIGINT, eventType STRING, value DOUBLE")

@@ -67,8 +67,13 @@ def has_data(df: DataFrame) -> bool:
 MESSAGE_ORDER = ["src_run", "src_batch", "file_name", "message"]
 
 
+def admission_bytes(spark: SparkSession, per_core: int = 128 * 1024 * 1024) -> int:
+    """Default micro-batch size for file streams: about one 128 MB split per core."""
+    return max(1, spark.sparkContext.defaultParallelism) * per_core
+
+
 def read_message_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                       streaming: bool = True) -> DataFrame:
+                       streaming: bool = True, max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Messages landed as text, one JSON message per line -> ``value`` (string), like a broker.
 
     Adds the version-order columns of :data:`MESSAGE_ORDER`: the producing run and batch
@@ -80,6 +85,8 @@ def read_message_files(spark: SparkSession, path: str, max_files_per_trigger: in
     r = r.format("text")
     if streaming and max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    elif streaming and max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     df = r.load(path).select("value", F.col("_metadata.file_path").alias("_path"),
                              F.col("_metadata.file_name").alias("file_name"))
 

@@ -53,11 +53,17 @@ def read_pages(spark: SparkSession, path: str, layout: str = "named", glob: str
 
 
 def stream_pages(spark: SparkSession, path: str, layout: str = "named",
-                 max_files_per_trigger: int | None = None, glob: str | None = None) -> DataFrame:
-    """A4: the same as a file stream; the checkpoint remembers which files were processed."""
+                 max_files_per_trigger: int | None = None, glob: str | None = None,
+                 max_bytes_per_trigger: int | None = None) -> DataFrame:
+    """A4: the same as a file stream; the checkpoint remembers which files were processed.
+
+    Admission control: ``max_files_per_trigger`` or ``max_bytes_per_trigger`` (one of them).
+    """
     r = _reader(spark.readStream.format("text"), layout, glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    elif max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     df = r.load(path)
     if layout == "named":
         df = df.withColumn("file_name", F.col("_metadata.file_name"))

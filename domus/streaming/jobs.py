@@ -23,7 +23,8 @@ from domus.operators import incremental, search
 from domus.operators import pages as pages_op
 from domus.sinks.changelog import ChangeLog, new_run_id
 from domus.sinks.tables import append_manifest, write_marker, write_messages
-from domus.sources.endpoints import MESSAGE_ORDER, KafkaEndpoint, read_kafka_stream, read_message_files
+from domus.sources.endpoints import (MESSAGE_ORDER, KafkaEndpoint, admission_bytes, read_kafka_stream,
+                                     read_message_files)
 from domus.sources.pages import stream_pages
 from domus.sources.tables import read_state
 from domus.streaming.job import StreamRun, publish_stream, run_stream
@@ -37,7 +38,8 @@ class PublishPaths:
 
 
 def message_stream(spark: SparkSession, kafka: KafkaEndpoint | None = None,
-                   files: str | None = None, max_files_per_trigger: int | None = None) -> tuple[DataFrame, list[str]]:
+                   files: str | None = None, max_files_per_trigger: int | None = None
+                   ) -> tuple[DataFrame, list[str]]:
     """(stream with ``value``, columns that order versions of a key).
 
     Broker: (partition, offset); messages are keyed by listing id, so every version of a
@@ -48,7 +50,9 @@ def message_stream(spark: SparkSession, kafka: KafkaEndpoint | None = None,
         return read_kafka_stream(spark, kafka).select("value", "partition", "offset"), ["partition", "offset"]
     if files is None:
         raise ValueError("need a broker endpoint or a message folder")
-    return read_message_files(spark, files, max_files_per_trigger), list(MESSAGE_ORDER)
+    df = read_message_files(spark, files, max_files_per_trigger,
+                            max_bytes_per_trigger=None if max_files_per_trigger else admission_bytes(spark))
+    return df, list(MESSAGE_ORDER)
 
 
 def publish_job(spark: SparkSession, paths: PublishPaths, kafka: KafkaEndpoint | None = None,
@@ -89,7 +93,8 @@ def replay_pages_job(spark: SparkSession, landing: str, manifest: str, checkpoin
         finally:
             todo.unpersist()
 
-    src = stream_pages(spark, landing, layout=layout, max_files_per_trigger=max_files_per_trigger)
+    src = stream_pages(spark, landing, layout=layout, max_files_per_trigger=max_files_per_trigger,
+                       max_bytes_per_trigger=None if max_files_per_trigger else admission_bytes(spark))
     return run_stream(spark, src, on_batch, checkpoint)
 
 
