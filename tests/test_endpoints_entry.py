@@ -75,3 +75,12 @@ def test_query_matches_oracle_sf0001(spark, duck, name):
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
     assert _rows(got) == _rows(want)
+
+
+def test_spread_only_when_input_is_narrow(spark, tmp):
+    from domus.sources.tables import spread
+    narrow = spark.range(0, 1000, numPartitions=1)
+    wide = spark.range(0, 1000, numPartitions=16)
+    assert spread(narrow, 8).rdd.getNumPartitions() == 8
+    assert spread(wide, 8) is wide  # already wide enough: no shuffle added
+    assert sorted(r[0] for r in spread(narrow, 8).collect()) == list(range(1000))
