@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from domus.functions.geo import DEFAULT_CENTER
 from domus.functions.names import page_file_name
+from domus.sources.tables import spread
 
 LAT0, LON0 = DEFAULT_CENTER
 # Spread of derived coordinates about the search centre, in degrees per step.
@@ -105,25 +106,24 @@ def envelopes_from_events(events: DataFrame, items_per_page: int = ITEMS_PER_PAG
     page never exceeds that many elements whatever the skew of any other column. Pages are
     dated by their first event and numbered 1..n within the date by block order; that
     numbering is a per-date min/max aggregate joined back (partial aggregation, no window).
+    Only the JSON-encoding branch is spread over the cores; the numbering branch reads two
+    columns and pre-aggregates in the scan tasks.
     """
+    block = F.expr(f"event_id div {int(items_per_page)}").alias("block")
     blocks = (
-        events.select(
-            F.expr(f"event_id div {int(items_per_page)}").alias("block"),
-            "event_id",
-            "ts",
-            event_element_json().alias("element"),
-        )
+        spread(events).select(block, "event_id", "ts", event_element_json().alias("element"))
         .groupBy("block")
         .agg(
             F.min("ts").alias("first_ts"),
             F.sort_array(F.collect_list(F.struct("event_id", "element"))).alias("items"),
         )
-        .withColumn("page_date", F.to_date("first_ts"))
     )
-    bounds = blocks.groupBy("page_date").agg(
+    dated = (events.select(block, "ts").groupBy("block").agg(F.min("ts").alias("first_ts"))
+             .select("block", F.to_date("first_ts").alias("page_date")))
+    bounds = dated.groupBy("page_date").agg(
         F.min("block").alias("first_block"), F.max("block").alias("last_block")
     )
-    pages = blocks.join(bounds, "page_date").select(
+    pages = blocks.withColumn("page_date", F.to_date("first_ts")).join(bounds, "page_date").select(
         "page_date",
         (F.col("block") - F.col("first_block") + 1).alias("page_no"),
         (F.col("last_block") - F.col("first_block") + 1).alias("total_pages"),

@@ -1,6 +1,5 @@
 """The runnable jobs end to end: landed pages -> messages -> published table -> search."""
 
-import datetime as dt
 import json
 import os
 
@@ -73,4 +72,3 @@ def test_cli_parser_broker_options():
                                        "--table", "x", "--checkpoint", "y", "--kafka-option", "kafka.sasl.mechanism=PLAIN"])
     ep = cli._kafka(a)
     assert ep.read_options()["kafka.sasl.mechanism"] == "PLAIN" and ep.topic == "t"
-    assert dt  # keep import
