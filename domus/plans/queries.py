@@ -524,7 +524,7 @@ def stream_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = derive.listing_messages_from_part(read_table(spark, sf_dir, "part"))
     write_messages(msgs.select("value"), path=f"{work}/messages")
     stream = read_message_files(spark, f"{work}/messages", max_bytes_per_trigger=admission_bytes(spark))
-    # Versions of a key are ordered by producing run, batch, file, then message text.
+    # Versions of a key are ordered by producing run, batch, file, then message hash.
     log = ChangeLog(f"{work}/log", key=S.PUBLISHED_KEY, order=MESSAGE_ORDER)
     published, on_batch = job.publish_stream(stream, log, MESSAGE_ORDER, quarantine_path=f"{work}/quarantine")
     job.run_stream(spark, published, on_batch, f"{work}/checkpoint")

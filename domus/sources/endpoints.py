@@ -64,7 +64,7 @@ def has_data(df: DataFrame) -> bool:
     return not df.limit(1).isEmpty()
 
 
-MESSAGE_ORDER = ["src_run", "src_batch", "file_name", "message"]
+MESSAGE_ORDER = ["src_run", "src_batch", "file_name", "msg_hash"]
 
 
 def admission_bytes(spark: SparkSession, per_core: int = 128 * 1024 * 1024) -> int:
@@ -77,9 +77,10 @@ def read_message_files(spark: SparkSession, path: str, max_files_per_trigger: in
     """Messages landed as text, one JSON message per line -> ``value`` (string), like a broker.
 
     Adds the version-order columns of :data:`MESSAGE_ORDER`: the producing run and batch
-    (from a ``run=<r>/batch=<b>/`` folder, NULL when absent), the file name, and the message
-    text itself as the last tie-break (a text file carries no line numbers; with a broker
-    the order is (partition, offset)).
+    (from a ``run=<r>/batch=<b>/`` folder, NULL when absent), the file name, and a 64-bit
+    hash of the message text as the last, deterministic tie-break (a text file carries no
+    line numbers; with a broker the order is (partition, offset)). The hash keeps the change
+    log from storing every message twice.
     """
     r = spark.readStream if streaming else spark.read
     r = r.format("text")
@@ -95,4 +96,4 @@ def read_message_files(spark: SparkSession, path: str, max_files_per_trigger: in
         return F.when(txt != "", txt.cast("bigint"))
 
     return df.select("value", part("run").alias("src_run"), part("batch").alias("src_batch"),
-                     "file_name", F.col("value").alias("message"))
+                     "file_name", F.xxhash64("value").alias("msg_hash"))

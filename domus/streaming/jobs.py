@@ -44,7 +44,7 @@ def message_stream(spark: SparkSession, kafka: KafkaEndpoint | None = None,
 
     Broker: (partition, offset); messages are keyed by listing id, so every version of a
     key sits in one partition and its offset is a total order. Files: (run, batch, file,
-    message text).
+    message hash).
     """
     if kafka is not None:
         return read_kafka_stream(spark, kafka).select("value", "partition", "offset"), ["partition", "offset"]
