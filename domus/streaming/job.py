@@ -39,13 +39,16 @@ def run_stream(
     query_name: str | None = None,
     inactivity_timeout: float | None = None,
     poll_interval: float = 10.0,
+    collect_events: bool = False,
 ) -> StreamRun:
     """Start ``df`` -> foreachBatch(on_batch) in append mode and wait for it to end.
 
     A checkpoint is required: it records source offsets / processed files and the batch
     ids, so a restart resumes instead of replaying from the start. ``available_now`` ends
     the query once everything present at start is processed; otherwise the query runs until
-    stopped, e.g. by the inactivity watchdog. The listener is always removed.
+    stopped, e.g. by the inactivity watchdog. The listener is always removed. With
+    ``collect_events`` the call also waits (bounded) for the asynchronous listener bus to
+    deliver the query's last events, so ``StreamRun.events`` is complete.
     """
     if not checkpoint:
         raise ValueError("a checkpoint location is required")
@@ -67,8 +70,9 @@ def run_stream(
             stopper = InactivityStopper(spark, listener, inactivity_timeout, poll_interval)
             stopper.watch(str(q.id))
         q.awaitTermination()
-        # listener events travel on an asynchronous bus; let the last ones arrive
-        listener.wait_terminated(str(q.id), timeout=10.0)
+        if collect_events:
+            # listener events travel on an asynchronous bus; let the last ones arrive
+            listener.wait_terminated(str(q.id), timeout=10.0)
         batches = len([p for p in q.recentProgress if p.get("numInputRows", 0) > 0]) if q.recentProgress else 0
         return StreamRun(str(q.id), batches, bool(stopper and stopper.stopped_for_inactivity),
                          list(listener.events))

@@ -26,11 +26,11 @@ def _land(root, name, lines):
         f.write("\n".join(lines) + "\n")
 
 
-def _run(spark, tmp, log, quarantine=True):
+def _run(spark, tmp, log, quarantine=True, collect_events=False):
     stream = read_message_files(spark, tmp + "/in", max_files_per_trigger=1)
     published, fn = job.publish_stream(stream, log, MESSAGE_ORDER,
                                        quarantine_path=tmp + "/quarantine" if quarantine else None)
-    return job.run_stream(spark, published, fn, tmp + "/ckpt")
+    return job.run_stream(spark, published, fn, tmp + "/ckpt", collect_events=collect_events)
 
 
 def test_stream_equals_batch_and_restart_is_idempotent(spark, tmp):
@@ -60,7 +60,7 @@ def test_listener_removed_and_events_seen(spark, tmp):
     _land(tmp + "/in", "m1.txt", [_msg("a", 1.0)])
     log = ChangeLog(tmp + "/log", key=S.PUBLISHED_KEY, order=MESSAGE_ORDER)
     n_before = len(spark.streams._jsqm.listListeners()) if hasattr(spark.streams, "_jsqm") else None
-    run = _run(spark, tmp, log, quarantine=False)
+    run = _run(spark, tmp, log, quarantine=False, collect_events=True)
     kinds = {k for k, _ in run.events}
     assert "started" in kinds and "progress" in kinds
     if n_before is not None:
