@@ -84,3 +84,18 @@ def test_spread_only_when_input_is_narrow(spark, tmp):
     assert spread(narrow, 8).rdd.getNumPartitions() == 8
     assert spread(wide, 8) is wide  # already wide enough: no shuffle added
     assert sorted(r[0] for r in spread(narrow, 8).collect()) == list(range(1000))
+
+
+def test_create_table_and_append(spark, tmp):
+    from domus import schemas as S
+    from domus.sinks.tables import append, create_table
+    create_table(spark, "published_listings_t", tmp + "/pub")
+    create_table(spark, "published_listings_t", tmp + "/pub")  # idempotent
+    assert spark.table("published_listings_t").columns == S.struct(S.PUBLISHED_DDL).fieldNames()
+    row = spark.createDataFrame([("a", 70.0, 1200.0, 17.0, 2, 1, "1", True, "flat", True, True, 38.3, -0.4,
+                                  "d", "flat", "u", "k1")], S.PUBLISHED_DDL)
+    append(row, "parquet", tmp + "/pub")
+    append(row, "parquet", tmp + "/pub")
+    spark.catalog.refreshTable("published_listings_t")
+    assert spark.table("published_listings_t").count() == 2
+    spark.sql("DROP TABLE published_listings_t")
