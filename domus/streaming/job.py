@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from domus import schemas as S
 from domus.operators.decode import decode_and_publish, quarantine_flags
-from domus.sinks.changelog import ChangeLog
+from domus.sinks.changelog import BATCH_COL, RUN_COL, ChangeLog
 from domus.streaming.listener import InactivityListener, InactivityStopper
 
 BatchFn = Callable[[DataFrame, int], None]
@@ -96,9 +96,13 @@ def publish_batch_fn(changelog: ChangeLog, quarantine_path: str | None = None,
             if S.CORRUPT_COLUMN in good.columns:
                 good = good.drop(S.CORRUPT_COLUMN)
             changelog.write_batch(good, batch_id)
-            (flagged.filter(F.col("quarantined")).withColumn("batch", F.lit(batch_id).cast("bigint"))
+            # (run, batch) like the change log: a replay overwrites itself, a new run never
+            # overwrites an earlier run's quarantined rows
+            (flagged.filter(F.col("quarantined"))
+             .withColumn(RUN_COL, F.lit(changelog.run_id).cast("bigint"))
+             .withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch").parquet(quarantine_path))
+             .partitionBy(RUN_COL, BATCH_COL).parquet(quarantine_path))
         finally:
             flagged.unpersist()
 

@@ -149,3 +149,15 @@ def test_failed_batch_is_replayed_with_exactly_once_effect(spark, tmp):
     assert calls == [0, 0]  # the same batch id was replayed
     assert log.read_log(spark).count() == 2
     assert {r["propertycode"]: r["price"] for r in log.latest(spark).collect()} == {"a": 1.0, "b": 2.0}
+
+
+def test_quarantine_kept_across_runs(spark, tmp):
+    for i, run in enumerate((1, 2)):
+        os.makedirs(f"{tmp}/in{i}")
+        _land(f"{tmp}/in{i}", "m.txt", [_msg(f"k{i}", 1.0), f"junk{i}"])
+        log = ChangeLog(tmp + "/log", key=S.PUBLISHED_KEY, order=MESSAGE_ORDER, run_id=run)
+        published, fn = job.publish_stream(read_message_files(spark, f"{tmp}/in{i}"), log, MESSAGE_ORDER,
+                                           quarantine_path=tmp + "/q")
+        job.run_stream(spark, published, fn, f"{tmp}/ckpt{i}")  # fresh checkpoint: batch ids restart at 0
+    assert spark.read.parquet(tmp + "/q").count() == 2
+    assert log.latest(spark).count() == 2
