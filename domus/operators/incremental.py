@@ -53,13 +53,13 @@ def pull_decision(spark: SparkSession, marker: DataFrame, now: dt.datetime,
     """The recency bucket for the next pull, or ``NoPull`` / None to skip.
 
     The marker table may have many rows (one per run); the executors reduce it to its
-    latest value and only that one scalar reaches the driver. No marker at all -> AllTime.
+    latest value and compute the bucket there (wall-clock arithmetic, so the driver's time
+    zone plays no part); only the bucket token reaches the driver. No marker -> AllTime.
     """
-    last = marker.agg(F.max(col).alias("m")).first()["m"]
-    if last is None:
-        return since_bucket_py(-1)
-    days = (now - last.replace(tzinfo=None)) // dt.timedelta(days=1)
-    return since_bucket_py(days)
+    row = marker.agg(F.max(col).alias("m")).select(
+        F.col("m").isNull().alias("never"), since_bucket(elapsed_days(now, F.col("m"))).alias("bucket")
+    ).first()
+    return since_bucket_py(-1) if row["never"] else row["bucket"]
 
 
 def pull_gate(bucket) -> "F.Column":

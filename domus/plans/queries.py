@@ -7,6 +7,7 @@ stated in plain SQL over the raw tables, for the DuckDB cross-check.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,10 +20,11 @@ from domus import schemas as S
 from domus.plans import derive
 from domus.session import shared_dir
 from domus.sinks.changelog import ChangeLog, new_run_id
-from domus.sinks.tables import append_manifest, write_landing, write_messages
-from domus.sources.endpoints import MESSAGE_ORDER, admission_bytes, read_message_files
+from domus.sinks.tables import (advance_marker, append_manifest, create_table, insert_into,
+                                read_marker, write_landing, write_messages)
+from domus.sources.endpoints import MESSAGE_ORDER, admission_bytes, arrived, read_message_files
 from domus.sources.pages import stream_pages
-from domus.sources.tables import read_state, read_table, spread
+from domus.sources.tables import read_external, read_state, read_table, spread
 from domus.streaming import job
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -345,8 +347,8 @@ def _bucket_sql(days: str) -> str:
     )
 
 
-def _days_sql(as_of: dt.datetime) -> str:
-    return (f"CAST(floor((epoch_us(TIMESTAMP '{as_of:%Y-%m-%d %H:%M:%S}') - epoch_us(ts))"
+def _days_sql(as_of: dt.datetime, col: str = "ts") -> str:
+    return (f"CAST(floor((epoch_us(TIMESTAMP '{as_of:%Y-%m-%d %H:%M:%S}') - epoch_us({col}))"
             f" / 86400000000) AS BIGINT)")
 
 
@@ -432,6 +434,82 @@ def limit_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one.agg(F.count(F.lit(1)).alias("n"))
 
 
+# ---------------------------------------------------------------------------------------
+# The last-pull marker over two commits. The first commit holds the
+# events before the 16th, the second all of them; after each, the marker is read back as
+# text and the next pull is decided at a fixed clock.
+# ---------------------------------------------------------------------------------------
+MARKER_SPLIT = dt.datetime(2024, 1, 16, 0, 0, 0)
+MARKER_AS_OF = dt.datetime(2024, 2, 3, 12, 0, 0)
+
+
+@register(
+    "marker_cycle",
+    f"""
+WITH m AS (
+  SELECT 'first' AS stage, max(ts) AS t FROM events WHERE ts < TIMESTAMP '{MARKER_SPLIT:%Y-%m-%d %H:%M:%S}'
+  UNION ALL SELECT 'final' AS stage, max(ts) AS t FROM events),
+p AS (
+  SELECT stage, strftime(t, '%Y-%m-%d %H:%M:%S') AS marker,
+         CAST(strptime(strftime(t, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS pulled_at
+  FROM m),
+d AS (SELECT *, {_days_sql(MARKER_AS_OF, 'pulled_at')} AS days FROM p),
+b AS (SELECT *, {_bucket_sql('days')} AS bucket FROM d)
+SELECT stage, marker, pulled_at, days, bucket, (bucket IS NOT NULL AND bucket <> 'NoPull') AS pull FROM b
+""",
+)
+def marker_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events").select("ts")
+    path = f"{shared_dir(spark, 'marker-cycle')}/marker"
+    stages = []
+    for stage, committed in (("first", ev.filter(F.col("ts") < timefn.ts_literal(MARKER_SPLIT))), ("final", ev)):
+        advance_marker(committed, path, "ts")
+        # persisted state, re-read after each commit: later stages never change it
+        stages.append(spark.read.parquet(path).agg(F.max("pulled_at").alias("pulled_at"))
+                      .select(F.lit(stage).alias("stage"), "pulled_at").checkpoint())
+    m = stages[0].unionByName(stages[1])
+    m = m.select("stage", timefn.format_marker("pulled_at").alias("marker"))
+    m = m.withColumn("pulled_at", timefn.parse_marker("marker").cast("timestamp_ntz"))
+    m = incremental.with_since_bucket(m, "pulled_at", MARKER_AS_OF, "days", "bucket")
+    return m.withColumn("pull", incremental.pull_gate("bucket"))
+
+
+# ---------------------------------------------------------------------------------------
+# Has anything arrived after a point in time? One cut-off inside the data, one after.
+# ---------------------------------------------------------------------------------------
+ARRIVAL_CUTOFFS = (dt.datetime(2024, 1, 15, 0, 0, 0), dt.datetime(2024, 2, 1, 0, 0, 0))
+
+
+@register(
+    "data_arrived",
+    " UNION ALL ".join(
+        f"SELECT TIMESTAMP '{c:%Y-%m-%d %H:%M:%S}' AS since, "
+        f"EXISTS (SELECT 1 FROM events WHERE ts > TIMESTAMP '{c:%Y-%m-%d %H:%M:%S}') AS arrived"
+        for c in ARRIVAL_CUTOFFS
+    ),
+)
+def data_arrived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events").select("ts")
+    checks = [arrived(ev, F.col("ts") > timefn.ts_literal(c)).select(timefn.ts_literal(c).alias("since"), "arrived")
+              for c in ARRIVAL_CUTOFFS]
+    return checks[0].unionByName(checks[1])
+
+
+# ---------------------------------------------------------------------------------------
+# Create the keyed sink table (idempotent DDL), append the decoded listings
+# into it through the catalog, and read it back by format + options.
+# ---------------------------------------------------------------------------------------
+@register("table_ddl_append", ORACLE_SQL["listing_decode"])
+def table_ddl_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    location = f"{shared_dir(spark, 'published-table')}/published"
+    name = f"published_{uuid.uuid4().hex[:12]}"
+    create_table(spark, name, location)
+    create_table(spark, name, location)  # IF NOT EXISTS: a rerun of the job is harmless
+    published = listing_decode(spark, sf_dir)
+    insert_into(published.filter(F.col(S.PUBLISHED_KEY).isNotNull()), name)
+    return read_external(spark, "parquet", path=location)
+
+
 # ---------------------------------------------------------------------------------------
 # Landed file names built from (date, page) and parsed back.
 # ---------------------------------------------------------------------------------------
@@ -489,6 +567,8 @@ def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 # returns the keyed table read back from the log.
 # ---------------------------------------------------------------------------------------
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+# Seconds without progress before the watchdog stops a processing-time query.
+WATCHDOG_TIMEOUT_S = 1.5
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -531,6 +611,21 @@ def stream_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.latest(spark).select(*S.struct(S.PUBLISHED_DDL).fieldNames())
 
 
+@register("stream_watchdog", ORACLE_SQL["upsert_latest"])
+def stream_watchdog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G3 processing-time trigger with G5-G7: the query runs until the listener has seen no
+    progress for the inactivity timeout, the watchdog stops it by id, the listener is
+    removed; then the keyed table is read back."""
+    work = shared_dir(spark, "stream-watchdog")
+    log = ChangeLog(f"{work}/log", key="user_id", order=["ts", "event_id"])
+    run = job.run_stream(spark, _event_stream(spark, sf_dir), log.write_batch, f"{work}/checkpoint",
+                         available_now=False, processing_time="500 milliseconds",
+                         inactivity_timeout=WATCHDOG_TIMEOUT_S, poll_interval=0.25)
+    if not run.stopped_for_inactivity:
+        raise RuntimeError("stream_watchdog: the query ended without the inactivity stop")
+    return log.latest(spark).select("user_id", "event_id", "ts", "event_type", "value", "props")
+
+
 @register("page_ingest", "SELECT event_id, event_type, value FROM events")
 def page_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed pages end to end: land envelopes (B5), incremental page stream (A4) with

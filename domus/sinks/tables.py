@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from domus import schemas as S
+from domus.functions.timefn import ts_literal
 from domus.sources.endpoints import KafkaEndpoint
+from domus.sources.tables import read_state
 
 
 def append(df: DataFrame, fmt: str = "parquet", path: str | None = None,
@@ -47,8 +49,35 @@ def append_manifest(rows: DataFrame, path: str) -> None:
 
 
 def write_marker(spark: SparkSession, path: str, now: dt.datetime) -> None:
-    """Replace the last-pull marker with ``now``."""
-    spark.createDataFrame([(now,)], S.struct(S.MARKER_DDL)).write.mode("overwrite").parquet(path)
+    """Replace the last-pull marker with ``now`` (wall-clock text read in the session
+    zone, so the driver process's own time zone cannot shift it)."""
+    (spark.range(1).select(ts_literal(now, "timestamp").alias("pulled_at"))
+     .write.mode("overwrite").parquet(path))
+
+
+def advance_marker(committed: DataFrame, path: str, ts_col: str) -> None:
+    """B7 after a commit: the marker becomes the latest pull time among the committed rows.
+
+    Each call appends one version row (the executors reduce the rows to their maximum; no
+    value passes through the driver), and readers take the greatest version, so the marker
+    is never overwritten while being read and never moves backwards. An empty commit appends
+    nothing and the marker stays where it was.
+    """
+    (committed.agg(F.max(F.col(ts_col)).cast("timestamp").alias("pulled_at"))
+     .filter(F.col("pulled_at").isNotNull())
+     .write.mode("append").parquet(path))
+
+
+def read_marker(spark: SparkSession, path: str) -> DataFrame:
+    """The current marker as one row ``pulled_at`` (NULL when no pull was ever committed)."""
+    return read_state(spark, path, S.MARKER_DDL).agg(F.max("pulled_at").alias("pulled_at"))
+
+
+def insert_into(df: DataFrame, table: str) -> None:
+    """B2 into a catalog table made by :func:`create_table`: columns are matched by the
+    table's own names (``insertInto`` is positional), then appended."""
+    cols = df.sparkSession.table(table).columns
+    df.select(*cols).write.insertInto(table)
 
 
 def write_messages(df: DataFrame, ep: KafkaEndpoint | None = None, path: str | None = None,

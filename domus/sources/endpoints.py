@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -64,6 +64,16 @@ def has_data(df: DataFrame) -> bool:
     return not df.limit(1).isEmpty()
 
 
+def arrived(df: DataFrame, condition: Column | None = None) -> DataFrame:
+    """A7 as a one-row frame ``arrived``: does at least one (matching) row exist?
+
+    ``limit(1)`` below the count: every scan task stops at its first match and at most one
+    row per task crosses the single-partition exchange, so the check never counts a table.
+    """
+    rows = df.filter(condition) if condition is not None else df
+    return rows.limit(1).agg((F.count(F.lit(1)) > 0).alias("arrived"))
+
+
 MESSAGE_ORDER = ["src_run", "src_batch", "file_name", "msg_hash"]
 
 

@@ -80,6 +80,10 @@ class InactivityStopper:
             q = self.spark.streams.get(qid)
             if q is None or not q.isActive:
                 return
+            # A progress event only arrives when a micro-batch ends, so a batch that runs
+            # longer than the timeout looks idle; never stop while a trigger is running.
+            if q.status.get("isTriggerActive") and q.status.get("isDataAvailable"):
+                continue
             idle = self.listener.idle_seconds(qid)
             if idle is not None and idle > self.timeout:
                 log.info("no progress for %.1fs, stopping query %s", idle, qid)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from domus import schemas as S
 from domus.operators import incremental, search
-from domus.sinks.tables import append_manifest, write_marker
+from domus.sinks.tables import advance_marker, append_manifest, read_marker, write_marker
+from domus.sources.endpoints import arrived
 from domus.sources.tables import read_state
 
 
@@ -39,6 +40,30 @@ def test_manifest_and_marker_state(spark, tmp):
     assert incremental.should_pull("T")
 
 
+def test_marker_advances_only_on_commit_and_never_backwards(spark, tmp):
+    path = tmp + "/marker"
+    assert read_marker(spark, path).first()["pulled_at"] is None  # never pulled
+    rows = spark.createDataFrame([(dt.datetime(2024, 5, 20, 8, 0, 0),), (dt.datetime(2024, 5, 21, 9, 30, 0),)],
+                                 "ts timestamp_ntz")
+    advance_marker(rows, path, "ts")
+    assert read_marker(spark, path).first()["pulled_at"] == dt.datetime(2024, 5, 21, 9, 30, 0)
+    advance_marker(rows.limit(0), path, "ts")  # empty commit: marker stays
+    advance_marker(rows.filter("ts < '2024-05-21'"), path, "ts")  # an older commit cannot move it back
+    assert read_marker(spark, path).first()["pulled_at"] == dt.datetime(2024, 5, 21, 9, 30, 0)
+    marker = read_state(spark, path, S.MARKER_DDL)
+    assert incremental.pull_decision(spark, marker, dt.datetime(2024, 5, 22, 9, 0, 0)) == "NoPull"
+    assert incremental.pull_decision(spark, marker, dt.datetime(2024, 5, 22, 9, 30, 0)) == "T"
+
+
+def test_arrived_is_a_one_row_check(spark):
+    df = spark.range(0, 1000, numPartitions=8)
+    assert arrived(df).first()["arrived"]
+    assert arrived(df, F.col("id") > 998).first()["arrived"]
+    assert not arrived(df, F.col("id") > 5000).first()["arrived"]
+    assert not arrived(spark.range(0)).first()["arrived"]
+    assert arrived(df).count() == 1
+
+
 LISTINGS = "propertycode string, country string, operation string, propertytype string, price double, " \
            "latitude double, longitude double, published_at timestamp_ntz"
 

@@ -81,6 +81,25 @@ def test_inactivity_stops_query_by_id(spark, tmp):
     assert not spark.streams.active
 
 
+def test_watchdog_waits_for_a_batch_longer_than_the_timeout(spark, tmp):
+    # No progress event arrives while a batch runs; the watchdog must not cut the batch.
+    _land(tmp + "/in", "m1.txt", [_msg("a", 1.0)])
+    log = ChangeLog(tmp + "/log", key=S.PUBLISHED_KEY, order=MESSAGE_ORDER)
+    published, fn = job.publish_stream(read_message_files(spark, tmp + "/in"), log, MESSAGE_ORDER)
+    done = []
+
+    def slow(df, batch_id):
+        time.sleep(3.0)
+        fn(df, batch_id)
+        done.append(batch_id)
+
+    run = job.run_stream(spark, published, slow, tmp + "/ckpt", available_now=False,
+                         processing_time="200 milliseconds", inactivity_timeout=1.0, poll_interval=0.2)
+    assert run.stopped_for_inactivity
+    assert done == [0]
+    assert log.latest(spark).count() == 1
+
+
 def test_listener_clock_ignores_idle():
     now = [0.0]
     lst = InactivityListener(clock=lambda: now[0])
