@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from domus.functions import geo
@@ -132,6 +132,44 @@ def order_and_page(df: DataFrame, order_by: str, key: str, descending: bool = Tr
     return (ordered.offset(skip) if skip else ordered).limit(max_items)
 
 
+_ROW_BITS = 33  # monotonically_increasing_id = (partition index << 33) + row number in partition
+
+
+def paginate(df: DataFrame, order_by: str, key: str, descending: bool = True, max_items: int = 50,
+             partitions: int | None = None) -> DataFrame:
+    """F1/F2 over the whole result: every row with its ``page_no`` (1-based) and ``pos``
+    (0-based place in the page), as paging through all pages of the search would assign.
+
+    No single-partition window: rows are range-partitioned on (order, key); the key makes
+    the sort key unique, so even one timestamp holding a third of all rows is split over
+    many ranges. Inside a range, rows are sorted and numbered by position. A per-range row
+    count (one row per range, so its size is bounded by the partition count, not by the
+    data) is prefix-summed and broadcast back to turn local into global positions.
+    """
+    if max_items < 1:
+        raise ValueError("max_items must be >= 1")
+    spark = df.sparkSession
+    n = int(partitions or spark.conf.get("spark.sql.shuffle.partitions"))
+    o = F.desc if descending else F.asc
+    ranged = df.repartitionByRange(n, o(order_by), o(key))
+    # Both branches read the same range exchange (reused, shuffled once); only the
+    # numbering branch sorts.
+    local = ranged.sortWithinPartitions(o(order_by), o(key)).select(
+        "*",
+        F.spark_partition_id().alias("_range"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("_local"),
+    )
+    sizes = (ranged.select(F.spark_partition_id().alias("_range"))
+             .groupBy("_range").agg(F.count(F.lit(1)).alias("_n")))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    rank = F.col("_offset") + F.col("_local")
+    return (local.join(F.broadcast(offsets), "_range")
+            .withColumn("page_no", (F.floor(rank / F.lit(max_items)) + 1).cast("bigint"))
+            .withColumn("pos", (rank % F.lit(max_items)).cast("int"))
+            .drop("_range", "_local", "_offset"))
+
+
 def search(df: DataFrame, req: SearchRequest, c: ListingColumns = ListingColumns()) -> DataFrame:
     """Filter, then return one ordered page, as the paged search endpoint did."""
     return order_and_page(search_filter(df, req, c), req.order_by, c.key, req.descending,

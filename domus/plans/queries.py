@@ -302,6 +302,26 @@ def newest_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page.select("o_orderkey", "published_at", "price")
 
 
+# F1/F2 + E3 over the whole result: every listing's page (of 50, newest first), as paging
+# through all pages of the search until actualPage == totalPages would assign them.
+@register(
+    "result_pages",
+    _LISTINGS_SQL
+    + """
+SELECT o_orderkey, published_at,
+       CAST((row_number() OVER w - 1) // 50 + 1 AS BIGINT) AS page_no,
+       CAST((row_number() OVER w - 1) % 50 AS INTEGER) AS pos
+FROM listings WHERE country = 'es'
+WINDOW w AS (ORDER BY published_at DESC, o_orderkey DESC)
+""",
+)
+def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = search.search_filter(_listings(spark, sf_dir), search.SearchRequest(country="es"))
+    paged = search.paginate(hits.select("o_orderkey", "published_at"), "published_at", "o_orderkey",
+                            descending=True, max_items=50)
+    return paged.select("o_orderkey", "published_at", "page_no", "pos")
+
+
 FULL_AS_OF = dt.datetime(1998, 8, 2)
 FULL_REQ = search.SearchRequest(
     country="es", operation="F", property_types=("1-URGENT", "2-HIGH", "3-MEDIUM"),

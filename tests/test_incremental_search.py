@@ -139,3 +139,30 @@ def test_with_distance(spark):
 
 def test_limit_one(spark):
     assert search.limit_one(spark.range(10)).count() == 1
+
+
+def test_paginate_matches_brute_force_with_a_hot_timestamp(spark):
+    # A third of all rows share one timestamp: the (ts, key) range split must still spread
+    # them, and page numbers must equal a plain ranking of the whole result.
+    n = 3000
+    hot = dt.datetime(2024, 1, 10, 12, 0, 0)
+    rows = [(i, hot if i % 3 == 0 else hot + dt.timedelta(minutes=i)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k long, ts timestamp_ntz").repartition(7)
+    got = {r["k"]: (r["page_no"], r["pos"]) for r in
+           search.paginate(df, "ts", "k", descending=True, max_items=50, partitions=9).collect()}
+    ranked = sorted(rows, key=lambda r: (r[1], r[0]), reverse=True)
+    want = {k: (i // 50 + 1, i % 50) for i, (k, _) in enumerate(ranked)}
+    assert got == want
+    sizes = (search.paginate(df, "ts", "k", partitions=9).groupBy(F.spark_partition_id()).count()
+             .agg(F.max("count")).first()[0])
+    assert sizes < n / 3  # the hot timestamp is not gathered into one task
+    asc = {r["k"]: r["page_no"] for r in search.paginate(df, "ts", "k", descending=False, max_items=7).collect()}
+    assert asc == {k: i // 7 + 1 for i, (k, _) in enumerate(reversed(ranked))}
+
+
+def test_paginate_empty_and_plan(spark):
+    empty = spark.createDataFrame([], "k long, ts timestamp_ntz")
+    assert search.paginate(empty, "ts", "k").count() == 0
+    df = spark.range(0, 500, numPartitions=4).withColumn("ts", F.col("id"))
+    plan = search.paginate(df, "ts", "id", max_items=10)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" in plan and "SinglePartition" in plan  # only the per-range counts
