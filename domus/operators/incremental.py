@@ -20,10 +20,14 @@ def exclude_processed(pages: DataFrame, manifest: DataFrame, on: str = "file_nam
     A left anti join; NULL names never match, so they are kept. No broadcast hint: the
     manifest grows with every run, so AQE decides from the measured size of the manifest
     side (``spark.sql.adaptive.autoBroadcastJoinThreshold``) and otherwise shuffles both
-    sides on the name.
+    sides on the name. The manifest side is de-duplicated first (map-side partial
+    aggregation): a name logged many times (replays, at-least-once appends) costs one row
+    per map task, and AQE's skew split, which can only split the left side of an anti
+    join, is never needed on the right. The de-duplicating exchange is the join's own
+    hash partitioning, so a shuffled join adds no exchange for it.
     """
     mcol = manifest_col or on
-    m = manifest.select(F.col(mcol).alias("_done"))
+    m = manifest.select(F.col(mcol).alias("_done")).distinct()
     return pages.join(m, pages[on] == m["_done"], "left_anti")
 
 
