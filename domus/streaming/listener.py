@@ -81,8 +81,11 @@ class InactivityStopper:
             if q is None or not q.isActive:
                 return
             # A progress event only arrives when a micro-batch ends, so a batch that runs
-            # longer than the timeout looks idle; never stop while a trigger is running.
-            if q.status.get("isTriggerActive") and q.status.get("isDataAvailable"):
+            # longer than the timeout looks idle; never stop while a trigger is running
+            # with data, nor while the sources are still being opened.
+            status = q.status
+            if status.get("message") == "Initializing sources" or (
+                    status.get("isTriggerActive") and status.get("isDataAvailable")):
                 continue
             idle = self.listener.idle_seconds(qid)
             if idle is not None and idle > self.timeout:
