@@ -23,7 +23,7 @@ from domus.sinks.changelog import ChangeLog, new_run_id
 from domus.sinks.tables import (advance_marker, append_manifest, create_table, insert_into,
                                 read_marker, write_landing, write_messages)
 from domus.sources.endpoints import MESSAGE_ORDER, admission_bytes, arrived, read_message_files
-from domus.sources.pages import stream_pages
+from domus.sources.pages import read_pages, stream_pages
 from domus.sources.tables import read_external, read_state, read_table, spread
 from domus.streaming import job
 
@@ -322,6 +322,40 @@ def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paged.select("o_orderkey", "published_at", "page_no", "pos")
 
 
+# The pull step end to end (B5, E1-E4, F1, F2): every page of a search, newest first, 50 per
+# page, landed as one envelope per page under the pull's date (one date holds every page),
+# read back from the landing folder and exploded with its provenance.
+PULL_DATE = dt.date(2024, 5, 21)
+SEARCH_LANDING_REQ = search.SearchRequest(country="es", operation="F")
+
+
+@register(
+    "search_landing",
+    _LISTINGS_SQL
+    + """,
+r AS (
+  SELECT propertycode, price, row_number() OVER (ORDER BY published_at DESC, o_orderkey DESC) AS rn,
+         count(*) OVER () AS n
+  FROM listings WHERE country = 'es' AND operation = 'F')
+SELECT CAST((rn - 1) // 50 + 1 AS BIGINT) AS page_no, CAST((rn - 1) % 50 AS INTEGER) AS pos,
+       propertycode, price, CAST(ceil(n / 50.0) AS BIGINT) AS total_pages
+FROM r
+""",
+)
+def search_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing = f"{shared_dir(spark, 'search-landing')}/landing"
+    hits = search.search_filter(_listings(spark, sf_dir), SEARCH_LANDING_REQ)
+    elements = hits.select("o_orderkey", "published_at", F.to_json(F.struct(
+        F.col("propertycode").alias("propertyCode"), F.col("price").alias("price"))).alias("element"))
+    paged = search.paginate(elements, "published_at", "o_orderkey", max_items=50, with_total=True)
+    write_landing(pages_op.page_envelopes(paged, F.lit(PULL_DATE), max_items=50), landing)
+    landed = read_pages(spark, landing, layout="lines")
+    rows = pages_op.explode_pages(landed, keep=["page_no", "envelope"])
+    el = F.from_json("element", "propertyCode STRING, price DOUBLE")
+    return rows.select("page_no", "pos", el["propertyCode"].alias("propertycode"), el["price"].alias("price"),
+                       F.col("envelope.totalPages").alias("total_pages"))
+
+
 FULL_AS_OF = dt.datetime(1998, 8, 2)
 FULL_REQ = search.SearchRequest(
     country="es", operation="F", property_types=("1-URGENT", "2-HIGH", "3-MEDIUM"),

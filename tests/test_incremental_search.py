@@ -141,28 +141,44 @@ def test_limit_one(spark):
     assert search.limit_one(spark.range(10)).count() == 1
 
 
+def _brute_pages(rows, descending, size):
+    # (order DESC NULLS LAST | ASC NULLS FIRST, key same direction), as Spark and SQL sort
+    nonnull = sorted((r for r in rows if r[1] is not None), key=lambda r: (r[1], r[0]), reverse=descending)
+    nulls = sorted((r for r in rows if r[1] is None), key=lambda r: r[0], reverse=descending)
+    ranked = nonnull + nulls if descending else nulls + nonnull
+    return {k: (i // size + 1, i % size) for i, (k, _) in enumerate(ranked)}
+
+
 def test_paginate_matches_brute_force_with_a_hot_timestamp(spark):
-    # A third of all rows share one timestamp: the (ts, key) range split must still spread
-    # them, and page numbers must equal a plain ranking of the whole result.
+    # A third of all rows share one timestamp; some have none. Page numbers must equal a
+    # plain ranking of the whole result, in both directions.
     n = 3000
     hot = dt.datetime(2024, 1, 10, 12, 0, 0)
-    rows = [(i, hot if i % 3 == 0 else hot + dt.timedelta(minutes=i)) for i in range(n)]
+    rows = [(i, None if i % 50 == 1 else hot if i % 3 == 0 else hot + dt.timedelta(minutes=i)) for i in range(n)]
     df = spark.createDataFrame(rows, "k long, ts timestamp_ntz").repartition(7)
-    got = {r["k"]: (r["page_no"], r["pos"]) for r in
-           search.paginate(df, "ts", "k", descending=True, max_items=50, partitions=9).collect()}
-    ranked = sorted(rows, key=lambda r: (r[1], r[0]), reverse=True)
-    want = {k: (i // 50 + 1, i % 50) for i, (k, _) in enumerate(ranked)}
-    assert got == want
-    sizes = (search.paginate(df, "ts", "k", partitions=9).groupBy(F.spark_partition_id()).count()
-             .agg(F.max("count")).first()[0])
-    assert sizes < n / 3  # the hot timestamp is not gathered into one task
-    asc = {r["k"]: r["page_no"] for r in search.paginate(df, "ts", "k", descending=False, max_items=7).collect()}
-    assert asc == {k: i // 7 + 1 for i, (k, _) in enumerate(reversed(ranked))}
-
-
-def test_paginate_empty_and_plan(spark):
+    for desc, size, parts in ((True, 50, 9), (False, 7, 200)):
+        got = {r["k"]: (r["page_no"], r["pos"]) for r in
+               search.paginate(df, "ts", "k", descending=desc, max_items=size, partitions=parts).collect()}
+        assert got == _brute_pages(rows, desc, size)
+
+
+def test_paginate_splits_a_hot_timestamp_over_ranges(spark):
+    n = 3000
+    hot = dt.datetime(2024, 1, 10, 12, 0, 0)
+    rows = [(i, hot if i % 3 == 0 else hot + dt.timedelta(minutes=i)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k long, ts timestamp_ntz")
+    o, k = search._sortable(df, "ts"), search._sortable(df, "k")
+    bounds = search._range_bounds(df, o, k, 10, True)
+    sizes = [r[1] for r in df.groupBy(search._range_id(bounds, o, k, True).alias("r")).count().collect()]
+    assert len(sizes) >= 8 and max(sizes) < n / 5  # the hot third is spread, no range is hot
+
+
+def test_paginate_total_and_empty(spark):
     empty = spark.createDataFrame([], "k long, ts timestamp_ntz")
     assert search.paginate(empty, "ts", "k").count() == 0
-    df = spark.range(0, 500, numPartitions=4).withColumn("ts", F.col("id"))
-    plan = search.paginate(df, "ts", "id", max_items=10)._jdf.queryExecution().executedPlan().toString()
-    assert "rangepartitioning" in plan and "SinglePartition" in plan  # only the per-range counts
+    df = spark.range(0, 505, numPartitions=4).withColumn("d", F.to_date(F.lit("2024-01-01")) + (F.col("id") % 9).cast("int"))
+    out = search.paginate(df, "d", "id", max_items=10, with_total=True)
+    assert {r["total"] for r in out.select("total").distinct().collect()} == {505}
+    assert out.agg(F.max("page_no")).first()[0] == 51
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan  # ranges come from the data, not from an exchange
