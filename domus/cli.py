@@ -3,6 +3,7 @@
   publish         message stream -> keyed published table (broker topic or message folder)
   replay-pages    landed pages -> messages (+ manifest)
   search          one page of search results over the published table
+  land-search     every page of a search, landed one envelope per page under a pull date
   pull-decision   recency bucket from the last-pull marker
 
 Broker secrets go in ``--kafka-option key=value`` and are never printed.
@@ -75,6 +76,19 @@ def build_parser() -> argparse.ArgumentParser:
     se.add_argument("--num-page", type=int, default=1)
     se.add_argument("--output", help="write the page as parquet here (default: print JSON lines)")
 
+    ls = sub.add_parser("land-search")
+    ls.add_argument("--table", required=True)
+    ls.add_argument("--landing", required=True)
+    ls.add_argument("--pull-date", required=True, help="yyyy-MM-dd")
+    ls.add_argument("--country")
+    ls.add_argument("--operation")
+    ls.add_argument("--property-type", action="append")
+    ls.add_argument("--min-price", type=float)
+    ls.add_argument("--max-price", type=float)
+    ls.add_argument("--center", help="lat,lon")
+    ls.add_argument("--distance", type=float)
+    ls.add_argument("--max-items", type=int, default=50)
+
     pd = sub.add_parser("pull-decision")
     pd.add_argument("--marker", required=True)
     pd.add_argument("--now", help="yyyy-MM-dd HH:mm:ss (default: now)")
@@ -110,6 +124,14 @@ def main(argv: list[str] | None = None) -> int:
         else:
             for line in page.toJSON().collect():  # one bounded page (max_items rows)
                 print(line)
+    elif a.job == "land-search":
+        center = tuple(float(x) for x in a.center.split(",")) if a.center else None
+        req = SearchRequest(country=a.country, operation=a.operation,
+                            property_types=tuple(a.property_type) if a.property_type else None,
+                            min_price=a.min_price, max_price=a.max_price, center=center,
+                            distance_m=a.distance, max_items=a.max_items)
+        jobs.land_search_job(spark, a.table, req, a.landing, dt.date.fromisoformat(a.pull_date))
+        print(json.dumps({"landing": a.landing, "page_date": a.pull_date}))
     elif a.job == "pull-decision":
         now = dt.datetime.strptime(a.now, "%Y-%m-%d %H:%M:%S") if a.now else None
         print(json.dumps({"bucket": jobs.pull_decision_job(spark, a.marker, now, a.advance)}))

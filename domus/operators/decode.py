@@ -136,3 +136,33 @@ def split_quarantine(published: DataFrame, key: str = S.PUBLISHED_KEY) -> tuple[
     good = flagged.filter(~F.col("quarantined")).drop("quarantined", "flagged")
     bad = flagged.filter(F.col("quarantined"))
     return good, bad
+
+
+def listing_element(published: DataFrame | None = None) -> Column:
+    """Published row -> listing element JSON (the inverse of :func:`publish_columns`).
+
+    Field names and nesting are the decoded listing's (camelCase, ``parkingSpace`` and
+    ``detailedType`` as maps), so a page of these elements replays and decodes back to the
+    same published row: JSON keys are matched case-sensitively.
+    """
+    return F.to_json(F.struct(
+        F.col("address").alias("address"),
+        F.col("size").alias("size"),
+        F.col("price").alias("price"),
+        F.col("pricebyarea").alias("priceByArea"),
+        F.col("rooms").cast("bigint").alias("rooms"),
+        F.col("bathrooms").cast("bigint").alias("bathrooms"),
+        F.col("floor").alias("floor"),
+        F.col("haslift").alias("hasLift"),
+        F.col("propertytype").alias("propertyType"),
+        F.when(F.col("parkingspace").isNotNull(),
+               F.create_map(F.lit("hasParkingSpace"), F.col("parkingspace"))).alias("parkingSpace"),
+        F.col("exterior").alias("exterior"),
+        F.col("latitude").alias("latitude"),
+        F.col("longitude").alias("longitude"),
+        F.col("description").alias("description"),
+        F.when(F.col("typology").isNotNull(),
+               F.create_map(F.lit("typology"), F.col("typology"))).alias("detailedType"),
+        F.col("url").alias("url"),
+        F.col("propertycode").alias("propertyCode"),
+    ))

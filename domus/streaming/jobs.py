@@ -7,6 +7,8 @@
   message per element -> manifest append. The upstream page-to-topic producer, as one
   distributed job per micro-batch.
 * :func:`search_job`: one page of search results over the published table.
+* :func:`land_search_job`: every page of a search, landed one envelope per page under the
+  pull date (the pull-and-land step, without the HTTP fetch).
 * :func:`pull_decision_job`: read the marker, decide the recency bucket, optionally advance it.
 """
 
@@ -22,7 +24,8 @@ from domus import schemas as S
 from domus.operators import incremental, search
 from domus.operators import pages as pages_op
 from domus.sinks.changelog import ChangeLog, new_run_id
-from domus.sinks.tables import append_manifest, write_marker, write_messages
+from domus.operators.decode import listing_element
+from domus.sinks.tables import append_manifest, write_landing, write_marker, write_messages
 from domus.sources.endpoints import (MESSAGE_ORDER, KafkaEndpoint, admission_bytes, read_kafka_stream,
                                      read_message_files)
 from domus.sources.pages import stream_pages
@@ -115,6 +118,22 @@ def search_job(spark: SparkSession, table: str, req: search.SearchRequest,
     return page
 
 
+def land_search_job(spark: SparkSession, table: str, req: search.SearchRequest, landing: str,
+                    pull_date: dt.date, published_at: str | None = None) -> None:
+    """Every page of ``req`` over the published table, ``req.max_items`` per page in the
+    request's order (key order when the table has no publication time), landed as one
+    envelope per page under ``page_date=<pull_date>``. Re-landing a date replaces it."""
+    df = published_table(spark, table)
+    cols = search.ListingColumns(published_at=published_at or S.PUBLISHED_KEY)
+    hits = search.search_filter(df, search.SearchRequest(**{**req.__dict__, "since": None})
+                                if published_at is None else req, cols)
+    elements = hits.select(cols.key, cols.published_at, listing_element().alias("element")) \
+        if cols.published_at != cols.key else hits.select(cols.key, listing_element().alias("element"))
+    paged = search.paginate(elements, cols.published_at, cols.key, descending=req.descending,
+                            max_items=req.max_items, with_total=True)
+    write_landing(pages_op.page_envelopes(paged, F.lit(pull_date), max_items=req.max_items), landing)
+
+
 def pull_decision_job(spark: SparkSession, marker: str, now: dt.datetime | None = None,
                       advance: bool = False) -> str | None:
     """D8 + B7: bucket for the next pull; advance the marker only when asked (after a commit)."""
