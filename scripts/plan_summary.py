@@ -57,8 +57,8 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     print("# Executed plans\n")
     print(f"Final (post-AQE) physical plans of each registered query on `{sf_dir}`, from "
-          "`scripts/plan_summary.py`. Streaming queries show the plan of the final read of "
-          "their keyed table; their per-batch plans are described in README.\n")
+          "`scripts/plan_summary.py`. Queries that write and read back (streaming, landing, table and marker queries) show the plan of the final read of "
+          "what they wrote; their write and per-batch plans are described in README.\n")
     print("| query | shuffles | broadcast exchanges | operators | filters pushed to scan | Python |")
     print("|---|---|---|---|---|---|")
     for name, fn in QUERIES.items():
