@@ -66,6 +66,14 @@ def test_cli_pull_decision_and_search(spark, tmp, capsys):
     out = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines() if x.startswith("{")]
     assert [(r["propertycode"], r["distance"]) for r in out] == [("9", "1594")]
 
+    cli.main(["land-search", "--table", tmp + "/table", "--landing", tmp + "/landing",
+              "--pull-date", "2024-05-21", "--max-price", "1000"])
+    capsys.readouterr()
+    from domus.sources.pages import read_pages
+    (page,) = read_pages(spark, tmp + "/landing", layout="lines").collect()
+    assert page["file_name"] == "response2024_05_21_p_1.json" and page["envelope"]["totalPages"] == 1
+    assert [json.loads(e)["propertyCode"] for e in page["envelope"]["elementList"]] == ["9"]
+
 
 def test_cli_parser_broker_options():
     a = cli.build_parser().parse_args(["publish", "--bootstrap-servers", "b:9092", "--topic", "t",
