@@ -13,10 +13,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from domus.functions import geo
 from domus.functions.timefn import bucket_days, ts_literal
+from domus.session import checkpoint_root
 
 
 @dataclass(frozen=True)
@@ -133,64 +133,28 @@ def order_and_page(df: DataFrame, order_by: str, key: str, descending: bool = Tr
     return (ordered.offset(skip) if skip else ordered).limit(max_items)
 
 
-# Sample points per range when choosing range bounds (what Spark's own range partitioner
-# draws per output partition is of the same order).
-SAMPLES_PER_RANGE = 64
+_ROW_BITS = 33  # monotonically_increasing_id = (partition index << 33) + row number in partition
 
 
-def _sortable(df: DataFrame, name: str) -> Column:
-    """An exact, order-preserving, time-zone-free encoding of a column for range bounds."""
-    t = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(t, TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
-    if isinstance(t, TimestampType):
-        return F.unix_micros(c)
-    if isinstance(t, DateType):
-        return F.unix_date(c)
-    return c
+def numbered_ranges(df: DataFrame, order_by: str, key: str, descending: bool = True,
+                    partitions: int | None = None) -> DataFrame:
+    """Rows range-partitioned on (order, key), sorted within each range, with ``_range``
+    (the range) and ``_local`` (0-based position in it), frozen by a reliable checkpoint in
+    the shared checkpoint folder.
 
-
-def _range_bounds(df: DataFrame, o: Column, k: Column, ranges: int, descending: bool) -> list[tuple]:
-    """Up to ``ranges - 1`` boundary (order, key) pairs from a seeded sample of bounded size.
-
-    The same step Spark's range partitioner takes (a sample small enough for the driver),
-    done once here so the ranges are a function of the data: any number of plans that use
-    them agree, without relying on exchange reuse.
+    Freezing matters: a range exchange samples its own bounds, so two plans that each
+    range-partition the same rows may cut them differently. Everything downstream reads
+    these stored rows, so counts and positions always agree, a lost executor re-reads
+    them instead of recomputing them, and the range count is free to grow with the data.
     """
-    total = df.count()
-    if total == 0 or ranges < 2:
-        return []
-    fraction = min(1.0, SAMPLES_PER_RANGE * ranges / total)
-    sample = [(r[0], r[1]) for r in df.select(o.alias("o"), k.alias("k")).sample(fraction=fraction, seed=7).collect()]
-    # sort order of the page: non-NULL orders first when descending (NULLS LAST), NULLs
-    # first when ascending (NULLS FIRST); the key breaks ties the same way as the order
-    sample.sort(key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0, r[1]), reverse=descending)
-    picks = [sample[(i * len(sample)) // ranges] for i in range(1, ranges)]
-    return [b for i, b in enumerate(picks) if i == 0 or b != picks[i - 1]]
-
-
-def _at_or_after(b: tuple, o: Column, k: Column, descending: bool) -> Column:
-    """Does the row (o, k) sort at or after the bound ``b`` in the page order?"""
-    bo, bk = b
-    if descending:  # order DESC NULLS LAST, key DESC
-        if bo is None:
-            return o.isNull() & (k <= F.lit(bk))
-        return o.isNull() | (o < F.lit(bo)) | ((o == F.lit(bo)) & (k <= F.lit(bk)))
-    if bo is None:  # order ASC NULLS FIRST, key ASC
-        return o.isNotNull() | (k >= F.lit(bk))
-    return o.isNotNull() & ((o > F.lit(bo)) | ((o == F.lit(bo)) & (k >= F.lit(bk))))
-
-
-def _range_id(bounds: list[tuple], o: Column, k: Column, descending: bool, lo: int = 0,
-              hi: int | None = None) -> Column:
-    """How many bounds the row sorts at or after: a binary search, log2(ranges) tests deep."""
-    hi = len(bounds) if hi is None else hi
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(_at_or_after(bounds[mid], o, k, descending), _range_id(bounds, o, k, descending, mid + 1, hi)) \
-        .otherwise(_range_id(bounds, o, k, descending, lo, mid))
+    n = int(partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = F.desc_nulls_last if descending else F.asc_nulls_first
+    local = (df.repartitionByRange(n, d(order_by), d(key))
+             .sortWithinPartitions(d(order_by), d(key))
+             .select("*", F.spark_partition_id().alias("_range"),
+                     F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("_local")))
+    checkpoint_root(df.sparkSession)
+    return local.checkpoint(eager=True)
 
 
 def paginate(df: DataFrame, order_by: str, key: str, descending: bool = True, max_items: int = 50,
@@ -199,27 +163,18 @@ def paginate(df: DataFrame, order_by: str, key: str, descending: bool = True, ma
     (0-based place in the page), as paging through all pages of the search would assign.
     ``key`` must be unique and not NULL (it makes the order total).
 
-    No single-partition window over the data. Rows are cut into ranges of the (order, key)
-    order by boundary keys taken from a bounded sample; the key is part of every bound, so
-    even one timestamp holding a third of all rows is split over many ranges. Each range is
-    numbered by a window partitioned by range (one range per group, about total/ranges
-    rows). A per-range row count (one row per range: bounded by the range count, not by the
-    data) is prefix-summed and broadcast back to turn local into global positions. With
-    ``with_total`` the same small table also carries ``total``, the size of the whole
-    result (what a page envelope reports), so no row is joined against a global aggregate.
-    The range of a row is a function of its values, so a recomputed task (lost executor)
-    puts every row in the same range again.
+    No single-partition window over the data. Rows are range-partitioned on (order, key)
+    (see :func:`numbered_ranges`); the key makes the sort key unique, so even one timestamp
+    holding a third of all rows is split over many ranges. A per-range row count (one row
+    per range: bounded by the range count, not by the data) is prefix-summed and broadcast
+    back to turn local into global positions. With ``with_total`` the same small table
+    also carries ``total``, the size of the whole result (what a page envelope reports), so
+    no row is joined against a global aggregate.
     """
     if max_items < 1:
         raise ValueError("max_items must be >= 1")
-    n = int(partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    o, k = _sortable(df, order_by), _sortable(df, key)
-    bounds = _range_bounds(df, o, k, n, descending)
-    ranged = df.withColumn("_range", _range_id(bounds, o, k, descending))
-    d = F.desc_nulls_last if descending else F.asc_nulls_first
-    within = Window.partitionBy("_range").orderBy(d(order_by), d(key))
-    local = ranged.withColumn("_local", F.row_number().over(within) - 1)
-    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    local = numbered_ranges(df, order_by, key, descending, partitions)
+    sizes = local.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),

@@ -86,10 +86,11 @@ NOTES = """
   because its coordinates are derived from the key in this test view; on a published table
   the box predicate is pushed (see `tests/test_functions.py::test_box_predicate_reaches_scan`).
 - `TakeOrderedAndProject` is the top-(offset+limit) paging of one page. `result_pages` and
-  `search_landing` number every page of the whole result: rows get a range id from sampled
-  boundary keys, a window partitioned by range numbers them (one hash shuffle), and a
-  broadcast of one offset row per range (bounded by the range count) makes the positions
-  global. Their `SinglePartition` is the prefix sum over those per-range counts.
+  `search_landing` number every page of the whole result. The range shuffle and the
+  position numbering run once, in the checkpoint job that freezes them (not in the plan
+  shown). The plan shown reads the stored rows, counts per range (one row per range), and
+  broadcasts the prefix-summed offsets. Its `SinglePartition` is that prefix sum over the
+  per-range counts.
 - The processed-file anti join de-duplicates the manifest side first (`HashAggregate`
   pair). With a shuffled join that aggregation's exchange is the join's own partitioning.
 - `marker_cycle` and `data_arrived` reduce to one row on the executors (`max`, `limit(1)`

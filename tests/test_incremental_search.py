@@ -167,10 +167,17 @@ def test_paginate_splits_a_hot_timestamp_over_ranges(spark):
     hot = dt.datetime(2024, 1, 10, 12, 0, 0)
     rows = [(i, hot if i % 3 == 0 else hot + dt.timedelta(minutes=i)) for i in range(n)]
     df = spark.createDataFrame(rows, "k long, ts timestamp_ntz")
-    o, k = search._sortable(df, "ts"), search._sortable(df, "k")
-    bounds = search._range_bounds(df, o, k, 10, True)
-    sizes = [r[1] for r in df.groupBy(search._range_id(bounds, o, k, True).alias("r")).count().collect()]
+    ranged = search.numbered_ranges(df, "ts", "k", partitions=10)
+    sizes = [r[1] for r in ranged.groupBy("_range").count().collect()]
     assert len(sizes) >= 8 and max(sizes) < n / 5  # the hot third is spread, no range is hot
+    # positions are frozen: reading the stored rows twice gives the same numbering
+    assert ranged.exceptAll(ranged.select(*ranged.columns)).count() == 0
+
+
+def test_paginate_with_many_ranges(spark):
+    df = spark.range(0, 20000, numPartitions=8).withColumn("ts", (F.col("id") % 97).cast("timestamp"))
+    out = search.paginate(df, "ts", "id", partitions=1024, max_items=50)
+    assert out.agg(F.max("page_no"), F.count(F.lit(1)), F.countDistinct("page_no", "pos")).first()[:] == (400, 20000, 20000)
 
 
 def test_paginate_total_and_empty(spark):
@@ -181,4 +188,4 @@ def test_paginate_total_and_empty(spark):
     assert {r["total"] for r in out.select("total").distinct().collect()} == {505}
     assert out.agg(F.max("page_no")).first()[0] == 51
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "rangepartitioning" not in plan  # ranges come from the data, not from an exchange
+    assert "Window" in plan and "rangepartitioning" not in plan  # reads the frozen ranges
