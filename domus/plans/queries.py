@@ -626,10 +626,13 @@ WATCHDOG_TIMEOUT_S = 1.5
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a file stream, admitted by bytes (about one split per core per
+    micro-batch), so a folder of many files is read in a few large batches, not one file
+    per batch."""
     schema = read_table(spark, sf_dir, "events").schema
     return (spark.readStream.schema(schema)
             .option("pathGlobFilter", "events.parquet")
-            .option("maxFilesPerTrigger", "1")
+            .option("maxBytesPerTrigger", str(admission_bytes(spark)))
             .parquet(sf_dir))
 
 
