@@ -5,6 +5,7 @@
   search          one page of search results over the published table
   land-search     every page of a search, landed one envelope per page under a pull date
   pull-decision   recency bucket from the last-pull marker
+  compact         keyed table's change log -> latest rows per key, in a new folder
 
 Broker secrets go in ``--kafka-option key=value`` and are never printed.
 """
@@ -89,6 +90,10 @@ def build_parser() -> argparse.ArgumentParser:
     ls.add_argument("--distance", type=float)
     ls.add_argument("--max-items", type=int, default=50)
 
+    cp = sub.add_parser("compact")
+    cp.add_argument("--table", required=True)
+    cp.add_argument("--out", required=True, help="new folder (must not exist)")
+
     pd = sub.add_parser("pull-decision")
     pd.add_argument("--marker", required=True)
     pd.add_argument("--now", help="yyyy-MM-dd HH:mm:ss (default: now)")
@@ -132,6 +137,8 @@ def main(argv: list[str] | None = None) -> int:
                             distance_m=a.distance, max_items=a.max_items)
         jobs.land_search_job(spark, a.table, req, a.landing, dt.date.fromisoformat(a.pull_date))
         print(json.dumps({"landing": a.landing, "page_date": a.pull_date}))
+    elif a.job == "compact":
+        print(json.dumps({"table": jobs.compact_job(spark, a.table, a.out)}))
     elif a.job == "pull-decision":
         now = dt.datetime.strptime(a.now, "%Y-%m-%d %H:%M:%S") if a.now else None
         print(json.dumps({"bucket": jobs.pull_decision_job(spark, a.marker, now, a.advance)}))

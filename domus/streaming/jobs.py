@@ -10,6 +10,7 @@
 * :func:`land_search_job`: every page of a search, landed one envelope per page under the
   pull date (the pull-and-land step, without the HTTP fetch).
 * :func:`pull_decision_job`: read the marker, decide the recency bucket, optionally advance it.
+* :func:`compact_job`: the keyed table's change log rewritten as its latest rows, in a new folder.
 """
 
 from __future__ import annotations
@@ -70,12 +71,23 @@ def publish_job(spark: SparkSession, paths: PublishPaths, kafka: KafkaEndpoint |
                       inactivity_timeout=inactivity_timeout, poll_interval=poll_interval)
 
 
+def _table_log(spark: SparkSession, table: str) -> ChangeLog:
+    log = spark.read.parquet(table)
+    order = [c for c in ("partition", "offset", *MESSAGE_ORDER) if c in log.columns]
+    return ChangeLog(table, key=S.PUBLISHED_KEY, order=order)
+
+
 def published_table(spark: SparkSession, table: str) -> DataFrame:
     """Current keyed table: the latest published row per listing (order columns dropped)."""
     cols = S.struct(S.PUBLISHED_DDL).fieldNames()
-    log = spark.read.parquet(table)
-    order = [c for c in ("partition", "offset", *MESSAGE_ORDER) if c in log.columns]
-    return ChangeLog(table, key=S.PUBLISHED_KEY, order=order).latest(spark).select(*cols)
+    return _table_log(spark, table).latest(spark).select(*cols)
+
+
+def compact_job(spark: SparkSession, table: str, out: str) -> str:
+    """Rewrite the keyed table's change log as its latest row per key into the new folder
+    ``out`` (which must not exist); readers and the next publish run then use ``out``.
+    The folder being read is never overwritten."""
+    return _table_log(spark, table).compact(spark, out)
 
 
 def replay_pages_job(spark: SparkSession, landing: str, manifest: str, checkpoint: str,

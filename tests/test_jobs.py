@@ -113,3 +113,15 @@ def test_land_search_pages_round_trip(spark, tmp):
     after = jobs.published_table(spark, tmp + "/table2")
     assert after.count() == 120
     assert before.exceptAll(after).count() == 0 and after.exceptAll(before).count() == 0
+
+    # compaction: one row per key in a new folder, same table, and publishing continues there
+    assert cli.main(["compact", "--table", tmp + "/table2", "--out", tmp + "/table3"]) == 0
+    assert spark.read.parquet(tmp + "/table3").count() == 120
+    compacted = jobs.published_table(spark, tmp + "/table3")
+    assert compacted.exceptAll(after).count() == 0 and after.exceptAll(compacted).count() == 0
+    os.makedirs(tmp + "/messages3")
+    with open(tmp + "/messages3/m.txt", "w") as f:
+        f.write(json.dumps(_listing("0005", 9999.0)) + "\n")
+    jobs.publish_job(spark, jobs.PublishPaths(tmp + "/table3", tmp + "/ck4"), files=tmp + "/messages3")
+    latest = {r["propertycode"]: r["price"] for r in jobs.published_table(spark, tmp + "/table3").collect()}
+    assert len(latest) == 120 and latest["0005"] == 9999.0 and latest["0006"] == 506.0
