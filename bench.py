@@ -27,7 +27,7 @@ from domus.session import get_session  # noqa: E402
 FIRST = [
     "listing_decode", "decode_lineitem", "quarantine_split", "page_explode", "envelope_complete",
     "upsert_latest", "unprocessed_anti", "full_search", "radius_search", "newest_page",
-    "result_pages", "stream_upsert", "stream_listings", "page_ingest",
+    "result_pages", "stream_upsert", "stream_listings", "stream_topic_upsert", "page_ingest",
 ]
 HEADLINE = FIRST + [q for q in QUERIES if q not in FIRST]
 

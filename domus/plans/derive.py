@@ -145,11 +145,11 @@ def envelopes_from_events(events: DataFrame, items_per_page: int = ITEMS_PER_PAG
     )
 
 
-def listing_messages_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    """(value BINARY): one listing message per line item; the large-table decode input."""
+def _lineitem_listing(property_code: Column) -> Column:
+    """One listing object per line item; ``property_code`` is the listing's key."""
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     code = F.concat(ok.cast("string"), F.lit("-"), ln.cast("string"))
-    listing = F.struct(
+    return F.struct(
         F.concat_ws(" ", "l_returnflag", "l_linestatus").alias("address"),
         (F.col("l_partkey") % 4).cast("bigint").alias("bathrooms"),
         F.lit("es").alias("country"),
@@ -163,10 +163,44 @@ def listing_messages_from_lineitem(lineitem: DataFrame) -> DataFrame:
         F.create_map(F.lit("hasParkingSpace"), F.col("l_tax") > F.lit(0.04)).alias("parkingSpace"),
         F.col("l_extendedprice").alias("price"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("priceByArea"),
-        code.alias("propertyCode"),
+        property_code.alias("propertyCode"),
         F.col("l_linestatus").alias("propertyType"),
         ln.cast("bigint").alias("rooms"),
         F.col("l_quantity").alias("size"),
         F.concat(F.lit("listing/"), code, F.lit("/")).alias("url"),
     )
-    return lineitem.select(F.to_json(listing).cast("binary").alias("value"))
+
+
+def listing_messages_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """(value BINARY): one listing message per line item; the large-table decode input."""
+    code = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+    return lineitem.select(F.to_json(_lineitem_listing(code)).cast("binary").alias("value"))
+
+
+# Partitions of the broker-shaped topic built from line items.
+TOPIC_PARTITIONS = 8
+TOPIC_DDL = "key BINARY, value BINARY, partition INT, offset BIGINT"
+# Order in which the producer sends the versions of one order's listing: line number,
+# then every other column the listing is built from (rows equal in all of them publish
+# identical rows, so any order among them gives the same table).
+TOPIC_SEND_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+                    "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+
+
+def topic_from_lineitem(lineitem: DataFrame, partitions: int = TOPIC_PARTITIONS) -> DataFrame:
+    """A broker-shaped topic (key, value, partition, offset): every line item is a new
+    version of its order's listing, keyed by the listing id, so all versions of a key share
+    one partition. Like a broker, each partition is one log: its messages are laid out in
+    send order and the offset is the position in that log, unique and rising in send order
+    within every key. Write it as is (one file per partition) to keep the offsets."""
+    key = F.col("l_orderkey").cast("string")
+    # raw columns cross the shuffle; the JSON is built after it, by every partition's task
+    logs = (lineitem.withColumn("partition", F.pmod(F.xxhash64(key), F.lit(partitions)).cast("int"))
+            .repartition(partitions, "partition")
+            .sortWithinPartitions("partition", "l_orderkey", *TOPIC_SEND_ORDER))
+    return logs.select(
+        key.cast("binary").alias("key"),
+        F.to_json(_lineitem_listing(key)).cast("binary").alias("value"),
+        "partition",
+        F.monotonically_increasing_id().alias("offset"),
+    )

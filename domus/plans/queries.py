@@ -683,6 +683,50 @@ def stream_watchdog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.latest(spark).select("user_id", "event_id", "ts", "event_type", "value", "props")
 
 
+@register(
+    "stream_topic_upsert",
+    f"""
+SELECT l_returnflag || ' ' || l_linestatus AS address,
+       l_quantity AS size,
+       l_extendedprice AS price,
+       l_extendedprice / l_quantity AS pricebyarea,
+       l_linenumber AS rooms,
+       CAST(l_partkey % 4 AS INTEGER) AS bathrooms,
+       l_returnflag AS floor,
+       (l_discount > {_dbl(0.05)}) AS haslift,
+       l_linestatus AS propertytype,
+       (l_tax > {_dbl(0.04)}) AS parkingspace,
+       (l_suppkey % 2 = 0) AS exterior,
+       {_dbl(LAT0)} + CAST(l_partkey % 201 - 100 AS DOUBLE) * {_dbl(STEP)} AS latitude,
+       {_dbl(LON0)} + CAST(l_suppkey % 199 - 99 AS DOUBLE) * {_dbl(STEP)} AS longitude,
+       l_returnflag || ' ' || l_linestatus || ' ' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS description,
+       l_returnflag AS typology,
+       'listing/' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '/' AS url,
+       CAST(l_orderkey AS VARCHAR) AS propertycode
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC,
+        l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_tax DESC,
+        l_returnflag DESC, l_linestatus DESC) AS rn FROM lineitem)
+WHERE rn = 1
+""",
+)
+def stream_topic_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upstream job on a keyed topic (A1/A2 shape, G1-G4, C1-C11, H1-H3): every line
+    item is a new version of its order's listing, delivered through a broker-shaped source
+    (key, value, partition, offset) stored as one file per topic partition in offset order.
+    The stream decodes and publishes, and the keyed table keeps the newest version per key
+    by (partition, offset): the last line item of each order in send order."""
+    work = shared_dir(spark, "stream-topic")
+    derive.topic_from_lineitem(read_table(spark, sf_dir, "lineitem")).write.parquet(f"{work}/topic")
+    src = (spark.readStream.schema(derive.TOPIC_DDL)
+           .option("maxBytesPerTrigger", str(admission_bytes(spark)))
+           .parquet(f"{work}/topic"))
+    order = ["partition", "offset"]
+    log = ChangeLog(f"{work}/log", key=S.PUBLISHED_KEY, order=order)
+    published, on_batch = job.publish_stream(src, log, order, quarantine_path=f"{work}/quarantine")
+    job.run_stream(spark, published, on_batch, f"{work}/checkpoint")
+    return log.latest(spark).select(*S.struct(S.PUBLISHED_DDL).fieldNames())
+
+
 @register("page_ingest", "SELECT event_id, event_type, value FROM events")
 def page_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed pages end to end: land envelopes (B5), incremental page stream (A4) with
