@@ -1,8 +1,9 @@
 """Stop a streaming query after a period without progress.
 
 The listener refreshes a per-query clock on start and on every progress event (a
-micro-batch ran); idle events do not refresh it. A daemon thread polls the clock and stops
-the query *by id* once it has been quiet longer than the timeout.
+micro-batch ran); idle events do not refresh it, but they show the query is running. A
+daemon thread polls the clock and stops the query *by id* once it has been quiet longer
+than the timeout.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ class InactivityListener(StreamingQueryListener):
         self._last: dict[str, float] = {}
         self._lock = threading.Lock()
         self._ended: dict[str, threading.Event] = {}
+        self._ran: set[str] = set()  # queries that completed a trigger (progress or idle)
         self.events: list[tuple[str, str]] = []
 
     def _ended_flag(self, qid: str) -> threading.Event:
@@ -44,9 +46,18 @@ class InactivityListener(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         self.events.append(("progress", str(event.progress.id)))
         self._touch(str(event.progress.id))
+        with self._lock:
+            self._ran.add(str(event.progress.id))
 
     def onQueryIdle(self, event) -> None:
         self.events.append(("idle", str(event.id)))
+        with self._lock:
+            self._ran.add(str(event.id))
+
+    def has_run(self, qid: str) -> bool:
+        """Has the query completed a trigger yet (a batch, or a check that found no data)?"""
+        with self._lock:
+            return qid in self._ran
 
     def onQueryTerminated(self, event) -> None:
         self.events.append(("terminated", str(event.id)))
@@ -81,10 +92,12 @@ class InactivityStopper:
             if q is None or not q.isActive:
                 return
             # A progress event only arrives when a micro-batch ends, so a batch that runs
-            # longer than the timeout looks idle; never stop while a trigger is running
-            # with data, nor while the sources are still being opened.
+            # longer than the timeout looks idle. Never stop before the query has completed
+            # a trigger (sources opening, first offsets being listed), nor while a trigger
+            # is running with data. An empty source still stops: its no-data triggers
+            # report idle events.
             status = q.status
-            if status.get("message") == "Initializing sources" or (
+            if not self.listener.has_run(qid) or (
                     status.get("isTriggerActive") and status.get("isDataAvailable")):
                 continue
             idle = self.listener.idle_seconds(qid)

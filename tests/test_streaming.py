@@ -100,6 +100,24 @@ def test_watchdog_waits_for_a_batch_longer_than_the_timeout(spark, tmp):
     assert log.latest(spark).count() == 1
 
 
+def test_watchdog_stops_a_query_on_an_empty_source(spark, tmp):
+    # Nothing ever arrives: no progress event, but no-data triggers report idle events,
+    # so the query is stopped (and never before its first trigger completed).
+    os.makedirs(tmp + "/in")
+    spark.conf.set("spark.sql.streaming.noDataProgressEventInterval", "500")
+    try:
+        stream = read_message_files(spark, tmp + "/in")
+        t0 = time.time()
+        run = job.run_stream(spark, stream, lambda df, b: None, tmp + "/ckpt", available_now=False,
+                             processing_time="200 milliseconds", inactivity_timeout=1.0,
+                             poll_interval=0.2, collect_events=True)
+    finally:
+        spark.conf.unset("spark.sql.streaming.noDataProgressEventInterval")
+    assert run.stopped_for_inactivity and run.batches == 0
+    assert ("idle", run.query_id) in run.events
+    assert time.time() - t0 < 60
+
+
 def test_listener_clock_ignores_idle():
     now = [0.0]
     lst = InactivityListener(clock=lambda: now[0])
