@@ -22,6 +22,8 @@ _DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # reliable checkpoints (frozen paging ranges, marker stages) are removed once unused
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
