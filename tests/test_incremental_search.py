@@ -113,6 +113,16 @@ def test_paging_is_deterministic_and_complete(spark):
     assert seen == sorted(seen, reverse=True)
 
 
+def test_deep_pages_come_from_the_numbered_result(spark):
+    # the same pages whether served by the top-k buffer or cut from the numbered result
+    df = spark.range(0, 537, numPartitions=5).select(F.col("id").alias("propertycode"),
+                                                     (F.col("id") % 11).alias("published_at"))
+    for n in (1, 4, 11):
+        topk = search.order_and_page(df, "published_at", "propertycode", True, 50, n).collect()
+        deep = search.order_and_page(df, "published_at", "propertycode", True, 50, n, deep_page_rows=1).collect()
+        assert deep == topk and len(deep) == (37 if n == 11 else 50)
+
+
 def test_paging_plan_is_top_k_not_global_sort(spark):
     df = spark.range(0, 1000).select(F.col("id").alias("propertycode"), (F.col("id") % 7).alias("published_at"))
     plan = search.order_and_page(df, "published_at", "propertycode", True, 50, 3)._jdf.queryExecution() \
