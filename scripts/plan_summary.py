@@ -96,7 +96,18 @@ NOTES = """
 - `marker_cycle` and `data_arrived` reduce to one row on the executors (`max`, `limit(1)`
   below a count); `table_ddl_append` is the decode plan plus a catalog insert.
 - `SinglePartition` in `limit_one` is the count over at most one row.
-- No plan contains a Python evaluation node.
+- `stream_topic_upsert` pushes every line item through the streaming publish path as a
+  new version of its order's listing. Per micro-batch: one decode projection, then last
+  write wins per key (partial `SortAggregate` before the key shuffle, so a hot key costs one
+  row per map task), then a partition overwrite of that batch in the change log. The
+  emulated broker writes one log file per topic partition, as a broker partition is one
+  log. Its JSON is built after the shuffle, by each partition's task.
+- The change log grows with every batch; `compact` rewrites it as the latest row per key
+  into a new folder, and later runs continue there.
+- Single pages deeper than 100,000 rows switch from the top-k buffer to the numbered
+  result, so no task holds offset + limit rows.
+- No plan contains a Python evaluation node, a cartesian product or a nested-loop join
+  (`tests/test_endpoints_entry.py` asserts this for every registered query).
 """
 
 
