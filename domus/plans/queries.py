@@ -519,8 +519,7 @@ def marker_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     for stage, committed in (("first", ev.filter(F.col("ts") < timefn.ts_literal(MARKER_SPLIT))), ("final", ev)):
         advance_marker(committed, path, "ts")
         # persisted state, re-read after each commit: later stages never change it
-        stages.append(spark.read.parquet(path).agg(F.max("pulled_at").alias("pulled_at"))
-                      .select(F.lit(stage).alias("stage"), "pulled_at").checkpoint())
+        stages.append(read_marker(spark, path).select(F.lit(stage).alias("stage"), "pulled_at").checkpoint())
     m = stages[0].unionByName(stages[1])
     m = m.select("stage", timefn.format_marker("pulled_at").alias("marker"))
     m = m.withColumn("pulled_at", timefn.parse_marker("marker").cast("timestamp_ntz"))
