@@ -14,14 +14,13 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from domus.plans.queries import QUERIES  # noqa: E402
-from domus.session import get_session  # noqa: E402
+from domus.session import checkpoint_root, get_session  # noqa: E402
 
 # Headline order: decode, explode, upsert, search, then the rest of the registered queries.
 FIRST = [
@@ -42,8 +41,7 @@ def main() -> None:
     }
     spark = get_session(f"local[{cpus}]", app="domus-bench", **conf)
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="domus-bench-"))
+    checkpoint_root(spark)  # the session's spark.checkpoint.dir, or a private folder when unset
     # One-time start-up costs, not timed: JVM/codegen warm-up, and the first streaming query
     # (which starts the Python listener callback server).
     for name in ("listing_decode", "stream_events"):

@@ -41,14 +41,17 @@ def get_session(master: str | None = None, app: str = "domus", **conf: str) -> S
     return spark
 
 
+# Where a session without ``spark.checkpoint.dir`` (tests, a local run) keeps its fallback
+# folder. ``spark.checkpoint.dir`` itself is a core setting Spark will not change at runtime.
+FALLBACK_ROOT_KEY = "spark.domus.fallbackCheckpointRoot"
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a private temp folder only when unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(FALLBACK_ROOT_KEY, None)
     if not root:
         root = tempfile.mkdtemp(prefix="domus-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.conf.set(FALLBACK_ROOT_KEY, root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

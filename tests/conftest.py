@@ -1,20 +1,18 @@
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from domus.session import get_session  # noqa: E402
+from domus.session import checkpoint_root, get_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     s = get_session("local[4]", app="domus-tests", **{"spark.sql.shuffle.partitions": "8"})
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="domus-tests-"))
+    checkpoint_root(s)  # the session's spark.checkpoint.dir, or a private folder when unset
     yield s
     s.stop()
 
