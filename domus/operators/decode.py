@@ -138,7 +138,7 @@ def split_quarantine(published: DataFrame, key: str = S.PUBLISHED_KEY) -> tuple[
     return good, bad
 
 
-def listing_element(published: DataFrame | None = None) -> Column:
+def listing_element() -> Column:
     """Published row -> listing element JSON (the inverse of :func:`publish_columns`).
 
     Field names and nesting are the decoded listing's (camelCase, ``parkingSpace`` and
