@@ -6,6 +6,7 @@
   land-search     every page of a search, landed one envelope per page under a pull date
   pull-decision   recency bucket from the last-pull marker
   compact         keyed table's change log -> latest rows per key, in a new folder
+  snapshot        keyed table's current rows as a plain table clustered by location
 
 Broker secrets go in ``--kafka-option key=value`` and are never printed.
 """
@@ -76,6 +77,7 @@ def build_parser() -> argparse.ArgumentParser:
     se.add_argument("--max-items", type=int, default=50)
     se.add_argument("--num-page", type=int, default=1)
     se.add_argument("--output", help="write the page as parquet here (default: print JSON lines)")
+    se.add_argument("--snapshot", action="store_true", help="--table is a snapshot (see snapshot)")
 
     ls = sub.add_parser("land-search")
     ls.add_argument("--table", required=True)
@@ -90,6 +92,10 @@ def build_parser() -> argparse.ArgumentParser:
     ls.add_argument("--distance", type=float)
     ls.add_argument("--max-items", type=int, default=50)
 
+    sn = sub.add_parser("snapshot")
+    sn.add_argument("--table", required=True)
+    sn.add_argument("--out", required=True, help="new folder (must not exist)")
+
     cp = sub.add_parser("compact")
     cp.add_argument("--table", required=True)
     cp.add_argument("--out", required=True, help="new folder (must not exist)")
@@ -123,7 +129,7 @@ def main(argv: list[str] | None = None) -> int:
                             property_types=tuple(a.property_type) if a.property_type else None,
                             min_price=a.min_price, max_price=a.max_price, center=center,
                             distance_m=a.distance, max_items=a.max_items, num_page=a.num_page)
-        page = jobs.search_job(spark, a.table, req)
+        page = jobs.search_job(spark, a.table, req, snapshot=a.snapshot)
         if a.output:
             page.write.mode("overwrite").parquet(a.output)
         else:
@@ -137,6 +143,8 @@ def main(argv: list[str] | None = None) -> int:
                             distance_m=a.distance, max_items=a.max_items)
         jobs.land_search_job(spark, a.table, req, a.landing, dt.date.fromisoformat(a.pull_date))
         print(json.dumps({"landing": a.landing, "page_date": a.pull_date}))
+    elif a.job == "snapshot":
+        print(json.dumps({"table": jobs.snapshot_job(spark, a.table, a.out)}))
     elif a.job == "compact":
         print(json.dumps({"table": jobs.compact_job(spark, a.table, a.out)}))
     elif a.job == "pull-decision":

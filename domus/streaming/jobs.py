@@ -11,6 +11,7 @@
   pull date (the pull-and-land step, without the HTTP fetch).
 * :func:`pull_decision_job`: read the marker, decide the recency bucket, optionally advance it.
 * :func:`compact_job`: the keyed table's change log rewritten as its latest rows, in a new folder.
+* :func:`snapshot_job`: the current rows as a plain table clustered by location, for searches.
 """
 
 from __future__ import annotations
@@ -83,6 +84,18 @@ def published_table(spark: SparkSession, table: str) -> DataFrame:
     return _table_log(spark, table).latest(spark).select(*cols)
 
 
+def snapshot_job(spark: SparkSession, table: str, out: str, partitions: int | None = None) -> str:
+    """The keyed table's current rows as a plain table at ``out`` (new folder), clustered by
+    location: range-partitioned on latitude and sorted by (latitude, longitude) inside each
+    file, so every row group covers a narrow band and its min/max statistics let a radius
+    search skip the rest. Searching it needs no aggregation and no shuffle."""
+    n = int(partitions or spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = published_table(spark, table)
+    (rows.repartitionByRange(n, "latitude").sortWithinPartitions("latitude", "longitude")
+     .write.mode("errorifexists").parquet(out))
+    return out
+
+
 def compact_job(spark: SparkSession, table: str, out: str) -> str:
     """Rewrite the keyed table's change log as its latest row per key into the new folder
     ``out`` (which must not exist); readers and the next publish run then use ``out``.
@@ -114,13 +127,16 @@ def replay_pages_job(spark: SparkSession, landing: str, manifest: str, checkpoin
 
 
 def search_job(spark: SparkSession, table: str, req: search.SearchRequest,
-               published_at: str | None = None) -> DataFrame:
+               published_at: str | None = None, snapshot: bool = False) -> DataFrame:
     """One page of results over the published table (distance added when a centre is set).
 
     The published projection has no publication time; pass ``published_at`` to name a
-    column that carries one, else results are ordered by key only.
+    column that carries one, else results are ordered by key only. With ``snapshot`` the
+    table is one written by :func:`snapshot_job` and is read as is: the predicates reach
+    the scan. Otherwise the change log is reduced to its latest rows first (predicates can
+    only apply after that, or an older version could match).
     """
-    df = published_table(spark, table)
+    df = spark.read.parquet(table) if snapshot else published_table(spark, table)
     cols = search.ListingColumns(published_at=published_at or S.PUBLISHED_KEY)
     if published_at is None:
         req = search.SearchRequest(**{**req.__dict__, "order_by": S.PUBLISHED_KEY, "since": None})

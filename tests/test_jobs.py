@@ -125,3 +125,25 @@ def test_land_search_pages_round_trip(spark, tmp):
     jobs.publish_job(spark, jobs.PublishPaths(tmp + "/table3", tmp + "/ck4"), files=tmp + "/messages3")
     latest = {r["propertycode"]: r["price"] for r in jobs.published_table(spark, tmp + "/table3").collect()}
     assert len(latest) == 120 and latest["0005"] == 9999.0 and latest["0006"] == 506.0
+
+
+def test_snapshot_search_matches_and_reaches_the_scan(spark, tmp, capsys):
+    """A snapshot of the keyed table answers the same search with no aggregation or shuffle,
+    and the radius box and price range are pushed into the Parquet scan."""
+    os.makedirs(tmp + "/messages")
+    rows = [_listing(f"{i:03d}", 500.0 + 7 * i, lat=38.30 + 0.001 * i, lon=-0.50 + 0.0008 * i)
+            for i in range(200)]
+    with open(tmp + "/messages/m.txt", "w") as f:
+        f.write("\n".join(json.dumps(r) for r in rows) + "\n")
+    jobs.publish_job(spark, jobs.PublishPaths(tmp + "/table", tmp + "/ck"), files=tmp + "/messages")
+    assert cli.main(["snapshot", "--table", tmp + "/table", "--out", tmp + "/snap"]) == 0
+    capsys.readouterr()
+    req = SearchRequest(min_price=600.0, max_price=1500.0, center=(38.371622, -0.424756), distance_m=4500,
+                        max_items=50)
+    from_log = jobs.search_job(spark, tmp + "/table", req).collect()
+    snap = jobs.search_job(spark, tmp + "/snap", req, snapshot=True)
+    assert snap.collect() == from_log and len(from_log) > 0
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    plan = jobs.search_job(spark, tmp + "/snap", req, snapshot=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
+    assert "GreaterThanOrEqual(latitude" in plan and "LessThanOrEqual(price" in plan
