@@ -21,7 +21,7 @@ from domus.plans import derive
 from domus.session import shared_dir
 from domus.sinks.changelog import ChangeLog, new_run_id
 from domus.sinks.tables import (advance_marker, append_manifest, create_table, insert_into,
-                                read_marker, write_landing, write_messages)
+                                read_marker, write_landing, write_messages, write_snapshot)
 from domus.sources.endpoints import MESSAGE_ORDER, admission_bytes, arrived, read_message_files
 from domus.sources.pages import read_pages, stream_pages
 from domus.sources.tables import read_external, read_state, read_table, spread
@@ -385,6 +385,18 @@ def full_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page.select("o_orderkey", "propertycode", "published_at", "price", "distance")
 
 
+# The same search over listings stored as a location-clustered snapshot: the radius box,
+# price range, equality, IN and recency predicates reach the Parquet scan.
+@register("snapshot_search", ORACLE_SQL["full_search"])
+def snapshot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark, 'snapshot-search')}/listings"
+    write_snapshot(_listings(spark, sf_dir), path)
+    cols = search.ListingColumns(key="o_orderkey")
+    page = search.search(spark.read.parquet(path), FULL_REQ, cols)
+    page = search.with_distance(page, (LAT0, LON0))
+    return page.select("o_orderkey", "propertycode", "published_at", "price", "distance")
+
+
 # ---------------------------------------------------------------------------------------
 # Whole elapsed days and the recency bucket, with a clock in the middle of the
 # data (negative and small deltas) and one after it (month and beyond).

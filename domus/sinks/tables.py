@@ -108,3 +108,12 @@ def write_messages(df: DataFrame, ep: KafkaEndpoint | None = None, path: str | N
         out.select("value").write.mode("append").text(path)
     else:
         raise ValueError("need a broker endpoint or a path")
+
+
+def write_snapshot(rows: DataFrame, path: str, partitions: int | None = None,
+                   lat: str = "latitude", lon: str = "longitude") -> None:
+    """Listings as a plain table clustered by location (new folder): range-partitioned on
+    latitude and sorted by (latitude, longitude) inside each file, so every row group covers
+    a narrow band and a radius search skips the others by their min/max statistics."""
+    n = int(partitions or rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows.repartitionByRange(n, lat).sortWithinPartitions(lat, lon).write.mode("errorifexists").parquet(path)

@@ -27,7 +27,8 @@ from domus.operators import incremental, search
 from domus.operators import pages as pages_op
 from domus.sinks.changelog import ChangeLog, new_run_id
 from domus.operators.decode import listing_element
-from domus.sinks.tables import append_manifest, write_landing, write_marker, write_messages
+from domus.sinks.tables import (append_manifest, write_landing, write_marker, write_messages,
+                                write_snapshot)
 from domus.sources.endpoints import (MESSAGE_ORDER, KafkaEndpoint, admission_bytes, read_kafka_stream,
                                      read_message_files)
 from domus.sources.pages import stream_pages
@@ -89,10 +90,7 @@ def snapshot_job(spark: SparkSession, table: str, out: str, partitions: int | No
     location: range-partitioned on latitude and sorted by (latitude, longitude) inside each
     file, so every row group covers a narrow band and its min/max statistics let a radius
     search skip the rest. Searching it needs no aggregation and no shuffle."""
-    n = int(partitions or spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = published_table(spark, table)
-    (rows.repartitionByRange(n, "latitude").sortWithinPartitions("latitude", "longitude")
-     .write.mode("errorifexists").parquet(out))
+    write_snapshot(published_table(spark, table), out, partitions)
     return out
 
 
