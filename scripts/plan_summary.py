@@ -82,9 +82,10 @@ NOTES = """
 - The single `BroadcastExchange` in the page queries carries one row per page date, which is
   bounded by the calendar, not by the data. The anti join's broadcast is AQE's choice from
   the measured manifest size; beyond the threshold it is a shuffled join.
-- Search predicates on stored columns reach the Parquet scan. `radius_search` shows none
-  because its coordinates are derived from the key in this test view; on a published table
-  the box predicate is pushed (see `tests/test_functions.py::test_box_predicate_reaches_scan`).
+- Search predicates on stored columns reach the Parquet scan. `radius_search` and
+  `full_search` show none for the coordinates, which they derive from the key on the fly.
+  `snapshot_search` runs the same search over the listings stored as a location-clustered
+  table, and every predicate, the latitude/longitude box included, is in its scan.
 - `TakeOrderedAndProject` is the top-(offset+limit) paging of one page. `result_pages` and
   `search_landing` number every page of the whole result. The range shuffle and the
   position numbering run once, in the checkpoint job that freezes them (not in the plan
