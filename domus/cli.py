@@ -55,6 +55,8 @@ def build_parser() -> argparse.ArgumentParser:
     pub.add_argument("--inactivity-timeout", type=float)
     pub.add_argument("--poll-interval", type=float, default=10.0)
     pub.add_argument("--max-files-per-trigger", type=int)
+    pub.add_argument("--lenient-maps", action="store_true",
+                     help="keep parkingspace/typology when another key of the map is malformed")
 
     rp = sub.add_parser("replay-pages")
     broker(rp)
@@ -115,7 +117,7 @@ def main(argv: list[str] | None = None) -> int:
             spark, jobs.PublishPaths(a.table, a.checkpoint, a.quarantine), kafka=_kafka(a),
             files=a.messages, available_now=not a.continuous, processing_time=a.trigger,
             inactivity_timeout=a.inactivity_timeout, poll_interval=a.poll_interval,
-            max_files_per_trigger=a.max_files_per_trigger)
+            max_files_per_trigger=a.max_files_per_trigger, lenient_maps=a.lenient_maps)
         print(json.dumps({"query_id": run.query_id, "batches": run.batches,
                           "stopped_for_inactivity": run.stopped_for_inactivity}))
     elif a.job == "replay-pages":

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from domus import schemas as S
 
@@ -92,22 +92,47 @@ def publish(decoded: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return decoded.select(*(keep or []), *publish_columns())
 
 
+# The map fields the published projection looks into, and the one key it reads from each.
+LOOKED_UP_KEYS = {"parkingSpace": ("hasParkingSpace", BooleanType()), "detailedType": ("typology", StringType())}
+
+
+def lenient_lookups(schema: StructType) -> StructType:
+    """The schema with each looked-up map declared as a struct of only the key that is read.
+
+    A map decodes all-or-nothing: one value of the wrong type under any key nulls the whole
+    map, and so the lookup. A struct ignores keys it does not declare, so the lookup
+    survives a bad sibling. Opt-in: the default keeps the map semantics.
+    """
+    fields = []
+    for f in schema.fields:
+        if f.name in LOOKED_UP_KEYS:
+            k, t = LOOKED_UP_KEYS[f.name]
+            f = StructField(f.name, StructType([StructField(k, t, True)]), True)
+        fields.append(f)
+    return StructType(fields)
+
+
 def decode_and_publish(
     messages: DataFrame,
     value_col: str = "value",
     keep: list[str] | None = None,
     prune_schema: bool = True,
     keep_corrupt: bool = False,
+    lenient_maps: bool = False,
 ) -> DataFrame:
     """Message stream/batch -> published rows. The whole upstream transform in one plan.
 
     With ``prune_schema`` the JSON parser only materialises the 17 fields that are
     published. Results are identical, except which rows ``_corrupt_record`` flags: a bad
     value in an unread field is not seen. The quarantine path therefore keeps the full schema.
+    ``lenient_maps`` (off by default) reads ``parkingspace`` / ``typology`` even when another
+    key of the same map holds a value of the wrong type (see :func:`lenient_lookups`).
     """
     schema = S.struct(S.LISTING_DDL)
     if prune_schema and not keep_corrupt:
         schema = S.subset(schema, PUBLISH_SOURCE_FIELDS)
+    if lenient_maps:
+        schema = lenient_lookups(schema)
     decoded = decode_messages(messages, schema, value_col, keep, keep_corrupt)
     extra = [S.CORRUPT_COLUMN] if keep_corrupt else []
     return decoded.select(*(keep or []), *publish_columns(), *extra)

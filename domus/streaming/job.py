@@ -110,9 +110,12 @@ def publish_batch_fn(changelog: ChangeLog, quarantine_path: str | None = None,
 
 
 def publish_stream(messages: DataFrame, changelog: ChangeLog, order_cols: list[str],
-                   quarantine_path: str | None = None) -> tuple[DataFrame, BatchFn]:
+                   quarantine_path: str | None = None,
+                   lenient_maps: bool = False) -> tuple[DataFrame, BatchFn]:
     """The streaming transform plus its batch sink. ``messages`` has ``value`` and the
-    ``order_cols`` that order versions of a key (e.g. file name + line, or offset)."""
+    ``order_cols`` that order versions of a key (e.g. file name + line, or offset).
+    ``lenient_maps``: see :func:`domus.operators.decode.lenient_lookups` (off by default)."""
     keep_corrupt = quarantine_path is not None
-    published = decode_and_publish(messages, keep=order_cols, keep_corrupt=keep_corrupt)
+    published = decode_and_publish(messages, keep=order_cols, keep_corrupt=keep_corrupt,
+                                   lenient_maps=lenient_maps)
     return published, publish_batch_fn(changelog, quarantine_path, keep_corrupt)

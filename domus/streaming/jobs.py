@@ -64,10 +64,11 @@ def message_stream(spark: SparkSession, kafka: KafkaEndpoint | None = None,
 def publish_job(spark: SparkSession, paths: PublishPaths, kafka: KafkaEndpoint | None = None,
                 files: str | None = None, available_now: bool = True,
                 processing_time: str | None = None, inactivity_timeout: float | None = None,
-                poll_interval: float = 10.0, max_files_per_trigger: int | None = None) -> StreamRun:
+                poll_interval: float = 10.0, max_files_per_trigger: int | None = None,
+                lenient_maps: bool = False) -> StreamRun:
     stream, order = message_stream(spark, kafka, files, max_files_per_trigger)
     log = ChangeLog(paths.table, key=S.PUBLISHED_KEY, order=order)
-    published, on_batch = publish_stream(stream, log, order, paths.quarantine)
+    published, on_batch = publish_stream(stream, log, order, paths.quarantine, lenient_maps=lenient_maps)
     return run_stream(spark, published, on_batch, paths.checkpoint, available_now=available_now,
                       processing_time=processing_time, query_name=None,
                       inactivity_timeout=inactivity_timeout, poll_interval=poll_interval)

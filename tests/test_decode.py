@@ -161,3 +161,19 @@ def test_decode_plan_is_single_projection_without_python(spark):
     df = spark.createDataFrame([(listing(),)], "value string").select(F.col("value"))
     plan = decode.decode_and_publish(df)._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_lenient_maps_keep_a_lookup_beside_a_bad_sibling(spark):
+    msgs = [json.dumps({"propertyCode": "a", "parkingSpace": {"hasParkingSpace": True, "other": 50.0},
+                        "detailedType": {"typology": "flat", "subTypology": "studio"}}),
+            json.dumps({"propertyCode": "b", "parkingSpace": {"hasParkingSpace": "yes"}}),
+            json.dumps({"propertyCode": "c"})]
+    df = spark.createDataFrame([(m,) for m in msgs], "value string")
+    strict = {r["propertycode"]: (r["parkingspace"], r["typology"]) for r in decode.decode_and_publish(df).collect()}
+    lenient = {r["propertycode"]: (r["parkingspace"], r["typology"])
+               for r in decode.decode_and_publish(df, lenient_maps=True).collect()}
+    assert strict == {"a": (None, "flat"), "b": (None, None), "c": (None, None)}  # whole map nulled
+    assert lenient == {"a": (True, "flat"), "b": (None, None), "c": (None, None)}  # only the bad value
+    # same on the quarantine path (full schema + corrupt column)
+    q = decode.decode_and_publish(df, keep_corrupt=True, lenient_maps=True)
+    assert {r["propertycode"]: r["parkingspace"] for r in q.collect()} == {"a": True, "b": None, "c": None}
