@@ -4,6 +4,7 @@
   replay-pages    landed pages -> messages (+ manifest)
   search          one page of search results over the published table
   land-search     every page of a search, landed one envelope per page under a pull date
+  pull            marker gate, then land-search under today's date, then advance the marker
   pull-decision   recency bucket from the last-pull marker
   compact         keyed table's change log -> latest rows per key, in a new folder
   snapshot        keyed table's current rows as a plain table clustered by location
@@ -81,18 +82,26 @@ def build_parser() -> argparse.ArgumentParser:
     se.add_argument("--output", help="write the page as parquet here (default: print JSON lines)")
     se.add_argument("--snapshot", action="store_true", help="--table is a snapshot (see snapshot)")
 
+    def search_filters(sp):
+        sp.add_argument("--table", required=True)
+        sp.add_argument("--landing", required=True)
+        sp.add_argument("--country")
+        sp.add_argument("--operation")
+        sp.add_argument("--property-type", action="append")
+        sp.add_argument("--min-price", type=float)
+        sp.add_argument("--max-price", type=float)
+        sp.add_argument("--center", help="lat,lon")
+        sp.add_argument("--distance", type=float)
+        sp.add_argument("--max-items", type=int, default=50)
+
     ls = sub.add_parser("land-search")
-    ls.add_argument("--table", required=True)
-    ls.add_argument("--landing", required=True)
+    search_filters(ls)
     ls.add_argument("--pull-date", required=True, help="yyyy-MM-dd")
-    ls.add_argument("--country")
-    ls.add_argument("--operation")
-    ls.add_argument("--property-type", action="append")
-    ls.add_argument("--min-price", type=float)
-    ls.add_argument("--max-price", type=float)
-    ls.add_argument("--center", help="lat,lon")
-    ls.add_argument("--distance", type=float)
-    ls.add_argument("--max-items", type=int, default=50)
+
+    pl = sub.add_parser("pull")
+    search_filters(pl)
+    pl.add_argument("--marker", required=True)
+    pl.add_argument("--now", help="yyyy-MM-dd HH:mm:ss (default: now)")
 
     sn = sub.add_parser("snapshot")
     sn.add_argument("--table", required=True)
@@ -137,14 +146,18 @@ def main(argv: list[str] | None = None) -> int:
         else:
             for line in page.toJSON().collect():  # one bounded page (max_items rows)
                 print(line)
-    elif a.job == "land-search":
+    elif a.job in ("land-search", "pull"):
         center = tuple(float(x) for x in a.center.split(",")) if a.center else None
         req = SearchRequest(country=a.country, operation=a.operation,
                             property_types=tuple(a.property_type) if a.property_type else None,
                             min_price=a.min_price, max_price=a.max_price, center=center,
                             distance_m=a.distance, max_items=a.max_items)
-        jobs.land_search_job(spark, a.table, req, a.landing, dt.date.fromisoformat(a.pull_date))
-        print(json.dumps({"landing": a.landing, "page_date": a.pull_date}))
+        if a.job == "land-search":
+            jobs.land_search_job(spark, a.table, req, a.landing, dt.date.fromisoformat(a.pull_date))
+            print(json.dumps({"landing": a.landing, "page_date": a.pull_date}))
+        else:
+            now = dt.datetime.strptime(a.now, "%Y-%m-%d %H:%M:%S") if a.now else None
+            print(json.dumps(jobs.pull_job(spark, a.table, a.landing, a.marker, req, now)))
     elif a.job == "snapshot":
         print(json.dumps({"table": jobs.snapshot_job(spark, a.table, a.out)}))
     elif a.job == "compact":

@@ -10,6 +10,7 @@
 * :func:`land_search_job`: every page of a search, landed one envelope per page under the
   pull date (the pull-and-land step, without the HTTP fetch).
 * :func:`pull_decision_job`: read the marker, decide the recency bucket, optionally advance it.
+* :func:`pull_job`: marker -> bucket gate -> every page landed -> marker advanced after the commit.
 * :func:`compact_job`: the keyed table's change log rewritten as its latest rows, in a new folder.
 * :func:`snapshot_job`: the current rows as a plain table clustered by location, for searches.
 """
@@ -161,6 +162,23 @@ def land_search_job(spark: SparkSession, table: str, req: search.SearchRequest,
     write_landing(pages_op.page_envelopes(paged, F.lit(pull_date), max_items=req.max_items), landing)
 
 
+def pull_job(spark: SparkSession, table: str, landing: str, marker: str, req: search.SearchRequest,
+             now: dt.datetime | None = None, published_at: str | None = None) -> dict:
+    """The pull step: decide from the marker whether and how far back to pull; if so, land
+    every page of the search (recency window from the bucket when the table has a
+    publication time) under today's date, then advance the marker, only after the landing
+    has committed. NoPull and no-bucket skip the pull and leave the marker as it is."""
+    now = now or dt.datetime.now()
+    bucket = incremental.pull_decision(spark, read_state(spark, marker, S.MARKER_DDL), now)
+    if not incremental.should_pull(bucket):
+        return {"bucket": bucket, "pulled": False}
+    since = None if bucket == "AllTime" else bucket
+    req = search.SearchRequest(**{**req.__dict__, "since": since, "as_of": now})
+    land_search_job(spark, table, req, landing, now.date(), published_at)
+    write_marker(spark, marker, now)
+    return {"bucket": bucket, "pulled": True}
+
+
 def pull_decision_job(spark: SparkSession, marker: str, now: dt.datetime | None = None,
                       advance: bool = False) -> str | None:
     """D8 + B7: bucket for the next pull; advance the marker only when asked (after a commit)."""

@@ -147,3 +147,25 @@ def test_snapshot_search_matches_and_reaches_the_scan(spark, tmp, capsys):
     plan = jobs.search_job(spark, tmp + "/snap", req, snapshot=True)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Aggregate" not in plan
     assert "GreaterThanOrEqual(latitude" in plan and "LessThanOrEqual(price" in plan
+
+
+def test_pull_job_gates_on_the_marker_and_advances_after_landing(spark, tmp, capsys):
+    os.makedirs(tmp + "/messages")
+    with open(tmp + "/messages/m.txt", "w") as f:
+        f.write("\n".join(json.dumps(_listing(f"{i:02d}", 600.0 + i)) for i in range(60)) + "\n")
+    jobs.publish_job(spark, jobs.PublishPaths(tmp + "/table", tmp + "/ck"), files=tmp + "/messages")
+    from domus.sources.pages import read_pages
+
+    def pull(now):
+        cli.main(["pull", "--table", tmp + "/table", "--landing", tmp + "/landing", "--marker", tmp + "/marker",
+                  "--now", now, "--max-price", "1000"])
+        return json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+
+    assert pull("2024-05-20 08:00:00") == {"bucket": "AllTime", "pulled": True}
+    assert read_pages(spark, tmp + "/landing", layout="lines").count() == 2  # 60 hits, 50 per page
+    assert pull("2024-05-20 20:00:00") == {"bucket": "NoPull", "pulled": False}
+    assert pull("2024-05-23 09:00:00") == {"bucket": "W", "pulled": True}
+    dates = {r["page_date"].isoformat() for r in read_pages(spark, tmp + "/landing", layout="lines").collect()}
+    assert dates == {"2024-05-20", "2024-05-23"}
+    assert pull("2024-07-01 09:00:00") == {"bucket": None, "pulled": False}  # beyond 30 days: skip
+    assert pull("2024-07-01 09:00:00") == {"bucket": None, "pulled": False}  # marker did not move
