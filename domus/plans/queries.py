@@ -390,7 +390,7 @@ def full_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("snapshot_search", ORACLE_SQL["full_search"])
 def snapshot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark, 'snapshot-search')}/listings"
-    write_snapshot(_listings(spark, sf_dir), path)
+    write_snapshot(_listings(spark, sf_dir), path, key="o_orderkey")
     cols = search.ListingColumns(key="o_orderkey")
     page = search.search(spark.read.parquet(path), FULL_REQ, cols)
     page = search.with_distance(page, (LAT0, LON0))

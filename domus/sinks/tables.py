@@ -111,9 +111,11 @@ def write_messages(df: DataFrame, ep: KafkaEndpoint | None = None, path: str | N
 
 
 def write_snapshot(rows: DataFrame, path: str, partitions: int | None = None,
-                   lat: str = "latitude", lon: str = "longitude") -> None:
-    """Listings as a plain table clustered by location (new folder): range-partitioned on
-    latitude and sorted by (latitude, longitude) inside each file, so every row group covers
-    a narrow band and a radius search skips the others by their min/max statistics."""
+                   lat: str = "latitude", lon: str = "longitude", key: str = S.PUBLISHED_KEY) -> None:
+    """Listings as a plain table clustered by location (new folder): range-partitioned and
+    sorted by (latitude, longitude, key), so every file and row group covers a narrow band
+    and a radius search skips the others by their min/max statistics. The unique key in the
+    range key lets one point holding a third of all listings still split over many tasks."""
     n = int(partitions or rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows.repartitionByRange(n, lat).sortWithinPartitions(lat, lon).write.mode("errorifexists").parquet(path)
+    (rows.repartitionByRange(n, lat, lon, key).sortWithinPartitions(lat, lon, key)
+     .write.mode("errorifexists").parquet(path))

@@ -89,9 +89,9 @@ def published_table(spark: SparkSession, table: str) -> DataFrame:
 
 def snapshot_job(spark: SparkSession, table: str, out: str, partitions: int | None = None) -> str:
     """The keyed table's current rows as a plain table at ``out`` (new folder), clustered by
-    location: range-partitioned on latitude and sorted by (latitude, longitude) inside each
-    file, so every row group covers a narrow band and its min/max statistics let a radius
-    search skip the rest. Searching it needs no aggregation and no shuffle."""
+    location (see :func:`domus.sinks.tables.write_snapshot`): every row group covers a narrow
+    band and its min/max statistics let a radius search skip the rest. Searching it needs no
+    aggregation and no shuffle."""
     write_snapshot(published_table(spark, table), out, partitions)
     return out
 

@@ -169,3 +169,19 @@ def test_pull_job_gates_on_the_marker_and_advances_after_landing(spark, tmp, cap
     assert dates == {"2024-05-20", "2024-05-23"}
     assert pull("2024-07-01 09:00:00") == {"bucket": None, "pulled": False}  # beyond 30 days: skip
     assert pull("2024-07-01 09:00:00") == {"bucket": None, "pulled": False}  # marker did not move
+
+
+def test_snapshot_splits_a_hot_location(spark, tmp):
+    """A third of all listings at one point: the snapshot still spreads them over files."""
+    from pyspark.sql import functions as F
+
+    from domus.sinks.tables import write_snapshot
+    n = 3000
+    rows = spark.range(0, n).select(
+        F.col("id").cast("string").alias("propertycode"),
+        F.when(F.col("id") % 3 == 0, F.lit(38.37)).otherwise(38.0 + F.col("id") / 10000).alias("latitude"),
+        F.when(F.col("id") % 3 == 0, F.lit(-0.42)).otherwise(-0.5 + F.col("id") / 10000).alias("longitude"))
+    write_snapshot(rows, tmp + "/snap", partitions=8)
+    snap = spark.read.parquet(tmp + "/snap")
+    per_file = [r[1] for r in snap.groupBy(F.col("_metadata.file_name")).count().collect()]
+    assert snap.count() == n and len(per_file) >= 6 and max(per_file) < n / 3
