@@ -120,3 +120,22 @@ def test_elapsed_days_ignores_session_zone_and_dst(spark):
         assert lit_days == 1
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_elapsed_days_and_bucket_match_python_on_random_pairs(spark):
+    # The upstream semantics are Python's: (now - last).days, then the bucket chain. Random
+    # pairs around every bucket edge, both directions, microsecond offsets; one Spark job.
+    rng = random.Random(11)
+    base = dt.datetime(2024, 3, 1)
+    pairs = []
+    for _ in range(3000):
+        then = base + dt.timedelta(seconds=rng.randint(0, 86400 * 60), microseconds=rng.randint(0, 999999))
+        edge = rng.choice([-3, -2, -1, 0, 1, 2, 3, 7, 8, 30, 31, 45])
+        now = then + dt.timedelta(days=edge, seconds=rng.randint(-3600, 3600), microseconds=rng.randint(-999, 999))
+        pairs.append((then, now))
+    df = spark.createDataFrame([(t.isoformat(sep=" "), n.isoformat(sep=" ")) for t, n in pairs], "then string, now string")
+    days = timefn.elapsed_days(F.col("now").cast("timestamp_ntz"), F.col("then").cast("timestamp_ntz"))
+    got = df.select(days.alias("d"), timefn.since_bucket(days).alias("b")).collect()
+    want = [((n - t) // dt.timedelta(days=1)) for t, n in pairs]
+    assert [r["d"] for r in got] == want
+    assert [r["b"] for r in got] == [timefn.since_bucket_py(d) for d in want]
