@@ -4,6 +4,8 @@ import datetime as dt
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from domus.operators import incremental
@@ -107,3 +109,17 @@ def test_landing_splits_a_hot_date_and_keeps_every_page(spark, tmp):
     pages = read_pages(spark, tmp + "/landing", layout="lines")
     assert pages.count() == 401
     assert P.page_set_status(pages).filter("complete").count() == 2
+
+
+@pytest.mark.parametrize("n, pages, last", [(100, 2, 50), (101, 3, 1), (7, 1, 7)])
+def test_page_envelopes_total_pages_and_last_page(spark, n, pages, last):
+    from domus.operators import search
+    rows = spark.range(0, n, numPartitions=3).select(
+        "id", F.to_json(F.struct(F.col("id").alias("k"))).alias("element"))
+    paged = search.paginate(rows, "id", "id", descending=False, max_items=50, with_total=True)
+    env = P.page_envelopes(paged, F.lit("2024-05-21").cast("date"), max_items=50)
+    got = {r["page_no"]: json.loads(r["value"]) for r in env.collect()}
+    assert sorted(got) == list(range(1, pages + 1))
+    assert all(e["totalPages"] == pages and e["total"] == n and e["actualPage"] == p for p, e in got.items())
+    assert len(got[pages]["elementList"]) == last
+    assert [json.loads(x)["k"] for x in got[1]["elementList"]] == list(range(min(n, 50)))
