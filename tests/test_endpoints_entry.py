@@ -113,3 +113,20 @@ def test_create_table_and_append(spark, tmp):
     spark.catalog.refreshTable("published_listings_t")
     assert spark.table("published_listings_t").count() == 2
     spark.sql("DROP TABLE published_listings_t")
+
+
+TIME_QUERIES = ["since_bucket", "pull_gate", "marker_text", "marker_cycle", "recency_window", "data_arrived",
+                "file_name_parse", "page_explode", "envelope_complete", "newest_page", "full_search"]
+
+
+@pytest.mark.parametrize("name", TIME_QUERIES)
+def test_time_queries_ignore_the_session_zone(spark, duck, name):
+    # The driver's session may run in any zone: results must not move with it.
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = E.queries()[name](spark, SMOKE).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    want = duck.execute(E.oracle_sql()[name]).df()
+    assert _rows(got) == _rows(want)
