@@ -177,3 +177,72 @@ def test_lenient_maps_keep_a_lookup_beside_a_bad_sibling(spark):
     # same on the quarantine path (full schema + corrupt column)
     q = decode.decode_and_publish(df, keep_corrupt=True, lenient_maps=True)
     assert {r["propertycode"]: r["parkingspace"] for r in q.collect()} == {"a": True, "b": None, "c": None}
+
+
+def test_decode_rules_on_random_messages(spark):
+    """SURVEY 1.4 as a property: per field, a right-typed value passes, an int widens to a
+    double, a number becomes text for a string field, a wrong type gives NULL for that field
+    only, a missing key gives NULL, and one bad value anywhere in a map nulls the map."""
+    import random
+
+    rng = random.Random(5)
+    msgs, want = [], []
+    for i in range(600):
+        m, w = {"propertyCode": f"k{i}"}, {"propertycode": f"k{i}"}
+        c = rng.randrange(4)  # price DOUBLE
+        if c == 0:
+            m["price"] = w["price"] = rng.randint(1, 5000) + 0.25
+        elif c == 1:
+            m["price"] = rng.randint(1, 5000)
+            w["price"] = float(m["price"])
+        elif c == 2:
+            m["price"], w["price"] = str(rng.randint(1, 9)), None
+        else:
+            w["price"] = None
+        c = rng.randrange(4)  # rooms BIGINT -> INT
+        if c == 0:
+            m["rooms"] = w["rooms"] = rng.randint(0, 9)
+        elif c == 1:
+            m["rooms"], w["rooms"] = rng.randint(0, 9) + 0.5, None
+        elif c == 2:
+            m["rooms"], w["rooms"] = str(rng.randint(0, 9)), None
+        else:
+            w["rooms"] = None
+        c = rng.randrange(3)  # address STRING
+        if c == 0:
+            m["address"] = w["address"] = f"street {i}"
+        elif c == 1:
+            m["address"] = rng.randint(1, 99999)
+            w["address"] = str(m["address"])
+        else:
+            w["address"] = None
+        c = rng.randrange(3)  # hasLift BOOLEAN
+        if c == 0:
+            m["hasLift"] = w["haslift"] = rng.random() < 0.5
+        elif c == 1:
+            m["hasLift"], w["haslift"] = "true", None
+        else:
+            w["haslift"] = None
+        c = rng.randrange(4)  # parkingSpace MAP<STRING,BOOLEAN> -> ['hasParkingSpace']
+        v = rng.random() < 0.5
+        if c == 0:
+            m["parkingSpace"], w["parkingspace"] = {"hasParkingSpace": v}, v
+        elif c == 1:
+            m["parkingSpace"], w["parkingspace"] = {"hasParkingSpace": v, "price": 50.0}, None
+        elif c == 2:
+            m["parkingSpace"], w["parkingspace"] = {"isIncluded": v}, None
+        else:
+            w["parkingspace"] = None
+        c = rng.randrange(3)  # detailedType MAP<STRING,STRING> -> ['typology']
+        if c == 0:
+            m["detailedType"], w["typology"] = {"typology": "flat", "subTypology": "studio"}, "flat"
+        elif c == 1:
+            m["detailedType"], w["typology"] = {"typology": 5}, "5"
+        else:
+            w["typology"] = None
+        msgs.append(json.dumps(m))
+        want.append(w)
+    df = spark.createDataFrame([(bytearray(x.encode()),) for x in msgs], "value binary")
+    cols = ["propertycode", "price", "rooms", "address", "haslift", "parkingspace", "typology"]
+    got = [r.asDict() for r in decode.decode_and_publish(df).select(*cols).collect()]
+    assert sorted(got, key=lambda r: r["propertycode"]) == sorted(want, key=lambda r: r["propertycode"])
