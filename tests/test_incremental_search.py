@@ -199,3 +199,47 @@ def test_paginate_total_and_empty(spark):
     assert out.agg(F.max("page_no")).first()[0] == 51
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Window" in plan and "rangepartitioning" not in plan  # reads the frozen ranges
+
+
+def test_exclude_processed_matches_set_difference_on_random_names(spark):
+    import random
+
+    rng = random.Random(9)
+    names = [f"response2024_05_{d:02d}_p_{p}.json" for d in range(1, 8) for p in range(1, 30)]
+    pages = [rng.choice(names) for _ in range(400)] + [None] * 5
+    manifest = [rng.choice(names) for _ in range(300)] + [None] * 3
+    got = sorted((r[0] or "") for r in incremental.exclude_processed(
+        spark.createDataFrame([(x,) for x in pages], "file_name string"),
+        spark.createDataFrame([(x,) for x in manifest], "file_name string")).collect())
+    done = {m for m in manifest if m is not None}
+    assert got == sorted((p or "") for p in pages if p is None or p not in done)
+
+
+def test_page_set_status_matches_python_on_random_page_sets(spark):
+    import random
+
+    from domus.operators.pages import page_set_status
+
+    rng = random.Random(4)
+    rows, want = [], {}
+    for d in range(1, 25):
+        date = dt.date(2024, 5, d)
+        total = rng.randint(1, 12)
+        pages = list(range(1, total + 1))
+        case = rng.randrange(4)
+        if case == 1 and total > 1:
+            pages.remove(rng.choice(pages))  # a page is missing
+        elif case == 2:
+            pages.append(rng.choice(pages))  # a page landed twice
+        elif case == 3:
+            pages.append(total + 1)  # a page beyond the reported total
+        for p in pages:
+            rows.append((date, p, total, rng.randint(0, 50)))
+        distinct = set(pages)
+        want[date] = (len(pages), len(distinct),
+                      len(distinct) == total and min(distinct) == 1 and max(distinct) == total)
+    df = spark.createDataFrame(rows, "page_date date, p long, t long, n int").select(
+        "page_date", F.struct(F.array_repeat(F.lit("{}"), F.col("n")).alias("elementList"),
+                              F.col("t").alias("totalPages"), F.col("p").alias("actualPage")).alias("envelope"))
+    got = {r["page_date"]: (r["pages"], r["distinct_pages"], r["complete"]) for r in page_set_status(df).collect()}
+    assert got == want
