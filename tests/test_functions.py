@@ -139,3 +139,24 @@ def test_elapsed_days_and_bucket_match_python_on_random_pairs(spark):
     want = [((n - t) // dt.timedelta(days=1)) for t, n in pairs]
     assert [r["d"] for r in got] == want
     assert [r["b"] for r in got] == [timefn.since_bucket_py(d) for d in want]
+
+
+def test_haversine_and_distance_text_match_python_on_random_points(spark):
+    rng = random.Random(21)
+    lat0, lon0 = geo.DEFAULT_CENTER
+    pts = [(lat0 + rng.uniform(-s, s), lon0 + rng.uniform(-s, s)) for s in (0.05, 1.0, 30.0) for _ in range(700)]
+
+    def hav(lat, lon):
+        p1, p2 = math.radians(lat0), math.radians(lat)
+        a = (math.sin((p2 - p1) / 2) ** 2
+             + math.cos(p1) * math.cos(p2) * math.sin((math.radians(lon) - math.radians(lon0)) / 2) ** 2)
+        return 2 * geo.EARTH_RADIUS_M * math.asin(math.sqrt(a))
+
+    df = spark.createDataFrame(pts, "latitude double, longitude double")
+    m = geo.haversine_m("latitude", "longitude", lat0, lon0)
+    got = df.select(m.alias("m"), geo.distance_text(m).alias("t")).collect()
+    for (lat, lon), r in zip(pts, got):
+        want = hav(lat, lon)
+        assert abs(r["m"] - want) <= 1e-6 * max(1.0, want)
+        if abs(want - round(want)) > 1e-6:  # away from a whole metre, the floored text is exact
+            assert r["t"] == str(math.floor(want))
