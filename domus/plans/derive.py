@@ -194,9 +194,11 @@ def topic_from_lineitem(lineitem: DataFrame, partitions: int = TOPIC_PARTITIONS)
     send order and the offset is the position in that log, unique and rising in send order
     within every key. Write it as is (one file per partition) to keep the offsets."""
     key = F.col("l_orderkey").cast("string")
-    # raw columns cross the shuffle; the JSON is built after it, by every partition's task
+    # Raw columns cross the shuffle; the JSON is built after it, by every partition's task.
+    # Range partitioning on the partition id gives each topic partition a task of its own
+    # (hashing 8 ids into 8 tasks collides) and never splits one partition's log.
     logs = (lineitem.withColumn("partition", F.pmod(F.xxhash64(key), F.lit(partitions)).cast("int"))
-            .repartition(partitions, "partition")
+            .repartitionByRange(partitions, "partition")
             .sortWithinPartitions("partition", "l_orderkey", *TOPIC_SEND_ORDER))
     return logs.select(
         key.cast("binary").alias("key"),
