@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from domus.llm import piece_bpe, token_counts, url_rules
-from domus.llm.common import read
+from domus.llm import merkle, piece_bpe, subword_classifier, token_counts, url_rules, weak_rules
+from domus.llm.common import read, store
 
 # The rules that the URL query judges by.
 URL_RULES = [
@@ -19,6 +20,46 @@ URL_RULES = [
     ("block", "net", "/fr/"),
 ]
 TOKEN_LIMIT = 1024
+ARCHIVE_RECORDS = 1000  # ids per archive file
+ACCEPT = 0.3
+
+
+def warc_records(pages: DataFrame) -> DataFrame:
+    """The pages as archived records: archive, offset, length, sha, page_id. An archive holds
+    the records of a block of ids in id order; rows without an id spread over 1,024 archives."""
+    head = F.concat(F.lit("WARC/1.0\r\nWARC-Type: resource\r\nWARC-Target-URI: "), F.coalesce("url", F.lit("")),
+                    F.lit("\r\nContent-Length: "), F.coalesce(F.octet_length("html"), F.lit(0)).cast("string"), F.lit("\r\n\r\n"))
+    block = F.coalesce(F.concat(F.lit("crawl-"), F.expr(f"page_id div {ARCHIVE_RECORDS}").cast("string")),
+                       F.concat(F.lit("crawl-x"), F.pmod(F.xxhash64("url"), F.lit(1024)).cast("string")))
+    body = F.concat(head, F.coalesce("html", F.lit("")), F.lit("\r\n\r\n"))
+    rows = merkle.digested(pages.select(block.alias("archive"), F.struct("page_id", "url").alias("offset"), body.alias("payload")))
+    before = Window.partitionBy("archive").orderBy("offset", "sha").rowsBetween(Window.unboundedPreceding, -1)
+    return rows.select("archive", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"), "length", "sha",
+                       F.col("offset.page_id").alias("page_id"))
+
+
+def op1_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits a replica of the pages' archives in which some records are damaged: ids that
+    leave 13 modulo 97 have another payload, ids that leave 5 modulo 89 are gone."""
+    primary = store(warc_records(read(spark, sf_dir, "pages")), "warc")
+    damaged = F.when(F.col("page_id") % 97 == 13, F.sha2(F.concat("sha", F.lit("damaged")), 256)).otherwise(F.col("sha"))
+    replica = primary.filter(F.coalesce(F.col("page_id") % 89 != 5, F.lit(True))).withColumn("sha", damaged)
+    found = merkle.audit(primary, replica)
+    return found.join(primary.select("archive", "offset", "page_id"), ["archive", "offset"], "left")
+
+
+def op6_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = weak_rules.judge(read(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept", "quality")
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = subword_classifier.train(docs, read(spark, sf_dir, "labels"))
+    scored = subword_classifier.score(docs, model)
+    return scored.select("doc_id", subword_classifier.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
 
 
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,8 +77,11 @@ def op10_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_merkle_fixity": op1_merkle_fixity,
     "op4_url_rules": op4_url_rules,
+    "op6_weak_quality": op6_weak_quality,
     "op8_token_counts": op8_token_counts,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_piece_bpe": op10_piece_bpe,
 }
 
