@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from domus.llm import lsh_forest, merkle, piece_bpe, subword_classifier, token_counts, url_rules, weak_rules
+from domus.llm import lsh_forest, merkle, piece_bpe, subword_classifier, templates, token_counts, url_rules, weak_rules
 from domus.llm.common import read, store
 
 # The rules that the URL query judges by.
@@ -52,6 +52,10 @@ def op2_lsh_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op3_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op6_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = weak_rules.judge(read(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -83,6 +87,7 @@ def op10_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_merkle_fixity": op1_merkle_fixity,
     "op2_lsh_forest_join": op2_lsh_forest_join,
+    "op3_template_leaks": op3_template_leaks,
     "op4_url_rules": op4_url_rules,
     "op6_weak_quality": op6_weak_quality,
     "op8_token_counts": op8_token_counts,
