@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from domus.llm import lsh_forest, merkle, piece_bpe, subword_classifier, templates, token_counts, url_rules, weak_rules
+from domus.llm import (column_suffix, debruijn, lsh_forest, merkle, piece_bpe, subword_classifier, templates, token_counts,
+                       url_rules, weak_rules)
 from domus.llm.common import read, store
 
 # The rules that the URL query judges by.
@@ -56,6 +57,14 @@ def op3_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op5_debruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.deduplicate(read(spark, sf_dir, "documents"), digest=True)
+
+
+def op7_column_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return column_suffix.deduplicate(read(spark, sf_dir, "documents"), digest=True)
+
+
 def op6_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = weak_rules.judge(read(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -89,7 +98,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_lsh_forest_join": op2_lsh_forest_join,
     "op3_template_leaks": op3_template_leaks,
     "op4_url_rules": op4_url_rules,
+    "op5_debruijn_dedup": op5_debruijn_dedup,
     "op6_weak_quality": op6_weak_quality,
+    "op7_column_suffix_dedup": op7_column_suffix_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_piece_bpe": op10_piece_bpe,
