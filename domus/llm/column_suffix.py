@@ -22,7 +22,6 @@ Extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,11 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from domus.llm.common import mix, parts, raw_texts, slices, store
-from domus.llm.spans import Runs, copies, in_list, keyed, rejoin, sieve, spans_of
+from domus.llm.spans import Runs, copies, in_list, kept_field, kept_value, keyed, rejoin, result_schema, sieve, spans_of
 
 WIDTH = 50
 ANCHOR = 20
 SLICE = 1 << 20
+COUNTS = ["n_bytes", "n_removed", "n_spans"]
 CHUNK = 40_000  # pieces sorted together, whole anchors
 PIECES = "doc long, tag int, m long, c long, start int, n int, left int, piece binary"
 _CODE = mix(np.arange(1, 257, dtype=np.uint64))
@@ -174,7 +174,7 @@ def repeated_windows(docs: DataFrame, whole: DataFrame, width: int, k: int) -> D
     return met.select("doc", "tag", "start", "n", "first").mapInArrow(_windows, "doc long, tag int, start int, n int")
 
 
-def _rebuild(batches: Iterator[pa.RecordBatch], width: int, digest: bool) -> Iterator[pa.RecordBatch]:
+def _rebuild(batches: Iterator[pa.RecordBatch], width: int, form: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text", SLICE):
             out = []
@@ -189,19 +189,19 @@ def _rebuild(batches: Iterator[pa.RecordBatch], width: int, digest: bool) -> Ite
                 removed = int(gone.sum())
                 kept = np.frombuffer(text, dtype=np.uint8)[~gone].tobytes() if removed else text
                 ends = np.count_nonzero(np.diff(np.r_[0, gone.view(np.int8)]) == 1) if removed else 0
-                out.append((len(text), removed, ends, hashlib.sha256(kept).hexdigest() if digest else kept))
+                out.append((len(text), removed, ends, kept_value(kept, form)))
             size, removed, ends, last = zip(*out)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(ends, pa.int64()),
-                 pa.array(last, pa.string() if digest else pa.binary())],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256" if digest else "kept"])
+                 pa.array(last, kept_field(form)[1]), part.column("rest")], names=["doc_id", *COUNTS, kept_field(form)[0], "rest"])
 
 
-def deduplicate(docs: DataFrame, text: str = "text", width: int = WIDTH, k: int = ANCHOR, digest: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and the kept bytes (or their digest)."""
-    docs = keyed(docs, text)
+def deduplicate(docs: DataFrame, text: str = "text", width: int = WIDTH, k: int = ANCHOR, form: str = "bytes",
+                carry: list[str] | None = None) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and what is kept in the form asked for (``digest``,
+    ``text`` or ``bytes``), and the columns to ``carry`` as a struct ``rest``."""
+    docs = keyed(docs, text, carry or [])
     whole = store(copies(docs, "text"), "copies")
     removed = repeated_windows(docs, whole, width, k)
-    last = "kept_sha256 string" if digest else "kept binary"
-    return rejoin(docs, removed, whole).mapInArrow(
-        lambda it: _rebuild(it, width, digest), f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}")
+    out = rejoin(docs, removed, whole).mapInArrow(lambda it: _rebuild(it, width, form), result_schema(docs, COUNTS, form))
+    return out if carry else out.drop("rest")

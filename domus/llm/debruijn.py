@@ -19,7 +19,6 @@ without an id come last. Extra columns are ignored; an empty table gives no rows
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from itertools import chain, compress
 
@@ -29,11 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from domus.llm.common import RangeHashes, WordHashes, hash_words, raw_texts, slices, store
-from domus.llm.spans import Runs, copies, in_list, keyed, rejoin, sieve, spans_of
+from domus.llm.spans import Runs, copies, in_list, kept_field, kept_value, keyed, rejoin, result_schema, sieve, spans_of
 
 WIDTH = 20
 ANCHOR = 6
 SLICE = 2 << 20
+COUNTS = ["n_words", "n_removed"]
 PATHS = "doc long, tag int, m long, c long, start int, n int, edges binary"
 
 
@@ -100,7 +100,7 @@ def repeated_paths(docs: DataFrame, whole: DataFrame, width: int, k: int) -> Dat
     return straight.union(equal).union(single)
 
 
-def _rebuild(batches: Iterator[pa.RecordBatch], width: int, digest: bool) -> Iterator[pa.RecordBatch]:
+def _rebuild(batches: Iterator[pa.RecordBatch], width: int, form: str) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
         for part in slices(batch, "text", SLICE):
@@ -120,17 +120,18 @@ def _rebuild(batches: Iterator[pa.RecordBatch], width: int, digest: bool) -> Ite
                         start, n = np.array(mine, dtype=np.int64).reshape(-1, 2).T
                         gone = spans_of(np.r_[again, start], np.r_[np.full(len(again), width), n + width - 1], len(words))
                 kept = b" ".join(compress(words, (~gone).tolist()))
-                out.append((len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest() if digest else kept.decode("utf-8")))
+                out.append((len(words), int(gone.sum()), kept_value(kept, form)))
             n, removed, last = zip(*out)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(last)],
-                                             names=["doc_id", "n_words", "n_removed", "kept_sha256" if digest else "kept"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(last),
+                                              part.column("rest")], names=["doc_id", *COUNTS, kept_field(form)[0], "rest"])
 
 
-def deduplicate(docs: DataFrame, text: str = "text", width: int = WIDTH, k: int = ANCHOR, digest: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed and the kept words joined by spaces (or their digest)."""
-    docs = keyed(docs, text)
+def deduplicate(docs: DataFrame, text: str = "text", width: int = WIDTH, k: int = ANCHOR, form: str = "text",
+                carry: list[str] | None = None) -> DataFrame:
+    """doc_id, n_words, n_removed and the kept words joined by spaces in the form asked for
+    (``digest``, ``text`` or ``bytes``), and the columns to ``carry`` as a struct ``rest``."""
+    docs = keyed(docs, text, carry or [])
     whole = store(copies(docs, "text"), "copies")
     removed = repeated_paths(docs, whole, width, k)
-    last = "kept_sha256" if digest else "kept"
-    return rejoin(docs, removed, whole).mapInArrow(
-        lambda it: _rebuild(it, width, digest), f"doc_id long, n_words long, n_removed long, {last} string")
+    out = rejoin(docs, removed, whole).mapInArrow(lambda it: _rebuild(it, width, form), result_schema(docs, COUNTS, form))
+    return out if carry else out.drop("rest")

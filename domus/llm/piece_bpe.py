@@ -140,21 +140,25 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(lambda it: _decode(it, path), "doc_id long, bytes binary")
 
 
-def _digests(batches: Iterator[pa.RecordBatch], path: str, text: str) -> Iterator[pa.RecordBatch]:
+NAMES = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def _digests(batches: Iterator[pa.RecordBatch], path: str, text: str, keep_ids: bool) -> Iterator[pa.RecordBatch]:
     c = codec(path)
-    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     for batch in batches:
         for part in slices(batch, text, 1 << 20):
             rows = c.encode([x.decode("utf-8") for x in raw_texts(part, text)])
             shown = [hashlib.sha256(" ".join(map(str, r)).encode()).hexdigest() for r in rows]
             back = [hashlib.sha256(c.decode(np.array(r, dtype=np.int64))).hexdigest() for r in rows]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(map(len, rows), pa.int64()),
-                                              pa.array(shown), pa.array(back)], names=names)
+            out = [part.column("doc_id").cast(pa.int64()), pa.array(map(len, rows), pa.int64()), pa.array(shown), pa.array(back)]
+            if keep_ids:
+                out.append(pa.array(rows, pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays(out, names=[*NAMES, "ids"][:len(out)])
 
 
-def round_trip(docs: DataFrame, path: str | None = None, text: str = "text") -> DataFrame:
-    """doc_id, n_tokens and the digests of the ids and of the decoded bytes: encoding and
-    decoding in one map, so the ids of a slice never leave the task."""
+def round_trip(docs: DataFrame, path: str | None = None, text: str = "text", keep_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, the digests of the ids and of the decoded bytes, and on request the ids:
+    encoding and decoding in one map, so that decoding needs no second read."""
     path = path or tokenizer_path("byte_bpe_50k.tiktoken")
-    return docs.select("doc_id", text).mapInArrow(
-        lambda it: _digests(it, path, text), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
+    return docs.select("doc_id", text).mapInArrow(lambda it: _digests(it, path, text, keep_ids), schema)

@@ -58,11 +58,11 @@ def op3_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_debruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return debruijn.deduplicate(read(spark, sf_dir, "documents"), digest=True)
+    return debruijn.deduplicate(read(spark, sf_dir, "documents"), form="digest")
 
 
 def op7_column_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return column_suffix.deduplicate(read(spark, sf_dir, "documents"), digest=True)
+    return column_suffix.deduplicate(read(spark, sf_dir, "documents"), form="digest")
 
 
 def op6_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

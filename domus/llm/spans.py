@@ -9,6 +9,7 @@ document only cannot occur elsewhere; the sieve shuffles anchors, packed, instea
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -168,10 +169,12 @@ def copies(docs: DataFrame, text: str) -> DataFrame:
     return keyed.join(first, "key").filter("doc > first").select("doc", "tag").distinct()
 
 
-def keyed(docs: DataFrame, text: str) -> DataFrame:
-    """doc (order key), tag (of the text, tells apart rows that share an id), text, doc_id."""
+def keyed(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
+    """doc (order key), tag (of the text, tells apart rows that share an id), text, doc_id, and
+    the columns to carry along as one struct, so that no name can clash."""
+    rest = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None).cast("int")
     return docs.select(order_key("doc_id").alias("doc"), F.hash(F.coalesce(text, F.lit(""))).alias("tag"),
-                       F.coalesce(text, F.lit("")).alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
+                       F.coalesce(text, F.lit("")).alias("text"), F.col("doc_id").cast("long").alias("doc_id"), rest.alias("rest"))
 
 
 def in_list(part: pa.RecordBatch, found: Runs) -> np.ndarray:
@@ -185,6 +188,24 @@ def in_list(part: pa.RecordBatch, found: Runs) -> np.ndarray:
     return out
 
 
+def kept_value(kept: bytes, form: str) -> str | bytes:
+    """What is left of a text: its SHA-256 (``digest``), its whole characters (``text``: parts of
+    characters that a cut left are dropped) or its ``bytes``."""
+    if form == "digest":
+        return hashlib.sha256(kept).hexdigest()
+    return kept.decode("utf-8", "ignore") if form == "text" else kept
+
+
+def kept_field(form: str) -> tuple[str, str]:
+    return {"digest": ("kept_sha256", "string"), "text": ("kept", "string"), "bytes": ("kept", "binary")}[form]
+
+
+def result_schema(docs: DataFrame, counts: list[str], form: str) -> str:
+    """DDL of a rebuilt document; the carried columns come as ``rest``."""
+    rest = docs.schema["rest"].dataType.simpleString()
+    return f"doc_id long, {', '.join(f'{c} long' for c in counts)}, {' '.join(kept_field(form))}, rest {rest}"
+
+
 def spans_of(starts: np.ndarray, lengths: np.ndarray, size: int) -> np.ndarray:
     """Mask of the places that the spans cover."""
     depth = np.zeros(size + 1, dtype=np.int64)
@@ -197,4 +218,4 @@ def rejoin(docs: DataFrame, removed: DataFrame, whole: DataFrame) -> DataFrame:
     """Documents with their removed spans (tag, start, n windows) and whether all is removed."""
     spans = removed.groupBy("doc").agg(F.collect_list(F.struct("tag", "start", "n")).alias("spans"))
     told = spans.join(whole.groupBy("doc").agg(F.collect_set("tag").alias("whole")), "doc", "full_outer")
-    return docs.join(told, "doc", "left").select("doc_id", "tag", "text", "spans", "whole")
+    return docs.join(told, "doc", "left").select("doc_id", "tag", "text", "rest", "spans", "whole")

@@ -139,18 +139,18 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", rows: int = TR
     return SubwordClassifier([(r.label, np.frombuffer(r.buckets, np.int32), np.frombuffer(r.shares, np.float32)) for r in bags])
 
 
-def _scores(batches: Iterator[pa.RecordBatch], model: SubwordClassifier, text: str) -> Iterator[pa.RecordBatch]:
+def _scores(batches: Iterator[pa.RecordBatch], model: SubwordClassifier, text: str, into: str) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
         for part in slices(batch, text):
-            yield pa.RecordBatch.from_arrays([*part.drop_columns([text]).columns, part.column(text),
-                                              pa.array(model.scores(raw_texts(part, text), hashes))],
-                                             names=[*part.drop_columns([text]).schema.names, text, "score"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.scores(raw_texts(part, text), hashes))],
+                                             names=[*part.schema.names, into])
 
 
-def score(docs: DataFrame, model: SubwordClassifier, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The kept columns of every document, with its text and score. The model (one number per
-    bucket, a fixed size) travels with the function."""
-    frame = docs.select(*[c for c in keep if c != text], text)
+def score(docs: DataFrame, model: SubwordClassifier, text: str = "text", keep: list[str] | None = None,
+          into: str = "score") -> DataFrame:
+    """The kept columns (the id by default) and the text of every document, with its score. The
+    model (one number per bucket, a fixed size) travels with the function."""
+    frame = docs.select(*[f"`{c}`" for c in keep or ["doc_id"] if c != text], text)
     shown = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields)
-    return frame.mapInArrow(lambda it: _scores(it, model, text), f"{shown}, score double")
+    return frame.mapInArrow(lambda it: _scores(it, model, text, into), f"{shown}, `{into}` double")

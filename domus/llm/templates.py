@@ -75,7 +75,7 @@ def benchmark_windows(items: DataFrame, text: str = "text", window: int = WINDOW
 def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", window: int = WINDOW, literals: int = LITERALS,
                min_windows: int = MIN_WINDOWS) -> DataFrame:
     """doc_id, item_id, kind, start (token of the document), n_tokens matched, item_tokens, n_slots
-    of every item found in a document, the longest alignment of each pair."""
+    and text_key (hash of the text) of every item found in a document, the longest alignment of each pair."""
     # the item's own id column may clash with names used here, so ids come back by the text's hash
     bench = store(benchmark_windows(items, text, window, literals), "benchmark-windows")
     parts = bench.groupBy("width").agg(F.count("*").alias("n")).collect()  # at most ``window`` rows
@@ -110,8 +110,15 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", window: in
               .withColumn("equal", F.forall("same", lambda p: p["b"] == p["d"])).filter("one_to_one"))
     row = F.struct(F.size("same").alias("n_tokens"), "equal", (-F.col("first") - F.col("shift")).alias("neg_start"),
                    F.size("item_words").alias("item_tokens"), F.size("slots").alias("n_slots"))
-    best = judged.groupBy("doc_id", "item").agg(F.max(row).alias("r"))
+    best = judged.groupBy("doc_id", "key", "item").agg(F.max(row).alias("r"))
     ids = items.select("item_id", F.xxhash64(F.coalesce(text, F.lit(""))).alias("item")).distinct()
     return best.join(ids, "item").select(
         "doc_id", "item_id", F.when(F.col("r.equal"), "exact").otherwise("reparameterised").alias("kind"),
-        (-F.col("r.neg_start")).alias("start"), "r.n_tokens", "r.item_tokens", "r.n_slots")
+        (-F.col("r.neg_start")).alias("start"), "r.n_tokens", "r.item_tokens", "r.n_slots", F.col("key").alias("text_key"))
+
+
+def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
+    """The documents in which no item is found, with all their columns."""
+    found = find_leaks(docs, items, text).select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_k"))
+    return docs.join(found, same, "left_anti")

@@ -75,9 +75,9 @@ def _frame(spark, rows):
 def test_both_equal_brute_force(spark, seed):
     rows = corpus(seed)
     docs = _frame(spark, rows).repartition(3)
-    got = sorted((tuple(r) for r in debruijn.deduplicate(docs, digest=True).collect()), key=str)
+    got = sorted((tuple(r) for r in debruijn.deduplicate(docs, form="digest").collect()), key=str)
     assert got == brute_words(rows)
-    got = sorted((tuple(r) for r in column_suffix.deduplicate(docs, digest=True).collect()), key=str)
+    got = sorted((tuple(r) for r in column_suffix.deduplicate(docs, form="digest").collect()), key=str)
     assert got == brute_bytes(rows)
 
 
