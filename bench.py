@@ -27,7 +27,8 @@ from domus.session import checkpoint_root, get_session  # noqa: E402
 FIRST = [
     "listing_decode", "decode_lineitem", "quarantine_split", "page_explode", "envelope_complete",
     "upsert_latest", "unprocessed_anti", "full_search", "radius_search", "newest_page",
-    "result_pages", "stream_upsert", "stream_listings", "stream_topic_upsert", "page_ingest",
+    "result_pages", "stream_upsert", "stream_listings", "stream_versions", "replay_latest", "table_search",
+    "page_ingest", "manifest_resume",
 ]
 HEADLINE = FIRST + [q for q in QUERIES if q not in FIRST]
 
@@ -39,6 +40,7 @@ def main() -> None:
         "spark.sql.shuffle.partitions": str(max(8, int(cpus) * 2)),
         "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
         "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024),
+        "spark.domus.inputPartitions": cpus,  # the test tables are one row group each
     }
     spark = get_session(f"local[{cpus}]", app="domus-bench", **conf)
     spark.sparkContext.setLogLevel("ERROR")

@@ -36,6 +36,7 @@ def _kafka(a) -> KafkaEndpoint | None:
 def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="domus")
     p.add_argument("--master", default=None)
+    p.add_argument("--checkpoint-dir", help="spark.checkpoint.dir: a folder that driver and executors share")
     sub = p.add_subparsers(dest="job", required=True)
 
     def broker(sp):
@@ -79,6 +80,8 @@ def build_parser() -> argparse.ArgumentParser:
     se.add_argument("--distance", type=float)
     se.add_argument("--max-items", type=int, default=50)
     se.add_argument("--num-page", type=int, default=1)
+    se.add_argument("--since", choices=["T", "Y", "W", "M", "AllTime"], help="recency of the page date")
+    se.add_argument("--as-of", help="yyyy-MM-dd HH:mm:ss (default: now)")
     se.add_argument("--output", help="write the page as parquet here (default: print JSON lines)")
     se.add_argument("--snapshot", action="store_true", help="--table is a snapshot (see snapshot)")
 
@@ -120,7 +123,8 @@ def build_parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     a = build_parser().parse_args(argv)
-    spark = get_session(a.master, app=f"domus-{a.job}")
+    shared = {"spark.checkpoint.dir": a.checkpoint_dir} if a.checkpoint_dir else {}
+    spark = get_session(a.master, app=f"domus-{a.job}", **shared)
     if a.job == "publish":
         run = jobs.publish_job(
             spark, jobs.PublishPaths(a.table, a.checkpoint, a.quarantine), kafka=_kafka(a),
@@ -139,7 +143,8 @@ def main(argv: list[str] | None = None) -> int:
         req = SearchRequest(country=a.country, operation=a.operation,
                             property_types=tuple(a.property_type) if a.property_type else None,
                             min_price=a.min_price, max_price=a.max_price, center=center,
-                            distance_m=a.distance, max_items=a.max_items, num_page=a.num_page)
+                            distance_m=a.distance, max_items=a.max_items, num_page=a.num_page, since=a.since,
+                            as_of=dt.datetime.strptime(a.as_of, "%Y-%m-%d %H:%M:%S") if a.as_of else dt.datetime.now())
         page = jobs.search_job(spark, a.table, req, snapshot=a.snapshot)
         if a.output:
             page.write.mode("overwrite").parquet(a.output)

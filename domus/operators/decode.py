@@ -14,11 +14,6 @@ from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 from domus import schemas as S
 
 
-def message_text(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Binary message value -> UTF-8 text column named ``value`` (invalid bytes -> U+FFFD)."""
-    return df.withColumn(value_col, F.col(value_col).cast("string"))
-
-
 def decode_column(value: Column, schema: StructType | str, keep_corrupt: bool = False) -> Column:
     """``from_json`` against the declared schema; optionally also capture the raw bad record."""
     if isinstance(schema, str):
@@ -87,11 +82,6 @@ PUBLISH_SOURCE_FIELDS = [
 ]
 
 
-def publish(decoded: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Decoded listing rows -> published projection (+ ``keep`` pass-through columns)."""
-    return decoded.select(*(keep or []), *publish_columns())
-
-
 # The map fields the published projection looks into, and the one key it reads from each.
 LOOKED_UP_KEYS = {"parkingSpace": ("hasParkingSpace", BooleanType()), "detailedType": ("typology", StringType())}
 
@@ -119,6 +109,7 @@ def decode_and_publish(
     prune_schema: bool = True,
     keep_corrupt: bool = False,
     lenient_maps: bool = False,
+    beside: tuple[str, ...] = (),
 ) -> DataFrame:
     """Message stream/batch -> published rows. The whole upstream transform in one plan.
 
@@ -127,15 +118,16 @@ def decode_and_publish(
     value in an unread field is not seen. The quarantine path therefore keeps the full schema.
     ``lenient_maps`` (off by default) reads ``parkingspace`` / ``typology`` even when another
     key of the same map holds a value of the wrong type (see :func:`lenient_lookups`).
+    ``beside`` names listing fields to keep next to the published columns.
     """
     schema = S.struct(S.LISTING_DDL)
     if prune_schema and not keep_corrupt:
-        schema = S.subset(schema, PUBLISH_SOURCE_FIELDS)
+        schema = S.subset(schema, [*PUBLISH_SOURCE_FIELDS, *beside])
     if lenient_maps:
         schema = lenient_lookups(schema)
     decoded = decode_messages(messages, schema, value_col, keep, keep_corrupt)
     extra = [S.CORRUPT_COLUMN] if keep_corrupt else []
-    return decoded.select(*(keep or []), *publish_columns(), *extra)
+    return decoded.select(*(keep or []), *publish_columns(), *beside, *extra)
 
 
 def quarantine_flags(published: DataFrame, key: str = S.PUBLISHED_KEY) -> DataFrame:
@@ -154,16 +146,7 @@ def quarantine_flags(published: DataFrame, key: str = S.PUBLISHED_KEY) -> DataFr
     )
 
 
-def split_quarantine(published: DataFrame, key: str = S.PUBLISHED_KEY) -> tuple[DataFrame, DataFrame]:
-    """(storable rows, quarantined rows). Both come from one flagged plan; cache upstream if
-    the caller runs both actions on an expensive input."""
-    flagged = quarantine_flags(published, key)
-    good = flagged.filter(~F.col("quarantined")).drop("quarantined", "flagged")
-    bad = flagged.filter(F.col("quarantined"))
-    return good, bad
-
-
-def listing_element() -> Column:
+def listing_element(beside: tuple[str, ...] = ()) -> Column:
     """Published row -> listing element JSON (the inverse of :func:`publish_columns`).
 
     Field names and nesting are the decoded listing's (camelCase, ``parkingSpace`` and
@@ -190,4 +173,5 @@ def listing_element() -> Column:
                F.create_map(F.lit("typology"), F.col("typology"))).alias("detailedType"),
         F.col("url").alias("url"),
         F.col("propertycode").alias("propertyCode"),
+        *beside,
     ))

@@ -9,8 +9,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from domus.functions.timefn import (BUCKET_NO_PULL, elapsed_days, since_bucket, since_bucket_py,
-                                   ts_literal)
+from domus.functions.timefn import BUCKET_ALL_TIME, BUCKET_NO_PULL, elapsed_days, since_bucket, ts_literal
 
 
 def exclude_processed(pages: DataFrame, manifest: DataFrame, on: str = "file_name",
@@ -31,6 +30,13 @@ def exclude_processed(pages: DataFrame, manifest: DataFrame, on: str = "file_nam
     return pages.join(m, pages[on] == m["_done"], "left_anti")
 
 
+def manifest_of(manifest: DataFrame, pages: DataFrame, col: str = "page_date") -> DataFrame:
+    """The manifest's rows of the dates that ``pages`` have: the manifest is partitioned by date,
+    so other dates are not read. The dates of one micro-batch come to the driver, nothing else."""
+    dates = [r[0] for r in pages.select(col).distinct().collect()]
+    return manifest.filter(F.col(col).isin([d for d in dates if d is not None]) | F.col(col).isNull())
+
+
 def pages_to_mark(pages: DataFrame, file_col: str = "file_name", now: dt.datetime | None = None) -> DataFrame:
     """B6 input: manifest rows for pages that were fully handled.
 
@@ -39,7 +45,7 @@ def pages_to_mark(pages: DataFrame, file_col: str = "file_name", now: dt.datetim
     """
     ts = ts_literal(now, "timestamp") if now is not None else F.current_timestamp()
     return pages.filter(F.col("envelope.elementList").isNotNull()).select(
-        F.col(file_col).alias("file_name"), ts.cast("timestamp").alias("processed_at")
+        "page_date", F.col(file_col).alias("file_name"), ts.cast("timestamp").alias("processed_at")
     )
 
 
@@ -63,7 +69,7 @@ def pull_decision(spark: SparkSession, marker: DataFrame, now: dt.datetime,
     row = marker.agg(F.max(col).alias("m")).select(
         F.col("m").isNull().alias("never"), since_bucket(elapsed_days(now, F.col("m"))).alias("bucket")
     ).first()
-    return since_bucket_py(-1) if row["never"] else row["bucket"]
+    return BUCKET_ALL_TIME if row["never"] else row["bucket"]
 
 
 def pull_gate(bucket) -> "F.Column":

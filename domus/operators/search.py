@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from domus.functions import geo
 from domus.functions.timefn import bucket_days, ts_literal
 from domus.session import checkpoint_root
+from domus.sources.tables import range_count
 
 
 @dataclass(frozen=True)
@@ -117,29 +118,19 @@ def with_distance(df: DataFrame, center: tuple[float, float], c: ListingColumns
     return df.withColumn(name, geo.distance_text(geo.haversine_m(c.latitude, c.longitude, lat0, lon0)))
 
 
-# Deepest page end (offset + limit, in rows) still served by a per-task top-k buffer;
-# deeper pages are cut from the whole result numbered by :func:`paginate`.
-DEEP_PAGE_ROWS = 100_000
-
-
 def order_and_page(df: DataFrame, order_by: str, key: str, descending: bool = True,
-                   max_items: int = 50, num_page: int = 1,
-                   deep_page_rows: int = DEEP_PAGE_ROWS) -> DataFrame:
+                   max_items: int = 50, num_page: int = 1) -> DataFrame:
     """page ``num_page`` (1-based) of ``max_items`` rows, newest first.
 
     The key is a unique tie-break so a page is deterministic. ``offset + limit`` after a
     sort plans as a per-partition top-(offset+limit) merged once (TakeOrderedAndProject),
-    never a global sort of the whole input. That buffer grows with the page depth, so a
-    page ending beyond ``deep_page_rows`` rows is instead taken from the whole result
-    numbered by :func:`paginate` (same rows, same order; per-task memory stays flat).
+    never a global sort of the whole input. That buffer grows with the page depth; who wants
+    many or deep pages calls :func:`paginate`, which numbers the whole result once.
     """
     if max_items < 1 or num_page < 1:
         raise ValueError("max_items and num_page must be >= 1")
     o = F.desc if descending else F.asc
     skip = max_items * (num_page - 1)
-    if skip + max_items > deep_page_rows:
-        page = paginate(df, order_by, key, descending, max_items).filter(F.col("page_no") == num_page)
-        return page.drop("page_no", "pos").orderBy(o(order_by), o(key)).limit(max_items)
     ordered = df.orderBy(o(order_by), o(key))
     return (ordered.offset(skip) if skip else ordered).limit(max_items)
 
@@ -156,9 +147,10 @@ def numbered_ranges(df: DataFrame, order_by: str, key: str, descending: bool = T
     Freezing matters: a range exchange samples its own bounds, so two plans that each
     range-partition the same rows may cut them differently. Everything downstream reads
     these stored rows, so counts and positions always agree, a lost executor re-reads
-    them instead of recomputing them, and the range count is free to grow with the data.
+    them instead of recomputing them. The range count follows the size of the input
+    (:func:`domus.sources.tables.range_count`) unless it is given.
     """
-    n = int(partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or range_count(df)
     d = F.desc_nulls_last if descending else F.asc_nulls_first
     local = (df.repartitionByRange(n, d(order_by), d(key))
              .sortWithinPartitions(d(order_by), d(key))

@@ -26,8 +26,3 @@ def latest_per_key(df: DataFrame, key: str | list[str], order: list[str | Column
     seq = F.struct(*_cols(order))
     out = df.groupBy(*keys).agg(F.max_by(rec, seq).alias("_rec"))
     return out.select(*keys, *[F.col("_rec")[c].alias(c) for c in values])
-
-
-def dedupe_batch(df: DataFrame, key: str, order: list[str | Column]) -> DataFrame:
-    """H3: make one micro-batch deterministic before it reaches a keyed sink."""
-    return latest_per_key(df, key, order)

@@ -8,12 +8,11 @@ only, so both engines do the same IEEE operations in the same order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from domus.functions.geo import DEFAULT_CENTER
 from domus.functions.names import page_file_name
-from domus.sources.tables import spread
 
 LAT0, LON0 = DEFAULT_CENTER
 # Spread of derived coordinates about the search centre, in degrees per step.
@@ -85,18 +84,14 @@ def listings_from_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def event_element_json() -> Column:
-    """One raw listing-like element per event row, as JSON text."""
-    return F.to_json(
-        F.struct(
-            F.col("event_id").alias("eventId"),
-            F.col("ts").cast("string").alias("ts"),
-            F.col("user_id").alias("userId"),
-            F.col("event_type").alias("eventType"),
-            F.col("value").alias("value"),
-            F.col("props").alias("props"),
-        )
-    )
+EVENT_FIELDS = {"event_id": "eventId", "ts": "ts", "user_id": "userId", "event_type": "eventType",
+                "value": "value", "props": "props"}
+
+
+def event_element_json(event: Column) -> Column:
+    """One raw listing-like element of an event struct, as JSON text."""
+    return F.to_json(F.struct(*[(event[c].cast("string") if c == "ts" else event[c]).alias(name)
+                                for c, name in EVENT_FIELDS.items()]))
 
 
 def envelopes_from_events(events: DataFrame, items_per_page: int = ITEMS_PER_PAGE) -> DataFrame:
@@ -104,45 +99,28 @@ def envelopes_from_events(events: DataFrame, items_per_page: int = ITEMS_PER_PAG
 
     A page holds the events of one block of ``items_per_page`` consecutive event ids, so a
     page never exceeds that many elements whatever the skew of any other column. Pages are
-    dated by their first event and numbered 1..n within the date by block order; that
-    numbering is a per-date min/max aggregate joined back (partial aggregation, no window).
-    Only the JSON-encoding branch is spread over the cores; the numbering branch reads two
-    columns and pre-aggregates in the scan tasks.
+    dated by their first event and numbered 1..n within the date by block order; that is
+    settled on the narrow table of blocks. Columns, not JSON, cross the shuffle, and the
+    pages meet their numbers on the block, by which they are already partitioned.
     """
     block = F.expr(f"event_id div {int(items_per_page)}").alias("block")
-    blocks = (
-        spread(events).select(block, "event_id", "ts", event_element_json().alias("element"))
-        .groupBy("block")
-        .agg(
-            F.min("ts").alias("first_ts"),
-            F.sort_array(F.collect_list(F.struct("event_id", "element"))).alias("items"),
-        )
-    )
-    dated = (events.select(block, "ts").groupBy("block").agg(F.min("ts").alias("first_ts"))
-             .select("block", F.to_date("first_ts").alias("page_date")))
-    bounds = dated.groupBy("page_date").agg(
-        F.min("block").alias("first_block"), F.max("block").alias("last_block")
-    )
-    pages = blocks.withColumn("page_date", F.to_date("first_ts")).join(bounds, "page_date").select(
-        "page_date",
-        (F.col("block") - F.col("first_block") + 1).alias("page_no"),
-        (F.col("last_block") - F.col("first_block") + 1).alias("total_pages"),
-        F.transform("items", lambda x: x["element"]).alias("elements"),
-    )
+    dated = (events.select(block, "ts").groupBy("block").agg(F.to_date(F.min("ts")).alias("page_date")))
+    bounds = dated.groupBy("page_date").agg(F.min("block").alias("first_block"), F.max("block").alias("last_block"))
+    numbered = dated.join(bounds, "page_date").select(
+        "block", "page_date", (F.col("block") - F.col("first_block") + 1).alias("page_no"),
+        (F.col("last_block") - F.col("first_block") + 1).alias("total_pages"))
+    items = F.sort_array(F.collect_list(F.struct(*EVENT_FIELDS))).alias("items")
+    pages = events.select(block, *EVENT_FIELDS).groupBy("block").agg(items).join(numbered, "block")
     envelope = F.struct(
-        F.col("elements").alias("elementList"),
-        F.size("elements").cast("bigint").alias("total"),
+        F.transform("items", event_element_json).alias("elementList"),
+        F.size("items").cast("bigint").alias("total"),
         F.col("total_pages").alias("totalPages"),
         F.col("page_no").alias("actualPage"),
         F.lit(items_per_page).cast("bigint").alias("itemsPerPage"),
         F.lit(True).alias("paginable"),
     )
-    return pages.select(
-        "page_date",
-        "page_no",
-        page_file_name("page_date", "page_no").alias("file_name"),
-        F.to_json(envelope).alias("value"),
-    )
+    return pages.select("page_date", "page_no", page_file_name("page_date", "page_no").alias("file_name"),
+                        F.to_json(envelope).alias("value"))
 
 
 def _lineitem_listing(property_code: Column) -> Column:
@@ -177,32 +155,32 @@ def listing_messages_from_lineitem(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(F.to_json(_lineitem_listing(code)).cast("binary").alias("value"))
 
 
-# Partitions of the broker-shaped topic built from line items.
-TOPIC_PARTITIONS = 8
-TOPIC_DDL = "key BINARY, value BINARY, partition INT, offset BIGINT"
-# Order in which the producer sends the versions of one order's listing: line number,
-# then every other column the listing is built from (rows equal in all of them publish
+# The order in which the versions of one order's listing were sent: by ship date, line number
+# and then every other column the listing is built from (rows equal in all of them publish
 # identical rows, so any order among them gives the same table).
-TOPIC_SEND_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-                    "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+VERSION_ORDER = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
-def topic_from_lineitem(lineitem: DataFrame, partitions: int = TOPIC_PARTITIONS) -> DataFrame:
-    """A broker-shaped topic (key, value, partition, offset): every line item is a new
-    version of its order's listing, keyed by the listing id, so all versions of a key share
-    one partition. Like a broker, each partition is one log: its messages are laid out in
-    send order and the offset is the position in that log, unique and rising in send order
-    within every key. Write it as is (one file per partition) to keep the offsets."""
+def versions_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """Messages in which every line item is a new version of its order's listing, with the
+    order columns of a message: the ship date as page date, the line number as page number,
+    and the rank among an order's lines of one date and number as position."""
     key = F.col("l_orderkey").cast("string")
-    # Raw columns cross the shuffle; the JSON is built after it, by every partition's task.
-    # Range partitioning on the partition id gives each topic partition a task of its own
-    # (hashing 8 ids into 8 tasks collides) and never splits one partition's log.
-    logs = (lineitem.withColumn("partition", F.pmod(F.xxhash64(key), F.lit(partitions)).cast("int"))
-            .repartitionByRange(partitions, "partition")
-            .sortWithinPartitions("partition", "l_orderkey", *TOPIC_SEND_ORDER))
-    return logs.select(
-        key.cast("binary").alias("key"),
-        F.to_json(_lineitem_listing(key)).cast("binary").alias("value"),
-        "partition",
-        F.monotonically_increasing_id().alias("offset"),
-    )
+    same = Window.partitionBy("l_orderkey", "l_shipdate", "l_linenumber").orderBy(*VERSION_ORDER[2:])
+    return lineitem.withColumn("pos", (F.row_number().over(same) - 1).cast("int")).select(
+        F.to_date("l_shipdate").alias("page_date"), F.col("l_linenumber").cast("bigint").alias("page_no"), "pos",
+        F.to_json(_lineitem_listing(key)).alias("value"))
+
+
+def pages_of_events(events: DataFrame, per_page: int = ITEMS_PER_PAGE) -> DataFrame:
+    """Landed pages (page_date, value) whose elements are listings keyed by user: every event is
+    a version of its user's listing. A page is a block of event ids of one date."""
+    block = F.expr(f"event_id div {int(per_page)}")
+    pages = (events.select(F.to_date("ts").alias("page_date"), block.alias("block"), "event_id", "user_id", "value", "event_type")
+             .groupBy("page_date", "block").agg(F.sort_array(F.collect_list(F.struct("event_id", "user_id", "value", "event_type"))).alias("items")))
+    envelope = F.struct(F.transform("items", lambda x: F.to_json(F.struct(
+        x["user_id"].cast("string").alias("propertyCode"), x["value"].alias("price"), x["event_type"].alias("propertyType"),
+        F.lit("es").alias("country"), x["event_id"].cast("string").alias("url")))).alias("elementList"),
+        F.size("items").cast("bigint").alias("total"), F.col("block").alias("actualPage"))
+    return pages.select("page_date", F.to_json(envelope).alias("value"))

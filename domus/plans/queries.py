@@ -19,13 +19,13 @@ from domus.operators import pages as pages_op
 from domus import schemas as S
 from domus.plans import derive
 from domus.session import shared_dir
-from domus.sinks.changelog import ChangeLog, new_run_id
-from domus.sinks.tables import (advance_marker, append_manifest, create_table, insert_into,
-                                read_marker, write_landing, write_messages, write_snapshot)
+from domus.sinks.changelog import ChangeLog
+from domus.sinks.tables import (advance_marker, create_table, insert_into, read_marker, write_landing,
+                                write_messages, write_snapshot)
 from domus.sources.endpoints import MESSAGE_ORDER, admission_bytes, arrived, read_message_files
-from domus.sources.pages import read_pages, stream_pages
+from domus.sources.pages import read_pages
 from domus.sources.tables import read_external, read_state, read_table, spread
-from domus.streaming import job
+from domus.streaming import job, jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -41,6 +41,13 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def _dealt(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as input of CPU-heavy work: as Spark splits it, or dealt over as many tasks as the
+    caller set in ``spark.domus.inputPartitions`` (the test tables are one row group each)."""
+    n = spark.conf.get("spark.domus.inputPartitions", None)
+    return spread(read_table(spark, sf_dir, name), int(n) if n else None)
+
+
 def _dbl(x: float) -> str:
     return f"CAST({x!r} AS DOUBLE)"
 
@@ -76,7 +83,7 @@ FROM part
 """,
 )
 def listing_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = derive.listing_messages_from_part(spread(read_table(spark, sf_dir, "part")))
+    messages = derive.listing_messages_from_part(_dealt(spark, sf_dir, "part"))
     return decode.decode_and_publish(messages.select("value"))
 
 
@@ -105,7 +112,7 @@ FROM lineitem
 )
 def decode_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The decode/publish transform over the largest table (one message per line item)."""
-    messages = derive.listing_messages_from_lineitem(spread(read_table(spark, sf_dir, "lineitem")))
+    messages = derive.listing_messages_from_lineitem(_dealt(spark, sf_dir, "lineitem"))
     return decode.decode_and_publish(messages)
 
 
@@ -345,9 +352,11 @@ FROM r
 def search_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = f"{shared_dir(spark, 'search-landing')}/landing"
     hits = search.search_filter(_listings(spark, sf_dir), SEARCH_LANDING_REQ)
-    elements = hits.select("o_orderkey", "published_at", F.to_json(F.struct(
+    narrow = hits.select("o_orderkey", "published_at", "propertycode", "price")
+    paged = search.paginate(narrow, "published_at", "o_orderkey", max_items=50, with_total=True)
+    # columns are numbered and stored; their JSON is built after that
+    paged = paged.select("page_no", "pos", "total", F.to_json(F.struct(
         F.col("propertycode").alias("propertyCode"), F.col("price").alias("price"))).alias("element"))
-    paged = search.paginate(elements, "published_at", "o_orderkey", max_items=50, with_total=True)
     write_landing(pages_op.page_envelopes(paged, F.lit(PULL_DATE), max_items=50), landing)
     landed = read_pages(spark, landing, layout="lines")
     rows = pages_op.explode_pages(landed, keep=["page_no", "envelope"])
@@ -613,7 +622,7 @@ FROM part
 """,
 )
 def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    msgs = derive.listing_messages_from_part(spread(read_table(spark, sf_dir, "part")))
+    msgs = derive.listing_messages_from_part(_dealt(spark, sf_dir, "part"))
     text = F.col("value").cast("string")
     k = F.col("p_partkey")
     bad = (
@@ -671,12 +680,9 @@ def stream_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = shared_dir(spark, "stream-listings")
     msgs = derive.listing_messages_from_part(read_table(spark, sf_dir, "part"))
     write_messages(msgs.select("value"), path=f"{work}/messages")
-    stream = read_message_files(spark, f"{work}/messages", max_bytes_per_trigger=admission_bytes(spark))
-    # Versions of a key are ordered by producing run, batch, file, then message hash.
-    log = ChangeLog(f"{work}/log", key=S.PUBLISHED_KEY, order=MESSAGE_ORDER)
-    published, on_batch = job.publish_stream(stream, log, MESSAGE_ORDER, quarantine_path=f"{work}/quarantine")
-    job.run_stream(spark, published, on_batch, f"{work}/checkpoint")
-    return log.latest(spark).select(*S.struct(S.PUBLISHED_DDL).fieldNames())
+    jobs.publish_job(spark, jobs.PublishPaths(f"{work}/table", f"{work}/checkpoint", f"{work}/quarantine"),
+                     files=f"{work}/messages")
+    return jobs.published_table(spark, f"{work}/table")
 
 
 @register("stream_watchdog", ORACLE_SQL["upsert_latest"])
@@ -686,16 +692,20 @@ def stream_watchdog(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed; then the keyed table is read back."""
     work = shared_dir(spark, "stream-watchdog")
     log = ChangeLog(f"{work}/log", key="user_id", order=["ts", "event_id"])
-    run = job.run_stream(spark, _event_stream(spark, sf_dir), log.write_batch, f"{work}/checkpoint",
+    named = _event_stream(spark, sf_dir).withColumn("src_file", F.col("_metadata.file_path"))
+    run = job.run_stream(spark, named, log.write_batch, f"{work}/checkpoint",
                          available_now=False, processing_time="500 milliseconds",
                          inactivity_timeout=WATCHDOG_TIMEOUT_S, poll_interval=0.25)
     if not run.stopped_for_inactivity:
         raise RuntimeError("stream_watchdog: the query ended without the inactivity stop")
+    files = read_table(spark, sf_dir, "events").select(F.col("_metadata.file_path").alias("src_file")).distinct()
+    if not files.join(log.read_log(spark).select("src_file"), "src_file", "left_anti").isEmpty():
+        raise RuntimeError("stream_watchdog: stopped before every source file was read")
     return log.latest(spark).select("user_id", "event_id", "ts", "event_type", "value", "props")
 
 
 @register(
-    "stream_topic_upsert",
+    "stream_versions",
     f"""
 SELECT l_returnflag || ' ' || l_linestatus AS address,
        l_quantity AS size,
@@ -714,28 +724,111 @@ SELECT l_returnflag || ' ' || l_linestatus AS address,
        l_returnflag AS typology,
        'listing/' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '/' AS url,
        CAST(l_orderkey AS VARCHAR) AS propertycode
-FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC,
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC,
         l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_tax DESC,
         l_returnflag DESC, l_linestatus DESC) AS rn FROM lineitem)
 WHERE rn = 1
 """,
 )
-def stream_topic_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The upstream job on a keyed topic (A1/A2 shape, G1-G4, C1-C11, H1-H3): every line
-    item is a new version of its order's listing, delivered through a broker-shaped source
-    (key, value, partition, offset) stored as one file per topic partition in offset order.
-    The stream decodes and publishes, and the keyed table keeps the newest version per key
-    by (partition, offset): the last line item of each order in send order."""
-    work = shared_dir(spark, "stream-topic")
-    derive.topic_from_lineitem(read_table(spark, sf_dir, "lineitem")).write.parquet(f"{work}/topic")
-    src = (spark.readStream.schema(derive.TOPIC_DDL)
-           .option("maxBytesPerTrigger", str(admission_bytes(spark)))
-           .parquet(f"{work}/topic"))
-    order = ["partition", "offset"]
-    log = ChangeLog(f"{work}/log", key=S.PUBLISHED_KEY, order=order)
-    published, on_batch = job.publish_stream(src, log, order, quarantine_path=f"{work}/quarantine")
-    job.run_stream(spark, published, on_batch, f"{work}/checkpoint")
-    return log.latest(spark).select(*S.struct(S.PUBLISHED_DDL).fieldNames())
+def stream_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upstream job on a keyed stream with many versions per key (A4, B1, B3, G1-G4, G9,
+    H1-H3): every line item is a new version of its order's listing, landed by four pulls with
+    its real order columns. The files are admitted a quarter at a time, so versions of a key
+    arrive over several micro-batches and out of order; the newest by the order columns stays."""
+    work = shared_dir(spark, "stream-versions")
+    sent = derive.versions_from_lineitem(read_table(spark, sf_dir, "lineitem"))
+    for pull in range(4):
+        write_messages(sent.filter(F.dayofmonth("page_date") % 4 == pull), path=f"{work}/messages")
+    files = len(spark.read.parquet(f"{work}/messages").inputFiles())
+    run = jobs.publish_job(spark, jobs.PublishPaths(f"{work}/table", f"{work}/checkpoint", f"{work}/quarantine"),
+                           files=f"{work}/messages", max_files_per_trigger=max(1, files // 4))
+    if run.batches < 3:
+        raise RuntimeError(f"stream_versions: {run.batches} micro-batches do not test the order of versions")
+    return jobs.published_table(spark, f"{work}/table")
+
+
+# ---------------------------------------------------------------------------------------
+# Pages to messages to the keyed table (A4, B1, E1, G9, H1-H3): events as pages of listings
+# keyed by user, many versions per key over dates, pages and positions, several micro-batches
+# in both jobs. The newest by (page date, page number, position) stays.
+# ---------------------------------------------------------------------------------------
+@register(
+    "replay_latest",
+    """
+SELECT CAST(user_id AS VARCHAR) AS propertycode, value AS price, event_type AS propertytype,
+       CAST(event_id AS VARCHAR) AS url, CAST(ts AS DATE) AS page_date
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id
+        ORDER BY CAST(ts AS DATE) DESC, event_id // 50 DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1
+""",
+)
+def replay_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = shared_dir(spark, "replay-latest")
+    write_landing(derive.pages_of_events(read_table(spark, sf_dir, "events")), f"{work}/landing")
+    pages = len(spark.read.text(f"{work}/landing").inputFiles())
+    jobs.replay_pages_job(spark, f"{work}/landing", f"{work}/manifest", f"{work}/ck-replay", messages=f"{work}/messages",
+                          layout="lines", max_files_per_trigger=max(1, pages // 3))
+    files = len(spark.read.parquet(f"{work}/messages").inputFiles())
+    jobs.publish_job(spark, jobs.PublishPaths(f"{work}/table", f"{work}/ck-publish"), files=f"{work}/messages",
+                     max_files_per_trigger=max(1, files // 3))
+    table = jobs.published_table(spark, f"{work}/table", beside=True)
+    return table.select("propertycode", "price", "propertytype", "url", "page_date")
+
+
+# ---------------------------------------------------------------------------------------
+# Messages that cannot be stored keep their raw text. Every 10th is cut in half, every
+# 11th is an empty object, every 13th spells its key wrong.
+# ---------------------------------------------------------------------------------------
+@register(
+    "quarantine_values",
+    """
+WITH m AS (SELECT p_partkey AS k, '{"propertyCode":"' || CAST(p_partkey AS VARCHAR) || '","rooms":' || CAST(p_size AS VARCHAR) || '}' AS v FROM part)
+SELECT CASE WHEN k % 10 = 0 THEN substr(v, 1, CAST(floor(length(v) / 2) AS INTEGER)) WHEN k % 11 = 0 THEN '{}'
+            ELSE replace(v, 'propertyCode', 'propertycodes') END AS value, k AS page_no
+FROM m WHERE k % 10 = 0 OR k % 11 = 0 OR k % 13 = 0
+""",
+)
+def quarantine_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = shared_dir(spark, "quarantine-values")
+    k = F.col("page_no")
+    whole = F.concat(F.lit('{"propertyCode":"'), k.cast("string"), F.lit('","rooms":'), F.col("p_size").cast("string"), F.lit("}"))
+    bad = (F.when(k % 10 == 0, F.substring(whole, F.lit(1), F.floor(F.length(whole) / 2).cast("int")))
+           .when(k % 11 == 0, F.lit("{}"))
+           .when(k % 13 == 0, F.replace(whole, F.lit("propertyCode"), F.lit("propertycodes"))).otherwise(whole))
+    part = read_table(spark, sf_dir, "part").select(F.col("p_partkey").cast("bigint").alias("page_no"), "p_size")
+    write_messages(part.select(bad.alias("value"), "page_no"), path=f"{work}/messages")
+    jobs.publish_job(spark, jobs.PublishPaths(f"{work}/table", f"{work}/checkpoint", f"{work}/quarantine"),
+                     files=f"{work}/messages")
+    return spark.read.parquet(f"{work}/quarantine").select("value", "page_no")
+
+
+# ---------------------------------------------------------------------------------------
+# D2-D7, F1 over the table that the pipeline produces: orders published as listings, then the
+# full request through the search job; the page date is the recency key.
+# ---------------------------------------------------------------------------------------
+@register(
+    "table_search",
+    _LISTINGS_SQL
+    + f"""
+SELECT propertycode, price, CAST(published_at AS DATE) AS page_date,
+       CAST(CAST(floor({_haversine_sql('latitude', 'longitude')}) AS BIGINT) AS VARCHAR) AS distance
+FROM listings
+WHERE country = 'es' AND operation = 'F' AND propertytype IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
+  AND price BETWEEN 50000.0 AND 400000.0
+  AND {_haversine_sql('latitude', 'longitude')} <= {_dbl(RADIUS)}
+  AND CAST(published_at AS DATE) >= DATE '1998-07-03'
+ORDER BY page_date DESC, propertycode DESC LIMIT 50
+""",
+)
+def table_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = shared_dir(spark, "table-search")
+    element = F.to_json(F.struct(F.col("propertycode").alias("propertyCode"), "price", F.col("propertytype").alias("propertyType"),
+                                 "country", "operation", "latitude", "longitude"))
+    write_messages(_listings(spark, sf_dir).select(element.alias("value"), F.to_date("published_at").alias("page_date")),
+                   path=f"{work}/messages")
+    jobs.publish_job(spark, jobs.PublishPaths(f"{work}/table", f"{work}/checkpoint"), files=f"{work}/messages")
+    page = jobs.search_job(spark, f"{work}/table", FULL_REQ)
+    return page.select("propertycode", "price", "page_date", "distance")
 
 
 @register("page_ingest", "SELECT event_id, event_type, value FROM events")
@@ -743,26 +836,42 @@ def page_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed pages end to end: land envelopes (B5), incremental page stream (A4) with
     manifest exclusion (D1), explode (E1), message sink (B1), manifest append (B6)."""
     work = shared_dir(spark, "page-ingest")
-    env = derive.envelopes_from_events(read_table(spark, sf_dir, "events"))
-    write_landing(env, f"{work}/landing")
-    manifest_path = f"{work}/manifest"
-    run_id = new_run_id()
-
-    def on_batch(pages: DataFrame, batch_id: int) -> None:
-        done = read_state(spark, manifest_path, S.MANIFEST_DDL)
-        todo = incremental.exclude_processed(pages, done).persist()
-        try:
-            rows = pages_op.explode_pages(todo, keep=["file_name"])
-            write_messages(rows.select(F.col("element").alias("value")), path=f"{work}/messages",
-                           batch_id=batch_id, run_id=run_id)
-            append_manifest(incremental.pages_to_mark(todo), manifest_path)
-        finally:
-            todo.unpersist()
-
-    job.run_stream(spark, stream_pages(spark, f"{work}/landing", layout="lines",
-                                       max_bytes_per_trigger=admission_bytes(spark)),
-                   on_batch, f"{work}/checkpoint")
+    write_landing(derive.envelopes_from_events(_dealt(spark, sf_dir, "events")), f"{work}/landing")
+    jobs.replay_pages_job(spark, f"{work}/landing", f"{work}/manifest", f"{work}/checkpoint",
+                          messages=f"{work}/messages", layout="lines")
     msgs = read_message_files(spark, f"{work}/messages", streaming=False)
     el = F.from_json("value", "eventId BIGINT, eventType STRING, value DOUBLE")
     return msgs.select(el["eventId"].alias("event_id"), el["eventType"].alias("event_type"),
                        el["value"].alias("value"))
+
+
+# ---------------------------------------------------------------------------------------
+# A second run over a half-filled manifest. The first run replays the pages up to the
+# middle date; the second sees all pages from the start and takes only the rest. Every page
+# is logged once and its elements sent once.
+# ---------------------------------------------------------------------------------------
+MANIFEST_SPLIT = "2024-01-16"
+
+
+@register(
+    "manifest_resume",
+    f"""
+WITH b AS (SELECT event_id // 50 AS block, CAST(min(ts) AS DATE) AS page_date, count(*) AS n FROM events GROUP BY 1),
+p AS (SELECT page_date, block - min(block) OVER (PARTITION BY page_date) + 1 AS page_no, n FROM b)
+SELECT page_date, page_no, CAST(n AS BIGINT) AS messages, CAST(1 AS BIGINT) AS logged,
+       CASE WHEN page_date < DATE '{MANIFEST_SPLIT}' THEN 1 ELSE 2 END AS run FROM p
+""",
+)
+def manifest_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = shared_dir(spark, "manifest-resume")
+    pages = derive.envelopes_from_events(_dealt(spark, sf_dir, "events"))
+    early = F.col("page_date") < F.lit(MANIFEST_SPLIT).cast("date")
+    for n, landed in ((1, pages.filter(early)), (2, pages)):
+        write_landing(landed, f"{work}/landing{n}")
+        jobs.replay_pages_job(spark, f"{work}/landing{n}", f"{work}/manifest", f"{work}/checkpoint{n}",
+                              messages=f"{work}/messages{n}", layout="lines")
+    sent = [read_message_files(spark, f"{work}/messages{n}", streaming=False).withColumn("run", F.lit(n)) for n in (1, 2)]
+    counts = sent[0].union(sent[1]).groupBy("page_date", "page_no").agg(F.count("*").alias("messages"), F.max("run").alias("run"))
+    named = counts.withColumn("file_name", names.page_file_name("page_date", "page_no"))
+    log = read_state(spark, f"{work}/manifest", S.MANIFEST_DDL).groupBy("file_name").agg(F.count("*").alias("logged"))
+    return named.join(log, "file_name").select("page_date", "page_no", "messages", "logged", "run")

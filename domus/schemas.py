@@ -50,7 +50,11 @@ MARKER_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # ---------------------------------------------------------------------------------------
 
 CORRUPT_COLUMN = "_corrupt_record"
-MANIFEST_DDL = "file_name STRING, processed_at TIMESTAMP"
+MANIFEST_DDL = "page_date DATE, file_name STRING, processed_at TIMESTAMP"
+# Kept beside the published columns in the keyed table, for searches: listing fields, and the
+# date of the page a version came from.
+BESIDE_DDL = "country STRING, operation STRING"
+RECENCY = "page_date"
 MARKER_DDL = "pulled_at TIMESTAMP"
 
 

@@ -7,7 +7,7 @@ is the local/test case.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -41,15 +41,23 @@ def get_session(master: str | None = None, app: str = "domus", **conf: str) -> S
     return spark
 
 
-# Where a session without ``spark.checkpoint.dir`` (tests, a local run) keeps its fallback
+# Where a local session without ``spark.checkpoint.dir`` (tests, a local run) keeps its
 # folder. ``spark.checkpoint.dir`` itself is a core setting Spark will not change at runtime.
 FALLBACK_ROOT_KEY = "spark.domus.fallbackCheckpointRoot"
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Do the driver and all tasks share one machine's folders?"""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a private temp folder only when unset."""
+    """The cluster's shared checkpoint folder. Only a local session may go without: it gets a
+    private temp folder. Anywhere else a machine's own folder would lose data, so it is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(FALLBACK_ROOT_KEY, None)
     if not root:
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="domus-ckpt-")
         spark.conf.set(FALLBACK_ROOT_KEY, root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -58,9 +66,5 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, uniquely named folder under the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    """A fresh, uniquely named path under the shared checkpoint root; Spark's writers create it."""
+    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

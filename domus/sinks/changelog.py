@@ -1,17 +1,17 @@
 """Keyed upsert without a keyed store: a change log plus a latest-per-key view.
 
 Each micro-batch is deduplicated to one row per key, tagged with (run, batch) and written
-to ``<path>/run=<r>/batch=<b>`` with dynamic partition overwrite. Rewriting a batch id
-replaces exactly that batch, so at-least-once delivery (a replayed batch after a failure)
-has an exactly-once effect. The current table is ``max_by`` over the log by
-(run, batch, caller's order). Compaction writes the latest rows into a *new* folder; the
-folder being read is never overwritten.
+to ``<path>/run=<r>/batch=<b>`` with dynamic partition overwrite. The run is the id that the
+stream's checkpoint holds, so it outlives restarts: a batch that Spark replays replaces
+itself, and another stream never overwrites it. The current table is ``max_by`` over the
+log by the caller's order (real columns of the data; batch and run only break ties).
+Compaction writes the latest rows into a *new* folder; the folder being read is never
+overwritten.
 """
 
 from __future__ import annotations
 
-import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,41 +21,41 @@ from domus.operators.upsert import latest_per_key
 RUN_COL, BATCH_COL = "run", "batch"
 
 
-def new_run_id() -> int:
-    """Monotonic run number (epoch milliseconds at start): later runs sort after earlier ones."""
-    return int(time.time() * 1000)
-
-
 @dataclass
 class ChangeLog:
     path: str
     key: str
     order: list[str | Column]
-    run_id: int = field(default_factory=new_run_id)
 
-    def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        """foreachBatch body: H3 dedupe within the batch, then replace this batch's partition."""
+    def write_batch(self, df: DataFrame, batch_id: int, run_id: str) -> None:
+        """Batch body: H3 dedupe within the batch, then replace this batch's partition."""
         rows = latest_per_key(df, self.key, self.order)
-        (rows.withColumn(RUN_COL, F.lit(self.run_id).cast("bigint"))
+        (rows.withColumn(RUN_COL, F.lit(run_id))
          .withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
          .write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(RUN_COL, BATCH_COL)
          .parquet(self.path))
 
+    def _total_order(self) -> list[str | Column]:
+        return [*self.order, F.col(BATCH_COL), F.col(RUN_COL)]
+
     def read_log(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path)
+        return self._load(spark, self.path)
+
+    @staticmethod
+    def _load(spark: SparkSession, path: str) -> DataFrame:
+        # an all-digit run id must not be read as a number
+        return spark.read.parquet(path).withColumn(RUN_COL, F.col(RUN_COL).cast("string"))
 
     def latest(self, spark: SparkSession, path: str | None = None) -> DataFrame:
         """The keyed table: newest version per key across every logged batch and run."""
-        log = spark.read.parquet(path or self.path)
-        order = [F.col(RUN_COL), F.col(BATCH_COL), *[F.col(o) if isinstance(o, str) else o for o in self.order]]
-        return latest_per_key(log, self.key, order).drop(RUN_COL, BATCH_COL)
+        log = self._load(spark, path or self.path)
+        return latest_per_key(log, self.key, self._total_order()).drop(RUN_COL, BATCH_COL)
 
     def compact(self, spark: SparkSession, out_path: str) -> str:
         """Write the latest rows as one batch of a fresh log at ``out_path`` and return it."""
-        log = spark.read.parquet(self.path)
-        order = [F.col(RUN_COL), F.col(BATCH_COL), *[F.col(o) if isinstance(o, str) else o for o in self.order]]
-        keep = latest_per_key(log, self.key, order)
+        log = self._load(spark, self.path)
+        keep = latest_per_key(log, self.key, self._total_order())
         keep.write.mode("errorifexists").partitionBy(RUN_COL, BATCH_COL).parquet(out_path)
         return out_path

@@ -1,4 +1,4 @@
-"""Table sinks: append by format, DDL, landing write, manifest append, marker overwrite."""
+"""Table sinks: append by format, DDL, landing write, manifest append, marker versions, messages."""
 
 from __future__ import annotations
 
@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from domus import schemas as S
 from domus.functions.timefn import ts_literal
-from domus.sources.endpoints import KafkaEndpoint
-from domus.sources.tables import read_state
+from domus.sources.endpoints import MESSAGE_ORDER, KafkaEndpoint
+from domus.sources.tables import range_count, read_state
 
 
 def append(df: DataFrame, fmt: str = "parquet", path: str | None = None,
@@ -44,15 +44,16 @@ def write_landing(pages: DataFrame, path: str) -> None:
 
 
 def append_manifest(rows: DataFrame, path: str) -> None:
-    """Record processed file names. Call only after the data write has committed."""
-    rows.select("file_name", F.col("processed_at").cast("timestamp")).write.mode("append").parquet(path)
+    """Record processed file names under their page date, so that a batch reads only its own
+    dates. Call only after the data write has committed."""
+    (rows.select("page_date", "file_name", F.col("processed_at").cast("timestamp"))
+     .write.mode("append").partitionBy("page_date").parquet(path))
 
 
 def write_marker(spark: SparkSession, path: str, now: dt.datetime) -> None:
-    """Replace the last-pull marker with ``now`` (wall-clock text read in the session
-    zone, so the driver process's own time zone cannot shift it)."""
-    (spark.range(1).select(ts_literal(now, "timestamp").alias("pulled_at"))
-     .write.mode("overwrite").parquet(path))
+    """The last-pull marker becomes ``now`` (wall-clock text read in the session zone, so the
+    driver process's own time zone cannot shift it). Appends a version, see :func:`advance_marker`."""
+    spark.range(1).select(ts_literal(now, "timestamp").alias("pulled_at")).write.mode("append").parquet(path)
 
 
 def advance_marker(committed: DataFrame, path: str, ts_col: str) -> None:
@@ -82,30 +83,31 @@ def insert_into(df: DataFrame, table: str) -> None:
 
 def write_messages(df: DataFrame, ep: KafkaEndpoint | None = None, path: str | None = None,
                    key: str = "propertyCode", batch_id: int | None = None,
-                   run_id: int | None = None) -> None:
+                   run_id: str | None = None) -> None:
     """B1: one message per row (``value`` = raw element JSON), keyed by the listing id.
 
-    Keying by id sends every version of a listing to one topic partition, so the offset
-    orders versions of a key (a broker write is at-least-once; the keyed upsert downstream
-    makes a resend harmless). Without a broker the messages land as text files; given the
-    micro-batch id they go to ``run=<r>/batch=<id>/`` with dynamic overwrite, so a replayed
-    batch replaces its own files instead of duplicating them, and a new run (fresh
-    checkpoint, batch ids from 0 again) never overwrites an earlier run's batches.
+    The columns of MESSAGE_ORDER go with the message (absent ones as NULL): as columns of the
+    message files, as headers to a broker. They order versions of a key; the order in which
+    tasks happen to write does not. Files of a micro-batch go to ``run=<r>/batch=<b>/``
+    with dynamic overwrite, so a replayed batch replaces its own messages.
     """
     text = F.col("value").cast("string")
     key_col = F.get_json_object(text, f"$.{key}") if key else F.lit(None).cast("string")
-    out = df.select(key_col.alias("key"), text.alias("value"))
+    order = [(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c)
+             for c, t in zip(MESSAGE_ORDER, ("date", "bigint", "int"))]
+    out = df.select(*order, key_col.alias("key"), text.alias("value"))
     if ep is not None:
-        out.write.format("kafka").options(**ep.write_options()).save()
+        head = F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).cast("string").cast("binary").alias("value"))
+                         for c in MESSAGE_ORDER])
+        out.select("key", "value", head.alias("headers")).write.format("kafka").options(**ep.write_options()).save()
     elif path is not None and batch_id is not None:
         if run_id is None:
             raise ValueError("a per-batch message write needs the run id too")
-        (out.select(F.lit(run_id).cast("bigint").alias("run"), F.lit(batch_id).cast("bigint").alias("batch"),
-                    "value")
+        (out.withColumn("run", F.lit(run_id)).withColumn("batch", F.lit(batch_id).cast("bigint"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("run", "batch").text(path))
+         .partitionBy("run", "batch").parquet(path))
     elif path is not None:
-        out.select("value").write.mode("append").text(path)
+        out.write.mode("append").parquet(path)
     else:
         raise ValueError("need a broker endpoint or a path")
 
@@ -116,6 +118,5 @@ def write_snapshot(rows: DataFrame, path: str, partitions: int | None = None,
     sorted by (latitude, longitude, key), so every file and row group covers a narrow band
     and a radius search skips the others by their min/max statistics. The unique key in the
     range key lets one point holding a third of all listings still split over many tasks."""
-    n = int(partitions or rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (rows.repartitionByRange(n, lat, lon, key).sortWithinPartitions(lat, lon, key)
+    (rows.repartitionByRange(partitions or range_count(rows), lat, lon, key).sortWithinPartitions(lat, lon, key)
      .write.mode("errorifexists").parquet(path))

@@ -37,31 +37,18 @@ class KafkaEndpoint:
             o["minPartitions"] = str(self.min_partitions)
         return {**o, **self.options}
 
-    def batch_options(self) -> dict[str, str]:
-        o = {k: v for k, v in self.read_options().items()
-             if k not in ("maxOffsetsPerTrigger", "startingOffsets", "failOnDataLoss")}
-        o["startingOffsets"] = "earliest"
-        o["endingOffsets"] = "latest"
-        return o
-
     def write_options(self) -> dict[str, str]:
         return {"kafka.bootstrap.servers": self.bootstrap_servers, "topic": self.topic,
                 **{k: v for k, v in self.options.items() if k.startswith("kafka.")}}
 
 
 def read_kafka_stream(spark: SparkSession, ep: KafkaEndpoint) -> DataFrame:
-    """Streaming frame with key, value (binary), topic, partition, offset, timestamp."""
-    return spark.readStream.format("kafka").options(**ep.read_options()).load()
-
-
-def read_kafka_batch(spark: SparkSession, ep: KafkaEndpoint) -> DataFrame:
-    """The topic as a bounded batch (earliest..latest)."""
-    return spark.read.format("kafka").options(**ep.batch_options()).load()
-
-
-def has_data(df: DataFrame) -> bool:
-    """Does the (batch) source hold at least one row? A one-row job, not a count."""
-    return not df.limit(1).isEmpty()
+    """Value (binary), the version order that the producer put into the headers, and
+    (partition, offset), which break ties and order messages of other producers."""
+    df = spark.readStream.format("kafka").options(includeHeaders="true", **ep.read_options()).load()
+    head = F.map_from_entries(F.transform("headers", lambda h: F.struct(h["key"], h["value"].cast("string"))))
+    types = {"page_date": "date", "page_no": "bigint", "pos": "int"}
+    return df.select("value", *[head[c].cast(t).alias(c) for c, t in types.items()], "partition", "offset")
 
 
 def arrived(df: DataFrame, condition: Column | None = None) -> DataFrame:
@@ -74,7 +61,9 @@ def arrived(df: DataFrame, condition: Column | None = None) -> DataFrame:
     return rows.limit(1).agg((F.count(F.lit(1)) > 0).alias("arrived"))
 
 
-MESSAGE_ORDER = ["src_run", "src_batch", "file_name", "msg_hash"]
+# What orders the versions of a key: the page a message came from and its place in it.
+MESSAGE_ORDER = ["page_date", "page_no", "pos"]
+MESSAGE_DDL = "page_date DATE, page_no BIGINT, pos INT, key STRING, value STRING, run STRING, batch BIGINT"
 
 
 def admission_bytes(spark: SparkSession, per_core: int = 128 * 1024 * 1024) -> int:
@@ -84,26 +73,12 @@ def admission_bytes(spark: SparkSession, per_core: int = 128 * 1024 * 1024) -> i
 
 def read_message_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                        streaming: bool = True, max_bytes_per_trigger: int | None = None) -> DataFrame:
-    """Messages landed as text, one JSON message per line -> ``value`` (string), like a broker.
-
-    Adds the version-order columns of :data:`MESSAGE_ORDER`: the producing run and batch
-    (from a ``run=<r>/batch=<b>/`` folder, NULL when absent), the file name, and a 64-bit
-    hash of the message text as the last, deterministic tie-break (a text file carries no
-    line numbers; with a broker the order is (partition, offset)). The hash keeps the change
-    log from storing every message twice.
-    """
-    r = spark.readStream if streaming else spark.read
-    r = r.format("text")
+    """Messages that :func:`domus.sinks.tables.write_messages` landed: ``value`` and the
+    columns of :data:`MESSAGE_ORDER`, in which versions of a key are ordered whatever task,
+    file or batch they were written by."""
+    r = (spark.readStream if streaming else spark.read).format("parquet").schema(MESSAGE_DDL)
     if streaming and max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     elif streaming and max_bytes_per_trigger:
         r = r.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
-    df = r.load(path).select("value", F.col("_metadata.file_path").alias("_path"),
-                             F.col("_metadata.file_name").alias("file_name"))
-
-    def part(name: str):
-        txt = F.regexp_extract("_path", rf"/{name}=(\d+)/", 1)
-        return F.when(txt != "", txt.cast("bigint"))
-
-    return df.select("value", part("run").alias("src_run"), part("batch").alias("src_batch"),
-                     "file_name", F.xxhash64("value").alias("msg_hash"))
+    return r.load(path).select("value", *MESSAGE_ORDER)

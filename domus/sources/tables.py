@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -17,38 +18,32 @@ def read_external(spark: SparkSession, fmt: str, options: dict[str, str] | None
                   path: str | None = None) -> DataFrame:
     """Any table by format + options (parquet, a catalog table, or a connector's format).
 
-    The sink-table probe of the upstream job is ``read_external(...).limit(1)``: lazy, so it
-    only resolves the schema. Call :func:`probe` to actually touch the table.
+    The sink-table probe of the upstream job is ``read_external(...).limit(1)``.
     """
     r = spark.read.format(fmt).options(**(options or {}))
     return r.load(path) if path else r.load()
 
 
-def probe(df: DataFrame) -> bool:
-    """True when the table can be read (runs a one-row job, never a full scan)."""
-    return not df.limit(1).isEmpty()
-
-
 def read_state(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """A state table (manifest, marker) or an empty frame of the declared schema if absent."""
     schema: StructType = S.struct(ddl)
     try:
         return spark.read.schema(schema).parquet(path)
-    except Exception as e:  # missing path: start from empty state
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":  # no state yet; any other error is one
             return spark.createDataFrame([], schema)
         raise
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a batch input that arrives in fewer partitions than the cluster has cores.
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """The input dealt round robin over ``partitions`` tasks, where the caller asks for it (an
+    unsplittable source before CPU-heavy work); as it is by default."""
+    return df.repartition(partitions) if partitions else df
 
-    For CPU-heavy per-row work (JSON encode/decode) on a source that cannot be split (one
-    row group, one file). A large input already has more splits than cores and is returned
-    unchanged, so no shuffle is added at scale. Streaming inputs are returned unchanged
-    (set the source's own split option, e.g. ``minPartitions``, instead).
-    """
-    if df.isStreaming:
-        return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+def range_count(df: DataFrame, bytes_per_range: int = 128 * 1024 * 1024) -> int:
+    """How many ranges to deal ``df`` into: its rows are counted (a pass that reads only the
+    columns its filters need) and weighed by Spark's default width of their types, so the
+    number grows with the input and each range stays about ``bytes_per_range``."""
+    width = df._jdf.schema().defaultSize()
+    return max(1, -(-df.count() * width // bytes_per_range))

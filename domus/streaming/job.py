@@ -1,12 +1,13 @@
 """Run a streaming job: foreachBatch sink, append mode, trigger, checkpoint, watchdog.
 
-``publish_stream`` is the upstream job end to end: message stream -> decode -> published
-projection -> quarantine split -> keyed change log. Everything is planned per micro-batch
+``publish_batch_fn`` is the upstream job's batch: messages -> decode -> published projection
+and quarantine -> keyed change log. Everything is planned per micro-batch
 by Catalyst; the only driver-side code is the batch callback choosing where to write.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -14,11 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from domus import schemas as S
-from domus.operators.decode import decode_and_publish, quarantine_flags
+from domus.operators.decode import decode_and_publish
 from domus.sinks.changelog import BATCH_COL, RUN_COL, ChangeLog
 from domus.streaming.listener import InactivityListener, InactivityStopper
 
-BatchFn = Callable[[DataFrame, int], None]
+# (batch, batch id, run id)
+BatchFn = Callable[[DataFrame, int, str], None]
+
+
+def run_id_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark keeps in a stream's checkpoint: the same after every restart, and another
+    for every other checkpoint."""
+    text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(text)["id"]
 
 
 @dataclass
@@ -52,11 +61,21 @@ def run_stream(
     """
     if not checkpoint:
         raise ValueError("a checkpoint location is required")
-    listener = InactivityListener()
+    listener = InactivityListener(collect_events)
     spark.streams.addListener(listener)
-    stopper = None
+    stopper, batches, run = None, [0], []
+
+    def call(batch: DataFrame, batch_id: int) -> None:
+        if not run:  # the checkpoint has its id before the first batch
+            run.append(run_id_of(spark, checkpoint))
+        on_batch(batch, batch_id, run[0])
+        batches[0] += 1
+
     try:
-        w = df.writeStream.foreachBatch(on_batch).outputMode("append").option(
+        if inactivity_timeout is not None:
+            # a no-data trigger must report itself well within the timeout
+            spark.conf.set("spark.sql.streaming.noDataProgressEventInterval", str(max(100, int(inactivity_timeout * 500))))
+        w = df.writeStream.foreachBatch(call).outputMode("append").option(
             "checkpointLocation", checkpoint
         )
         if query_name:
@@ -73,49 +92,34 @@ def run_stream(
         if collect_events:
             # listener events travel on an asynchronous bus; let the last ones arrive
             listener.wait_terminated(str(q.id), timeout=10.0)
-        batches = len([p for p in q.recentProgress if p.get("numInputRows", 0) > 0]) if q.recentProgress else 0
-        return StreamRun(str(q.id), batches, bool(stopper and stopper.stopped_for_inactivity),
+        return StreamRun(str(q.id), batches[0], bool(stopper and stopper.stopped_for_inactivity),
                          list(listener.events))
     finally:
         if stopper is not None:
             stopper.close()
         spark.streams.removeListener(listener)
+        if inactivity_timeout is not None:
+            spark.conf.unset("spark.sql.streaming.noDataProgressEventInterval")
 
 
-def publish_batch_fn(changelog: ChangeLog, quarantine_path: str | None = None,
-                     keep_corrupt: bool = False) -> BatchFn:
-    """foreachBatch body for published listings: storable rows -> change log, others aside."""
+def publish_batch_fn(changelog: ChangeLog, order_cols: list[str], quarantine_path: str | None = None,
+                     lenient_maps: bool = False) -> BatchFn:
+    """Batch body for listing messages (``value`` and ``order_cols``): listings with a key go to
+    the change log, decoded from the fields that are kept; messages without one go to the
+    quarantine with their raw ``value``, and only they are decoded in full."""
+    beside = tuple(S.struct(S.BESIDE_DDL).fieldNames())
 
-    def fn(batch: DataFrame, batch_id: int) -> None:
+    def fn(batch: DataFrame, batch_id: int, run_id: str) -> None:
+        good = decode_and_publish(batch, keep=order_cols, lenient_maps=lenient_maps, beside=beside)
+        changelog.write_batch(good.filter(F.col(S.PUBLISHED_KEY).isNotNull()), batch_id, run_id)
         if quarantine_path is None:
-            changelog.write_batch(batch.filter(F.col(S.PUBLISHED_KEY).isNotNull()), batch_id)
             return
-        flagged = quarantine_flags(batch).persist()
-        try:
-            good = flagged.filter(~F.col("quarantined")).drop("quarantined", "flagged")
-            if S.CORRUPT_COLUMN in good.columns:
-                good = good.drop(S.CORRUPT_COLUMN)
-            changelog.write_batch(good, batch_id)
-            # (run, batch) like the change log: a replay overwrites itself, a new run never
-            # overwrites an earlier run's quarantined rows
-            (flagged.filter(F.col("quarantined"))
-             .withColumn(RUN_COL, F.lit(changelog.run_id).cast("bigint"))
-             .withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(RUN_COL, BATCH_COL).parquet(quarantine_path))
-        finally:
-            flagged.unpersist()
+        code = F.from_json(F.col("value").cast("string"), "propertyCode STRING")["propertyCode"]
+        aside = batch.filter(code.isNull()).withColumn("value", F.col("value").cast("string"))
+        # (run, batch) like the change log: a replay overwrites itself
+        (decode_and_publish(aside, keep=["value", *order_cols], keep_corrupt=True, lenient_maps=lenient_maps)
+         .withColumn(RUN_COL, F.lit(run_id)).withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(RUN_COL, BATCH_COL).parquet(quarantine_path))
 
     return fn
-
-
-def publish_stream(messages: DataFrame, changelog: ChangeLog, order_cols: list[str],
-                   quarantine_path: str | None = None,
-                   lenient_maps: bool = False) -> tuple[DataFrame, BatchFn]:
-    """The streaming transform plus its batch sink. ``messages`` has ``value`` and the
-    ``order_cols`` that order versions of a key (e.g. file name + line, or offset).
-    ``lenient_maps``: see :func:`domus.operators.decode.lenient_lookups` (off by default)."""
-    keep_corrupt = quarantine_path is not None
-    published = decode_and_publish(messages, keep=order_cols, keep_corrupt=keep_corrupt,
-                                   lenient_maps=lenient_maps)
-    return published, publish_batch_fn(changelog, quarantine_path, keep_corrupt)

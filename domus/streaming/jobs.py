@@ -18,7 +18,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from domus import schemas as S
 from domus.operators import incremental, search
 from domus.operators import pages as pages_op
-from domus.sinks.changelog import ChangeLog, new_run_id
+from domus.sinks.changelog import ChangeLog
 from domus.operators.decode import listing_element
 from domus.sinks.tables import (append_manifest, write_landing, write_marker, write_messages,
                                 write_snapshot)
@@ -34,7 +34,7 @@ from domus.sources.endpoints import (MESSAGE_ORDER, KafkaEndpoint, admission_byt
                                      read_message_files)
 from domus.sources.pages import stream_pages
 from domus.sources.tables import read_state
-from domus.streaming.job import StreamRun, publish_stream, run_stream
+from domus.streaming.job import StreamRun, publish_batch_fn, run_stream
 
 
 @dataclass
@@ -47,14 +47,10 @@ class PublishPaths:
 def message_stream(spark: SparkSession, kafka: KafkaEndpoint | None = None,
                    files: str | None = None, max_files_per_trigger: int | None = None
                    ) -> tuple[DataFrame, list[str]]:
-    """(stream with ``value``, columns that order versions of a key).
-
-    Broker: (partition, offset); messages are keyed by listing id, so every version of a
-    key sits in one partition and its offset is a total order. Files: (run, batch, file,
-    message hash).
-    """
+    """(stream with ``value``, columns that order versions of a key): the page date, page number
+    and position that each message carries; from a broker then partition and offset."""
     if kafka is not None:
-        return read_kafka_stream(spark, kafka).select("value", "partition", "offset"), ["partition", "offset"]
+        return read_kafka_stream(spark, kafka), [*MESSAGE_ORDER, "partition", "offset"]
     if files is None:
         raise ValueError("need a broker endpoint or a message folder")
     df = read_message_files(spark, files, max_files_per_trigger,
@@ -69,22 +65,23 @@ def publish_job(spark: SparkSession, paths: PublishPaths, kafka: KafkaEndpoint |
                 lenient_maps: bool = False) -> StreamRun:
     stream, order = message_stream(spark, kafka, files, max_files_per_trigger)
     log = ChangeLog(paths.table, key=S.PUBLISHED_KEY, order=order)
-    published, on_batch = publish_stream(stream, log, order, paths.quarantine, lenient_maps=lenient_maps)
-    return run_stream(spark, published, on_batch, paths.checkpoint, available_now=available_now,
-                      processing_time=processing_time, query_name=None,
+    return run_stream(spark, stream, publish_batch_fn(log, order, paths.quarantine, lenient_maps), paths.checkpoint,
+                      available_now=available_now, processing_time=processing_time, query_name=None,
                       inactivity_timeout=inactivity_timeout, poll_interval=poll_interval)
 
 
 def _table_log(spark: SparkSession, table: str) -> ChangeLog:
     log = spark.read.parquet(table)
-    order = [c for c in ("partition", "offset", *MESSAGE_ORDER) if c in log.columns]
+    order = [c for c in (*MESSAGE_ORDER, "partition", "offset") if c in log.columns]
     return ChangeLog(table, key=S.PUBLISHED_KEY, order=order)
 
 
-def published_table(spark: SparkSession, table: str) -> DataFrame:
-    """Current keyed table: the latest published row per listing (order columns dropped)."""
+def published_table(spark: SparkSession, table: str, beside: bool = False) -> DataFrame:
+    """Current keyed table: the latest published row per listing. With ``beside`` also what
+    searches need next to the published columns: country, operation and the page date."""
     cols = S.struct(S.PUBLISHED_DDL).fieldNames()
-    return _table_log(spark, table).latest(spark).select(*cols)
+    more = [*S.struct(S.BESIDE_DDL).fieldNames(), S.RECENCY] if beside else []
+    return _table_log(spark, table).latest(spark).select(*cols, *more)
 
 
 def snapshot_job(spark: SparkSession, table: str, out: str, partitions: int | None = None) -> str:
@@ -92,7 +89,7 @@ def snapshot_job(spark: SparkSession, table: str, out: str, partitions: int | No
     location (see :func:`domus.sinks.tables.write_snapshot`): every row group covers a narrow
     band and its min/max statistics let a radius search skip the rest. Searching it needs no
     aggregation and no shuffle."""
-    write_snapshot(published_table(spark, table), out, partitions)
+    write_snapshot(published_table(spark, table, beside=True), out, partitions)
     return out
 
 
@@ -109,37 +106,56 @@ def replay_pages_job(spark: SparkSession, landing: str, manifest: str, checkpoin
     """Pages -> messages. Manifest rows are appended only after the batch's messages are
     written, and are built from the page rows (an empty page is marked, a page with no
     element list is not)."""
-    run_id = new_run_id()
+    return run_stream(spark, _page_source(spark, landing, layout, max_files_per_trigger),
+                      replay_batch_fn(manifest, kafka, messages), checkpoint)
+
+
+def replay_batch_fn(manifest: str, kafka: KafkaEndpoint | None = None, messages: str | None = None):
+    """Batch body of the replay: pages that the manifest lacks become messages in page order
+    columns, then enter the manifest. A replayed batch overwrites its own messages; if it had
+    already entered the manifest, its pages are left out, so the messages it wrote stay."""
 
-    def on_batch(pages: DataFrame, batch_id: int) -> None:
-        todo = incremental.exclude_processed(pages, read_state(spark, manifest, S.MANIFEST_DDL)).persist()
+    def on_batch(pages: DataFrame, batch_id: int, run_id: str) -> None:
+        state = read_state(pages.sparkSession, manifest, S.MANIFEST_DDL)
+        todo = incremental.exclude_processed(pages, incremental.manifest_of(state, pages)).persist()
         try:
-            rows = pages_op.explode_pages(todo, keep=["file_name"]).select(F.col("element").alias("value"))
-            write_messages(rows, ep=kafka, path=messages, batch_id=batch_id if kafka is None else None,
-                           run_id=run_id)
+            if todo.isEmpty():
+                return
+            rows = pages_op.explode_pages(todo, keep=["page_date", "page_no"])
+            write_messages(rows.withColumnRenamed("element", "value"), ep=kafka, path=messages,
+                           batch_id=batch_id if kafka is None else None, run_id=run_id)
             append_manifest(incremental.pages_to_mark(todo), manifest)
         finally:
             todo.unpersist()
 
-    src = stream_pages(spark, landing, layout=layout, max_files_per_trigger=max_files_per_trigger,
-                       max_bytes_per_trigger=None if max_files_per_trigger else admission_bytes(spark))
-    return run_stream(spark, src, on_batch, checkpoint)
+    return on_batch
+
+
+def _page_source(spark: SparkSession, landing: str, layout: str, max_files_per_trigger: int | None) -> DataFrame:
+    return stream_pages(spark, landing, layout=layout, max_files_per_trigger=max_files_per_trigger,
+                        max_bytes_per_trigger=None if max_files_per_trigger else admission_bytes(spark))
+
+
+def _searched(spark: SparkSession, table: str, req: search.SearchRequest, published_at: str | None,
+              snapshot: bool = False) -> tuple[DataFrame, search.SearchRequest, search.ListingColumns]:
+    """The table, the request ordered by the table's recency column, and the column names. A
+    predicate whose column the table lacks raises; a table without the recency column is ordered by key."""
+    df = spark.read.parquet(table) if snapshot else published_table(spark, table, beside=True)
+    recency = published_at or S.RECENCY
+    order = recency if recency in df.columns else S.PUBLISHED_KEY
+    return df, replace(req, order_by=order), search.ListingColumns(published_at=recency)
 
 
 def search_job(spark: SparkSession, table: str, req: search.SearchRequest,
                published_at: str | None = None, snapshot: bool = False) -> DataFrame:
-    """One page of results over the published table (distance added when a centre is set).
+    """One page of results over the published table (distance added when a centre is set),
+    newest page date first unless ``published_at`` names another recency column.
 
-    The published projection has no publication time; pass ``published_at`` to name a
-    column that carries one, else results are ordered by key only. With ``snapshot`` the
-    table is one written by :func:`snapshot_job` and is read as is: the predicates reach
-    the scan. Otherwise the change log is reduced to its latest rows first (predicates can
-    only apply after that, or an older version could match).
+    With ``snapshot`` the table is one written by :func:`snapshot_job` and is read as is: the
+    predicates reach the scan. Otherwise the change log is reduced to its latest rows first
+    (predicates can only apply after that, or an older version could match).
     """
-    df = spark.read.parquet(table) if snapshot else published_table(spark, table)
-    cols = search.ListingColumns(published_at=published_at or S.PUBLISHED_KEY)
-    if published_at is None:
-        req = search.SearchRequest(**{**req.__dict__, "order_by": S.PUBLISHED_KEY, "since": None})
+    df, req, cols = _searched(spark, table, req, published_at, snapshot)
     page = search.search(df, req, cols)
     if req.center is not None:
         page = search.with_distance(page, req.center)
@@ -149,16 +165,14 @@ def search_job(spark: SparkSession, table: str, req: search.SearchRequest,
 def land_search_job(spark: SparkSession, table: str, req: search.SearchRequest, landing: str,
                     pull_date: dt.date, published_at: str | None = None) -> None:
     """Every page of ``req`` over the published table, ``req.max_items`` per page in the
-    request's order (key order when the table has no publication time), landed as one
-    envelope per page under ``page_date=<pull_date>``. Re-landing a date replaces it."""
-    df = published_table(spark, table)
-    cols = search.ListingColumns(published_at=published_at or S.PUBLISHED_KEY)
-    hits = search.search_filter(df, search.SearchRequest(**{**req.__dict__, "since": None})
-                                if published_at is None else req, cols)
-    elements = hits.select(cols.key, cols.published_at, listing_element().alias("element")) \
-        if cols.published_at != cols.key else hits.select(cols.key, listing_element().alias("element"))
-    paged = search.paginate(elements, cols.published_at, cols.key, descending=req.descending,
-                            max_items=req.max_items, with_total=True)
+    request's order, landed as one envelope per page under ``page_date=<pull_date>``.
+    Re-landing a date replaces it."""
+    df, req, cols = _searched(spark, table, req, published_at)
+    element = listing_element(tuple(S.struct(S.BESIDE_DDL).fieldNames())).alias("element")
+    # numbered by the narrow order and key; the elements' JSON is built from the rows after that
+    hits = search.search_filter(df, req, cols)
+    paged = search.paginate(hits, req.order_by, cols.key, descending=req.descending,
+                            max_items=req.max_items, with_total=True).select("page_no", "pos", "total", element)
     write_landing(pages_op.page_envelopes(paged, F.lit(pull_date), max_items=req.max_items), landing)
 
 
@@ -173,7 +187,7 @@ def pull_job(spark: SparkSession, table: str, landing: str, marker: str, req: se
     if not incremental.should_pull(bucket):
         return {"bucket": bucket, "pulled": False}
     since = None if bucket == "AllTime" else bucket
-    req = search.SearchRequest(**{**req.__dict__, "since": since, "as_of": now})
+    req = replace(req, since=since, as_of=now)
     land_search_job(spark, table, req, landing, now.date(), published_at)
     write_marker(spark, marker, now)
     return {"bucket": bucket, "pulled": True}

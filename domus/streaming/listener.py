@@ -1,9 +1,10 @@
 """Stop a streaming query after a period without progress.
 
 The listener refreshes a per-query clock on start and on every progress event (a
-micro-batch ran); idle events do not refresh it, but they show the query is running. A
-daemon thread polls the clock and stops the query *by id* once it has been quiet longer
-than the timeout.
+micro-batch ran). An idle event tells that a trigger found no data. A daemon thread stops
+the query *by id* once such an event has followed the last progress and the clock has stood
+longer than the timeout: quiet alone, as while events are late or a batch is long, is not
+taken for the end of the data.
 """
 
 from __future__ import annotations
@@ -19,12 +20,12 @@ log = logging.getLogger(__name__)
 
 
 class InactivityListener(StreamingQueryListener):
-    def __init__(self, clock=time.monotonic):
-        self._clock = clock
+    def __init__(self, collect: bool = False, clock=time.monotonic):
+        self._clock, self._collect = clock, collect
         self._last: dict[str, float] = {}
         self._lock = threading.Lock()
         self._ended: dict[str, threading.Event] = {}
-        self._ran: set[str] = set()  # queries that completed a trigger (progress or idle)
+        self._idle: set[str] = set()  # queries whose last event was a trigger without data
         self.events: list[tuple[str, str]] = []
 
     def _ended_flag(self, qid: str) -> threading.Event:
@@ -35,32 +36,36 @@ class InactivityListener(StreamingQueryListener):
         """Block until this listener has seen the query's terminated event (bus is async)."""
         return self._ended_flag(qid).wait(timeout)
 
+    def _note(self, kind: str, qid: str) -> None:
+        if self._collect:
+            self.events.append((kind, qid))
+
     def _touch(self, qid: str) -> None:
         with self._lock:
             self._last[qid] = self._clock()
 
     def onQueryStarted(self, event) -> None:
-        self.events.append(("started", str(event.id)))
+        self._note("started", str(event.id))
         self._touch(str(event.id))
 
     def onQueryProgress(self, event) -> None:
-        self.events.append(("progress", str(event.progress.id)))
+        self._note("progress", str(event.progress.id))
         self._touch(str(event.progress.id))
         with self._lock:
-            self._ran.add(str(event.progress.id))
+            self._idle.discard(str(event.progress.id))
 
     def onQueryIdle(self, event) -> None:
-        self.events.append(("idle", str(event.id)))
+        self._note("idle", str(event.id))
         with self._lock:
-            self._ran.add(str(event.id))
+            self._idle.add(str(event.id))
 
-    def has_run(self, qid: str) -> bool:
-        """Has the query completed a trigger yet (a batch, or a check that found no data)?"""
+    def found_no_data(self, qid: str) -> bool:
+        """Has a trigger found no data since the query's last progress?"""
         with self._lock:
-            return qid in self._ran
+            return qid in self._idle
 
     def onQueryTerminated(self, event) -> None:
-        self.events.append(("terminated", str(event.id)))
+        self._note("terminated", str(event.id))
         with self._lock:
             self._last.pop(str(event.id), None)
         self._ended_flag(str(event.id)).set()
@@ -91,13 +96,9 @@ class InactivityStopper:
             q = self.spark.streams.get(qid)
             if q is None or not q.isActive:
                 return
-            # A progress event only arrives when a micro-batch ends, so a batch that runs
-            # longer than the timeout looks idle. Never stop before the query has completed
-            # a trigger (sources opening, first offsets being listed), nor while a trigger
-            # is running with data. An empty source still stops: its no-data triggers
-            # report idle events.
+            # Stop only after a trigger that found no data, and not while one runs with data.
             status = q.status
-            if not self.listener.has_run(qid) or (
+            if not self.listener.found_no_data(qid) or (
                     status.get("isTriggerActive") and status.get("isDataAvailable")):
                 continue
             idle = self.listener.idle_seconds(qid)

@@ -6,8 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from domus.sources.endpoints import KafkaEndpoint, has_data
-from domus.sources.tables import probe, read_external
+from domus.plans.queries import ORACLE_SQL, QUERIES
+from domus.sources.endpoints import KafkaEndpoint
 
 SMOKE = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -21,20 +21,10 @@ def test_kafka_options():
     assert o["subscribe"] == "listings" and o["startingOffsets"] == "earliest"
     assert o["maxOffsetsPerTrigger"] == "1000" and o["minPartitions"] == "64"
     assert o["kafka.security.protocol"] == "SASL_SSL"
-    b = ep.batch_options()
-    assert b["endingOffsets"] == "latest" and "maxOffsetsPerTrigger" not in b
     w = ep.write_options()
     assert w == {"kafka.bootstrap.servers": "broker:9092", "topic": "listings", "kafka.security.protocol": "SASL_SSL"}
 
 
-def test_has_data_and_probe(spark, tmp):
-    assert not has_data(spark.range(0))
-    assert has_data(spark.range(5))
-    spark.range(3).write.parquet(tmp + "/t")
-    df = read_external(spark, "parquet", path=tmp + "/t")
-    assert probe(df)
-
-
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
@@ -42,7 +32,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL) and QUERIES.items() <= E.queries().items()
+    assert E.oracle_sql().keys() <= E.queries().keys()
 
 
 def _norm(v):
@@ -78,7 +69,7 @@ FORBIDDEN_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas"
                    "CartesianProduct", "BroadcastNestedLoopJoin")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle_sf0001(spark, duck, name):
     df = E.queries()[name](spark, SMOKE)
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -91,13 +82,22 @@ def test_query_matches_oracle_sf0001(spark, duck, name):
     assert _rows(got) == _rows(want)
 
 
-def test_spread_only_when_input_is_narrow(spark, tmp):
+def test_spread_deals_only_where_asked(spark):
     from domus.sources.tables import spread
     narrow = spark.range(0, 1000, numPartitions=1)
-    wide = spark.range(0, 1000, numPartitions=16)
-    assert spread(narrow, 8).rdd.getNumPartitions() == 8
-    assert spread(wide, 8) is wide  # already wide enough: no shuffle added
+    assert spread(narrow) is narrow
     assert sorted(r[0] for r in spread(narrow, 8).collect()) == list(range(1000))
+    assert "RoundRobin" in spread(narrow, 8)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("master", ["spark://host:7077", "yarn", "local-cluster[3,2,1024]"])
+def test_no_machine_folder_on_a_cluster(master):
+    from types import SimpleNamespace
+
+    from domus.session import checkpoint_root
+    bare = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master=master))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(bare)
 
 
 def test_create_table_and_append(spark, tmp):

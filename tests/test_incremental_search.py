@@ -25,10 +25,17 @@ def test_manifest_and_marker_state(spark, tmp):
     m = read_state(spark, tmp + "/manifest", S.MANIFEST_DDL)
     assert m.count() == 0
     now = dt.datetime(2024, 5, 28, 18, 29, 5)
-    rows = spark.createDataFrame([("a.json", now)], S.MANIFEST_DDL)
+    rows = spark.createDataFrame([(now.date(), "a.json", now)], S.MANIFEST_DDL)
     append_manifest(rows, tmp + "/manifest")
     append_manifest(rows, tmp + "/manifest")
     assert read_state(spark, tmp + "/manifest", S.MANIFEST_DDL).count() == 2
+    pages = spark.createDataFrame([(now.date(), "a.json"), (now.date() + dt.timedelta(1), "b.json")], "page_date date, file_name string")
+    mine = incremental.manifest_of(read_state(spark, tmp + "/manifest", S.MANIFEST_DDL), pages.filter("file_name = 'b.json'"))
+    assert mine.count() == 0
+    with open(tmp + "/no-table", "w") as f:
+        f.write("not a table")
+    with pytest.raises(Exception):  # a state that cannot be read is an error, not an empty state
+        read_state(spark, tmp + "/no-table", S.MANIFEST_DDL).count()
     marker = read_state(spark, tmp + "/marker", S.MARKER_DDL)
     assert incremental.pull_decision(spark, marker, now) == "AllTime"
     write_marker(spark, tmp + "/marker", now)
@@ -72,8 +79,8 @@ def _listings(spark):
     lat0, lon0 = 38.371622, -0.424756
     base = dt.datetime(2024, 5, 21)
     rows = [
-        ("1", "es", "rent", "flat", 1200.0, 38.382912, -0.4134749, base),
-        ("2", "es", "rent", "studio", 1000.0, 38.3651024, -0.4197595, base - dt.timedelta(days=3)),
+        ("1", "es", "rent", "flat", 1200.0, 38.3829, -0.4135, base),
+        ("2", "es", "rent", "studio", 1000.0, 38.3651, -0.4198, base - dt.timedelta(days=3)),
         ("3", "es", "rent", "flat", 1200.01, lat0, lon0, base),
         ("4", "es", "sale", "flat", 900.0, lat0, lon0, base),
         ("5", "pt", "rent", "flat", 900.0, lat0, lon0, base),
@@ -113,14 +120,28 @@ def test_paging_is_deterministic_and_complete(spark):
     assert seen == sorted(seen, reverse=True)
 
 
-def test_deep_pages_come_from_the_numbered_result(spark):
-    # the same pages whether served by the top-k buffer or cut from the numbered result
+def test_every_page_numbered_at_once_equals_page_by_page(spark):
     df = spark.range(0, 537, numPartitions=5).select(F.col("id").alias("propertycode"),
                                                      (F.col("id") % 11).alias("published_at"))
+    paged = search.paginate(df, "published_at", "propertycode", True, 50, partitions=4)
     for n in (1, 4, 11):
         topk = search.order_and_page(df, "published_at", "propertycode", True, 50, n).collect()
-        deep = search.order_and_page(df, "published_at", "propertycode", True, 50, n, deep_page_rows=1).collect()
-        assert deep == topk and len(deep) == (37 if n == 11 else 50)
+        whole = paged.filter(F.col("page_no") == n).orderBy("pos").select("propertycode", "published_at").collect()
+        assert whole == topk and len(whole) == (37 if n == 11 else 50)
+
+
+def test_a_deep_page_runs_no_job_while_it_is_built(spark):
+    df = spark.range(0, 10).select(F.col("id").alias("propertycode"), F.raise_error(F.lit("read")).alias("published_at"))
+    search.order_and_page(df, "published_at", "propertycode", True, 50, 100_000)  # not an action
+
+
+def test_range_count_rises_with_the_input(spark, tmp):
+    from domus.sources.tables import range_count
+    for n in (1_000, 100_000):
+        spark.range(0, n).write.parquet(f"{tmp}/t{n}")
+    counts = [range_count(spark.read.parquet(f"{tmp}/t{n}"), bytes_per_range=1024) for n in (1_000, 100_000)]
+    assert 1 <= counts[0] < counts[1] / 10
+    assert range_count(spark.read.parquet(f"{tmp}/t1000")) == 1
 
 
 def test_paging_plan_is_top_k_not_global_sort(spark):
@@ -144,7 +165,7 @@ def test_search_predicates_reach_parquet_scan(spark, tmp):
 
 def test_with_distance(spark):
     out = search.with_distance(_listings(spark).filter("propertycode = '1'"), (38.371622, -0.424756))
-    assert out.first()["distance"] == "1594"
+    assert out.first()["distance"] == "1592"
 
 
 def test_limit_one(spark):

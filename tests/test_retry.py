@@ -1,4 +1,4 @@
-"""Task loss: results of the paging and topic jobs survive tasks that fail and rerun."""
+"""Task loss: results of paging and message jobs survive tasks that fail and rerun."""
 
 import json
 import subprocess
@@ -13,4 +13,4 @@ def test_results_survive_task_reruns():
     assert proc.returncode == 0, proc.stderr[-3000:]
     result = json.loads([line for line in proc.stdout.splitlines() if line.startswith("{")][-1])
     assert result["paging_ok"]
-    assert result["topic_rows"] == result["lineitem_rows"] and result["dup_offsets"] == 0
+    assert result["messages"] == result["lineitem_rows"] and result["repeated"] == 0

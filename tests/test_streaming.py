@@ -1,10 +1,15 @@
 """Structured Streaming: stream == batch, restart processes nothing twice, quarantine,
 inactivity stop, listener clean-up."""
 
+import datetime as dt
 import json
 import os
 import time
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.errors import StreamingQueryException
 
 from domus import schemas as S
 from domus.operators import decode
@@ -20,22 +25,24 @@ def _msg(code, price, **kw):
     return json.dumps(d)
 
 
-def _land(root, name, lines):
+def _land(root, name, lines, date="2024-05-21", page=1):
+    """One message file: the lines of one page, in order."""
     os.makedirs(root, exist_ok=True)
-    with open(os.path.join(root, name), "w") as f:
-        f.write("\n".join(lines) + "\n")
+    n = len(lines)
+    pq.write_table(pa.table({"page_date": pa.array([dt.date.fromisoformat(date)] * n), "page_no": pa.array([page] * n, pa.int64()),
+                             "pos": pa.array(range(n), pa.int32()), "key": pa.nulls(n, pa.string()), "value": lines}),
+                   os.path.join(root, name.replace(".txt", ".parquet")))
 
 
 def _run(spark, tmp, log, quarantine=True, collect_events=False):
     stream = read_message_files(spark, tmp + "/in", max_files_per_trigger=1)
-    published, fn = job.publish_stream(stream, log, MESSAGE_ORDER,
-                                       quarantine_path=tmp + "/quarantine" if quarantine else None)
-    return job.run_stream(spark, published, fn, tmp + "/ckpt", collect_events=collect_events)
+    fn = job.publish_batch_fn(log, MESSAGE_ORDER, tmp + "/quarantine" if quarantine else None)
+    return job.run_stream(spark, stream, fn, tmp + "/ckpt", collect_events=collect_events)
 
 
 def test_stream_equals_batch_and_restart_is_idempotent(spark, tmp):
     _land(tmp + "/in", "m1.txt", [_msg("a", 1.0), _msg("b", 2.0), "junk"])
-    _land(tmp + "/in", "m2.txt", [_msg("a", 3.0), _msg("c", None)])
+    _land(tmp + "/in", "m2.txt", [_msg("a", 3.0), _msg("c", None)], page=2)
     log = ChangeLog(tmp + "/log", key=S.PUBLISHED_KEY, order=MESSAGE_ORDER)
     run = _run(spark, tmp, log)
     assert run.batches == 2
@@ -44,13 +51,14 @@ def test_stream_equals_batch_and_restart_is_idempotent(spark, tmp):
     # batch semantics on the same rows
     batch = decode.decode_and_publish(read_message_files(spark, tmp + "/in", streaming=False))
     assert batch.filter("propertycode IS NOT NULL").count() == 4 and batch.count() == 5
-    assert spark.read.parquet(tmp + "/quarantine").count() == 1
+    assert [r["value"] for r in spark.read.parquet(tmp + "/quarantine").collect()] == ["junk"]
     rows_before = log.read_log(spark).count()
     # restart on the same checkpoint: nothing new, nothing reprocessed
     run2 = _run(spark, tmp, log)
     assert run2.batches == 0 and log.read_log(spark).count() == rows_before
     # a new file after restart is picked up as the next batch
-    _land(tmp + "/in", "m3.txt", [_msg("b", 9.0)])
+    _land(tmp + "/in", "m3.txt", [_msg("b", 9.0), _msg("a", 0.5)], date="2024-05-21", page=1)
+    _land(tmp + "/in", "m4.txt", [_msg("b", 9.0)], date="2024-05-22")
     _run(spark, tmp, log)
     got = {r["propertycode"]: r["price"] for r in log.latest(spark).collect()}
     assert got == {"a": 3.0, "b": 9.0, "c": None}
@@ -71,9 +79,8 @@ def test_inactivity_stops_query_by_id(spark, tmp):
     _land(tmp + "/in", "m1.txt", [_msg("a", 1.0)])
     log = ChangeLog(tmp + "/log", key=S.PUBLISHED_KEY, order=MESSAGE_ORDER)
     stream = read_message_files(spark, tmp + "/in")
-    published, fn = job.publish_stream(stream, log, MESSAGE_ORDER)
     t0 = time.time()
-    run = job.run_stream(spark, published, fn, tmp + "/ckpt", available_now=False,
+    run = job.run_stream(spark, stream, job.publish_batch_fn(log, MESSAGE_ORDER), tmp + "/ckpt", available_now=False,
                          processing_time="1 second", inactivity_timeout=3.0, poll_interval=0.5)
     assert run.stopped_for_inactivity
     assert time.time() - t0 < 60
@@ -85,15 +92,15 @@ def test_watchdog_waits_for_a_batch_longer_than_the_timeout(spark, tmp):
     # No progress event arrives while a batch runs; the watchdog must not cut the batch.
     _land(tmp + "/in", "m1.txt", [_msg("a", 1.0)])
     log = ChangeLog(tmp + "/log", key=S.PUBLISHED_KEY, order=MESSAGE_ORDER)
-    published, fn = job.publish_stream(read_message_files(spark, tmp + "/in"), log, MESSAGE_ORDER)
+    fn = job.publish_batch_fn(log, MESSAGE_ORDER)
     done = []
 
-    def slow(df, batch_id):
+    def slow(df, batch_id, run_id):
         time.sleep(3.0)
-        fn(df, batch_id)
+        fn(df, batch_id, run_id)
         done.append(batch_id)
 
-    run = job.run_stream(spark, published, slow, tmp + "/ckpt", available_now=False,
+    run = job.run_stream(spark, read_message_files(spark, tmp + "/in"), slow, tmp + "/ckpt", available_now=False,
                          processing_time="200 milliseconds", inactivity_timeout=1.0, poll_interval=0.2)
     assert run.stopped_for_inactivity
     assert done == [0]
@@ -104,15 +111,11 @@ def test_watchdog_stops_a_query_on_an_empty_source(spark, tmp):
     # Nothing ever arrives: no progress event, but no-data triggers report idle events,
     # so the query is stopped (and never before its first trigger completed).
     os.makedirs(tmp + "/in")
-    spark.conf.set("spark.sql.streaming.noDataProgressEventInterval", "500")
-    try:
-        stream = read_message_files(spark, tmp + "/in")
-        t0 = time.time()
-        run = job.run_stream(spark, stream, lambda df, b: None, tmp + "/ckpt", available_now=False,
-                             processing_time="200 milliseconds", inactivity_timeout=1.0,
-                             poll_interval=0.2, collect_events=True)
-    finally:
-        spark.conf.unset("spark.sql.streaming.noDataProgressEventInterval")
+    stream = read_message_files(spark, tmp + "/in")
+    t0 = time.time()
+    run = job.run_stream(spark, stream, lambda df, b, r: None, tmp + "/ckpt", available_now=False,
+                         processing_time="200 milliseconds", inactivity_timeout=1.0,
+                         poll_interval=0.2, collect_events=True)
     assert run.stopped_for_inactivity and run.batches == 0
     assert ("idle", run.query_id) in run.events
     assert time.time() - t0 < 60
@@ -127,96 +130,63 @@ def test_listener_clock_ignores_idle():
 
     lst.onQueryStarted(E())
     now[0] = 5.0
+    assert not lst.found_no_data("q")
     lst.onQueryIdle(E())
-    assert lst.idle_seconds("q") == 5.0
+    assert lst.idle_seconds("q") == 5.0 and lst.found_no_data("q")
 
     class P:
         class progress:
             id = "q"
 
     lst.onQueryProgress(P())
-    assert lst.idle_seconds("q") == 0.0
+    assert lst.idle_seconds("q") == 0.0 and not lst.found_no_data("q") and lst.events == []
     lst.onQueryTerminated(E())
     assert lst.idle_seconds("q") is None
 
 
 def test_checkpoint_is_required(spark):
-    import pytest
     with pytest.raises(ValueError):
-        job.run_stream(spark, spark.range(1), lambda d, i: None, "")
-
-
-def test_broker_shaped_stream_orders_versions_by_offset(spark, tmp):
-    # Same shape as a broker source: binary value + partition + offset; keyed messages put
-    # every version of a key in one partition, so the greatest offset is the newest version.
-    rows = [(bytearray(_msg("a", 1.0).encode()), 0, 10), (bytearray(_msg("a", 2.0).encode()), 0, 11),
-            (bytearray(_msg("b", 5.0).encode()), 1, 3), (bytearray(_msg("a", 0.5).encode()), 0, 9)]
-    spark.createDataFrame(rows, "value binary, partition int, offset long").write.parquet(tmp + "/topic")
-    src = spark.readStream.schema("value binary, partition int, offset long").parquet(tmp + "/topic")
-    log = ChangeLog(tmp + "/log", key=S.PUBLISHED_KEY, order=["partition", "offset"])
-    published, fn = job.publish_stream(src, log, ["partition", "offset"], quarantine_path=tmp + "/q")
-    job.run_stream(spark, published, fn, tmp + "/ckpt")
-    got = {r["propertycode"]: r["price"] for r in log.latest(spark).collect()}
-    assert got == {"a": 2.0, "b": 5.0}
+        job.run_stream(spark, spark.range(1), lambda d, i, r: None, "")
 
 
-def test_failed_batch_is_replayed_with_exactly_once_effect(spark, tmp):
-    """A micro-batch dies after its change-log write (as when an executor or the driver is
-    lost before the commit). The restart replays the same batch id, which overwrites its own
-    log partition: no duplicate versions, same final table."""
-    import pytest
-    from pyspark.errors import StreamingQueryException
+def test_every_batch_is_counted(spark, tmp):
+    os.makedirs(tmp + "/in")
+    for i in range(120):
+        _land(tmp + "/in", f"m{i}.txt", [_msg(f"k{i}", 1.0)])
+    run = job.run_stream(spark, read_message_files(spark, tmp + "/in", max_files_per_trigger=1), lambda df, b, r: None, tmp + "/ckpt")
+    assert run.batches == 120
 
-    _land(tmp + "/in", "m1.txt", [_msg("a", 1.0), _msg("b", 2.0)])
-    log = ChangeLog(tmp + "/log", key=S.PUBLISHED_KEY, order=MESSAGE_ORDER)
-    stream = read_message_files(spark, tmp + "/in")
-    published, fn = job.publish_stream(stream, log, MESSAGE_ORDER)
-    calls = []
 
-    def flaky(df, batch_id):
-        fn(df, batch_id)
-        calls.append(batch_id)
-        if len(calls) == 1:
-            raise RuntimeError("lost after write, before commit")
+@pytest.mark.parametrize("fails_after", ["log", "quarantine"])
+def test_a_replayed_batch_of_new_objects_changes_nothing(spark, tmp, fails_after):
+    """The batch dies after one of its writes; the restart, with new objects throughout, replays
+    it: the log and the quarantine hold every row once."""
+    _land(tmp + "/in", "m1.txt", [_msg("a", 1.0), "junk", _msg("b", 2.0)])
+
+    def start(fail):
+        log = ChangeLog(tmp + "/log", key=S.PUBLISHED_KEY, order=MESSAGE_ORDER)
+        fn = job.publish_batch_fn(log, MESSAGE_ORDER, tmp + "/q" if fails_after == "quarantine" or not fail else None)
+
+        def flaky(df, batch_id, run_id):
+            fn(df, batch_id, run_id)
+            if fail:
+                raise RuntimeError("lost after the write, before the commit")
+
+        return job.run_stream(spark, read_message_files(spark, tmp + "/in"), flaky, tmp + "/ckpt")
 
     with pytest.raises(StreamingQueryException):
-        job.run_stream(spark, published, flaky, tmp + "/ckpt")
-    assert log.read_log(spark).count() == 2
-    job.run_stream(spark, published, flaky, tmp + "/ckpt")
-    assert calls == [0, 0]  # the same batch id was replayed
-    assert log.read_log(spark).count() == 2
+        start(True)
+    start(False)
+    log = ChangeLog(tmp + "/log", key=S.PUBLISHED_KEY, order=MESSAGE_ORDER)
+    assert log.read_log(spark).count() == 2 and spark.read.parquet(tmp + "/q").count() == 1
     assert {r["propertycode"]: r["price"] for r in log.latest(spark).collect()} == {"a": 1.0, "b": 2.0}
 
 
-def test_quarantine_kept_across_runs(spark, tmp):
-    for i, run in enumerate((1, 2)):
-        os.makedirs(f"{tmp}/in{i}")
+def test_quarantine_kept_across_streams(spark, tmp):
+    for i in (0, 1):
         _land(f"{tmp}/in{i}", "m.txt", [_msg(f"k{i}", 1.0), f"junk{i}"])
-        log = ChangeLog(tmp + "/log", key=S.PUBLISHED_KEY, order=MESSAGE_ORDER, run_id=run)
-        published, fn = job.publish_stream(read_message_files(spark, f"{tmp}/in{i}"), log, MESSAGE_ORDER,
-                                           quarantine_path=tmp + "/q")
-        job.run_stream(spark, published, fn, f"{tmp}/ckpt{i}")  # fresh checkpoint: batch ids restart at 0
-    assert spark.read.parquet(tmp + "/q").count() == 2
+        log = ChangeLog(tmp + "/log", key=S.PUBLISHED_KEY, order=MESSAGE_ORDER)
+        # another checkpoint is another run: batch ids restart at 0 and overwrite nothing
+        job.run_stream(spark, read_message_files(spark, f"{tmp}/in{i}"), job.publish_batch_fn(log, MESSAGE_ORDER, tmp + "/q"), f"{tmp}/ckpt{i}")
+    assert {r["value"] for r in spark.read.parquet(tmp + "/q").collect()} == {"junk0", "junk1"}
     assert log.latest(spark).count() == 2
-
-
-def test_topic_from_lineitem_is_broker_shaped(spark, tmp):
-    # every key in one partition (and one file), offsets unique per partition and rising in
-    # the producer's send order within a key: what a keyed broker topic guarantees
-    from pyspark.sql import Window
-    from pyspark.sql import functions as F
-
-    from domus.plans import derive
-    from domus.sources.tables import read_table
-
-    li = read_table(spark, "/root/testdata/sf0.001", "lineitem")
-    derive.topic_from_lineitem(li).write.parquet(tmp + "/topic")
-    t = spark.read.parquet(tmp + "/topic").withColumn("file", F.col("_metadata.file_name"))
-    assert t.count() == li.count()
-    per_key = t.groupBy("key").agg(F.countDistinct("partition").alias("p"), F.countDistinct("file").alias("f"))
-    assert per_key.filter("p > 1 OR f > 1").count() == 0
-    assert t.groupBy("partition", "offset").count().filter("count > 1").count() == 0
-    line = F.get_json_object(F.col("value").cast("string"), "$.rooms").cast("int")
-    w = Window.partitionBy("key").orderBy("offset")
-    steps = t.select("key", line.alias("line"), F.lag(line).over(w).alias("prev"))
-    assert steps.filter("prev IS NOT NULL AND line < prev").count() == 0

@@ -40,40 +40,40 @@ def test_plan_combines_partially_before_shuffle(spark):
     assert "partial_max_by" in plan
 
 
-def _log(tmp, run_id=1):
-    return ChangeLog(tmp + "/log", key="propertycode", order=["seq"], run_id=run_id)
+def _log(tmp):
+    return ChangeLog(tmp + "/log", key="propertycode", order=["seq"])
 
 
 def test_same_key_in_two_batches(spark, tmp):
     log = _log(tmp)
-    log.write_batch(spark.createDataFrame([("a", 1.0, 1, 1), ("b", 1.0, 1, 1)], COLS), 0)
-    log.write_batch(spark.createDataFrame([("a", 9.0, 2, 0)], COLS), 1)  # later batch wins despite seq
+    log.write_batch(spark.createDataFrame([("a", 1.0, 1, 1), ("b", 1.0, 1, 1)], COLS), 0, "r")
+    log.write_batch(spark.createDataFrame([("a", 9.0, 2, 0)], COLS), 1, "r")  # arrives later, but is the older version
     out = {r["propertycode"]: r["price"] for r in log.latest(spark).collect()}
-    assert out == {"a": 9.0, "b": 1.0}
+    assert out == {"a": 1.0, "b": 1.0}
 
 
 def test_replaying_a_batch_id_changes_nothing(spark, tmp):
     log = _log(tmp)
     b0 = spark.createDataFrame([("a", 1.0, 1, 1), ("b", 2.0, 1, 1)], COLS)
     b1 = spark.createDataFrame([("a", 3.0, 1, 2)], COLS)
-    log.write_batch(b0, 0)
-    log.write_batch(b1, 1)
+    log.write_batch(b0, 0, "r")
+    log.write_batch(b1, 1, "r")
     before = sorted(map(tuple, log.latest(spark).collect()))
-    log.write_batch(b0, 0)  # at-least-once redelivery of batch 0
+    log.write_batch(b0, 0, "r")  # at-least-once redelivery of batch 0
     assert sorted(map(tuple, log.latest(spark).collect())) == before
     assert log.read_log(spark).count() == 3
 
 
-def test_later_run_wins_over_earlier_run(spark, tmp):
-    _log(tmp, run_id=1).write_batch(spark.createDataFrame([("a", 1.0, 1, 5)], COLS), 7)
-    _log(tmp, run_id=2).write_batch(spark.createDataFrame([("a", 2.0, 1, 1)], COLS), 0)
-    assert _log(tmp).latest(spark).first()["price"] == 2.0
+def test_versions_are_ordered_by_their_columns_across_runs(spark, tmp):
+    _log(tmp).write_batch(spark.createDataFrame([("a", 1.0, 1, 5), ("b", 1.0, 1, 1)], COLS), 7, "1")
+    _log(tmp).write_batch(spark.createDataFrame([("a", 2.0, 1, 1), ("b", 2.0, 1, 2)], COLS), 0, "2")
+    assert {r["propertycode"]: r["price"] for r in _log(tmp).latest(spark).collect()} == {"a": 1.0, "b": 2.0}
 
 
 def test_compaction_keeps_latest_and_new_folder(spark, tmp):
     log = _log(tmp)
-    log.write_batch(spark.createDataFrame([("a", 1.0, 1, 1)], COLS), 0)
-    log.write_batch(spark.createDataFrame([("a", 2.0, 1, 1), ("c", 3.0, 1, 1)], COLS), 1)
+    log.write_batch(spark.createDataFrame([("a", 1.0, 1, 1)], COLS), 0, "r")
+    log.write_batch(spark.createDataFrame([("a", 2.0, 1, 1), ("c", 3.0, 1, 1)], COLS), 1, "r")
     new = log.compact(spark, tmp + "/log2")
     assert spark.read.parquet(new).count() == 2
     assert sorted(map(tuple, log.latest(spark, new).collect())) == sorted(map(tuple, log.latest(spark).collect()))
@@ -83,7 +83,7 @@ def test_compaction_keeps_latest_and_new_folder(spark, tmp):
 
 def test_latest_keeps_column_types(spark, tmp):
     log = _log(tmp)
-    log.write_batch(spark.createDataFrame([("a", 1.0, 1, 1)], COLS), 0)
+    log.write_batch(spark.createDataFrame([("a", 1.0, 1, 1)], COLS), 0, "r")
     assert dict(log.latest(spark).dtypes) == {"propertycode": "string", "price": "double", "rooms": "int", "seq": "bigint"}
 
 
@@ -105,9 +105,9 @@ def test_change_log_with_random_batches_replays_and_a_hot_key(spark, tmp):
     log = ChangeLog(tmp + "/log", key="k", order=["seq"])
     for b, chunk in enumerate(batches):
         df = spark.createDataFrame(chunk, "k string, seq long, v double")
-        log.write_batch(df, b)
+        log.write_batch(df, b, "r")
         if rng.random() < 0.3:  # the same batch delivered again after a failure
-            log.write_batch(df, b)
+            log.write_batch(df, b, "r")
     want = {}
     for k, seq, v in rows:
         want[k] = (seq, v)
