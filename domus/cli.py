@@ -6,7 +6,7 @@
   land-search     every page of a search, landed one envelope per page under a pull date
   pull            marker gate, then land-search under today's date, then advance the marker
   pull-decision   recency bucket from the last-pull marker
-  compact         keyed table's change log -> latest rows per key, in a new folder
+  compact         keyed table's change log -> latest rows per key, as its new base (or in a new folder)
   snapshot        keyed table's current rows as a plain table clustered by location
 
 Broker secrets go in ``--kafka-option key=value`` and are never printed.
@@ -112,7 +112,7 @@ def build_parser() -> argparse.ArgumentParser:
 
     cp = sub.add_parser("compact")
     cp.add_argument("--table", required=True)
-    cp.add_argument("--out", required=True, help="new folder (must not exist)")
+    cp.add_argument("--out", help="write a compacted copy to this new folder instead of a new base")
 
     pd = sub.add_parser("pull-decision")
     pd.add_argument("--marker", required=True)

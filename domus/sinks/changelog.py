@@ -5,20 +5,25 @@ to ``<path>/run=<r>/batch=<b>`` with dynamic partition overwrite. The run is the
 stream's checkpoint holds, so it outlives restarts: a batch that Spark replays replaces
 itself, and another stream never overwrites it. The current table is ``max_by`` over the
 log by the caller's order (real columns of the data; batch and run only break ties).
-Compaction writes the latest rows into a *new* folder; the folder being read is never
-overwritten.
+Compaction writes the latest rows of the batches logged so far into a new base folder and
+then appends a pointer to it that names, per run, the last batch it covers. Readers take the
+newest base and the batches beyond it, so a writer that goes on meanwhile loses nothing, and no
+folder that may be read is overwritten.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from domus.operators.upsert import latest_per_key
+from domus.sources.tables import read_state
 
 RUN_COL, BATCH_COL = "run", "batch"
+POINTER_DDL = "version BIGINT, base STRING, covered MAP<STRING,BIGINT>"
 
 
 @dataclass
@@ -48,14 +53,43 @@ class ChangeLog:
         # an all-digit run id must not be read as a number
         return spark.read.parquet(path).withColumn(RUN_COL, F.col(RUN_COL).cast("string"))
 
-    def latest(self, spark: SparkSession, path: str | None = None) -> DataFrame:
+    def _pointer(self, spark: SparkSession) -> Row | None:
+        """The newest base: its version, folder and the last covered batch of every run."""
+        rows = read_state(spark, f"{self.path}.pointer", POINTER_DDL)
+        return rows.orderBy(F.desc("version")).limit(1).first()
+
+    def _live(self, spark: SparkSession) -> tuple[DataFrame, Row | None]:
+        """The newest base with the batches beyond it. Covered batches are partitions, so they
+        are not read."""
+        log, at = self._load(spark, self.path), self._pointer(spark)
+        if at is None:
+            return log, None
+        for run, batch in at["covered"].items():
+            log = log.filter((F.col(RUN_COL) != run) | (F.col(BATCH_COL) > batch))
+        return self._load(spark, at["base"]).unionByName(log), at
+
+    def latest(self, spark: SparkSession) -> DataFrame:
         """The keyed table: newest version per key across every logged batch and run."""
-        log = self._load(spark, path or self.path)
-        return latest_per_key(log, self.key, self._total_order()).drop(RUN_COL, BATCH_COL)
+        return latest_per_key(self._live(spark)[0], self.key, self._total_order()).drop(RUN_COL, BATCH_COL)
+
+    def compact_in_place(self, spark: SparkSession) -> int:
+        """Make the latest rows of what is logged now the new base; returns its version. One
+        number per run comes to the driver. A batch that is logged meanwhile is not covered and
+        stays beside the base."""
+        live, at = self._live(spark)
+        new = self.read_log(spark).groupBy(RUN_COL).agg(F.max(BATCH_COL).alias("batch")).collect()
+        covered = {**(at["covered"] if at else {}), **{r[RUN_COL]: r["batch"] for r in new}}
+        version = at["version"] + 1 if at else 1
+        base = f"{self.path}.base/{version}-{uuid.uuid4().hex[:8]}"
+        known = F.create_map(*[F.lit(x) for pair in covered.items() for x in pair])
+        rows = live.filter(F.col(BATCH_COL) <= known[F.col(RUN_COL)])
+        latest_per_key(rows, self.key, self._total_order()).write.partitionBy(RUN_COL, BATCH_COL).parquet(base)
+        spark.createDataFrame([(version, base, covered)], POINTER_DDL).write.mode("append").parquet(f"{self.path}.pointer")
+        return version
 
     def compact(self, spark: SparkSession, out_path: str) -> str:
         """Write the latest rows as one batch of a fresh log at ``out_path`` and return it."""
-        log = self._load(spark, self.path)
+        log, _ = self._live(spark)
         keep = latest_per_key(log, self.key, self._total_order())
         keep.write.mode("errorifexists").partitionBy(RUN_COL, BATCH_COL).parquet(out_path)
         return out_path

@@ -93,11 +93,15 @@ def snapshot_job(spark: SparkSession, table: str, out: str, partitions: int | No
     return out
 
 
-def compact_job(spark: SparkSession, table: str, out: str) -> str:
-    """Rewrite the keyed table's change log as its latest row per key into the new folder
-    ``out`` (which must not exist); readers and the next publish run then use ``out``.
-    The folder being read is never overwritten."""
-    return _table_log(spark, table).compact(spark, out)
+def compact_job(spark: SparkSession, table: str, out: str | None = None) -> str:
+    """Make the latest rows of the batches logged so far the keyed table's new base; readers
+    switch to it by its pointer while a running publish goes on. Given ``out`` (a folder
+    that must not exist), write a compacted copy there instead."""
+    log = _table_log(spark, table)
+    if out:
+        return log.compact(spark, out)
+    log.compact_in_place(spark)
+    return table
 
 
 def replay_pages_job(spark: SparkSession, landing: str, manifest: str, checkpoint: str,
