@@ -56,8 +56,14 @@ def _paths(batches: Iterator[pa.RecordBatch], width: int, k: int) -> Iterator[pa
             at = np.flatnonzero(in_list(part, r))
             if not len(at):
                 continue
+            content = r.hashes.of(r.start[at], r.start[at] + r.n[at] + width - 1)
+            # a document's later occurrences of a path go by the first one, when it is rebuilt
+            order = np.lexsort((at, content, r.anchor[at], r.doc[at]))
+            later = (np.diff(r.doc[at][order]) == 0) & (r.anchor[at][order][1:] == r.anchor[at][order][:-1]) \
+                & (content[order][1:] == content[order][:-1])
+            first = np.sort(order[np.r_[True, ~later]])
+            at, content = at[first], content[first]
             start, n, doc = r.start[at], r.n[at], r.doc[at]
-            content = r.hashes.of(start, start + n + width - 1)
             edges = r.hashes.windows(width)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc").take(pa.array(doc)), part.column("tag").take(pa.array(doc)),
@@ -85,17 +91,19 @@ def repeated_paths(docs: DataFrame, whole: DataFrame, width: int, k: int) -> Dat
     marks = sieve(docs, word_runs(width, k), "text", SLICE)
     near = docs.join(marks, "doc").join(whole, ["doc", "tag"], "left_anti").select("doc", "tag", "text", "anchors")
     paths = store(near.mapInArrow(lambda it: _paths(it, width, k), PATHS), "paths")
-    nodes = paths.groupBy("m").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("doc").alias("first"),
-                                   F.max("doc").alias("last")).filter("first < last")
+    # aggregates are written before they are joined: Spark splits a skewed join only between plain exchanges
+    nodes = store(paths.groupBy("m").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("doc").alias("first"),
+                                         F.max("doc").alias("last")).filter("first < last"), "nodes")
     met = store(paths.join(nodes, "m"), "met")
     straight = met.filter("low = high AND doc > first").select("doc", "tag", "start", "n")
     branching = met.filter("low <> high").drop("low", "high", "first", "last")
-    firsts = branching.groupBy("m", "c").agg(F.min("doc").alias("first"))
+    firsts = store(branching.groupBy("m", "c").agg(F.min("doc").alias("first")), "firsts")
     settled = store(branching.join(firsts, ["m", "c"]), "settled")
     equal = settled.filter("doc > first").select("doc", "tag", "start", "n")
     opened = settled.filter("doc = first").select("doc", "tag", "m", "start", "n", "edges") \
         .mapInArrow(_open, "doc long, tag int, m long, h long, start int")
-    least = opened.groupBy("m", "h").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
+    least = store(opened.groupBy("m", "h").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+                  .filter("first < last"), "edges")
     single = opened.join(least, ["m", "h"]).filter("doc > first").select("doc", "tag", "start", F.lit(1).alias("n"))
     return straight.union(equal).union(single)
 
