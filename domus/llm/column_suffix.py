@@ -29,15 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from domus.llm.common import mix, parts, raw_texts, slices, store
-from domus.llm.spans import Runs, copies, in_list, kept_field, kept_value, keyed, rejoin, result_schema, sieve, spans_of
+from domus.llm.common import RangeHashes, mix, parts, raw_texts, store
+from domus.llm.spans import Runs, copies, in_list, kept_field, kept_value, keyed, rejoin, result_schema, sieve, spans_of, unzipped, zipped
 
 WIDTH = 50
 ANCHOR = 20
 SLICE = 1 << 20
 COUNTS = ["n_bytes", "n_removed", "n_spans"]
 CHUNK = 40_000  # pieces sorted together, whole anchors
-PIECES = "doc long, tag int, m long, c long, start int, n int, left int, piece binary"
+PIECES = "doc long, tag int, m long, c long, start int, n int, left int, many boolean, piece binary"
 _CODE = mix(np.arange(1, 257, dtype=np.uint64))
 
 
@@ -50,28 +50,30 @@ def byte_runs(width: int, k: int):
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], width: int, k: int) -> Iterator[pa.RecordBatch]:
-    """Pieces of marked anchors; of equal pieces of a slice only the first carries its bytes."""
+    """Pieces of marked anchors; of equal pieces of a slice only the first carries its bytes, and
+    ``many`` tells that there are others."""
     runs = byte_runs(width, k)
-    for batch in batches:
-        for part in slices(batch, "text", SLICE):
-            r = runs(part)
-            at = np.flatnonzero(in_list(part, r))
-            if not len(at):
-                continue
-            flat = b"".join(raw_texts(part))
-            start, n, doc = r.start[at], r.n[at], r.doc[at]
-            content = r.hashes.of(start, start + n + width - 1)
-            ids = part.column("doc").to_numpy()[doc]
-            order = np.lexsort((ids, r.anchor[at], content))
-            same = (content[order][1:] == content[order][:-1]) & (r.anchor[at][order][1:] == r.anchor[at][order][:-1])
-            carries = np.zeros(len(at), dtype=bool)
-            carries[order[np.r_[True, ~same]]] = True
-            piece = [flat[s:s + c + width - 1] if y else None for s, c, y in zip(start.tolist(), n.tolist(), carries.tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids), part.column("tag").take(pa.array(doc)), pa.array(r.anchor[at].view(np.int64)),
-                 pa.array(content.view(np.int64)), pa.array((start - r.offsets[doc]).astype(np.int32)),
-                 pa.array(n.astype(np.int32)), pa.array((r.place[at] - start).astype(np.int32)), pa.array(piece, pa.binary())],
-                names=["doc", "tag", "m", "c", "start", "n", "left", "piece"])
+    for part in unzipped(batches, SLICE):
+        r = runs(part)
+        at = np.flatnonzero(in_list(part, r))
+        if not len(at):
+            continue
+        flat = b"".join(raw_texts(part))
+        start, n, doc = r.start[at], r.n[at], r.doc[at]
+        content = r.hashes.of(start, start + n + width - 1)
+        ids = part.column("doc").to_numpy()[doc]
+        order = np.lexsort((ids, r.anchor[at], content))
+        same = (content[order][1:] == content[order][:-1]) & (r.anchor[at][order][1:] == r.anchor[at][order][:-1])
+        carries = np.zeros(len(at), dtype=bool)
+        carries[order[np.r_[True, ~same]]] = True
+        many = np.zeros(len(at), dtype=bool)
+        many[order] = np.r_[same, False]
+        piece = [flat[s:s + c + width - 1] if y else None for s, c, y in zip(start.tolist(), n.tolist(), carries.tolist())]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids), part.column("tag").take(pa.array(doc)), pa.array(r.anchor[at].view(np.int64)),
+             pa.array(content.view(np.int64)), pa.array((start - r.offsets[doc]).astype(np.int32)),
+             pa.array(n.astype(np.int32)), pa.array((r.place[at] - start).astype(np.int32)), pa.array(many), pa.array(piece, pa.binary())],
+            names=["doc", "tag", "m", "c", "start", "n", "left", "many", "piece"])
 
 
 def first_documents(group: np.ndarray, left: np.ndarray, n: np.ndarray, doc: np.ndarray, pieces: list[bytes],
@@ -114,29 +116,58 @@ def first_documents(group: np.ndarray, left: np.ndarray, n: np.ndarray, doc: np.
     return out
 
 
+SETTLED = "doc long, tag int, start int, n int, m long, c long, first binary"
+
+
+def _removed(first: np.ndarray, doc: np.ndarray, tag: pa.Array, start: np.ndarray, n: np.ndarray) -> dict[str, pa.Array]:
+    """Runs of windows whose first document (``first``, all rows' windows end to end) is earlier."""
+    row = np.repeat(np.arange(len(n)), n)
+    inner = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    hit = np.flatnonzero(first < doc[row])
+    head = np.flatnonzero(np.r_[True, (np.diff(hit) != 1) | (row[hit][1:] != row[hit][:-1])]) if len(hit) else hit
+    of = row[hit[head]]
+    return {"doc": pa.array(doc[of]), "tag": tag.take(pa.array(of)),
+            "start": pa.array((start[of] + inner[hit[head]]).astype(np.int32)),
+            "n": pa.array(np.diff(np.r_[head, len(hit)]).astype(np.int32))}
+
+
 def _settle(batches: Iterator[pa.RecordBatch], width: int, k: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by anchor. Emits, per different piece that shares a window, its windows' first documents."""
+    """Rows sorted by ``part``, which all rows of an anchor share. Emits the runs of windows to remove from the rows' own documents
+    and, for pieces with ``many``, the first documents of their windows (m, c, first)."""
     held: list[pa.RecordBatch] = []
 
     def done(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        m, c, doc = (rows.column(x).to_numpy() for x in ("m", "c", "doc"))
+        pieces = rows.column("piece").to_pylist()
+        doc, (n, left) = rows.column("doc").to_numpy(), (rows.column(x).to_numpy().astype(np.int64) for x in ("n", "left"))
+        # anchor and content hashes come from the bytes again, so that they need no shuffle
+        hashes = RangeHashes(_CODE[np.frombuffer(b"".join(pieces), dtype=np.uint8)])
+        end = np.cumsum(n + width - 1)
+        begin = end - (n + width - 1)
+        m, c = hashes.of(begin + left, begin + left + k).view(np.int64), hashes.of(begin, end).view(np.int64)
         order = np.lexsort((doc, c, m))
         new = np.r_[True, (m[order][1:] != m[order][:-1]) | (c[order][1:] != c[order][:-1])]
         at = order[new]  # one row per different piece: its least document
-        rows, m, c, doc = rows.take(pa.array(at)), m[at], c[at], doc[at]
-        group = np.cumsum(np.r_[True, m[1:] != m[:-1]]) - 1
-        n, left = rows.column("n").to_numpy().astype(np.int64), rows.column("left").to_numpy().astype(np.int64)
-        first = first_documents(group, left, n, doc, rows.column("piece").to_pylist(), width, k)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(m), pa.array(c), pa.array([first[i, :w].tobytes() for i, w in enumerate(n.tolist())], pa.binary())],
-            names=["m", "c", "first"])
+        which = np.empty(len(m), dtype=np.int64)
+        which[order] = np.cumsum(new) - 1
+        group = np.cumsum(np.r_[True, m[at][1:] != m[at][:-1]]) - 1
+        first = first_documents(group, left[at], n[at], doc[at], [pieces[i] for i in at.tolist()], width, k)
+        flat = first[which][np.arange(first.shape[1]) < n[:, None]]
+        gone = _removed(flat, doc, rows.column("tag").combine_chunks(), rows.column("start").to_numpy(), n)
+        size = len(gone["doc"])
+        told = np.unique(which[rows.column("many").to_numpy(zero_copy_only=False)])
+        rest = {"m": pa.nulls(size, pa.int64()), "c": pa.nulls(size, pa.int64()), "first": pa.nulls(size, pa.binary())}
+        yield pa.RecordBatch.from_pydict({**gone, **rest})
+        none = pa.nulls(len(told), pa.int32())
+        yield pa.RecordBatch.from_pydict({
+            "doc": pa.nulls(len(told), pa.int64()), "tag": none, "start": none, "n": none, "m": pa.array(m[at][told]), "c": pa.array(c[at][told]),
+            "first": pa.array([first[i, :w].tobytes() for i, w in zip(told.tolist(), n[at][told].tolist())], pa.binary())})
 
     for batch in batches:
         held.append(batch)
         if sum(b.num_rows for b in held) >= CHUNK:
             rows = pa.Table.from_batches(held)
-            m = rows.column("m").to_numpy()
-            cut = int(np.searchsorted(m, m[-1]))  # the last anchor may go on in the next batch
+            part = rows.column("part").to_numpy()
+            cut = int(np.searchsorted(part, part[-1]))  # the last anchors may go on in the next batch
             if cut:
                 yield from done(rows.slice(0, cut))
                 held = rows.slice(cut).to_batches()
@@ -147,53 +178,46 @@ def _settle(batches: Iterator[pa.RecordBatch], width: int, k: int) -> Iterator[p
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences with their windows' first documents into runs of windows to remove."""
     for batch in batches:
-        n = batch.column("n").to_numpy()
-        row = np.repeat(np.arange(len(n)), n)
-        inner = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
         first = np.frombuffer(b"".join(batch.column("first").to_pylist()), dtype=np.int64)
-        hit = np.flatnonzero(first < batch.column("doc").to_numpy()[row])
-        if not len(hit):
-            continue
-        head = np.flatnonzero(np.r_[True, (np.diff(hit) != 1) | (row[hit][1:] != row[hit][:-1])])
-        of = row[hit[head]]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc").take(pa.array(of)), batch.column("tag").take(pa.array(of)),
-             pa.array((batch.column("start").to_numpy()[of] + inner[hit[head]]).astype(np.int32)),
-             pa.array(np.diff(np.r_[head, len(hit)]).astype(np.int32))], names=["doc", "tag", "start", "n"])
+        yield pa.RecordBatch.from_pydict(_removed(first, batch.column("doc").to_numpy(), batch.column("tag"),
+                                                  batch.column("start").to_numpy(), batch.column("n").to_numpy()))
 
 
 def repeated_windows(docs: DataFrame, whole: DataFrame, width: int, k: int) -> DataFrame:
     """doc, tag, start, n: runs of windows that a document with a smaller id has."""
     marks = sieve(docs, byte_runs(width, k), "text", SLICE)
-    near = docs.join(marks, "doc").join(whole, ["doc", "tag"], "left_anti").select("doc", "tag", "text", "anchors")
+    near = zipped(docs.select("doc", "tag", "text")).join(marks, "doc").join(whole, ["doc", "tag"], "left_anti") \
+        .select("doc", "tag", "text", "anchors")
     pieces = store(near.mapInArrow(lambda it: _pieces(it, width, k), PIECES), "pieces")
-    dealt = (pieces.filter("piece IS NOT NULL").select("m", "c", "doc", "n", "left", "piece")
-             .repartition(parts(docs.sparkSession), "m").sortWithinPartitions("m"))
-    settled = dealt.mapInArrow(lambda it: _settle(it, width, k), "m long, c long, first binary")
-    met = pieces.select("doc", "tag", "m", "c", "start", "n").join(settled, ["m", "c"])
-    return met.select("doc", "tag", "start", "n", "first").mapInArrow(_windows, "doc long, tag int, start int, n int")
+    dealt = (pieces.filter("piece IS NOT NULL")
+             .select(F.shiftright("m", 32).cast("int").alias("part"), "doc", "tag", "start", "n", "left", "many", "piece")
+             .repartition(parts(docs.sparkSession), "part").sortWithinPartitions("part"))
+    settled = store(dealt.mapInArrow(lambda it: _settle(it, width, k), SETTLED), "settled")
+    others = pieces.filter("piece IS NULL").select("doc", "tag", "m", "c", "start", "n")
+    met = others.join(settled.filter("first IS NOT NULL").select("m", "c", "first"), ["m", "c"])
+    more = met.select("doc", "tag", "start", "n", "first").mapInArrow(_windows, "doc long, tag int, start int, n int")
+    return settled.filter("first IS NULL").select("doc", "tag", "start", "n").union(more)
 
 
 def _rebuild(batches: Iterator[pa.RecordBatch], width: int, form: str) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch, "text", SLICE):
-            out = []
-            rows = zip(*(part.column(c).to_pylist() for c in ("tag", "spans", "whole")))
-            for text, (tag, spans, whole) in zip(raw_texts(part), rows):
-                gone = np.zeros(len(text), dtype=bool)
-                if whole and tag in whole and len(text) >= width:
-                    gone[:] = True
-                elif spans:
-                    mine = np.array([(s["start"], s["n"]) for s in spans if s["tag"] == tag], dtype=np.int64).reshape(-1, 2)
-                    gone = spans_of(mine[:, 0], mine[:, 1] + width - 1, len(text))
-                removed = int(gone.sum())
-                kept = np.frombuffer(text, dtype=np.uint8)[~gone].tobytes() if removed else text
-                ends = np.count_nonzero(np.diff(np.r_[0, gone.view(np.int8)]) == 1) if removed else 0
-                out.append((len(text), removed, ends, kept_value(kept, form)))
-            size, removed, ends, last = zip(*out)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(ends, pa.int64()),
-                 pa.array(last, kept_field(form)[1]), part.column("rest")], names=["doc_id", *COUNTS, kept_field(form)[0], "rest"])
+    for part in unzipped(batches, SLICE):
+        out = []
+        rows = zip(*(part.column(c).to_pylist() for c in ("tag", "spans", "whole")))
+        for text, (tag, spans, whole) in zip(raw_texts(part), rows):
+            gone = np.zeros(len(text), dtype=bool)
+            if whole and tag in whole and len(text) >= width:
+                gone[:] = True
+            elif spans:
+                mine = np.array([(s["start"], s["n"]) for s in spans if s["tag"] == tag], dtype=np.int64).reshape(-1, 2)
+                gone = spans_of(mine[:, 0], mine[:, 1] + width - 1, len(text))
+            removed = int(gone.sum())
+            kept = np.frombuffer(text, dtype=np.uint8)[~gone].tobytes() if removed else text
+            ends = np.count_nonzero(np.diff(np.r_[0, gone.view(np.int8)]) == 1) if removed else 0
+            out.append((len(text), removed, ends, kept_value(kept, form)))
+        size, removed, ends, last = zip(*out)
+        yield pa.RecordBatch.from_arrays(
+            [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(ends, pa.int64()),
+             pa.array(last, kept_field(form)[1]), part.column("rest")], names=["doc_id", *COUNTS, kept_field(form)[0], "rest"])
 
 
 def deduplicate(docs: DataFrame, text: str = "text", width: int = WIDTH, k: int = ANCHOR, form: str = "bytes",

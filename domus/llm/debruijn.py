@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from domus.llm.common import RangeHashes, WordHashes, hash_words, raw_texts, slices, store
-from domus.llm.spans import Runs, copies, in_list, kept_field, kept_value, keyed, rejoin, result_schema, sieve, spans_of
+from domus.llm.common import RangeHashes, WordHashes, hash_words, raw_texts, store
+from domus.llm.spans import Runs, copies, in_list, kept_field, kept_value, keyed, rejoin, result_schema, sieve, spans_of, unzipped, zipped
 
 WIDTH = 20
 ANCHOR = 6
@@ -50,27 +50,26 @@ def word_runs(width: int, k: int):
 
 def _paths(batches: Iterator[pa.RecordBatch], width: int, k: int) -> Iterator[pa.RecordBatch]:
     runs = word_runs(width, k)
-    for batch in batches:
-        for part in slices(batch, "text", SLICE):
-            r = runs(part)
-            at = np.flatnonzero(in_list(part, r))
-            if not len(at):
-                continue
-            content = r.hashes.of(r.start[at], r.start[at] + r.n[at] + width - 1)
-            # a document's later occurrences of a path go by the first one, when it is rebuilt
-            order = np.lexsort((at, content, r.anchor[at], r.doc[at]))
-            later = (np.diff(r.doc[at][order]) == 0) & (r.anchor[at][order][1:] == r.anchor[at][order][:-1]) \
-                & (content[order][1:] == content[order][:-1])
-            first = np.sort(order[np.r_[True, ~later]])
-            at, content = at[first], content[first]
-            start, n, doc = r.start[at], r.n[at], r.doc[at]
-            edges = r.hashes.windows(width)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc").take(pa.array(doc)), part.column("tag").take(pa.array(doc)),
-                 pa.array(r.anchor[at].view(np.int64)), pa.array(content.view(np.int64)),
-                 pa.array((start - r.offsets[doc]).astype(np.int32)), pa.array(n.astype(np.int32)),
-                 pa.array([edges[s:s + c].tobytes() for s, c in zip(start.tolist(), n.tolist())], pa.binary())],
-                names=["doc", "tag", "m", "c", "start", "n", "edges"])
+    for part in unzipped(batches, SLICE):
+        r = runs(part)
+        at = np.flatnonzero(in_list(part, r))
+        if not len(at):
+            continue
+        content = r.hashes.of(r.start[at], r.start[at] + r.n[at] + width - 1)
+        # a document's later occurrences of a path go by the first one, when it is rebuilt
+        order = np.lexsort((at, content, r.anchor[at], r.doc[at]))
+        later = (np.diff(r.doc[at][order]) == 0) & (r.anchor[at][order][1:] == r.anchor[at][order][:-1]) \
+            & (content[order][1:] == content[order][:-1])
+        first = np.sort(order[np.r_[True, ~later]])
+        at, content = at[first], content[first]
+        start, n, doc = r.start[at], r.n[at], r.doc[at]
+        edges = r.hashes.windows(width)
+        yield pa.RecordBatch.from_arrays(
+            [part.column("doc").take(pa.array(doc)), part.column("tag").take(pa.array(doc)),
+             pa.array(r.anchor[at].view(np.int64)), pa.array(content.view(np.int64)),
+             pa.array((start - r.offsets[doc]).astype(np.int32)), pa.array(n.astype(np.int32)),
+             pa.array([edges[s:s + c].tobytes() for s, c in zip(start.tolist(), n.tolist())], pa.binary())],
+            names=["doc", "tag", "m", "c", "start", "n", "edges"])
 
 
 def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,7 +88,7 @@ def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_paths(docs: DataFrame, whole: DataFrame, width: int, k: int) -> DataFrame:
     """doc, tag, start, n: runs of k-mers that a document with a smaller id has."""
     marks = sieve(docs, word_runs(width, k), "text", SLICE)
-    near = docs.join(marks, "doc").join(whole, ["doc", "tag"], "left_anti").select("doc", "tag", "text", "anchors")
+    near = zipped(docs.select("doc", "tag", "text")).join(marks, "doc").join(whole, ["doc", "tag"], "left_anti").select("doc", "tag", "text", "anchors")
     paths = store(near.mapInArrow(lambda it: _paths(it, width, k), PATHS), "paths")
     # aggregates are written before they are joined: Spark splits a skewed join only between plain exchanges
     nodes = store(paths.groupBy("m").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("doc").alias("first"),
@@ -110,28 +109,27 @@ def repeated_paths(docs: DataFrame, whole: DataFrame, width: int, k: int) -> Dat
 
 def _rebuild(batches: Iterator[pa.RecordBatch], width: int, form: str) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
-    for batch in batches:
-        for part in slices(batch, "text", SLICE):
-            out = []
-            rows = zip(*(part.column(c).to_pylist() for c in ("tag", "spans", "whole")))
-            for text, (tag, spans, whole) in zip(raw_texts(part), rows):
-                words = text.split()
-                gone = np.zeros(len(words), dtype=bool)
-                if len(words) >= width:
-                    if whole and tag in whole:
-                        gone[:] = True
-                    else:
-                        h = RangeHashes(hash_words(words, hashes)).windows(width)
-                        order = np.argsort(h, kind="stable")
-                        again = order[1:][h[order[1:]] == h[order[:-1]]]
-                        mine = [(s["start"], s["n"]) for s in spans or () if s["tag"] == tag]
-                        start, n = np.array(mine, dtype=np.int64).reshape(-1, 2).T
-                        gone = spans_of(np.r_[again, start], np.r_[np.full(len(again), width), n + width - 1], len(words))
-                kept = b" ".join(compress(words, (~gone).tolist()))
-                out.append((len(words), int(gone.sum()), kept_value(kept, form)))
-            n, removed, last = zip(*out)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(last),
-                                              part.column("rest")], names=["doc_id", *COUNTS, kept_field(form)[0], "rest"])
+    for part in unzipped(batches, SLICE):
+        out = []
+        rows = zip(*(part.column(c).to_pylist() for c in ("tag", "spans", "whole")))
+        for text, (tag, spans, whole) in zip(raw_texts(part), rows):
+            words = text.split()
+            gone = np.zeros(len(words), dtype=bool)
+            if len(words) >= width:
+                if whole and tag in whole:
+                    gone[:] = True
+                else:
+                    h = RangeHashes(hash_words(words, hashes)).windows(width)
+                    order = np.argsort(h, kind="stable")
+                    again = order[1:][h[order[1:]] == h[order[:-1]]]
+                    mine = [(s["start"], s["n"]) for s in spans or () if s["tag"] == tag]
+                    start, n = np.array(mine, dtype=np.int64).reshape(-1, 2).T
+                    gone = spans_of(np.r_[again, start], np.r_[np.full(len(again), width), n + width - 1], len(words))
+            kept = b" ".join(compress(words, (~gone).tolist()))
+            out.append((len(words), int(gone.sum()), kept_value(kept, form)))
+        n, removed, last = zip(*out)
+        yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(last),
+                                          part.column("rest")], names=["doc_id", *COUNTS, kept_field(form)[0], "rest"])
 
 
 def deduplicate(docs: DataFrame, text: str = "text", width: int = WIDTH, k: int = ANCHOR, form: str = "text",

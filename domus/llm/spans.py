@@ -14,10 +14,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from domus.llm.common import RangeHashes, parts, slices
+from domus.llm.common import RangeHashes, parts, raw_texts, slices
 
 FLUSH_ANCHORS = 1_000_000
 LAST = (1 << 63) - 1
@@ -177,6 +178,29 @@ def keyed(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
                        F.coalesce(text, F.lit("")).alias("text"), F.col("doc_id").cast("long").alias("doc_id"), rest.alias("rest"))
 
 
+def _zip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    tight = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        for part in slices(batch, "text"):
+            at = part.schema.get_field_index("text")
+            yield part.set_column(at, "text", pa.array([tight.compress(x) for x in raw_texts(part)], pa.binary()))
+
+
+def zipped(docs: DataFrame) -> DataFrame:
+    """The documents with their texts compressed, for a shuffle."""
+    fields = [f"`{f.name}` {'binary' if f.name == 'text' else f.dataType.simpleString()}" for f in docs.schema.fields]
+    return docs.mapInArrow(_zip, ", ".join(fields))
+
+
+def unzipped(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a compressed shuffle's batches with their texts back, about ``budget`` bytes each."""
+    loose = zstandard.ZstdDecompressor()
+    for batch in batches:
+        for part in slices(batch, "text", budget // 3):
+            at = part.schema.get_field_index("text")
+            yield part.set_column(at, "text", pa.array([loose.decompress(x) for x in raw_texts(part)], pa.binary()))
+
+
 def in_list(part: pa.RecordBatch, found: Runs) -> np.ndarray:
     """Which runs' anchors are in their document's packed lists (column ``anchors``)."""
     out = np.zeros(len(found.doc), dtype=bool)
@@ -218,4 +242,4 @@ def rejoin(docs: DataFrame, removed: DataFrame, whole: DataFrame) -> DataFrame:
     """Documents with their removed spans (tag, start, n windows) and whether all is removed."""
     spans = removed.groupBy("doc").agg(F.collect_list(F.struct("tag", "start", "n")).alias("spans"))
     told = spans.join(whole.groupBy("doc").agg(F.collect_set("tag").alias("whole")), "doc", "full_outer")
-    return docs.join(told, "doc", "left").select("doc_id", "tag", "text", "rest", "spans", "whole")
+    return zipped(docs).join(told, "doc", "left").select("doc_id", "tag", "text", "rest", "spans", "whole")
