@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from domus.llm.common import RangeHashes, parts, raw_texts, slices
+from domus.llm.common import RangeHashes, mix, parts, raw_texts, slices
 
 FLUSH_ANCHORS = 1_000_000
 LAST = (1 << 63) - 1
@@ -120,18 +120,17 @@ def _anchors(batches: Iterator[pa.RecordBatch], runs: Callable[[pa.RecordBatch],
         yield from _flush(*map(np.concatenate, zip(*held)), buckets)
 
 
-def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = []
+def _repeats(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
+    """A bucket's anchors that several documents have, packed by group of documents."""
+    told, held = [], []
     for batch in batches:
-        told = []
         for row in batch.to_pylist():
+            a = unpack(row["anchors"])
             if row["kind"]:
-                told.append((row["base"], row["anchors"]))
+                told.append((a, np.full(len(a), row["base"])))
             else:
-                a = unpack(row["anchors"])
                 width = len(row["docs"]) // len(a)
                 held.append((a, np.frombuffer(row["docs"], dtype=f"u{width}").astype(np.int64) + row["base"]))
-        yield _told(told)
     if held:
         anchors, docs = map(np.concatenate, zip(*held))
         held.clear()
@@ -139,8 +138,20 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors, docs = anchors[order], docs[order]
         equal = anchors[1:] == anchors[:-1]
         many = np.r_[False, equal] | np.r_[equal, False]
+        told.append((anchors[many], docs[many]))
+    if told:
+        anchors, docs = map(np.concatenate, zip(*told))
+        group = (mix(docs.astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
+        rows = [(g, docs[at].tobytes(), pack(anchors[at])) for g, at in by_doc(np.arange(len(docs)), group)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else ((), (), ()), (pa.int32(), pa.binary(), pa.binary()))],
+                                         names=["group", "docs", "anchors"])
+
+
+def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = [(unpack(r["anchors"]), np.frombuffer(r["docs"], dtype=np.int64)) for b in batches for r in b.to_pylist()]
+    if held:
         told = []
-        for d, a in by_doc(anchors[many], docs[many]):
+        for d, a in by_doc(*map(np.concatenate, zip(*held))):
             told.append((d, pack(a)))
             if len(told) == 4096:
                 yield _told(told)
@@ -154,13 +165,13 @@ def _told(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
 
 
 def sieve(docs: DataFrame, runs: Callable[[pa.RecordBatch], Runs], text: str, budget: int) -> DataFrame:
-    """(doc, anchors): per document, packed lists of those of its anchors that other documents
+    """(doc, anchors): per document, a packed list of those of its anchors that other documents
     have too (and a few more, by chance)."""
     n = parts(docs.sparkSession)
     packed = docs.select("doc", text).mapInArrow(
         lambda it: _anchors(it, runs, text, n, budget), "bucket int, kind int, base long, anchors binary, docs binary")
-    return (packed.repartitionById(n, F.col("bucket")).mapInArrow(_repeats, "doc long, anchors binary")
-            .groupBy("doc").agg(F.collect_list("anchors").alias("anchors")))
+    found = packed.repartitionById(n, F.col("bucket")).mapInArrow(lambda it: _repeats(it, n), "group int, docs binary, anchors binary")
+    return found.repartitionById(n, F.col("group")).mapInArrow(_by_document, "doc long, anchors binary")
 
 
 def copies(docs: DataFrame, text: str) -> DataFrame:
@@ -179,7 +190,7 @@ def keyed(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
 
 
 def _zip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tight = zstandard.ZstdCompressor(level=3)
+    tight = zstandard.ZstdCompressor(level=9)
     for batch in batches:
         for part in slices(batch, "text"):
             at = part.schema.get_field_index("text")
@@ -202,13 +213,13 @@ def unzipped(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.Reco
 
 
 def in_list(part: pa.RecordBatch, found: Runs) -> np.ndarray:
-    """Which runs' anchors are in their document's packed lists (column ``anchors``)."""
+    """Which runs' anchors are in their document's packed list (column ``anchors``)."""
     out = np.zeros(len(found.doc), dtype=bool)
     cuts = np.searchsorted(found.doc, np.arange(part.num_rows + 1))
-    for i, lists in enumerate(part.column("anchors").to_pylist()):
-        if lists and cuts[i + 1] > cuts[i]:
+    for i, marked in enumerate(part.column("anchors").to_pylist()):
+        if marked and cuts[i + 1] > cuts[i]:
             here = slice(cuts[i], cuts[i + 1])
-            out[here] = np.isin(found.anchor[here] & SIEVED, unpack(b"".join(lists)))
+            out[here] = np.isin(found.anchor[here] & SIEVED, unpack(marked))
     return out
 
 
