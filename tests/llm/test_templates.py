@@ -64,3 +64,16 @@ def test_query_against_brute_force(spark):
     for r in rows:
         w = items[r.item_id]
         assert any(" " + " ".join(w[k:k + 6]) + " " in texts[r.doc_id] for k in range(len(w) - 5)), r
+
+
+def test_a_shared_stem_is_no_leak_and_a_whole_copy_is(spark):
+    stem = "Which of the following statements best describes the main purpose of the "
+    item = stem + "small copper valve that sits behind the upper left engine panel near its cooling fan"
+    docs = [(1, f"Quiz one. {stem} red door in our garden shed"), (2, f"Quiz two. {item}."), (3, f"{stem} sea"), (4, f"{stem} moon")]
+    # where many documents have the stem, even a short item needs its own words
+    short = stem + "tall lighthouse keeper"
+    docs += [(10 + i, f"{stem} thing {i}") for i in range(40)] + [(5, f"see {short} now")]
+    assert {k for k in _leaks(spark, docs, [(1, item), (2, short)])} == {(2, 1), (5, 2)}
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame([(1, item), (2, short)], "item_id long, text string")
+    assert {r.doc_id for r in templates.without_leaks(d, b).collect()} == {i for i, _ in docs} - {2, 5}
