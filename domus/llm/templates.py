@@ -54,6 +54,7 @@ def _marked(text: Column, openers: bool) -> Column:
     t = F.regexp_replace(t, r"(?<=[^.!?\s\x01]\s)(\p{Lu}\p{Ll}\p{L}*)", SLOT + "n$1")
     if openers:
         t = F.regexp_replace(t, r"(\p{Lu}(?<![\p{L}\p{N}\x01]\p{Lu})\p{Ll}\p{L}*)", SLOT + "o$1")
+    t = F.regexp_replace(t, r" \x01n(?<=\x01[on]\p{L}{1,64} \x01n)", JOINT)
     t = F.regexp_replace(t, r"(?<![\p{L}\p{N}])(\p{N}+(?:[.,:/]\p{N}+)*)", SLOT + "d$1 ")
     t = F.regexp_replace(t, rf"(\x01d\S+\s+)({'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", "$1" + SLOT + "u$2")
     t = F.regexp_replace(t, r"(?:[^\p{L}\p{N}\x01\x02.,:/]|[.,:/](?!\p{N})|(?<!\p{N})[.,:/])+", " ")
@@ -76,7 +77,7 @@ def _plain(marked: Column) -> Column:
 
 def both(text: Column) -> Column:
     """Struct of the text's template tokens and its plain words."""
-    marked = F.transform(F.array(_marked(text, False)), lambda t: F.struct(_listed(t).alias(TEMPLATE), _plain(t).alias(PLAIN)))
+    marked = F.transform(F.array(_marked(text, True)), lambda t: F.struct(_listed(t).alias(TEMPLATE), _plain(t).alias(PLAIN)))
     return marked[0]
 
 

@@ -66,6 +66,9 @@ def test_query_against_brute_force(spark):
         assert any(" " + " ".join(w[k:k + 6]) + " " in texts[r.doc_id] for k in range(len(w) - 5)), r
 
 
+WORD_PROBLEM = "Tom has 5 apples and 2 pears. Ann takes 3 apples from him. Tom then buys 4 more. How many are left?"
+
+
 def test_a_shared_stem_is_no_leak_and_a_whole_copy_is(spark):
     stem = "Which of the following statements best describes the main purpose of the "
     item = stem + "small copper valve that sits behind the upper left engine panel near its cooling fan"
@@ -77,3 +80,15 @@ def test_a_shared_stem_is_no_leak_and_a_whole_copy_is(spark):
     d = spark.createDataFrame(docs, "doc_id long, text string")
     b = spark.createDataFrame([(1, item), (2, short)], "item_id long, text string")
     assert {r.doc_id for r in templates.without_leaks(d, b).collect()} == {i for i, _ in docs} - {2, 5}
+
+
+def test_names_openers_and_case(spark):
+    cities = "We flew on 3 planes from Rome to Oslo and then rode along the coast road towards Bern in 12 hours without sleep"
+    named = "Maria and Peter walked with Anna from Madrid to Lisbon over Porto and back to Faro in the cold of winter"
+    many = cities.replace("Rome", "San Jose").replace("Oslo", "New York City").replace("Bern", "Los Angeles")
+    moved = WORD_PROBLEM.replace("Tom", "Lucy").replace("Ann", "Max").replace("5", "9")
+    inserted = "We flew on 4 planes from Pisa to Graz and then slowly rode along the coast road towards Riga in 15 hours without sleep"
+    docs = [(1, moved), (2, many), (3, f"see: {named.lower()} end"), (4, named.upper()), (5, inserted)]
+    got = _leaks(spark, docs, [(1, WORD_PROBLEM), (2, cities), (3, named)])
+    assert {k: v[0] for k, v in got.items()} == {(1, 1): "reparameterised", (2, 2): "reparameterised", (3, 3): "exact", (4, 3): "exact",
+                                                 (5, 2): "reparameterised"}
