@@ -92,3 +92,12 @@ def test_names_openers_and_case(spark):
     got = _leaks(spark, docs, [(1, WORD_PROBLEM), (2, cities), (3, named)])
     assert {k: v[0] for k, v in got.items()} == {(1, 1): "reparameterised", (2, 2): "reparameterised", (3, 3): "exact", (4, 3): "exact",
                                                  (5, 2): "reparameterised"}
+
+
+def test_one_wrong_slot_does_not_discard_the_rest(spark):
+    item = ("The long tunnel under the river was dug by 40 workers who moved wet clay in small carts every night until "
+            "the last wall broke and 40 lamps were lit along its whole dark floor")
+    merged = "Mix 12 grams of fine salt with 30 grams of brown sugar and let the bowl stand for one night"
+    docs = [(1, item.replace("40 lamps", "41 lamps")), (2, merged.replace("12", "20").replace("30", "20"))]
+    got = _leaks(spark, docs, [(1, item), (2, merged)])
+    assert {k: v[0] for k, v in got.items()} == {(1, 1): "exact", (2, 2): "reparameterised"}
