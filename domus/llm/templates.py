@@ -115,7 +115,7 @@ def benchmark_windows(items: DataFrame, text: str = "text", window: int = WINDOW
         plain = F.transform("words", lambda x: F.when(F.startswith(x, F.lit(SLOT)), 0).otherwise(1))
         opened = own.withColumn("plain", plain).select("*", F.posexplode(window_hashes(F.col("words"), F.col("width"), stream)).alias("at", "w"))
         enough = F.aggregate(F.slice("plain", F.col("at") + 1, F.col("width")), F.lit(0), lambda a, x: a + x)
-        own = (opened.filter(enough >= literals)).drop("plain")
+        own = (opened.filter(enough >= literals) if stream == TEMPLATE else opened).drop("plain")
         out = own if out is None else out.union(own)
     return out
 

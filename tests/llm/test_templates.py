@@ -101,3 +101,12 @@ def test_one_wrong_slot_does_not_discard_the_rest(spark):
     docs = [(1, item.replace("40 lamps", "41 lamps")), (2, merged.replace("12", "20").replace("30", "20"))]
     got = _leaks(spark, docs, [(1, item), (2, merged)])
     assert {k: v[0] for k, v in got.items()} == {(1, 1): "exact", (2, 2): "reparameterised"}
+
+
+def test_items_of_few_plain_words_are_found_verbatim(spark):
+    items = [(1, "What is 12 * 7 + 5?"), (2, "Compute 3/4 + 5/8."), (3, "Who wrote Hamlet?"), (4, "Capital of France?"), (5, "Hamlet"),
+             (6, "1 2 3 4 5 6 7 8 9 10 11 12")]
+    docs = [(i, f"Some text. {t} More text") for i, t in items] + [
+        (20, "What is 13 * 8 + 5?"), (21, "Compute 3/4 + 6/8."), (22, "Who wrote Faust?"), (23, "Capital of Spain?"), (24, "9 8 7 6 5 4 3 2 1 0 3 3")]
+    got = _leaks(spark, docs, items)
+    assert {k: v[0] for k, v in got.items()} == {**{(i, i): "exact" for i, _ in items}, (3, 5): "exact"}
