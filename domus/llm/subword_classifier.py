@@ -126,14 +126,17 @@ class SubwordClassifier:
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", rows: int = TRAIN_ROWS) -> SubwordClassifier:
-    """Fit on at most ``rows`` labelled documents outside the held-out fold. Their hashed
+    """Fit on at most ``rows`` labelled documents outside the held-out fold, one row per id. Their hashed
     feature shares (at most BUCKETS each), not their texts, come to the driver."""
     chosen = (labels.select("doc_id", F.col("quality").cast("int").alias("label"))
               .filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
               .groupBy("doc_id").agg(F.min("label").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
+    # of rows that share an id the one with the least text hash, then the least text, so that ``rows`` bounds what is collected
+    least = F.min(F.struct(F.xxhash64(text).alias("h"), F.col(text).alias("text")))
     bags = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text)
             .join(F.broadcast(chosen), "doc_id")  # ``rows`` rows of two numbers at most
+            .groupBy("doc_id", "label").agg(least.alias("one")).select("doc_id", "label", F.col("one.text").alias(text))
             .mapInArrow(lambda it: _bags(it, text), "doc_id long, label int, buckets binary, shares binary").collect())
     bags.sort(key=lambda r: (r.doc_id, bytes(r.buckets)))
     return SubwordClassifier([(r.label, np.frombuffer(r.buckets, np.int32), np.frombuffer(r.shares, np.float32)) for r in bags])

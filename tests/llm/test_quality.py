@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from domus.llm import queries, subword_classifier, weak_rules
 
@@ -90,3 +91,17 @@ def test_classifier_never_sees_the_held_out_fold_and_takes_odd_rows(spark):
     none = subword_classifier.train(docs, labels.limit(0))
     assert {r.score for r in subword_classifier.score(docs, none).collect()} == {0.5}
     assert subword_classifier.score(docs.limit(0), none).count() == 0
+
+
+def test_training_takes_one_row_per_chosen_id(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(subword_classifier, "SubwordClassifier", taken.extend)
+    ids = [r.id for r in spark.range(60).filter(~subword_classifier.held_out(F.col("id"))).collect()][:20]
+    rows = [(i, f"text of {i}") for i in ids] + [(i, f"other text {n}") for i in ids for n in range(20)] + [(i, None) for i in ids]
+    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, quality int")
+    subword_classifier.train(spark.createDataFrame(rows, "doc_id long, text string"), labels, rows=10)
+    assert len(taken) == 10
+    first = list(taken)
+    taken.clear()
+    subword_classifier.train(spark.createDataFrame(rows[::-1], "doc_id long, text string").repartition(5), labels, rows=10)
+    assert [(x[0], x[1].tolist(), x[2].tolist()) for x in taken] == [(x[0], x[1].tolist(), x[2].tolist()) for x in first]
