@@ -37,7 +37,7 @@ ANCHOR = 20
 SLICE = 1 << 20
 COUNTS = ["n_bytes", "n_removed", "n_spans"]
 CHUNK = 40_000  # pieces sorted together, whole anchors
-PIECES = "doc long, tag int, m long, c long, start int, n int, left int, many boolean, piece binary"
+PIECES = "doc long, tag long, m long, c long, start int, n int, left int, many boolean, piece binary"
 _CODE = mix(np.arange(1, 257, dtype=np.uint64))
 
 
@@ -116,7 +116,7 @@ def first_documents(group: np.ndarray, left: np.ndarray, n: np.ndarray, doc: np.
     return out
 
 
-SETTLED = "doc long, tag int, start int, n int, m long, c long, first binary"
+SETTLED = "doc long, tag long, start int, n int, m long, c long, first binary"
 
 
 def _removed(first: np.ndarray, doc: np.ndarray, tag: pa.Array, start: np.ndarray, n: np.ndarray) -> dict[str, pa.Array]:
@@ -159,7 +159,7 @@ def _settle(batches: Iterator[pa.RecordBatch], width: int, k: int) -> Iterator[p
         yield pa.RecordBatch.from_pydict({**gone, **rest})
         none = pa.nulls(len(told), pa.int32())
         yield pa.RecordBatch.from_pydict({
-            "doc": pa.nulls(len(told), pa.int64()), "tag": none, "start": none, "n": none, "m": pa.array(m[at][told]), "c": pa.array(c[at][told]),
+            "doc": pa.nulls(len(told), pa.int64()), "tag": pa.nulls(len(told), pa.int64()), "start": none, "n": none, "m": pa.array(m[at][told]), "c": pa.array(c[at][told]),
             "first": pa.array([first[i, :w].tobytes() for i, w in zip(told.tolist(), n[at][told].tolist())], pa.binary())})
 
     for batch in batches:
@@ -195,7 +195,7 @@ def repeated_windows(docs: DataFrame, whole: DataFrame, width: int, k: int) -> D
     settled = store(dealt.mapInArrow(lambda it: _settle(it, width, k), SETTLED), "settled")
     others = pieces.filter("piece IS NULL").select("doc", "tag", "m", "c", "start", "n")
     met = others.join(settled.filter("first IS NOT NULL").select("m", "c", "first"), ["m", "c"])
-    more = met.select("doc", "tag", "start", "n", "first").mapInArrow(_windows, "doc long, tag int, start int, n int")
+    more = met.select("doc", "tag", "start", "n", "first").mapInArrow(_windows, "doc long, tag long, start int, n int")
     return settled.filter("first IS NULL").select("doc", "tag", "start", "n").union(more)
 
 

@@ -185,7 +185,7 @@ def keyed(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
     """doc (order key), tag (of the text, tells apart rows that share an id), text, doc_id, and
     the columns to carry along as one struct, so that no name can clash."""
     rest = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None).cast("int")
-    return docs.select(order_key("doc_id").alias("doc"), F.hash(F.coalesce(text, F.lit(""))).alias("tag"),
+    return docs.select(order_key("doc_id").alias("doc"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("tag"),
                        F.coalesce(text, F.lit("")).alias("text"), F.col("doc_id").cast("long").alias("doc_id"), rest.alias("rest"))
 
 

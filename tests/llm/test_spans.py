@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from domus.llm import column_suffix, debruijn, queries, spans
 
@@ -113,3 +114,14 @@ def test_queries_equal_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert sorted((tuple(r) for r in queries.op5_debruijn_dedup(spark, sf).collect()), key=str) == brute_words(rows)
     assert sorted((tuple(r) for r in queries.op7_column_suffix_dedup(spark, sf).collect()), key=str) == brute_bytes(rows)
+
+
+def test_rows_of_one_id_whose_texts_collide_in_32_bits_stay_apart(spark):
+    text = F.concat(F.lit("one two three four five six seven eight nine ten "), *[F.concat(F.col("id"), F.lit(f" x{k} ")) for k in range(12)])
+    same = spark.range(300_000).select(text.alias("t")).groupBy(F.hash("t").alias("h")).agg(F.collect_list("t").alias("ts")).filter("size(ts) > 1")
+    copied, own = same.orderBy("h").first().ts[:2]
+    rows = [(1, copied), (7, copied), (7, own), (None, copied), (None, own)]
+    got = sorted((tuple(r) for r in debruijn.deduplicate(_frame(spark, rows), form="digest").collect()), key=str)
+    assert got == brute_words(rows)
+    got = sorted((tuple(r) for r in column_suffix.deduplicate(_frame(spark, rows), form="digest").collect()), key=str)
+    assert got == brute_bytes(rows)
