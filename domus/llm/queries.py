@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from domus.llm import (column_suffix, debruijn, lsh_forest, merkle, piece_bpe, subword_classifier, templates, token_counts,
-                       url_rules, weak_rules)
+from domus.llm import (column_suffix, debruijn, exact_shards, fill_middle, hyperplane_tree, lsh_forest, merkle, piece_bpe,
+                       subword_classifier, templates, token_counts, url_rules, weak_rules)
 from domus.llm.common import read, store
 
 # The rules that the URL query judges by.
@@ -93,6 +93,24 @@ def op10_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.round_trip(read(spark, sf_dir, "documents"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(read(spark, sf_dir, "documents"))
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select("kept.doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(back, 256).alias("restored_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperplane_tree.hard_negatives(read(spark, sf_dir, "embeddings"), label=hyperplane_tree.relabelled())
+
+
+def op13_exact_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = exact_shards.shuffled(read(spark, sf_dir, "documents"))
+    text = F.coalesce("row.text", F.lit(""))
+    return dealt.select("row.doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+                        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_merkle_fixity": op1_merkle_fixity,
     "op2_lsh_forest_join": op2_lsh_forest_join,
@@ -104,6 +122,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_piece_bpe": op10_piece_bpe,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_exact_shards": op13_exact_shards,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -120,5 +141,52 @@ fit AS (SELECT page_id, host, path, rhost || rpath AS r, rv,
           row_number() OVER (PARTITION BY page_id ORDER BY length(rhost || rpath) DESC NULLS LAST) AS k
         FROM split LEFT JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
 SELECT page_id, host, path, r AS "rule", coalesce(rv, 'allow') AS verdict FROM fit WHERE k = 1
+""",
+    "op11_fill_middle": """
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+drawn AS (
+  SELECT doc_id, t, units, len(units) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM hashed),
+cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parted AS (
+  SELECT *, array_to_string(list_slice(units, 1, a), '') AS p, array_to_string(list_slice(units, a + 1, b), '') AS m,
+         array_to_string(list_slice(units, b + 1, n), '') AS s FROM cut),
+made AS (
+  SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      ELSE '<S>' || s || '<P>' || p || '<M>' || m END AS o FROM parted)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars, sha256(o) AS output_sha256,
+       sha256(CASE form
+         WHEN 'plain' THEN o
+         WHEN 'psm' THEN substr(o, 4, strpos(o, '<S>') - 4) || substr(o, strpos(o, '<M>') + 3)
+                         || substr(o, strpos(o, '<S>') + 3, strpos(o, '<M>') - strpos(o, '<S>') - 3)
+         ELSE substr(o, strpos(o, '<P>') + 3, strpos(o, '<M>') - strpos(o, '<P>') - 3) || substr(o, strpos(o, '<M>') + 3)
+              || substr(o, 4, strpos(o, '<P>') - 4) END) AS restored_sha256
+FROM made
+""",
+    "op12_hard_negatives": """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positive AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) AS k FROM scored WHERE same),
+ranked AS (
+  SELECT p.anchor_id, p.positive_id, s.other AS negative_id, p.positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other) AS k
+  FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+  WHERE p.k <= 5 AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score)
+SELECT anchor_id, positive_id, CAST(k AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE k <= 5
 """,
 }
