@@ -8,6 +8,8 @@
   pull-decision   recency bucket from the last-pull marker
   compact         keyed table's change log -> latest rows per key, as its new base (or in a new folder)
   snapshot        keyed table's current rows as a plain table clustered by location
+  metrics         what every committed micro-batch decoded, flagged and quarantined
+  field-report    per listing field, in how many messages it is present, null, absent or mistyped
 
 Broker secrets go in ``--kafka-option key=value`` and are never printed.
 """
@@ -19,9 +21,10 @@ import datetime as dt
 import json
 import sys
 
+from domus.operators.field_report import field_report
 from domus.operators.search import SearchRequest
 from domus.session import get_session
-from domus.sources.endpoints import KafkaEndpoint
+from domus.sources.endpoints import KafkaEndpoint, read_message_files
 from domus.streaming import jobs
 
 
@@ -82,12 +85,14 @@ def build_parser() -> argparse.ArgumentParser:
     se.add_argument("--num-page", type=int, default=1)
     se.add_argument("--since", choices=["T", "Y", "W", "M", "AllTime"], help="recency of the page date")
     se.add_argument("--as-of", help="yyyy-MM-dd HH:mm:ss (default: now)")
+    se.add_argument("--after", help="cursor of the last row seen: its order value (empty: none), then |, then its key")
     se.add_argument("--output", help="write the page as parquet here (default: print JSON lines)")
     se.add_argument("--snapshot", action="store_true", help="--table is a snapshot (see snapshot)")
 
     def search_filters(sp):
         sp.add_argument("--table", required=True)
         sp.add_argument("--landing", required=True)
+        sp.add_argument("--layout", choices=["lines", "named"], default="lines")
         sp.add_argument("--country")
         sp.add_argument("--operation")
         sp.add_argument("--property-type", action="append")
@@ -114,6 +119,12 @@ def build_parser() -> argparse.ArgumentParser:
     cp.add_argument("--table", required=True)
     cp.add_argument("--out", help="write a compacted copy to this new folder instead of a new base")
 
+    me = sub.add_parser("metrics")
+    me.add_argument("--table", required=True)
+
+    fr = sub.add_parser("field-report")
+    fr.add_argument("--messages", required=True)
+
     pd = sub.add_parser("pull-decision")
     pd.add_argument("--marker", required=True)
     pd.add_argument("--now", help="yyyy-MM-dd HH:mm:ss (default: now)")
@@ -121,6 +132,11 @@ def build_parser() -> argparse.ArgumentParser:
     return p
 
 
+def _cursor(text: str) -> tuple[str | None, str]:
+    value, _, key = text.partition("|")
+    return value or None, key
+
+
 def main(argv: list[str] | None = None) -> int:
     a = build_parser().parse_args(argv)
     shared = {"spark.checkpoint.dir": a.checkpoint_dir} if a.checkpoint_dir else {}
@@ -144,6 +160,7 @@ def main(argv: list[str] | None = None) -> int:
                             property_types=tuple(a.property_type) if a.property_type else None,
                             min_price=a.min_price, max_price=a.max_price, center=center,
                             distance_m=a.distance, max_items=a.max_items, num_page=a.num_page, since=a.since,
+                            after=_cursor(a.after) if a.after else None,
                             as_of=dt.datetime.strptime(a.as_of, "%Y-%m-%d %H:%M:%S") if a.as_of else dt.datetime.now())
         page = jobs.search_job(spark, a.table, req, snapshot=a.snapshot)
         if a.output:
@@ -158,15 +175,21 @@ def main(argv: list[str] | None = None) -> int:
                             min_price=a.min_price, max_price=a.max_price, center=center,
                             distance_m=a.distance, max_items=a.max_items)
         if a.job == "land-search":
-            jobs.land_search_job(spark, a.table, req, a.landing, dt.date.fromisoformat(a.pull_date))
+            jobs.land_search_job(spark, a.table, req, a.landing, dt.date.fromisoformat(a.pull_date), layout=a.layout)
             print(json.dumps({"landing": a.landing, "page_date": a.pull_date}))
         else:
             now = dt.datetime.strptime(a.now, "%Y-%m-%d %H:%M:%S") if a.now else None
-            print(json.dumps(jobs.pull_job(spark, a.table, a.landing, a.marker, req, now)))
+            print(json.dumps(jobs.pull_job(spark, a.table, a.landing, a.marker, req, now, layout=a.layout)))
     elif a.job == "snapshot":
         print(json.dumps({"table": jobs.snapshot_job(spark, a.table, a.out)}))
     elif a.job == "compact":
         print(json.dumps({"table": jobs.compact_job(spark, a.table, a.out)}))
+    elif a.job == "metrics":
+        for line in jobs.batch_metrics(spark, a.table).orderBy("run", "batch").toJSON().collect():  # one row per batch
+            print(line)
+    elif a.job == "field-report":
+        for line in field_report(read_message_files(spark, a.messages, streaming=False)).toJSON().collect():  # fields x states
+            print(line)
     elif a.job == "pull-decision":
         now = dt.datetime.strptime(a.now, "%Y-%m-%d %H:%M:%S") if a.now else None
         print(json.dumps({"bucket": jobs.pull_decision_job(spark, a.marker, now, a.advance)}))

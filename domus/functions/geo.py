@@ -62,11 +62,37 @@ def bounding_box(lat0: float, lon0: float, radius_m: float) -> tuple[float, floa
     return lat_lo - eps, lat_hi + eps, lon_lo - eps, lon_hi + eps
 
 
+def bounding_boxes(lat0: float, lon0: float, radius_m: float) -> list[tuple[float, float, float, float]] | None:
+    """Boxes that together enclose the circle: one, two beside the antimeridian, or a cap of all
+    longitudes where the circle reaches a pole. None when the circle covers half the globe."""
+    one = bounding_box(lat0, lon0, radius_m)
+    if one is not None:
+        return [one]
+    ang = radius_m / EARTH_RADIUS_M
+    if ang >= math.pi / 2:
+        return None
+    eps = 1e-9
+    lat_lo, lat_hi = lat0 - math.degrees(ang) - eps, lat0 + math.degrees(ang) + eps
+    s = math.sin(ang) / max(math.cos(math.radians(lat0)), 1e-300)
+    if lat_lo <= -90.0 or lat_hi >= 90.0 or s >= 1.0:
+        return [(max(lat_lo, -90.0), min(lat_hi, 90.0), -180.0, 180.0)]
+    dlon = math.degrees(math.asin(s)) + eps
+    lon0 = (lon0 + 180.0) % 360.0 - 180.0
+    lo, hi = lon0 - dlon, lon0 + dlon
+    if lo >= -180.0 and hi <= 180.0:
+        return [(lat_lo, lat_hi, lo, hi)]
+    return [(lat_lo, lat_hi, lo + 360.0 if lo < -180.0 else lo, 180.0), (lat_lo, lat_hi, -180.0, hi if lo < -180.0 else hi - 360.0)]
+
+
 def within_radius(lat, lon, lat0: float, lon0: float, radius_m: float) -> Column:
-    """Box pre-filter (pushes to Parquet row-group stats) AND exact haversine <= radius."""
+    """Box pre-filter (pushes to Parquet row-group stats) AND exact haversine <= radius. Beside the
+    antimeridian the box is two boxes; rows whose longitude is written beyond +-180 pass them."""
     exact = haversine_m(lat, lon, lat0, lon0) <= F.lit(float(radius_m))
-    box = bounding_box(lat0, lon0, radius_m)
-    if box is None:
+    boxes = bounding_boxes(lat0, lon0, radius_m)
+    if boxes is None:
         return exact
-    lat_lo, lat_hi, lon_lo, lon_hi = box
-    return _c(lat).between(lat_lo, lat_hi) & _c(lon).between(lon_lo, lon_hi) & exact
+    near = _c(lat).between(boxes[0][0], boxes[0][1])
+    beside = _c(lon).between(*boxes[0][2:])
+    if len(boxes) > 1:
+        beside = beside | _c(lon).between(*boxes[1][2:]) | (_c(lon) < F.lit(-180.0)) | (_c(lon) > F.lit(180.0))
+    return near & beside & exact

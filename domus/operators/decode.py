@@ -110,6 +110,7 @@ def decode_and_publish(
     keep_corrupt: bool = False,
     lenient_maps: bool = False,
     beside: tuple[str, ...] = (),
+    flag_published: bool = False,
 ) -> DataFrame:
     """Message stream/batch -> published rows. The whole upstream transform in one plan.
 
@@ -118,15 +119,16 @@ def decode_and_publish(
     value in an unread field is not seen. The quarantine path therefore keeps the full schema.
     ``lenient_maps`` (off by default) reads ``parkingspace`` / ``typology`` even when another
     key of the same map holds a value of the wrong type (see :func:`lenient_lookups`).
-    ``beside`` names listing fields to keep next to the published columns.
+    ``beside`` names listing fields to keep next to the published columns. ``flag_published``
+    keeps ``_corrupt_record`` of the pruned schema: bad values in the fields that are kept.
     """
     schema = S.struct(S.LISTING_DDL)
     if prune_schema and not keep_corrupt:
         schema = S.subset(schema, [*PUBLISH_SOURCE_FIELDS, *beside])
     if lenient_maps:
         schema = lenient_lookups(schema)
-    decoded = decode_messages(messages, schema, value_col, keep, keep_corrupt)
-    extra = [S.CORRUPT_COLUMN] if keep_corrupt else []
+    decoded = decode_messages(messages, schema, value_col, keep, keep_corrupt or flag_published)
+    extra = [S.CORRUPT_COLUMN] if keep_corrupt or flag_published else []
     return decoded.select(*(keep or []), *publish_columns(), *beside, *extra)
 
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from domus.functions.timefn import BUCKET_ALL_TIME, BUCKET_NO_PULL, elapsed_days, since_bucket, ts_literal
@@ -37,6 +37,36 @@ def manifest_of(manifest: DataFrame, pages: DataFrame, col: str = "page_date") -
     return manifest.filter(F.col(col).isin([d for d in dates if d is not None]) | F.col(col).isNull())
 
 
+def manifest_bitmaps(pages: DataFrame) -> DataFrame:
+    """B6 as bitmaps: (page_date, bucket, bits), one 4 kB bitmap per date and 32,768 page numbers in
+    place of a row per name. Rows without a date or a positive page number have no place in it."""
+    known = pages.filter(F.col("page_date").isNotNull() & (F.col("page_no") >= 1))
+    return known.groupBy("page_date", F.bitmap_bucket_number("page_no").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("page_no")).alias("bits"))
+
+
+def _bit(bits: Column, position: Column) -> Column:
+    """Is the bit at ``position`` of a bitmap set?"""
+    byte = F.conv(F.hex(F.substring(bits, (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.getbit(byte, (position % 8).cast("int")) == 1
+
+
+def exclude_processed_bits(pages: DataFrame, bitmaps: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
+    """D1 by bit test: the pages (``page_date``, ``page_no``) whose bit is not set in the manifest's
+    bitmaps. Bitmaps of several batches are united first; what is joined is one row per date
+    and 32,768 pages, whatever the manifest's length. Pages whose name does not parse (no date or
+    number) have no bit: they take the exact anti join on names against ``manifest``."""
+    united = bitmaps.groupBy("page_date", "bucket").agg(F.bitmap_or_agg("bits").alias("_bits")) \
+        .select(F.col("page_date").alias("_date"), F.col("bucket").alias("_bucket"), "_bits")
+    placed = F.col("page_date").isNotNull() & F.coalesce(F.col("page_no") >= 1, F.lit(False))
+    own = (F.col("page_date") == F.col("_date")) & (F.bitmap_bucket_number("page_no") == F.col("_bucket"))
+    known = pages.filter(placed).join(united, own, "left")
+    new = known.filter(F.col("_bits").isNull() | ~_bit(F.col("_bits"), F.bitmap_bit_position("page_no"))).select(*pages.columns)
+    if manifest is None:
+        return new
+    return new.unionByName(exclude_processed(pages.filter(~placed), manifest).select(*pages.columns))
+
+
 def pages_to_mark(pages: DataFrame, file_col: str = "file_name", now: dt.datetime | None = None) -> DataFrame:
     """B6 input: manifest rows for pages that were fully handled.
 

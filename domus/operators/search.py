@@ -37,6 +37,7 @@ class SearchRequest:
     descending: bool = True
     max_items: int = 50
     num_page: int = 1
+    after: tuple[str | None, str] | None = None  # cursor of the last row seen; takes the place of num_page
 
 
 @dataclass(frozen=True)
@@ -135,6 +136,42 @@ def order_and_page(df: DataFrame, order_by: str, key: str, descending: bool = Tr
     return (ordered.offset(skip) if skip else ordered).limit(max_items)
 
 
+def after_cursor(order_by: str, key: str, cursor: tuple, descending: bool = True) -> Column:
+    """Rows behind ``cursor`` (order value, key) in the order of :func:`order_and_page`. Unless the
+    cursor stands among rows without an order value, a plain comparison goes first, which
+    reaches the scan."""
+    value, last = cursor
+    behind = (lambda c, x: c < x) if descending else (lambda c, x: c > x)
+    o, k = F.col(order_by), behind(F.col(key), F.lit(last))
+    if value is None:
+        # without a value: last when descending, first when ascending
+        return (o.isNull() & k) if descending else (o.isNotNull() | k)
+    v = F.lit(value)
+    tied = behind(o, v) | ((o == v) & k)
+    if descending:
+        return ((o <= v) & tied) | o.isNull()
+    return (o >= v) & tied
+
+
+def seek_page(df: DataFrame, order_by: str, key: str, cursor: tuple[str | None, str] | None = None,
+              descending: bool = True, max_items: int = 50) -> DataFrame:
+    """F2 by cursor: the ``max_items`` rows behind ``cursor`` (see :func:`cursor_of`; None: the first
+    page). However deep the page, the plan is one scan with the comparison pushed down and a
+    top-``max_items`` per partition. ``key`` must be unique and not NULL."""
+    if cursor is not None:
+        typed = [x if x is None else F.lit(x).cast(df.schema[c].dataType) for c, x in zip((order_by, key), cursor)]
+        df = df.filter(after_cursor(order_by, key, tuple(typed), descending))
+    return order_and_page(df, order_by, key, descending, max_items)
+
+
+def cursor_of(page: DataFrame, order_by: str, key: str, descending: bool = True) -> tuple[str | None, str] | None:
+    """The cursor behind a page's last row, (order value, key) as Spark's text of both, so that no
+    driver time zone enters; None for an empty page. One row comes to the driver."""
+    o = F.asc if descending else F.desc
+    last = page.orderBy(o(order_by), o(key)).select(F.col(order_by).cast("string"), F.col(key).cast("string")).first()
+    return None if last is None else tuple(last)
+
+
 _ROW_BITS = 33  # monotonically_increasing_id = (partition index << 33) + row number in partition
 
 
@@ -192,7 +229,10 @@ def paginate(df: DataFrame, order_by: str, key: str, descending: bool = True, ma
 
 
 def search(df: DataFrame, req: SearchRequest, c: ListingColumns = ListingColumns()) -> DataFrame:
-    """Filter, then return one ordered page, as the paged search endpoint did."""
+    """Filter, then return one ordered page, as the paged search endpoint did, or the page behind
+    the request's cursor."""
+    if req.after is not None:
+        return seek_page(search_filter(df, req, c), req.order_by, c.key, req.after, req.descending, req.max_items)
     return order_and_page(search_filter(df, req, c), req.order_by, c.key, req.descending,
                           req.max_items, req.num_page)
 

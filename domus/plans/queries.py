@@ -14,14 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from domus.functions import geo, names, timefn
-from domus.operators import decode, incremental, search, upsert
+from domus.operators import decode, field_report, incremental, search, upsert
 from domus.operators import pages as pages_op
 from domus import schemas as S
 from domus.plans import derive
 from domus.session import shared_dir
 from domus.sinks.changelog import ChangeLog
-from domus.sinks.tables import (advance_marker, create_table, insert_into, read_marker, write_landing,
-                                write_messages, write_snapshot)
+from domus.sinks.named_pages import write_named_pages
+from domus.sinks.tables import (advance_marker, append_manifest_bitmaps, append_page_runs, create_table, insert_into, read_marker,
+                                write_landing, write_messages, write_snapshot)
 from domus.sources.endpoints import MESSAGE_ORDER, admission_bytes, arrived, read_message_files
 from domus.sources.pages import read_pages
 from domus.sources.tables import read_external, read_state, read_table, spread
@@ -672,6 +673,20 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.latest(spark).select("user_id", "event_id", "ts", "event_type", "value", "props")
 
 
+@register("compacted_upsert", ORACLE_SQL["upsert_latest"])
+def compacted_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B3 beside compaction: events reach the keyed table in four batches. One compaction runs after
+    the first, and another one that began before the third was committed ends after it; the table
+    is then read from the bucketed base and the batches that no compaction covers."""
+    events, log = read_table(spark, sf_dir, "events"), ChangeLog(f"{shared_dir(spark, 'compacted')}/table", "user_id", ["ts", "event_id"])
+    for batch in range(4):
+        began = log.snapshot(spark) if batch == 2 else None
+        log.write_batch(events.filter(F.col("event_id") % 4 == batch), batch, "one")
+        if batch in (0, 2):
+            log.compact_in_place(spark, began)
+    return log.latest(spark).select("user_id", "event_id", "ts", "event_type", "value", "props")
+
+
 @register("stream_listings", ORACLE_SQL["listing_decode"])
 def stream_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The upstream job end to end: listing messages land as files (B1), a file stream
@@ -875,3 +890,186 @@ def manifest_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = counts.withColumn("file_name", names.page_file_name("page_date", "page_no"))
     log = read_state(spark, f"{work}/manifest", S.MANIFEST_DDL).groupBy("file_name").agg(F.count("*").alias("logged"))
     return named.join(log, "file_name").select("page_date", "page_no", "messages", "logged", "run")
+
+
+# ---------------------------------------------------------------------------------------
+# Every page landed as an object of its own name and read back by name.
+# ---------------------------------------------------------------------------------------
+@register("named_landing", ORACLE_SQL["page_explode"])
+def named_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing = f"{shared_dir(spark, 'named-landing')}/pulldata"
+    write_named_pages(derive.envelopes_from_events(_dealt(spark, sf_dir, "events")), landing)
+    rows = pages_op.explode_pages(read_pages(spark, landing, layout="named"), keep=["page_date", "page_no"])
+    el = F.from_json("element", "eventId BIGINT, eventType STRING, value DOUBLE")
+    return rows.select("page_date", "page_no", "pos", el["eventId"].alias("event_id"), el["eventType"].alias("event_type"),
+                       el["value"].alias("value"))
+
+
+# ---------------------------------------------------------------------------------------
+# D6, C16 beside the antimeridian, over a stored snapshot clustered by Z-order.
+# ---------------------------------------------------------------------------------------
+EAST = 179.99
+_WRAPPED = f"({_dbl(EAST)} + CAST((o_orderkey * 104729) % 1999 - 999 AS DOUBLE) * {_dbl(STEP)} * {_dbl(0.1)})"
+
+
+@register(
+    "antimeridian_search",
+    _LISTINGS_SQL
+    + f"""
+, w AS (SELECT propertycode, latitude, CASE WHEN {_WRAPPED} > {_dbl(180.0)} THEN {_WRAPPED} - {_dbl(360.0)} ELSE {_WRAPPED} END AS longitude
+      FROM listings)
+SELECT propertycode, CAST(CAST(floor({_haversine_sql('latitude', 'longitude').replace(repr(LON0), repr(EAST))}) AS BIGINT) AS VARCHAR) AS distance
+FROM w WHERE {_haversine_sql('latitude', 'longitude').replace(repr(LON0), repr(EAST))} <= {_dbl(RADIUS)}
+""",
+)
+def antimeridian_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark, 'antimeridian')}/listings"
+    east = F.lit(EAST) + ((F.col("o_orderkey") * 104729) % 1999 - 999).cast("double") * F.lit(STEP) * F.lit(0.1)
+    rows = _listings(spark, sf_dir).withColumn("longitude", F.when(east > 180.0, east - F.lit(360.0)).otherwise(east))
+    write_snapshot(rows.select("propertycode", "latitude", "longitude"), path)
+    center = (LAT0, EAST)
+    hits = search.search_filter(spark.read.parquet(path), search.SearchRequest(center=center, distance_m=RADIUS))
+    return search.with_distance(hits, center).select("propertycode", "distance")
+
+
+# ---------------------------------------------------------------------------------------
+# F2 by cursor: four pages, each found from the last row of the one before.
+# ---------------------------------------------------------------------------------------
+SEEK_PAGES = 4
+
+
+@register(
+    "seek_pages",
+    _LISTINGS_SQL
+    + f"""
+SELECT o_orderkey, published_at, page_no FROM (
+  SELECT o_orderkey, published_at,
+         CAST((row_number() OVER (ORDER BY published_at DESC, o_orderkey DESC) - 1) // 50 + 1 AS INTEGER) AS page_no
+  FROM listings WHERE operation = 'F')
+WHERE page_no <= {SEEK_PAGES}
+""",
+)
+def seek_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = search.search_filter(_listings(spark, sf_dir), search.SearchRequest(operation="F")).select("o_orderkey", "published_at")
+    out, cursor = None, None
+    for n in range(1, SEEK_PAGES + 1):
+        page = search.seek_page(hits, "published_at", "o_orderkey", cursor)
+        cursor = search.cursor_of(page, "published_at", "o_orderkey")
+        numbered = page.withColumn("page_no", F.lit(n))
+        out = numbered if out is None else out.unionByName(numbered)
+        if cursor is None:
+            break
+    return out
+
+
+# ---------------------------------------------------------------------------------------
+# Which pages lack. Pages arrive in two batches with planted gaps; the state holds runs.
+# ---------------------------------------------------------------------------------------
+@register(
+    "missing_pages",
+    _PAGES_SQL
+    + """,
+gone AS (SELECT page_date, page_no FROM pg WHERE page_no % 5 = 3 OR page_no % 11 IN (4, 5)),
+runs AS (SELECT page_date, page_no, page_no - row_number() OVER (PARTITION BY page_date ORDER BY page_no) AS island FROM gone)
+SELECT page_date, min(page_no) AS first_missing, max(page_no) AS last_missing FROM runs
+WHERE page_date IN (SELECT page_date FROM pg WHERE NOT (page_no % 5 = 3 OR page_no % 11 IN (4, 5)))
+GROUP BY page_date, island
+""",
+)
+def missing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state = f"{shared_dir(spark, 'page-runs')}/runs"
+    envelopes = derive.envelopes_from_events(read_table(spark, sf_dir, "events"))
+    no = F.col("page_no")
+    landed = pages_op.decode_envelope(envelopes.filter(~((no % 5 == 3) | (no % 11).isin(4, 5))).select("page_date", "page_no", "value"))
+    for batch in range(2):
+        append_page_runs(pages_op.page_runs(landed.filter(no % 2 == batch)), state)
+    return pages_op.missing_pages(read_state(spark, state, S.PAGE_RUNS_DDL))
+
+
+# ---------------------------------------------------------------------------------------
+# D1, B6 with the manifest as bitmaps, logged in three batches, one of them twice. Every 97th
+# name does not parse and takes the exact anti join.
+# ---------------------------------------------------------------------------------------
+@register(
+    "manifest_bits",
+    """
+SELECT event_id, CASE WHEN event_id % 97 = 0 THEN 'stray-' || CAST(event_id AS VARCHAR) ELSE
+         'response' || strftime(ts, '%Y_%m_%d') || '_p_' || CAST(event_id + 1 AS VARCHAR) || '.json' END AS file_name
+FROM events WHERE user_id % 3 <> 0
+""",
+)
+def manifest_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state, no = f"{shared_dir(spark, 'manifest-bits')}/bits", F.col("event_id")
+    name = F.when(no % 97 == 0, F.concat(F.lit("stray-"), no.cast("string"))).otherwise(names.page_file_name("ts", no + 1))
+    page_date, page_no = names.parse_page_file_name("file_name")
+    pages = (read_table(spark, sf_dir, "events").select("event_id", "user_id", name.alias("file_name"))
+             .withColumns({"page_date": page_date, "page_no": page_no}))
+    done = pages.filter("user_id % 3 = 0")
+    for batch in (0, 1, 2, 1):
+        append_manifest_bitmaps(incremental.manifest_bitmaps(done.filter(no % 3 == batch)), state)
+    bits = read_state(spark, state, S.MANIFEST_BITS_DDL)
+    left = incremental.exclude_processed_bits(pages.drop("user_id"), bits, done.filter("page_date IS NULL"))
+    return left.select("event_id", "file_name")
+
+
+# ---------------------------------------------------------------------------------------
+# For each of the 38 fields how many messages have it, have it as null, lack it, or have
+# it with the wrong type. Every 10th message is cut in half.
+# ---------------------------------------------------------------------------------------
+_PLANTED = {
+    "propertyCode": "'present'",
+    "price": "CASE WHEN p_partkey % 11 = 0 THEN 'wrong type' ELSE 'present' END",
+    "address": "CASE WHEN p_partkey % 7 = 0 THEN 'null' ELSE 'present' END",
+    "rooms": "CASE WHEN p_partkey % 3 = 0 THEN 'absent' WHEN p_partkey % 3 = 1 THEN 'wrong type' ELSE 'present' END",
+    "parkingSpace": "CASE WHEN p_partkey % 13 = 0 THEN 'wrong type' ELSE 'present' END",
+}
+
+
+@register(
+    "field_report",
+    "WITH ok AS (SELECT * FROM part WHERE p_partkey % 10 <> 0), f AS (" + " UNION ALL ".join(
+        f"SELECT '{name}' AS field, {_PLANTED.get(name, repr('absent'))} AS status FROM ok"
+        for name in (c.split(" ")[0] for c in S.LISTING_DDL.split(", ")))
+    + """ UNION ALL SELECT CAST(NULL AS VARCHAR), 'malformed' FROM part WHERE p_partkey % 10 = 0)
+SELECT field, status, count(*) AS messages FROM f GROUP BY ALL
+""",
+)
+def field_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey")
+    text = F.concat(
+        F.lit('{"propertyCode":"'), k.cast("string"), F.lit('","price":'), F.when(k % 11 == 0, '"5"').otherwise("5"),
+        F.lit(',"address":'), F.when(k % 7 == 0, "null").otherwise('"x"'),
+        F.when(k % 3 == 0, "").when(k % 3 == 1, ',"rooms":"2"').otherwise(',"rooms":2'),
+        F.lit(',"parkingSpace":{"hasParkingSpace":true'), F.when(k % 13 == 0, ',"price":50.0').otherwise(""), F.lit("}}"))
+    half = F.substring(text, F.lit(1), F.floor(F.length(text) / 2).cast("int"))
+    messages = read_table(spark, sf_dir, "part").select(F.when(k % 10 == 0, half).otherwise(text).cast("binary").alias("value"))
+    return field_report.field_report(messages)
+
+
+# ---------------------------------------------------------------------------------------
+# What every micro-batch decoded, flagged and put aside, counted by the write itself and
+# committed with it; here summed over the batches.
+# ---------------------------------------------------------------------------------------
+@register(
+    "batch_metrics",
+    """
+SELECT CAST(count(*) AS BIGINT) AS decoded, CAST(sum(CASE WHEN o_orderkey % 10 = 0 OR o_orderkey % 11 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS flagged,
+       CAST(sum(CASE WHEN o_orderkey % 10 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS quarantined, max(CAST(o_orderdate AS DATE)) AS newest
+FROM orders
+""",
+)
+def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = shared_dir(spark, "batch-metrics")
+    k = F.col("o_orderkey")
+    price = F.when(k % 11 == 0, F.lit('"high"')).otherwise(F.col("o_totalprice").cast("string"))
+    whole = F.concat(F.lit('{"propertyCode":"'), k.cast("string"), F.lit('","price":'), price, F.lit("}"))
+    cut = F.substring(whole, F.lit(1), F.floor(F.length(whole) / 2).cast("int"))
+    sent = read_table(spark, sf_dir, "orders").select(F.when(k % 10 == 0, cut).otherwise(whole).alias("value"),
+                                                      F.to_date("o_orderdate").alias("page_date"))
+    for part in range(3):
+        write_messages(sent.filter(F.dayofmonth("page_date") % 3 == part), path=f"{work}/messages")
+    files = len(spark.read.parquet(f"{work}/messages").inputFiles())
+    jobs.publish_job(spark, jobs.PublishPaths(f"{work}/table", f"{work}/checkpoint", f"{work}/quarantine"),
+                     files=f"{work}/messages", max_files_per_trigger=max(1, files // 3))
+    seen = jobs.batch_metrics(spark, f"{work}/table")
+    return seen.agg(*[F.sum(c).alias(c) for c in ("decoded", "flagged", "quarantined")], F.max("newest").alias("newest"))

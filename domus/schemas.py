@@ -51,6 +51,8 @@ MARKER_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 CORRUPT_COLUMN = "_corrupt_record"
 MANIFEST_DDL = "page_date DATE, file_name STRING, processed_at TIMESTAMP"
+PAGE_RUNS_DDL = "page_date DATE, first_page BIGINT, last_page BIGINT, total_pages BIGINT"
+MANIFEST_BITS_DDL = "page_date DATE, bucket BIGINT, bits BINARY"
 # Kept beside the published columns in the keyed table, for searches: listing fields, and the
 # date of the page a version came from.
 BESIDE_DDL = "country STRING, operation STRING"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from domus import schemas as S
 from domus.functions.timefn import ts_literal
+from domus.functions.zorder import z_key
 from domus.sources.endpoints import MESSAGE_ORDER, KafkaEndpoint
 from domus.sources.tables import range_count, read_state
 
@@ -114,9 +115,23 @@ def write_messages(df: DataFrame, ep: KafkaEndpoint | None = None, path: str | N
 
 def write_snapshot(rows: DataFrame, path: str, partitions: int | None = None,
                    lat: str = "latitude", lon: str = "longitude", key: str = S.PUBLISHED_KEY) -> None:
-    """Listings as a plain table clustered by location (new folder): range-partitioned and
-    sorted by (latitude, longitude, key), so every file and row group covers a narrow band
-    and a radius search skips the others by their min/max statistics. The unique key in the
-    range key lets one point holding a third of all listings still split over many tasks."""
-    (rows.repartitionByRange(partitions or range_count(rows), lat, lon, key).sortWithinPartitions(lat, lon, key)
+    """Listings as a plain table clustered by location (new folder): range-partitioned and sorted
+    by the Z-order key of the point, so every file and row group covers a small tile and a radius
+    search skips the others by their min/max statistics of both coordinates. The unique
+    listing key in the range key lets one point holding a third of all listings still split over
+    many tasks."""
+    near = z_key(lat, lon)
+    (rows.repartitionByRange(partitions or range_count(rows), near, key).sortWithinPartitions(near, key)
      .write.mode("errorifexists").parquet(path))
+
+
+def append_page_runs(runs: DataFrame, path: str) -> None:
+    """E3 state: the page runs of one batch (see :func:`domus.operators.pages.page_runs`) under their
+    dates. Runs only say which pages were seen, so a replayed batch changes nothing."""
+    runs.hint("rebalance", "page_date").write.mode("append").partitionBy("page_date").parquet(path)
+
+
+def append_manifest_bitmaps(bitmaps: DataFrame, path: str) -> None:
+    """B6 as bitmaps (see :func:`domus.operators.incremental.manifest_bitmaps`), under their dates.
+    Bitmaps of several batches are united on reading, so a replay changes nothing."""
+    bitmaps.hint("rebalance", "page_date").write.mode("append").partitionBy("page_date").parquet(path)

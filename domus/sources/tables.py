@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from domus import schemas as S
@@ -35,6 +36,13 @@ def read_state(spark: SparkSession, path: str, ddl: str) -> DataFrame:
         raise
 
 
+def read_dates(spark: SparkSession, path: str, ddl: str, batch: DataFrame, col: str = "page_date") -> DataFrame:
+    """The rows of a state table, partitioned by date, of the dates that a batch has; other dates are
+    not read. The dates of one micro-batch come to the driver."""
+    dates = [r[0] for r in batch.select(col).distinct().collect() if r[0] is not None]
+    return read_state(spark, path, ddl).filter(F.col(col).isin(dates))
+
+
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """The input dealt round robin over ``partitions`` tasks, where the caller asks for it (an
     unsplittable source before CPU-heavy work); as it is by default."""

@@ -11,7 +11,7 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from domus import schemas as S
@@ -106,12 +106,20 @@ def publish_batch_fn(changelog: ChangeLog, order_cols: list[str], quarantine_pat
                      lenient_maps: bool = False) -> BatchFn:
     """Batch body for listing messages (``value`` and ``order_cols``): listings with a key go to
     the change log, decoded from the fields that are kept; messages without one go to the
-    quarantine with their raw ``value``, and only they are decoded in full."""
+    quarantine with their raw ``value``, and only they are decoded in full.
+
+    The write also counts, in the same pass, the decoded messages, those with a bad value in a field
+    that is kept (``flagged``) or without a key (``quarantined``), and the newest page date;
+    the counts are part of the batch's commit (:meth:`ChangeLog.metrics`)."""
     beside = tuple(S.struct(S.BESIDE_DDL).fieldNames())
 
     def fn(batch: DataFrame, batch_id: int, run_id: str) -> None:
-        good = decode_and_publish(batch, keep=order_cols, lenient_maps=lenient_maps, beside=beside)
-        changelog.write_batch(good.filter(F.col(S.PUBLISHED_KEY).isNotNull()), batch_id, run_id)
+        good = decode_and_publish(batch, keep=order_cols, lenient_maps=lenient_maps, beside=beside, flag_published=True)
+        seen = Observation()
+        newest = F.max(S.RECENCY) if S.RECENCY in order_cols else F.lit(None)
+        good = good.observe(seen, F.count(F.lit(1)).alias("decoded"), F.count(S.CORRUPT_COLUMN).alias("flagged"),
+                            F.count_if(F.col(S.PUBLISHED_KEY).isNull()).alias("quarantined"), newest.cast("string").alias("newest"))
+        changelog.write_batch(good.drop(S.CORRUPT_COLUMN), batch_id, run_id, seen)
         if quarantine_path is None:
             return
         code = F.from_json(F.col("value").cast("string"), "propertyCode STRING")["propertyCode"]

@@ -28,6 +28,7 @@ from domus.operators import incremental, search
 from domus.operators import pages as pages_op
 from domus.sinks.changelog import ChangeLog
 from domus.operators.decode import listing_element
+from domus.sinks.named_pages import write_named_pages
 from domus.sinks.tables import (append_manifest, write_landing, write_marker, write_messages,
                                 write_snapshot)
 from domus.sources.endpoints import (MESSAGE_ORDER, KafkaEndpoint, admission_bytes, read_kafka_stream,
@@ -37,6 +38,10 @@ from domus.sources.tables import read_state
 from domus.streaming.job import StreamRun, publish_batch_fn, run_stream
 
 
+# Columns of the keyed table that the publish job writes.
+TABLE_DDL = f"{S.PUBLISHED_DDL}, {S.BESIDE_DDL}, page_date DATE, page_no BIGINT, pos INT"
+
+
 @dataclass
 class PublishPaths:
     table: str  # change log of published rows (the keyed table)
@@ -71,9 +76,11 @@ def publish_job(spark: SparkSession, paths: PublishPaths, kafka: KafkaEndpoint |
 
 
 def _table_log(spark: SparkSession, table: str) -> ChangeLog:
-    log = spark.read.parquet(table)
-    order = [c for c in (*MESSAGE_ORDER, "partition", "offset") if c in log.columns]
-    return ChangeLog(table, key=S.PUBLISHED_KEY, order=order)
+    """The table at a folder, ordered by those of the order columns that it has."""
+    log = ChangeLog(table, key=S.PUBLISHED_KEY, order=list(MESSAGE_ORDER), ddl=TABLE_DDL)
+    have = log.snapshot(spark).schema.fieldNames()
+    log.order = [c for c in (*MESSAGE_ORDER, "partition", "offset") if c in have]
+    return log
 
 
 def published_table(spark: SparkSession, table: str, beside: bool = False) -> DataFrame:
@@ -84,6 +91,13 @@ def published_table(spark: SparkSession, table: str, beside: bool = False) -> Da
     return _table_log(spark, table).latest(spark).select(*cols, *more)
 
 
+def batch_metrics(spark: SparkSession, table: str) -> DataFrame:
+    """Run, batch, decoded, flagged, quarantined, newest of every committed micro-batch."""
+    m = F.col("metrics")
+    return _table_log(spark, table).metrics(spark).select(
+        "run", "batch", *[m[c].cast("bigint").alias(c) for c in ("decoded", "flagged", "quarantined")], m["newest"].cast("date").alias("newest"))
+
+
 def snapshot_job(spark: SparkSession, table: str, out: str, partitions: int | None = None) -> str:
     """The keyed table's current rows as a plain table at ``out`` (new folder), clustered by
     location (see :func:`domus.sinks.tables.write_snapshot`): every row group covers a narrow
@@ -167,21 +181,23 @@ def search_job(spark: SparkSession, table: str, req: search.SearchRequest,
 
 
 def land_search_job(spark: SparkSession, table: str, req: search.SearchRequest, landing: str,
-                    pull_date: dt.date, published_at: str | None = None) -> None:
+                    pull_date: dt.date, published_at: str | None = None, layout: str = "lines") -> None:
     """Every page of ``req`` over the published table, ``req.max_items`` per page in the
     request's order, landed as one envelope per page under ``page_date=<pull_date>``.
-    Re-landing a date replaces it."""
+    Re-landing a date replaces it. Layout ``named`` lands one object per page under its own name
+    instead, re-landing replaces objects of the same names."""
     df, req, cols = _searched(spark, table, req, published_at)
     element = listing_element(tuple(S.struct(S.BESIDE_DDL).fieldNames())).alias("element")
     # numbered by the narrow order and key; the elements' JSON is built from the rows after that
     hits = search.search_filter(df, req, cols)
     paged = search.paginate(hits, req.order_by, cols.key, descending=req.descending,
                             max_items=req.max_items, with_total=True).select("page_no", "pos", "total", element)
-    write_landing(pages_op.page_envelopes(paged, F.lit(pull_date), max_items=req.max_items), landing)
+    pages = pages_op.page_envelopes(paged, F.lit(pull_date), max_items=req.max_items)
+    (write_named_pages if layout == "named" else write_landing)(pages, landing)
 
 
 def pull_job(spark: SparkSession, table: str, landing: str, marker: str, req: search.SearchRequest,
-             now: dt.datetime | None = None, published_at: str | None = None) -> dict:
+             now: dt.datetime | None = None, published_at: str | None = None, layout: str = "lines") -> dict:
     """The pull step: decide from the marker whether and how far back to pull; if so, land
     every page of the search (recency window from the bucket when the table has a
     publication time) under today's date, then advance the marker, only after the landing
@@ -192,7 +208,7 @@ def pull_job(spark: SparkSession, table: str, landing: str, marker: str, req: se
         return {"bucket": bucket, "pulled": False}
     since = None if bucket == "AllTime" else bucket
     req = replace(req, since=since, as_of=now)
-    land_search_job(spark, table, req, landing, now.date(), published_at)
+    land_search_job(spark, table, req, landing, now.date(), published_at, layout)
     write_marker(spark, marker, now)
     return {"bucket": bucket, "pulled": True}
 

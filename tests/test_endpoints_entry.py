@@ -64,6 +64,7 @@ BOUNDED_SINGLE_PARTITION = {
     "limit_one": "count over at most one row",
     "data_arrived": "count over at most one row per scan task",
     "result_pages": "prefix sum over one count row per range",
+    "batch_metrics": "sum over one row per committed batch",
 }
 FORBIDDEN_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
                    "CartesianProduct", "BroadcastNestedLoopJoin")

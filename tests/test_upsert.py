@@ -70,26 +70,52 @@ def test_versions_are_ordered_by_their_columns_across_runs(spark, tmp):
     assert {r["propertycode"]: r["price"] for r in _log(tmp).latest(spark).collect()} == {"a": 1.0, "b": 2.0}
 
 
+def _prices(spark, log):
+    got = [(r["propertycode"], r["price"]) for r in log.latest(spark).collect()]
+    assert len(got) == len(dict(got))
+    return dict(got)
+
+
+def _put(spark, log, batch, run, *rows):
+    log.write_batch(spark.createDataFrame([(k, p, 1, s) for k, p, s in rows], COLS), batch, run)
+
+
 def test_compaction_keeps_latest_and_new_folder(spark, tmp):
     log = _log(tmp)
     log.write_batch(spark.createDataFrame([("a", 1.0, 1, 1)], COLS), 0, "r")
     log.write_batch(spark.createDataFrame([("a", 2.0, 1, 1), ("c", 3.0, 1, 1)], COLS), 1, "r")
     new = log.compact(spark, tmp + "/log2")
-    assert spark.read.parquet(new).count() == 2
     copied = ChangeLog(new, key="propertycode", order=["seq"])
+    assert copied.read_log(spark).count() == 0  # all in the base
     assert sorted(map(tuple, copied.latest(spark).collect())) == sorted(map(tuple, log.latest(spark).collect()))
-    with pytest.raises(Exception):
+    with pytest.raises(ValueError):
         log.compact(spark, tmp + "/log2")  # never overwrite a folder that may be read
 
 
+def test_a_commit_between_the_steps_of_a_compaction_is_not_lost(spark, tmp):
+    log = _log(tmp)
+    _put(spark, log, 0, "r", ("a", 1.0, 1), ("b", 1.0, 1))
+    at = log.snapshot(spark)
+    _put(spark, log, 1, "r", ("a", 2.0, 2), ("c", 2.0, 2))  # committed while the compaction runs
+    assert log.compact_in_place(spark, at) == 1
+    assert _prices(spark, log) == {"a": 2.0, "b": 1.0, "c": 2.0}
+    assert log.read_log(spark).count() == 2  # batch 0 is covered, batch 1 is not
+    at = log.snapshot(spark)
+    _put(spark, log, 2, "r", ("d", 4.0, 4))
+    other = _log(tmp)
+    other.compact_in_place(spark)  # a second compaction overtakes the first
+    assert log.compact_in_place(spark, at) == 2
+    assert _prices(spark, log) == {"a": 2.0, "b": 1.0, "c": 2.0, "d": 4.0}
+
+
 def test_compaction_beside_a_running_writer(spark, tmp):
-    """Batches logged before, during and after two compactions, in several runs: the table is
-    always the newest version per key, and covered batches are not read again."""
+    """Batches logged before, during and after compactions, in several runs and out of order: the
+    table is always the newest version per key, and covered batches are not read again."""
     log, rows = _log(tmp), []
 
     def write(batch, run, *new):
         rows.extend(new)
-        log.write_batch(spark.createDataFrame([(k, p, 1, s) for k, p, s in new], COLS), batch, run)
+        _put(spark, log, batch, run, *new)
 
     def want():
         best = {}
@@ -98,21 +124,90 @@ def test_compaction_beside_a_running_writer(spark, tmp):
                 best[k] = (p, s)
         return {k: p for k, (p, _) in best.items()}
 
-    def got():
-        return {r["propertycode"]: r["price"] for r in log.latest(spark).collect()}
-
     write(0, "1", ("a", 1.0, 1), ("b", 1.0, 5))
-    write(0, "x", ("a", 2.0, 2))
-    stale = ChangeLog(log.path, log.key, log.order)
-    read = stale._live  # a reader and a compaction that began before the next batch
-    assert log.compact_in_place(spark) == 1 and got() == want()
-    write(1, "x", ("b", 9.0, 4), ("c", 3.0, 1))
-    assert got() == want() and read(spark)[0].count() == 4
+    write(3, "x", ("a", 2.0, 2))
+    assert log.compact_in_place(spark) == 1 and _prices(spark, log) == want()
+    write(1, "x", ("b", 9.0, 4), ("c", 3.0, 1))  # a lower batch than the covered one
+    assert _prices(spark, log) == want() and log.read_log(spark).count() == 2
     write(0, "2", ("a", 3.0, 3))
-    assert log.compact_in_place(spark) == 2 and got() == want()
-    assert log._live(spark)[0].count() == 3
-    log.write_batch(spark.createDataFrame([("c", 3.0, 1, 1)], COLS), 1, "x")  # a replay of a covered batch
-    assert got() == want()
+    assert log.compact_in_place(spark) == 2 and _prices(spark, log) == want()
+    assert log.read_log(spark).count() == 0
+    again = _log(tmp)  # a restarted writer replays a covered batch: it is known
+    _put(spark, again, 3, "x", ("a", 2.0, 2))
+    assert _prices(spark, log) == want() and log.read_log(spark).count() == 0
+    assert log.compact_in_place(spark) == 2  # nothing to do
+
+
+def test_half_a_batch_is_never_seen(spark, tmp, monkeypatch):
+    log = _log(tmp)
+    _put(spark, log, 0, "r", ("a", 1.0, 1))
+
+    def lost(*_, **__):
+        raise RuntimeError("the writer is gone before its commit")
+
+    with monkeypatch.context() as m:
+        m.setattr(ChangeLog, "_commit", lost)
+        with pytest.raises(RuntimeError):
+            _put(spark, log, 1, "r", ("a", 9.0, 9), ("b", 9.0, 9))
+    assert _prices(spark, _log(tmp)) == {"a": 1.0}  # its files are there, its commit is not
+    _put(spark, _log(tmp), 1, "r", ("a", 2.0, 2), ("b", 2.0, 2))
+    assert _prices(spark, _log(tmp)) == {"a": 2.0, "b": 2.0}
+    with monkeypatch.context() as m:  # a compaction that dies before its commit changes nothing
+        m.setattr(ChangeLog, "_commit", lost)
+        with pytest.raises(RuntimeError):
+            log.compact_in_place(spark)
+    assert _prices(spark, _log(tmp)) == {"a": 2.0, "b": 2.0}
+    assert log.compact_in_place(spark) == 1 and _prices(spark, log) == {"a": 2.0, "b": 2.0}
+
+
+def test_empty_tables(spark, tmp):
+    log = ChangeLog(tmp + "/none", key="propertycode", order=["seq"], ddl=COLS)
+    assert log.latest(spark).count() == 0 and log.latest(spark).columns == ["propertycode", "price", "rooms", "seq"]
+    with pytest.raises(ValueError):
+        ChangeLog(tmp + "/none", key="propertycode", order=["seq"]).latest(spark)
+    _put(spark, log, 0, "r")  # a batch without rows
+    assert log.latest(spark).count() == 0
+    assert log.compact_in_place(spark) == 1 and log.latest(spark).count() == 0
+    _put(spark, log, 1, "r", ("a", 1.0, 1), (None, 5.0, 1))  # a row without a key is not stored
+    assert _prices(spark, log) == {"a": 1.0}
+    assert log.compact_in_place(spark) == 2 and _prices(spark, log) == {"a": 1.0}
+
+
+def test_base_is_read_without_an_exchange_and_rewritten_by_bucket(spark, tmp):
+    log = ChangeLog(tmp + "/log", key="propertycode", order=["seq"], buckets=8)
+    _put(spark, log, 0, "r", *[(f"k{i}", 1.0, 1) for i in range(200)])
+    log.compact_in_place(spark)
+    first = log.snapshot(spark).gens
+    assert len(first) == 8 and len(set(first)) == 1
+    _put(spark, log, 1, "r", ("k7", 2.0, 2))
+    plan = log.latest(spark)._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" in plan and plan.count("Exchange ") == 1 and "SelectedBucketsCount: 8 out of 8" in plan
+    before, changes = plan.split("Exchange ")
+    assert "domus_base" in before and "domus_base" not in changes  # only the changes move
+    log.compact_in_place(spark)
+    second = log.snapshot(spark).gens
+    assert sum(a != b for a, b in zip(first, second)) == 1  # one bucket was rewritten
+    assert _prices(spark, log) == {**{f"k{i}": 1.0 for i in range(200)}, "k7": 2.0}
+    plan = log.latest(spark).filter("price > 1")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "GreaterThan(price,1.0)" in plan
+    for n in range(2, 8):  # superseded buckets are dropped once they are half of the files
+        _put(spark, log, n, "r", *[(f"k{i}", float(n), n) for i in range(n, 200, 3)])
+        log.compact_in_place(spark)
+    at = log.snapshot(spark)
+    assert at.written <= 2 * at.buckets
+    assert _prices(spark, log) == {f"k{i}": float(max([n for n in range(2, 8) if i >= n and (i - n) % 3 == 0], default=2 if i == 7 else 1))
+                                   for i in range(200)}
+
+
+def test_columns_added_later_and_odd_run_names(spark, tmp):
+    log = ChangeLog(tmp + "/it's a=b", key="k", order=["seq"])
+    log.write_batch(spark.createDataFrame([("a", 1)], "k string, seq long"), 0, "x/y=z 1")
+    log.compact_in_place(spark)
+    log.write_batch(spark.createDataFrame([("b", 2, "new")], "k string, seq long, more string"), 1, "x/y=z 1")
+    want = {("a", 1, None), ("b", 2, "new")}
+    assert {tuple(r) for r in log.latest(spark).collect()} == want
+    log.compact_in_place(spark)
+    assert {tuple(r) for r in log.latest(spark).collect()} == want
 
 
 def test_latest_keeps_column_types(spark, tmp):
