@@ -50,14 +50,16 @@ TEMPLATE, PLAIN = "template", "plain"
 def _marked(text: Column, openers: bool) -> Column:
     """Tokens separated by spaces, slots marked; ``openers``: capitalised sentence openers are slots too."""
     t = F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit(SLOT), F.lit(" ")), F.lit(JOINT), F.lit(" "))
+    # lookbehinds stand behind a first letter or digit, where few places reach them
     # a capitalised word that does not begin a sentence is a name
-    t = F.regexp_replace(t, r"(?<=[^.!?\s\x01]\s)(\p{Lu}\p{Ll}\p{L}*)", SLOT + "n$1")
+    t = F.regexp_replace(t, r"(\p{Lu}(?<=[^.!?\s\x01]\s\p{Lu})\p{Ll}\p{L}*)", SLOT + "n$1")
     if openers:
         t = F.regexp_replace(t, r"(\p{Lu}(?<![\p{L}\p{N}\x01]\p{Lu})\p{Ll}\p{L}*)", SLOT + "o$1")
     t = F.regexp_replace(t, r" \x01n(?<=\x01[on]\p{L}{1,64} \x01n)", JOINT)
-    t = F.regexp_replace(t, r"(?<![\p{L}\p{N}])(\p{N}+(?:[.,:/]\p{N}+)*)", SLOT + "d$1 ")
+    t = F.regexp_replace(t, r"(\p{N}(?<![\p{L}\p{N}]\p{N})\p{N}*(?:[.,:/]\p{N}+)*)", SLOT + "d$1 ")
     t = F.regexp_replace(t, rf"(\x01d\S+\s+)({'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", "$1" + SLOT + "u$2")
-    t = F.regexp_replace(t, r"(?:[^\p{L}\p{N}\x01\x02.,:/]|[.,:/](?!\p{N})|(?<!\p{N})[.,:/])+", " ")
+    # marks between digits stay; spaces stay as they are, empty tokens are left out later
+    t = F.regexp_replace(t, r"[.,:/](?:(?!\p{N})|(?<!\p{N}.))|[^ a-zA-Z0-9.,:/\x01\x02\p{L}\p{N}]+", " ")
     return F.lower(t)
 
 
@@ -92,16 +94,35 @@ def value(token: Column) -> Column:
     return F.substring(token, 3, 1 << 30)
 
 
-def window_hashes(found: Column, width: Column | int, stream: str = TEMPLATE) -> Column:
-    """Hash of every ``width`` consecutive tokens (empty when there are fewer); the streams' hashes differ."""
-    def rolled(h: Column) -> Column:
-        at = F.sequence(F.lit(0), F.greatest(F.size(h) - width, F.lit(0)))
-        return F.when(F.size(h) >= width, F.transform(at, lambda i: F.xxhash64(F.slice(h, i + 1, width)))) \
-            .otherwise(F.array().cast("array<bigint>"))
+def _bound(column: Column, of) -> Column:
+    """``of(column)`` with the column computed once, not at every place that uses it."""
+    return F.transform(F.array(column), of)[0]
 
-    one = (lambda x: F.xxhash64(shape(x))) if stream == TEMPLATE else (lambda x: F.xxhash64(x, F.lit(1)))
-    # an array of one array: binds the token hashes to a variable, so that no window computes them anew
-    return F.transform(F.array(F.transform(found, one)), rolled)[0]
+
+def _paired(h: Column, step: int, *salt: Column) -> Column:
+    """Hash of every element with the one ``step`` further on."""
+    n = F.greatest(F.size(h) - step, F.lit(0))
+    return F.zip_with(F.slice(h, 1, n), F.slice(h, step + 1, n), lambda x, y: F.xxhash64(x, y, *salt))
+
+
+def window_hashes(found: Column, widths: list[int], stream: str = TEMPLATE) -> Column:
+    """Hashes of every ``widths[0]`` consecutive tokens, then of every ``widths[1]``, and so on (none where
+    there are fewer tokens); the hashes of streams and widths differ.
+
+    Tokens are hashed once. Windows of 2, 4, 8... tokens are made by pairing those of half their
+    width; a width between is a pair of overlapping windows."""
+    def one(x: Column) -> Column:
+        if stream == PLAIN:
+            return F.xxhash64(x, F.lit(1))
+        return F.when(x < JOINT, F.xxhash64(shape(x))).otherwise(F.xxhash64(x))  # slots sort before words
+
+    def level(h: Column, power: int, done: dict[int, Column]) -> Column:
+        done = {**done, **{w: _paired(h, w - power, F.lit(w)) if w > power else h for w in widths if power <= w < 2 * power}}
+        if max(widths) < 2 * power:
+            return F.concat(*[done[w] for w in widths])
+        return _bound(_paired(h, power), lambda next_: level(next_, 2 * power, done))
+
+    return _bound(F.transform(found, one), lambda h: level(h, 1, {}))
 
 
 def benchmark_windows(items: DataFrame, text: str = "text", window: int = WINDOW, literals: int = LITERALS) -> DataFrame:
@@ -113,7 +134,8 @@ def benchmark_windows(items: DataFrame, text: str = "text", window: int = WINDOW
         own = found.select("item", F.lit(stream).alias("stream"), F.col(f"t.{stream}").alias("words")).filter("size(words) > 0") \
             .withColumn("width", F.least(F.size("words"), F.lit(window)))
         plain = F.transform("words", lambda x: F.when(F.startswith(x, F.lit(SLOT)), 0).otherwise(1))
-        opened = own.withColumn("plain", plain).select("*", F.posexplode(window_hashes(F.col("words"), F.col("width"), stream)).alias("at", "w"))
+        hashes = F.coalesce(*[F.when(F.col("width") == w, window_hashes(F.col("words"), [w], stream)) for w in range(1, window + 1)])
+        opened = own.withColumn("plain", plain).select("*", F.posexplode(hashes).alias("at", "w"))
         enough = F.aggregate(F.slice("plain", F.col("at") + 1, F.col("width")), F.lit(0), lambda a, x: a + x)
         own = (opened.filter(enough >= literals) if stream == TEMPLATE else opened).drop("plain")
         out = own if out is None else out.union(own)
@@ -162,7 +184,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", window: in
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     pair = ["doc_id", "key", "item", "stream"]
     # windows of all streams and widths end to end: one reading of the documents
-    windows = [window_hashes(F.col(f"t.{r.stream}"), r.width, r.stream) for r in parts]
+    widths = {x: [r.width for r in parts if r.stream == x] for x in (PLAIN, TEMPLATE)}
+    windows = [window_hashes(F.col(f"t.{x}"), w, x) for x, w in widths.items() if w]
     windows = F.concat(*windows) if windows else F.array().cast("array<bigint>")
     spread = docs.select("doc_id", F.xxhash64("text").alias("key"), both(F.col("text")).alias("t")) \
         .select("doc_id", "key", F.posexplode(windows).alias("pos", "w"))
