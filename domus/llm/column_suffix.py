@@ -13,7 +13,8 @@ among them is its first document.
 
 A round keeps its columns in bounded arrays of the task, read and written in order, instead
 of files: a task holds some thousand anchors' different pieces at a time, and equal pieces
-were merged before. Whole copies of a document are settled by its digest.
+were merged before. An anchor with more than ``HOT`` pieces is not sorted by one task: its windows
+are grouped by their bytes, all of them. Whole copies of a document are settled by its digest.
 
 Defined results: null and empty texts, and those shorter than a window, lose nothing. Rows
 that share an id (or have none) never take from one another; rows without an id come last.
@@ -37,7 +38,8 @@ ANCHOR = 20
 SLICE = 1 << 20
 COUNTS = ["n_bytes", "n_removed", "n_spans"]
 CHUNK = 40_000  # pieces sorted together, whole anchors
-PIECES = "doc long, tag long, m long, c long, start int, n int, left int, many boolean, piece binary"
+HOT = 4_000  # pieces of an anchor beyond which its windows are grouped by Spark
+PIECES = "node long, doc long, tag long, m long, c long, start int, n int, left int, many boolean, piece binary"
 _CODE = mix(np.arange(1, 257, dtype=np.uint64))
 
 
@@ -70,10 +72,10 @@ def _pieces(batches: Iterator[pa.RecordBatch], width: int, k: int) -> Iterator[p
         many[order] = np.r_[same, False]
         piece = [flat[s:s + c + width - 1] if y else None for s, c, y in zip(start.tolist(), n.tolist(), carries.tolist())]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids), part.column("tag").take(pa.array(doc)), pa.array(r.anchor[at].view(np.int64)),
+            [part.column("node").take(pa.array(doc)), pa.array(ids), part.column("tag").take(pa.array(doc)), pa.array(r.anchor[at].view(np.int64)),
              pa.array(content.view(np.int64)), pa.array((start - r.offsets[doc]).astype(np.int32)),
              pa.array(n.astype(np.int32)), pa.array((r.place[at] - start).astype(np.int32)), pa.array(many), pa.array(piece, pa.binary())],
-            names=["doc", "tag", "m", "c", "start", "n", "left", "many", "piece"])
+            names=["node", "doc", "tag", "m", "c", "start", "n", "left", "many", "piece"])
 
 
 def first_documents(group: np.ndarray, left: np.ndarray, n: np.ndarray, doc: np.ndarray, pieces: list[bytes],
@@ -116,17 +118,17 @@ def first_documents(group: np.ndarray, left: np.ndarray, n: np.ndarray, doc: np.
     return out
 
 
-SETTLED = "doc long, tag long, start int, n int, m long, c long, first binary"
+SETTLED = "node long, tag long, start int, n int, m long, c long, first binary"
 
 
-def _removed(first: np.ndarray, doc: np.ndarray, tag: pa.Array, start: np.ndarray, n: np.ndarray) -> dict[str, pa.Array]:
+def _removed(first: np.ndarray, doc: np.ndarray, node: pa.Array, tag: pa.Array, start: np.ndarray, n: np.ndarray) -> dict[str, pa.Array]:
     """Runs of windows whose first document (``first``, all rows' windows end to end) is earlier."""
     row = np.repeat(np.arange(len(n)), n)
     inner = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
     hit = np.flatnonzero(first < doc[row])
     head = np.flatnonzero(np.r_[True, (np.diff(hit) != 1) | (row[hit][1:] != row[hit][:-1])]) if len(hit) else hit
     of = row[hit[head]]
-    return {"doc": pa.array(doc[of]), "tag": tag.take(pa.array(of)),
+    return {"node": node.take(pa.array(of)), "tag": tag.take(pa.array(of)),
             "start": pa.array((start[of] + inner[hit[head]]).astype(np.int32)),
             "n": pa.array(np.diff(np.r_[head, len(hit)]).astype(np.int32))}
 
@@ -152,14 +154,14 @@ def _settle(batches: Iterator[pa.RecordBatch], width: int, k: int) -> Iterator[p
         group = np.cumsum(np.r_[True, m[at][1:] != m[at][:-1]]) - 1
         first = first_documents(group, left[at], n[at], doc[at], [pieces[i] for i in at.tolist()], width, k)
         flat = first[which][np.arange(first.shape[1]) < n[:, None]]
-        gone = _removed(flat, doc, rows.column("tag").combine_chunks(), rows.column("start").to_numpy(), n)
-        size = len(gone["doc"])
+        gone = _removed(flat, doc, rows.column("node").combine_chunks(), rows.column("tag").combine_chunks(), rows.column("start").to_numpy(), n)
+        size = len(gone["node"])
         told = np.unique(which[rows.column("many").to_numpy(zero_copy_only=False)])
         rest = {"m": pa.nulls(size, pa.int64()), "c": pa.nulls(size, pa.int64()), "first": pa.nulls(size, pa.binary())}
         yield pa.RecordBatch.from_pydict({**gone, **rest})
         none = pa.nulls(len(told), pa.int32())
         yield pa.RecordBatch.from_pydict({
-            "doc": pa.nulls(len(told), pa.int64()), "tag": pa.nulls(len(told), pa.int64()), "start": none, "n": none, "m": pa.array(m[at][told]), "c": pa.array(c[at][told]),
+            "node": pa.nulls(len(told), pa.int64()), "tag": pa.nulls(len(told), pa.int64()), "start": none, "n": none, "m": pa.array(m[at][told]), "c": pa.array(c[at][told]),
             "first": pa.array([first[i, :w].tobytes() for i, w in zip(told.tolist(), n[at][told].tolist())], pa.binary())})
 
     for batch in batches:
@@ -179,36 +181,70 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences with their windows' first documents into runs of windows to remove."""
     for batch in batches:
         first = np.frombuffer(b"".join(batch.column("first").to_pylist()), dtype=np.int64)
-        yield pa.RecordBatch.from_pydict(_removed(first, batch.column("doc").to_numpy(), batch.column("tag"),
+        yield pa.RecordBatch.from_pydict(_removed(first, batch.column("doc").to_numpy(), batch.column("node"), batch.column("tag"),
                                                   batch.column("start").to_numpy(), batch.column("n").to_numpy()))
 
 
-def repeated_windows(docs: DataFrame, whole: DataFrame, width: int, k: int) -> DataFrame:
-    """doc, tag, start, n: runs of windows that a document with a smaller id has."""
+def _open(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """Contents (m, c, n, piece, least doc) into their windows' bytes: m, c, i, window, doc."""
+    for batch in batches:
+        n = batch.column("n").to_numpy()
+        row = np.repeat(np.arange(len(n)), n)
+        i = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        pieces = batch.column("piece").to_pylist()
+        window = [pieces[r][k:k + width] for r, k in zip(row.tolist(), i.tolist())]
+        yield pa.RecordBatch.from_arrays([*(batch.column(x).take(pa.array(row)) for x in ("m", "c")), pa.array(i, pa.int32()),
+                                          pa.array(window, pa.binary()), batch.column("doc").take(pa.array(row))],
+                                         names=["m", "c", "i", "window", "doc"])
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        first = [np.array(x, dtype=np.int64).tobytes() for x in batch.column("firsts").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("m"), batch.column("c"), pa.array(first, pa.binary())], names=["m", "c", "first"])
+
+
+def hot_contents(rows: DataFrame, width: int) -> DataFrame:
+    """m, c, first: the first documents of the windows of every different content of anchors too frequent
+    for one task. Their windows are grouped by their bytes, so that Spark spreads an anchor."""
+    contents = rows.groupBy("m", "c").agg(F.min("doc").alias("doc"), F.max("piece").alias("piece"), F.max("n").alias("n"))
+    opened = store(contents.mapInArrow(lambda it: _open(it, width), "m long, c long, i int, window binary, doc long"), "hot-windows")
+    least = store(opened.groupBy("window").agg(F.min("doc").alias("first")), "hot-firsts")
+    told = opened.join(least, "window").groupBy("m", "c").agg(F.sort_array(F.collect_list(F.struct("i", "first"))).alias("w"))
+    return told.select("m", "c", F.col("w.first").alias("firsts")).mapInArrow(_packed, "m long, c long, first binary")
+
+
+def repeated_windows(docs: DataFrame, whole: DataFrame, width: int, k: int, hot: int = HOT) -> DataFrame:
+    """node, tag, start, n: runs of windows that a document with a smaller id has."""
     marks = sieve(docs, byte_runs(width, k), "text", SLICE)
-    near = zipped(docs.select("doc", "tag", "text")).join(marks, "doc").join(whole, ["doc", "tag"], "left_anti") \
-        .select("doc", "tag", "text", "anchors")
+    near = zipped(docs.select("node", "doc", "tag", "text")).join(marks, "node").join(whole, ["node", "tag"], "left_anti") \
+        .select("node", "doc", "tag", "text", "anchors")
     pieces = store(near.mapInArrow(lambda it: _pieces(it, width, k), PIECES), "pieces")
-    dealt = (pieces.filter("piece IS NOT NULL")
-             .select(F.shiftright("m", 32).cast("int").alias("part"), "doc", "tag", "start", "n", "left", "many", "piece")
+    frequent = store(pieces.filter("piece IS NOT NULL").groupBy("m").agg(F.count("*").alias("times")).filter(F.col("times") > hot)
+                     .select("m"), "hot-anchors")
+    usual = pieces.join(frequent, "m", "left_anti")
+    dealt = (usual.filter("piece IS NOT NULL")
+             .select(F.shiftright("m", 32).cast("int").alias("part"), "node", "doc", "tag", "start", "n", "left", "many", "piece")
              .repartition(parts(docs.sparkSession), "part").sortWithinPartitions("part"))
     settled = store(dealt.mapInArrow(lambda it: _settle(it, width, k), SETTLED), "settled")
-    others = pieces.filter("piece IS NULL").select("doc", "tag", "m", "c", "start", "n")
+    others = usual.filter("piece IS NULL").select("node", "doc", "tag", "m", "c", "start", "n")
     met = others.join(settled.filter("first IS NOT NULL").select("m", "c", "first"), ["m", "c"])
-    more = met.select("doc", "tag", "start", "n", "first").mapInArrow(_windows, "doc long, tag long, start int, n int")
-    return settled.filter("first IS NULL").select("doc", "tag", "start", "n").union(more)
+    often = pieces.join(frequent, "m").select("node", "doc", "tag", "m", "c", "start", "n", "piece")
+    met = met.unionByName(often.drop("piece").join(store(hot_contents(often, width), "hot-contents"), ["m", "c"]))
+    more = met.select("node", "doc", "tag", "start", "n", "first").mapInArrow(_windows, "node long, tag long, start int, n int")
+    return settled.filter("first IS NULL").select("node", "tag", "start", "n").union(more)
 
 
 def _rebuild(batches: Iterator[pa.RecordBatch], width: int, form: str) -> Iterator[pa.RecordBatch]:
     for part in unzipped(batches, SLICE):
         out = []
-        rows = zip(*(part.column(c).to_pylist() for c in ("tag", "spans", "whole")))
-        for text, (tag, spans, whole) in zip(raw_texts(part), rows):
+        rows = zip(*(part.column(c).to_pylist() for c in ("spans", "whole")))
+        for text, (spans, whole) in zip(raw_texts(part), rows):
             gone = np.zeros(len(text), dtype=bool)
-            if whole and tag in whole and len(text) >= width:
+            if whole and len(text) >= width:
                 gone[:] = True
             elif spans:
-                mine = np.array([(s["start"], s["n"]) for s in spans if s["tag"] == tag], dtype=np.int64).reshape(-1, 2)
+                mine = np.array([(s["start"], s["n"]) for s in spans], dtype=np.int64).reshape(-1, 2)
                 gone = spans_of(mine[:, 0], mine[:, 1] + width - 1, len(text))
             removed = int(gone.sum())
             kept = np.frombuffer(text, dtype=np.uint8)[~gone].tobytes() if removed else text
@@ -221,11 +257,11 @@ def _rebuild(batches: Iterator[pa.RecordBatch], width: int, form: str) -> Iterat
 
 
 def deduplicate(docs: DataFrame, text: str = "text", width: int = WIDTH, k: int = ANCHOR, form: str = "bytes",
-                carry: list[str] | None = None) -> DataFrame:
+                carry: list[str] | None = None, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and what is kept in the form asked for (``digest``,
     ``text`` or ``bytes``), and the columns to ``carry`` as a struct ``rest``."""
     docs = keyed(docs, text, carry or [])
     whole = store(copies(docs, "text"), "copies")
-    removed = repeated_windows(docs, whole, width, k)
+    removed = repeated_windows(docs, whole, width, k, hot)
     out = rejoin(docs, removed, whole).mapInArrow(lambda it: _rebuild(it, width, form), result_schema(docs, COUNTS, form))
     return out if carry else out.drop("rest")

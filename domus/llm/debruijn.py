@@ -34,7 +34,7 @@ WIDTH = 20
 ANCHOR = 6
 SLICE = 2 << 20
 COUNTS = ["n_words", "n_removed"]
-PATHS = "doc long, tag long, m long, c long, start int, n int, edges binary"
+PATHS = "node long, doc long, tag long, m long, c long, start int, n int, edges binary"
 
 
 def _symbols(part: pa.RecordBatch, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
@@ -65,15 +65,15 @@ def _paths(batches: Iterator[pa.RecordBatch], width: int, k: int) -> Iterator[pa
         start, n, doc = r.start[at], r.n[at], r.doc[at]
         edges = r.hashes.windows(width)
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc").take(pa.array(doc)), part.column("tag").take(pa.array(doc)),
+            [*(part.column(x).take(pa.array(doc)) for x in ("node", "doc", "tag")),
              pa.array(r.anchor[at].view(np.int64)), pa.array(content.view(np.int64)),
              pa.array((start - r.offsets[doc]).astype(np.int32)), pa.array(n.astype(np.int32)),
              pa.array([edges[s:s + c].tobytes() for s, c in zip(start.tolist(), n.tolist())], pa.binary())],
-            names=["doc", "tag", "m", "c", "start", "n", "edges"])
+            names=["node", "doc", "tag", "m", "c", "start", "n", "edges"])
 
 
 def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Paths into edges: doc, tag, m, h, start."""
+    """Paths into edges: node, doc, tag, m, h, start."""
     for batch in batches:
         n = batch.column("n").to_numpy()
         at = np.repeat(np.arange(len(n)), n)
@@ -81,29 +81,30 @@ def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h = np.frombuffer(b"".join(batch.column("edges").to_pylist()), dtype=np.int64)
         row = pa.array(at)
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c).take(row) for c in ("doc", "tag", "m")), pa.array(h),
-             pa.array((batch.column("start").to_numpy()[at] + inner).astype(np.int32))], names=["doc", "tag", "m", "h", "start"])
+            [*(batch.column(c).take(row) for c in ("node", "doc", "tag", "m")), pa.array(h),
+             pa.array((batch.column("start").to_numpy()[at] + inner).astype(np.int32))], names=["node", "doc", "tag", "m", "h", "start"])
 
 
 def repeated_paths(docs: DataFrame, whole: DataFrame, width: int, k: int) -> DataFrame:
-    """doc, tag, start, n: runs of k-mers that a document with a smaller id has."""
+    """node, tag, start, n: runs of k-mers that a document with a smaller id has."""
     marks = sieve(docs, word_runs(width, k), "text", SLICE)
-    near = zipped(docs.select("doc", "tag", "text")).join(marks, "doc").join(whole, ["doc", "tag"], "left_anti").select("doc", "tag", "text", "anchors")
+    near = zipped(docs.select("node", "doc", "tag", "text")).join(marks, "node").join(whole, ["node", "tag"], "left_anti") \
+        .select("node", "doc", "tag", "text", "anchors")
     paths = store(near.mapInArrow(lambda it: _paths(it, width, k), PATHS), "paths")
     # aggregates are written before they are joined: Spark splits a skewed join only between plain exchanges
     nodes = store(paths.groupBy("m").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("doc").alias("first"),
                                          F.max("doc").alias("last")).filter("first < last"), "nodes")
     met = store(paths.join(nodes, "m"), "met")
-    straight = met.filter("low = high AND doc > first").select("doc", "tag", "start", "n")
+    straight = met.filter("low = high AND doc > first").select("node", "tag", "start", "n")
     branching = met.filter("low <> high").drop("low", "high", "first", "last")
     firsts = store(branching.groupBy("m", "c").agg(F.min("doc").alias("first")), "firsts")
     settled = store(branching.join(firsts, ["m", "c"]), "settled")
-    equal = settled.filter("doc > first").select("doc", "tag", "start", "n")
-    opened = settled.filter("doc = first").select("doc", "tag", "m", "start", "n", "edges") \
-        .mapInArrow(_open, "doc long, tag long, m long, h long, start int")
+    equal = settled.filter("doc > first").select("node", "tag", "start", "n")
+    opened = settled.filter("doc = first").select("node", "doc", "tag", "m", "start", "n", "edges") \
+        .mapInArrow(_open, "node long, doc long, tag long, m long, h long, start int")
     least = store(opened.groupBy("m", "h").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
                   .filter("first < last"), "edges")
-    single = opened.join(least, ["m", "h"]).filter("doc > first").select("doc", "tag", "start", F.lit(1).alias("n"))
+    single = opened.join(least, ["m", "h"]).filter("doc > first").select("node", "tag", "start", F.lit(1).alias("n"))
     return straight.union(equal).union(single)
 
 
@@ -111,18 +112,18 @@ def _rebuild(batches: Iterator[pa.RecordBatch], width: int, form: str) -> Iterat
     hashes = WordHashes()
     for part in unzipped(batches, SLICE):
         out = []
-        rows = zip(*(part.column(c).to_pylist() for c in ("tag", "spans", "whole")))
-        for text, (tag, spans, whole) in zip(raw_texts(part), rows):
+        rows = zip(*(part.column(c).to_pylist() for c in ("spans", "whole")))
+        for text, (spans, whole) in zip(raw_texts(part), rows):
             words = text.split()
             gone = np.zeros(len(words), dtype=bool)
             if len(words) >= width:
-                if whole and tag in whole:
+                if whole:
                     gone[:] = True
                 else:
                     h = RangeHashes(hash_words(words, hashes)).windows(width)
                     order = np.argsort(h, kind="stable")
                     again = order[1:][h[order[1:]] == h[order[:-1]]]
-                    mine = [(s["start"], s["n"]) for s in spans or () if s["tag"] == tag]
+                    mine = [(s["start"], s["n"]) for s in spans or ()]
                     start, n = np.array(mine, dtype=np.int64).reshape(-1, 2).T
                     gone = spans_of(np.r_[again, start], np.r_[np.full(len(again), width), n + width - 1], len(words))
             kept = b" ".join(compress(words, (~gone).tolist()))

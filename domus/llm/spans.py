@@ -25,7 +25,8 @@ LAST = (1 << 63) - 1
 
 
 def order_key(doc_id: Column | str) -> Column:
-    """The id as documents are ordered by it; rows without one come last, none before another."""
+    """The id as documents are ordered by it; rows without one come last, none before another (an id
+    of 2**63 - 1 counts as none)."""
     return F.coalesce(F.col(doc_id).cast("long") if isinstance(doc_id, str) else doc_id, F.lit(LAST))
 
 
@@ -72,30 +73,28 @@ def unpack(data: bytes) -> np.ndarray:
 SIEVED = ~np.uint64(0xFFFF)
 
 
-def _flush(anchors: np.ndarray, docs: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+def _flush(anchors: np.ndarray, nodes: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
     """Packed anchors by bucket. An anchor that several of these documents have is known to
     repeat: its documents are told at once, and it goes on as two entries of one document."""
-    order = np.lexsort((docs, anchors))
-    anchors, docs = anchors[order], docs[order]
-    new = np.r_[True, (anchors[1:] != anchors[:-1]) | (docs[1:] != docs[:-1])]
-    anchors, docs = anchors[new], docs[new]
+    order = np.lexsort((nodes, anchors))
+    anchors, nodes = anchors[order], nodes[order]
+    new = np.r_[True, (anchors[1:] != anchors[:-1]) | (nodes[1:] != nodes[:-1])]
+    anchors, nodes = anchors[new], nodes[new]
     equal = anchors[1:] == anchors[:-1]
     first, shared = np.r_[True, ~equal], np.r_[False, equal] | np.r_[equal, False]
-    rows = [(int(d % buckets), 1, int(d), pack(a), b"") for d, a in by_doc(anchors[shared], docs[shared])]
+    rows = [(int(d % buckets), 1, np.array([d]).tobytes(), pack(a), b"") for d, a in by_doc(anchors[shared], nodes[shared])]
     times = np.where(first, np.where(shared, 2, 1), 0)
-    anchors, docs = np.repeat(anchors, times), np.repeat(docs, times)
+    anchors, nodes = np.repeat(anchors, times), np.repeat(nodes, times)
     bucket = ((anchors >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
     for b in range(buckets):
         at = order[cuts[b]:cuts[b + 1]]
         if len(at):
-            base = int(docs[at].min())
-            off = docs[at] - base
-            off = off.astype(np.min_scalar_type(int(off.max())))
-            rows.append((b, 0, base, pack(anchors[at]), off.tobytes()))
+            known, of = np.unique(nodes[at], return_inverse=True)
+            rows.append((b, 0, known.tobytes(), pack(anchors[at]), of.astype(np.min_scalar_type(len(known) - 1)).tobytes()))
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
-        pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=["bucket", "kind", "base", "anchors", "docs"])
+        pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["bucket", "kind", "nodes", "anchors", "of"])
 
 
 def by_doc(anchors: np.ndarray, docs: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -110,7 +109,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], runs: Callable[[pa.RecordBatch],
     held, size = [], 0
     for batch in batches:
         for part in slices(batch, text, budget):
-            found, ids = runs(part), part.column("doc").to_numpy(zero_copy_only=False)
+            found, ids = runs(part), part.column("node").to_numpy(zero_copy_only=False)
             held.append((found.anchor & SIEVED, ids[found.doc]))
             size += len(found.anchor)
             if size > FLUSH_ANCHORS:
@@ -125,12 +124,11 @@ def _repeats(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.Reco
     told, held = [], []
     for batch in batches:
         for row in batch.to_pylist():
-            a = unpack(row["anchors"])
+            a, nodes = unpack(row["anchors"]), np.frombuffer(row["nodes"], dtype=np.int64)
             if row["kind"]:
-                told.append((a, np.full(len(a), row["base"])))
+                told.append((a, np.full(len(a), nodes[0])))
             else:
-                width = len(row["docs"]) // len(a)
-                held.append((a, np.frombuffer(row["docs"], dtype=f"u{width}").astype(np.int64) + row["base"]))
+                held.append((a, nodes[np.frombuffer(row["of"], dtype=f"u{len(row['of']) // len(a)}")]))
     if held:
         anchors, docs = map(np.concatenate, zip(*held))
         held.clear()
@@ -161,32 +159,35 @@ def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _told(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
     d, a = zip(*rows) if rows else ((), ())
-    return pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(a, pa.binary())], names=["doc", "anchors"])
+    return pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(a, pa.binary())], names=["node", "anchors"])
 
 
 def sieve(docs: DataFrame, runs: Callable[[pa.RecordBatch], Runs], text: str, budget: int) -> DataFrame:
-    """(doc, anchors): per document, a packed list of those of its anchors that other documents
+    """(node, anchors): per document, a packed list of those of its anchors that other documents
     have too (and a few more, by chance)."""
     n = parts(docs.sparkSession)
-    packed = docs.select("doc", text).mapInArrow(
-        lambda it: _anchors(it, runs, text, n, budget), "bucket int, kind int, base long, anchors binary, docs binary")
+    packed = docs.select("node", text).mapInArrow(
+        lambda it: _anchors(it, runs, text, n, budget), "bucket int, kind int, nodes binary, anchors binary, of binary")
     found = packed.repartitionById(n, F.col("bucket")).mapInArrow(lambda it: _repeats(it, n), "group int, docs binary, anchors binary")
-    return found.repartitionById(n, F.col("group")).mapInArrow(_by_document, "doc long, anchors binary")
+    return found.repartitionById(n, F.col("group")).mapInArrow(_by_document, "node long, anchors binary")
 
 
 def copies(docs: DataFrame, text: str) -> DataFrame:
-    """(doc, tag) of documents whose whole text a document with a smaller id has."""
-    keyed = docs.select("doc", "tag", F.sha2(text, 256).alias("key"))
+    """(node, tag) of documents whose whole text a document with a smaller id has."""
+    keyed = docs.select("doc", "node", "tag", F.sha2(text, 256).alias("key"))
     first = keyed.groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
-    return keyed.join(first, "key").filter("doc > first").select("doc", "tag").distinct()
+    return keyed.join(first, "key").filter("doc > first").select("node", "tag").distinct()
 
 
 def keyed(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
-    """doc (order key), tag (of the text, tells apart rows that share an id), text, doc_id, and
-    the columns to carry along as one struct, so that no name can clash."""
+    """doc (order key), text, doc_id, and the columns to carry along as one struct, so that no name can
+    clash. A row's address is (node, tag), 128 bits of its id and text: rows without an id, or
+    of one id, are as spread as any others, and the id only says which is earlier."""
     rest = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None).cast("int")
-    return docs.select(order_key("doc_id").alias("doc"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("tag"),
-                       F.coalesce(text, F.lit("")).alias("text"), F.col("doc_id").cast("long").alias("doc_id"), rest.alias("rest"))
+    text = F.coalesce(text, F.lit(""))
+    return docs.select(order_key("doc_id").alias("doc"), F.xxhash64(order_key("doc_id"), text).alias("node"),
+                       F.xxhash64(F.lit(1), text).alias("tag"), text.alias("text"), F.col("doc_id").cast("long").alias("doc_id"),
+                       rest.alias("rest"))
 
 
 def _zip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +251,8 @@ def spans_of(starts: np.ndarray, lengths: np.ndarray, size: int) -> np.ndarray:
 
 
 def rejoin(docs: DataFrame, removed: DataFrame, whole: DataFrame) -> DataFrame:
-    """Documents with their removed spans (tag, start, n windows) and whether all is removed."""
-    spans = removed.groupBy("doc").agg(F.collect_list(F.struct("tag", "start", "n")).alias("spans"))
-    told = spans.join(whole.groupBy("doc").agg(F.collect_set("tag").alias("whole")), "doc", "full_outer")
-    return zipped(docs).join(told, "doc", "left").select("doc_id", "tag", "text", "rest", "spans", "whole")
+    """Documents with their removed spans (start, n windows) and whether all is removed. Rows equal in
+    id and text have the same spans: a set, so that many such rows do not multiply them."""
+    spans = removed.groupBy("node", "tag").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
+    told = spans.join(whole.select("node", "tag", F.lit(True).alias("whole")), ["node", "tag"], "full_outer")
+    return zipped(docs).join(told, ["node", "tag"], "left").select("doc_id", "text", "rest", "spans", "whole")

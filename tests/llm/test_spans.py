@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -82,6 +83,29 @@ def test_both_equal_brute_force(spark, seed):
     assert got == brute_bytes(rows)
 
 
+@pytest.mark.parametrize("hot", [0, 3])
+def test_hot_anchors_equal_brute_force(spark, hot):
+    rows = corpus(3)
+    got = column_suffix.deduplicate(_frame(spark, rows).repartition(3), form="digest", hot=hot).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_bytes(rows)
+
+
+@pytest.mark.parametrize("same", [None, 5])
+def test_a_third_of_the_rows_without_an_id_or_of_one_id(spark, same):
+    """The results are those of brute force, and the time stays near that of a table with ids."""
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").orderBy("doc_id").limit(3000).collect()]
+    frames = [_frame(spark, [(same if hot and i % 3 == 0 else i, t) for i, t in enumerate(texts)]).repartition(4).cache() for hot in (False, True)]
+    for deduplicate, brute in ((debruijn.deduplicate, brute_words), (column_suffix.deduplicate, brute_bytes)):
+        took = []
+        for frame in frames:
+            start = time.perf_counter()
+            got = deduplicate(frame, form="digest").collect()
+            took.append(time.perf_counter() - start)
+        rows = [(r.doc_id, r.text) for r in frames[1].collect()]
+        assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+        assert took[1] < 2 * took[0] + 2, took
+
+
 def test_first_documents_by_columns():
     rng = np.random.default_rng(4)
     width, k = 12, 5
