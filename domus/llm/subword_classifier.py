@@ -22,10 +22,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from domus.llm.common import WordHashes, hash_words, mix, raw_texts, slices
+from domus.llm.common import WordHashes, hash_words, mix, raw_texts, slices, store
 
 TRAIN_ROWS = 4000  # the bound of the labelled sample
+TRAIN_BYTES = 128 << 20  # and of its feature shares, 8 bytes per bucket of a document
+SLICE = 256 << 10  # bytes of text whose features are held at once
 BUCKETS = 1 << 16
 DIMENSIONS = 12
 EPOCHS = 8
@@ -37,6 +40,10 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def _bucket(hashed: np.ndarray) -> np.ndarray:
+    return (hashed % np.uint64(BUCKETS)).astype(np.int32)
+
+
 class _Ids(dict):
     def __missing__(self, word: bytes) -> int:
         n = self[word] = len(self)
@@ -49,36 +56,44 @@ def features(texts: list[bytes], hashes: WordHashes) -> Iterator[tuple[np.ndarra
     words = [t.split() for t in texts]
     size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     ids = _Ids()
-    at = np.fromiter(map(ids.__getitem__, chain.from_iterable(words)), dtype=np.int64, count=int(size.sum()))
-    owner = np.repeat(np.arange(len(words)), size)
+    at = np.fromiter(map(ids.__getitem__, chain.from_iterable(words)), dtype=np.int32, count=int(size.sum()))
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), size)
+    del words
     known = hash_words(list(ids), hashes)
-    marked = b"".join(b"\x02" + w + b"\x03" for w in ids)
-    flat = np.frombuffer(marked, dtype=np.uint8).astype(np.uint64)
+    flat = np.frombuffer(b"".join(b"\x02" + w + b"\x03" for w in ids), dtype=np.uint8)
     length = np.fromiter((len(w) + 2 for w in ids), dtype=np.int64, count=len(ids))
-    of = np.repeat(np.arange(len(ids)), length)
-    own, bucket = [np.arange(len(ids))], [known]
+    of = np.repeat(np.arange(len(ids), dtype=np.int32), length)
+    own, bucket = [np.arange(len(ids), dtype=np.int32)], [_bucket(known)]
     for n in GRAMS:
         m = max(0, len(flat) - n + 1)
-        value = np.full(m, n, dtype=np.uint64)
+        inside = np.flatnonzero(of[:m] == of[n - 1:])
+        value = np.full(len(inside), n, dtype=np.uint64)
         for k in range(n):
-            value = value * np.uint64(257) + flat[k:k + m]
-        inside = of[:m] == of[n - 1:]
-        own.append(of[:m][inside])
-        bucket.append(mix(value[inside]))
-    yield np.concatenate(own), np.concatenate(bucket) % np.uint64(BUCKETS)
+            value *= np.uint64(257)
+            value += flat[inside + k]
+        own.append(of[inside])
+        bucket.append(_bucket(mix(value)))
+    yield np.concatenate(own), np.concatenate(bucket)
+    del own, bucket, of, flat
     yield owner, at
     near = owner[1:] == owner[:-1]
     pair = mix((known[at[1:]] ^ known[at[:-1]])[near] + np.uint64(1))
-    yield owner[1:][near], pair % np.uint64(BUCKETS)
+    yield owner[1:][near], _bucket(pair)
 
 
 def means(texts: list[bytes], value: np.ndarray, hashes: WordHashes) -> np.ndarray:
     """Mean of one value per bucket over each text's features (0 where it has none)."""
-    (word, bucket), (owner, at), (doc, pair) = features(texts, hashes)
+    found = features(texts, hashes)  # one part is held at a time
+    word, bucket = next(found)
     n = int(word.max()) + 1 if len(word) else 0
     per_word, grams = np.bincount(word, value[bucket], n), np.bincount(word, minlength=n)
-    total = np.bincount(owner, per_word[at], len(texts)) + np.bincount(doc, value[pair], len(texts))
-    count = np.bincount(owner, grams[at], len(texts)) + np.bincount(doc, minlength=len(texts))
+    del word, bucket
+    owner, at = next(found)
+    total, count = np.bincount(owner, per_word[at], len(texts)), np.bincount(owner, grams[at], len(texts))
+    del owner, at
+    doc, pair = next(found)
+    total += np.bincount(doc, value[pair], len(texts))
+    count += np.bincount(doc, minlength=len(texts))
     return total / np.maximum(count, 1)
 
 
@@ -89,7 +104,7 @@ def _bags(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBat
             part = batch.slice(lo, 1)
             (word, bucket), (_, at), (_, pair) = features(raw_texts(part, text), hashes)
             times = np.bincount(at, minlength=int(word.max()) + 1 if len(word) else 0)
-            bag = np.bincount(bucket.astype(np.int64), times[word], BUCKETS) + np.bincount(pair.astype(np.int64), minlength=BUCKETS)
+            bag = np.bincount(bucket, times[word], BUCKETS) + np.bincount(pair, minlength=BUCKETS)
             found = np.flatnonzero(bag)
             share = (bag[found] / max(bag.sum(), 1)).astype(np.float32)
             yield pa.RecordBatch.from_arrays(
@@ -127,17 +142,22 @@ class SubwordClassifier:
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", rows: int = TRAIN_ROWS) -> SubwordClassifier:
     """Fit on at most ``rows`` labelled documents outside the held-out fold, one row per id. Their hashed
-    feature shares (at most BUCKETS each), not their texts, come to the driver."""
+    feature shares, not their texts, come to the driver: TRAIN_BYTES at most."""
     chosen = (labels.select("doc_id", F.col("quality").cast("int").alias("label"))
               .filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
               .groupBy("doc_id").agg(F.min("label").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
     # of rows that share an id the one with the least text hash, then the least text, so that ``rows`` bounds what is collected
     least = F.min(F.struct(F.xxhash64(text).alias("h"), F.col(text).alias("text")))
-    bags = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text)
+    bags = store(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text)
             .join(F.broadcast(chosen), "doc_id")  # ``rows`` rows of two numbers at most
             .groupBy("doc_id", "label").agg(least.alias("one")).select("doc_id", "label", F.col("one.text").alias(text))
-            .mapInArrow(lambda it: _bags(it, text), "doc_id long, label int, buckets binary, shares binary").collect())
+            .mapInArrow(lambda it: _bags(it, text), "doc_id long, label int, buckets binary, shares binary"), "bags")
+    # in the order of the choice, as many as TRAIN_BYTES hold: at most ``rows`` rows are ordered
+    so_far = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    size = F.octet_length("buckets") + F.octet_length("shares")
+    held = bags.select("doc_id", size.alias("size")).withColumn("held", F.sum("size").over(so_far)).filter(F.col("held") <= TRAIN_BYTES)
+    bags = bags.join(F.broadcast(held.select("doc_id")), "doc_id").collect()
     bags.sort(key=lambda r: (r.doc_id, bytes(r.buckets)))
     return SubwordClassifier([(r.label, np.frombuffer(r.buckets, np.int32), np.frombuffer(r.shares, np.float32)) for r in bags])
 
@@ -145,7 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", rows: int = TR
 def _scores(batches: Iterator[pa.RecordBatch], model: SubwordClassifier, text: str, into: str) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
-        for part in slices(batch, text):
+        for part in slices(batch, text, SLICE):
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.scores(raw_texts(part, text), hashes))],
                                              names=[*part.schema.names, into])
 

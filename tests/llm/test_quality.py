@@ -1,9 +1,11 @@
 import zlib
 
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 from domus.llm import queries, subword_classifier, weak_rules
+from domus.llm import subword_classifier as sc
 
 SF = "/root/testdata/sf0.001"
 ODD = [None, "", " \n\t ", "one", "be " * 40, "a b c d e\na b c d e\n\nx", "# $ % é ü\x1cz #\n#\n#", "漢字 " * 12 + "end",
@@ -105,3 +107,51 @@ def test_training_takes_one_row_per_chosen_id(spark, monkeypatch):
     taken.clear()
     subword_classifier.train(spark.createDataFrame(rows[::-1], "doc_id long, text string").repartition(5), labels, rows=10)
     assert [(x[0], x[1].tolist(), x[2].tolist()) for x in taken] == [(x[0], x[1].tolist(), x[2].tolist()) for x in first]
+
+
+def slow_mean(text, value):
+    """The classifier's features one by one: words, byte 3/4-grams between word ends, pairs."""
+    def scramble(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 % 2**64
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB % 2**64
+        return x ^ (x >> 31)
+
+    found, words = [], (text or "").encode().split()
+    for w in words:
+        found.append(xxhash.xxh3_64_intdigest(w))
+        marked = b"\x02" + w + b"\x03"
+        for n in (3, 4):
+            for k in range(len(marked) - n + 1):
+                x = n
+                for b in marked[k:k + n]:
+                    x = (x * 257 + b) % 2**64
+                found.append(scramble(x))
+    for a, b in zip(words, words[1:]):
+        found.append(scramble(((xxhash.xxh3_64_intdigest(a) ^ xxhash.xxh3_64_intdigest(b)) + 1) % 2**64))
+    return sum(value[f % sc.BUCKETS] for f in found) / max(len(found), 1)
+
+
+def test_scores_equal_a_slow_version(spark):
+    rng = np.random.default_rng(3)
+    model = sc.SubwordClassifier([])
+    model.value, model.bias = rng.normal(size=sc.BUCKETS) * 20, 0.25
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(40).collect()]
+    texts += [None, "", "a", "été ñ 漢字 \U0001f600", "x " * 3000, "w" * 5000, "a b a b\x0b\x0cc\n"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.score for r in sc.score(docs, model).collect()}
+    for i, t in enumerate(texts):
+        want = 1 / (1 + np.exp(-np.clip(slow_mean(t, model.value) + model.bias, -40, 40)))
+        assert abs(got[i] - want) < 1e-9
+
+
+def test_training_bytes_are_bounded(spark, monkeypatch):
+    rows = [(i, f"good text {i} " * 5 if i % 2 else f"bad junk {i} " * 5) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(sc, "SubwordClassifier", lambda bags: seen.append(bags))
+    sc.train(docs, labels)
+    monkeypatch.setattr(sc, "TRAIN_BYTES", 20_000)
+    sc.train(docs, labels)
+    size = [sum(b.nbytes + s.nbytes for _, b, s in bags) for bags in seen]
+    assert len(seen[0]) > 100 and size[1] <= 20_000 < size[0] and len(seen[1]) > 5
