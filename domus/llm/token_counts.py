@@ -3,7 +3,8 @@
 A batch's distinct pre-tokens are held as one flat array of symbols plus sequence starts.
 Each round finds every sequence's lowest-rank adjacent pair and applies that pair at all its
 places in the sequence at once (left to right where places overlap); sequences without a
-mergeable pair leave. What survives is counted. Counts equal the ``tokenizers`` library on
+mergeable pair leave. What survives is counted. In pre-tokens of more than ``LONG`` bytes a round
+looks only at the places that the one before changed, so that time follows their length. Counts equal the ``tokenizers`` library on
 the same ``.json`` file, with the file's special strings matched in texts as it does by
 default (one token each).
 
@@ -14,6 +15,7 @@ repeated rows get equal counts; extra columns are ignored; no length limit appli
 from __future__ import annotations
 
 import functools
+import heapq
 import json
 from collections.abc import Iterator
 
@@ -28,6 +30,7 @@ from domus.llm.common import raw_texts, slices, tokenizer_path
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SCHEMA = "doc_id long, n_bytes long, n_tokens long"
 MAX_CACHED = 200_000
+LONG = 512  # bytes of a pre-token beyond which a round looks only at the places that change
 NONE = np.iinfo(np.int64).max
 
 
@@ -54,7 +57,7 @@ class Merges:
         key = np.array([(vocab[a] << 32) | vocab[b] for a, b in pairs], dtype=np.int64)
         made = np.array([vocab[a + b] for a, b in pairs], dtype=np.int64)
         order = np.argsort(key, kind="stable")
-        self.keys, self.ranks, self.made = key[order], order, made[order]
+        self.keys, self.ranks, self.made, self.by_rank = key[order], order, made[order], made
         special = [t["content"] for t in spec["added_tokens"] if t["special"]]
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
 
@@ -66,6 +69,64 @@ class Merges:
 
     def count(self, pieces: list[bytes]) -> np.ndarray:
         """Number of symbols each piece ends with."""
+        size = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        out, long = np.zeros(len(pieces), dtype=np.int64), size > LONG
+        for rows, of in ((np.flatnonzero(~long), self._count_short), (np.flatnonzero(long), self._count_long)):
+            if len(rows):
+                out[rows] = of([pieces[i] for i in rows.tolist()])
+        return out
+
+    def _count_long(self, pieces: list[bytes]) -> np.ndarray:
+        """The same for long sequences: symbols are linked, and a round looks only at the places of the
+        lowest rank and at their neighbours, whose ranks it updates. The lowest rank of all
+        sequences is the lowest of every sequence that has it."""
+        size = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        symbols = self.byte_ids[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
+        owner, out = np.repeat(np.arange(len(pieces)), size), size.copy()
+        after, before = np.arange(1, len(symbols) + 1), np.arange(-1, len(symbols) - 1)
+        after[np.cumsum(size) - 1] = -1
+        before[np.cumsum(size) - size] = -1
+        rank = np.full(len(symbols), NONE)
+        waiting: dict[int, list[np.ndarray]] = {}
+        heap: list[int] = []
+
+        def renew(at: np.ndarray) -> None:
+            """Ranks of the pairs that begin at these places."""
+            rank[at] = NONE
+            at = at[after[at] >= 0]
+            rank[at] = self.lookup(symbols[at], symbols[after[at]])[0]
+            at = at[rank[at] < NONE]
+            order = np.argsort(rank[at], kind="stable")
+            at = at[order]
+            for part in np.split(at, np.flatnonzero(np.diff(rank[at])) + 1) if len(at) else ():
+                r = int(rank[part[0]])
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(heap, r)
+                waiting[r].append(part)
+
+        renew(np.arange(len(symbols)))
+        while heap:
+            r = heapq.heappop(heap)
+            at = np.unique(np.concatenate(waiting.pop(r)))
+            at = at[rank[at] == r]
+            if not len(at):
+                continue
+            # places that overlap: keep every second of a run of neighbours
+            fresh = np.r_[True, after[at[:-1]] != at[1:]]
+            depth = np.arange(len(at)) - np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
+            at = at[depth % 2 == 0]
+            gone = after[at]
+            symbols[at], rank[gone] = self.by_rank[r], NONE
+            after[at] = after[gone]
+            follows = after[at] >= 0
+            before[after[at][follows]] = at[follows]
+            out -= np.bincount(owner[at], minlength=len(out))
+            left = before[at]
+            renew(np.unique(np.r_[at, left[left >= 0]]))
+        return out
+
+    def _count_short(self, pieces: list[bytes]) -> np.ndarray:
         size = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
         out = size.copy()
         symbols = self.byte_ids[np.frombuffer(b"".join(pieces), dtype=np.uint8)]

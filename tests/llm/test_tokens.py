@@ -1,5 +1,7 @@
 import hashlib
+import random
 import sys
+import time
 
 import pyarrow as pa
 import pytest
@@ -34,6 +36,20 @@ def test_counts_and_ids_equal_the_libraries_on_odd_texts():
     assert piece_bpe.codec(RANKS).encode(ODD) == [TIK.encode_ordinary(t) for t in ODD]
 
 
+def test_long_pre_tokens_equal_the_library_in_seconds(monkeypatch):
+    rng = random.Random(1)
+    letters = lambda n, of: "".join(rng.choices(of, k=n))
+    texts = [letters(1_000_000, "abcdefghijklmnopqrstuvwxyz"), "a" * 100_001, "=" * 70_000, letters(40_000, "ab"), letters(3000, "éñ漢x"),
+             "the" * 20_000 + " " + letters(600, "etaoin")]
+    began = time.perf_counter()
+    got = _counts(texts)
+    assert time.perf_counter() - began < 60
+    assert got == _expected(texts)
+    monkeypatch.setattr(token_counts, "LONG", 1)  # every pre-token the linked way
+    short = ODD + [letters(rng.randrange(1, 40), "abcde tion") for _ in range(500)]
+    assert _counts(short) == _expected(short)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(alphabet=st.one_of(st.sampled_from("ab' \n.1é漢"), st.characters(exclude_categories=["Cs"])),
                         max_size=60), max_size=6))
