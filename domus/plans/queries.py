@@ -751,7 +751,8 @@ def stream_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     its real order columns. The files are admitted a quarter at a time, so versions of a key
     arrive over several micro-batches and out of order; the newest by the order columns stays."""
     work = shared_dir(spark, "stream-versions")
-    sent = derive.versions_from_lineitem(read_table(spark, sf_dir, "lineitem"))
+    derive.versions_from_lineitem(read_table(spark, sf_dir, "lineitem")).write.parquet(f"{work}/sent")
+    sent = spark.read.parquet(f"{work}/sent")  # the versions' window runs once, not once per pull
     for pull in range(4):
         write_messages(sent.filter(F.dayofmonth("page_date") % 4 == pull), path=f"{work}/messages")
     files = len(spark.read.parquet(f"{work}/messages").inputFiles())
@@ -879,7 +880,8 @@ SELECT page_date, page_no, CAST(n AS BIGINT) AS messages, CAST(1 AS BIGINT) AS l
 )
 def manifest_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = shared_dir(spark, "manifest-resume")
-    pages = derive.envelopes_from_events(_dealt(spark, sf_dir, "events"))
+    derive.envelopes_from_events(_dealt(spark, sf_dir, "events")).write.parquet(f"{work}/envelopes")
+    pages = spark.read.parquet(f"{work}/envelopes")
     early = F.col("page_date") < F.lit(MANIFEST_SPLIT).cast("date")
     for n, landed in ((1, pages.filter(early)), (2, pages)):
         write_landing(landed, f"{work}/landing{n}")
