@@ -33,16 +33,17 @@ def digested(records: DataFrame) -> DataFrame:
 
 def leaves(records: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """archive, offset, digest and range number of every distinct place, from :func:`digested`
-    records. The digest of a place with several records covers all of theirs, sorted."""
+    records. The digest of a place with several records covers the sums of all of theirs."""
     rows = records.select(
         F.coalesce(F.col("archive").cast("string"), F.lit("")).alias("archive"),
         F.coalesce(F.col("offset").cast("long"), F.lit(-1)).alias("offset"),
         F.sha2(F.concat_ws("|", F.col("offset").cast("string"), F.col("length").cast("string"), "sha"), 256).alias("d"))
-    # equal records at one place are counted, not listed, so that a place stays small
+    # equal records at one place are counted; different ones are summed, not listed: a place of any
+    # number of records (all those without an offset) stays one small row in every task
     same = rows.groupBy("archive", "offset", "d").agg(F.count("*").alias("n"))
-    one = same.groupBy("archive", "offset").agg(
-        F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "d", F.col("n").cast("string")))), "|"), 256)
-        .alias("digest"))
+    same = same.withColumn("e", F.sha2(F.concat_ws(":", "d", F.col("n").cast("string")), 256))
+    sums = [F.sum(F.conv(F.substring("e", 1 + 15 * k, 15), 16, 10).cast("decimal(20,0)")).cast("string") for k in range(4)]
+    one = same.groupBy("archive", "offset").agg(F.sha2(F.concat_ws(":", *sums), 256).alias("digest"))
     return one.withColumn("node", F.expr(f"greatest(offset, 0L) div {range_bytes}"))
 
 

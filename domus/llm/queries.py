@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -25,14 +25,17 @@ ARCHIVE_RECORDS = 1000  # ids per archive file
 ACCEPT = 0.3
 
 
-def warc_records(pages: DataFrame) -> DataFrame:
+def warc_records(pages: DataFrame, damaged: Column | None = None) -> DataFrame:
     """The pages as archived records: archive, offset, length, sha, page_id. An archive holds
-    the records of a block of ids in id order; rows without an id spread over 1,024 archives."""
+    the records of a block of ids in id order; rows without an id spread over 1,024 archives. Of
+    ``damaged`` rows the payload's first byte is another one."""
     head = F.concat(F.lit("WARC/1.0\r\nWARC-Type: resource\r\nWARC-Target-URI: "), F.coalesce("url", F.lit("")),
                     F.lit("\r\nContent-Length: "), F.coalesce(F.octet_length("html"), F.lit(0)).cast("string"), F.lit("\r\n\r\n"))
     block = F.coalesce(F.concat(F.lit("crawl-"), F.expr(f"page_id div {ARCHIVE_RECORDS}").cast("string")),
                        F.concat(F.lit("crawl-x"), F.pmod(F.xxhash64("url"), F.lit(1024)).cast("string")))
     body = F.concat(head, F.coalesce("html", F.lit("")), F.lit("\r\n\r\n"))
+    if damaged is not None:
+        body = F.when(damaged, F.overlay(body, F.lit("#"), 1, 1)).otherwise(body)
     rows = merkle.digested(pages.select(block.alias("archive"), F.struct("page_id", "url").alias("offset"), body.alias("payload")))
     before = Window.partitionBy("archive").orderBy("offset", "sha").rowsBetween(Window.unboundedPreceding, -1)
     return rows.select("archive", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"), "length", "sha",
@@ -42,9 +45,10 @@ def warc_records(pages: DataFrame) -> DataFrame:
 def op1_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audits a replica of the pages' archives in which some records are damaged: ids that
     leave 13 modulo 97 have another payload, ids that leave 5 modulo 89 are gone."""
-    primary = store(warc_records(read(spark, sf_dir, "pages")), "warc")
-    damaged = F.when(F.col("page_id") % 97 == 13, F.sha2(F.concat("sha", F.lit("damaged")), 256)).otherwise(F.col("sha"))
-    replica = primary.filter(F.coalesce(F.col("page_id") % 89 != 5, F.lit(True))).withColumn("sha", damaged)
+    pages = read(spark, sf_dir, "pages")
+    primary = store(warc_records(pages), "warc")
+    replica = warc_records(pages, F.coalesce(F.col("page_id") % 97 == 13, F.lit(False)))
+    replica = replica.filter(F.coalesce(F.col("page_id") % 89 != 5, F.lit(True)))
     found = merkle.audit(primary, replica)
     return found.join(primary.select("archive", "offset", "page_id"), ["archive", "offset"], "left")
 
