@@ -4,10 +4,10 @@ Layout of a table folder::
 
     batches/run=<r>/batch=<b>/attempt=<a>/   rows of one micro-batch, one per key
     base/gen=<g>/                            current rows, hashed by key into fixed buckets
-    commits/                                 one row per committed batch or compaction
+    commits/commit=<c>/                      one row per committed batch or compaction
 
 **Commits.** A micro-batch is deduplicated to one row per key, written to a folder of its own
-and then committed by appending one row (one file) to ``commits``. Readers list the commits
+and then committed by adding one row (one file) to ``commits``. Readers list the commits
 once and read only folders that those rows name, so they never see half a batch, whatever
 is written meanwhile. The run is the id that the stream's checkpoint holds: a batch that Spark
 replays after its commit is already there and is left out; an attempt that failed before its
@@ -18,7 +18,9 @@ row names the batches it covers: whatever is committed meanwhile is not covered
 beside the base. The base is a Spark bucketed table; a bucket is one hash of the key, so the
 changes join it bucket by bucket and only the changes are shuffled. Only buckets that have
 changes are rewritten, into a new generation; the commit row says which generation holds each
-bucket. When superseded buckets make up half of the files, all of them are rewritten.
+bucket. When superseded buckets make up half of the files, all of them are rewritten. One
+compaction runs at a time beside any number of writers and readers: of two that write at the
+same moment one may fail, which loses nothing.
 
 The current table is, per key, the row with the greatest order (real columns of the data; batch
 and run only break ties). Rows without a key are not stored; the publish job quarantines them.
@@ -110,7 +112,9 @@ class ChangeLog:
     def _commit(self, spark: SparkSession, **row) -> None:
         names = S.struct(COMMIT_DDL).fieldNames()
         frame = spark.createDataFrame([tuple(row.get(n) for n in names)], COMMIT_DDL)
-        frame.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")  # one file: all or nothing
+        # one file: all or nothing; a folder of its own: jobs that write to one folder at the same time
+        # would clear each other's temporary files
+        frame.coalesce(1).write.parquet(f"{self.path}/commits/commit=c{uuid.uuid4().hex}")
 
     # ------------------------------------------------------------------ writing
     def write_batch(self, df: DataFrame, batch_id: int, run_id: str, metrics: Observation | None = None) -> None:
@@ -210,10 +214,10 @@ class ChangeLog:
     def _current(self, spark: SparkSession, at: Snapshot) -> DataFrame:
         return self._merged(spark, at, self._base(spark, at) if at.version else None, self._changes(spark, at))
 
-    def latest(self, spark: SparkSession) -> DataFrame:
-        """The keyed table: newest version per key across the base and every committed batch. A table
-        that nothing was committed to is empty."""
-        return self._current(spark, self.snapshot(spark)).drop(RUN_COL, BATCH_COL)
+    def latest(self, spark: SparkSession, at: Snapshot | None = None) -> DataFrame:
+        """The keyed table: newest version per key across the base and every committed batch, as of a
+        snapshot (by default one of now). A table that nothing was committed to is empty."""
+        return self._current(spark, at or self.snapshot(spark)).drop(RUN_COL, BATCH_COL)
 
     # ------------------------------------------------------------------ compaction
     def compact_in_place(self, spark: SparkSession, at: Snapshot | None = None) -> int:

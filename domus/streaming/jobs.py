@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from domus import schemas as S
 from domus.operators import incremental, search
 from domus.operators import pages as pages_op
-from domus.sinks.changelog import ChangeLog
+from domus.sinks.changelog import ChangeLog, Snapshot
 from domus.operators.decode import listing_element
 from domus.sinks.named_pages import write_named_pages
 from domus.sinks.tables import (append_manifest, write_landing, write_marker, write_messages,
@@ -75,12 +75,12 @@ def publish_job(spark: SparkSession, paths: PublishPaths, kafka: KafkaEndpoint |
                       inactivity_timeout=inactivity_timeout, poll_interval=poll_interval)
 
 
-def _table_log(spark: SparkSession, table: str) -> ChangeLog:
-    """The table at a folder, ordered by those of the order columns that it has."""
+def _table_log(spark: SparkSession, table: str) -> tuple[ChangeLog, Snapshot]:
+    """The table at a folder, ordered by those of the order columns that it has, and what it holds now."""
     log = ChangeLog(table, key=S.PUBLISHED_KEY, order=list(MESSAGE_ORDER), ddl=TABLE_DDL)
-    have = log.snapshot(spark).schema.fieldNames()
-    log.order = [c for c in (*MESSAGE_ORDER, "partition", "offset") if c in have]
-    return log
+    at = log.snapshot(spark)
+    log.order = [c for c in (*MESSAGE_ORDER, "partition", "offset") if c in at.schema.fieldNames()]
+    return log, at
 
 
 def published_table(spark: SparkSession, table: str, beside: bool = False) -> DataFrame:
@@ -88,13 +88,14 @@ def published_table(spark: SparkSession, table: str, beside: bool = False) -> Da
     searches need next to the published columns: country, operation and the page date."""
     cols = S.struct(S.PUBLISHED_DDL).fieldNames()
     more = [*S.struct(S.BESIDE_DDL).fieldNames(), S.RECENCY] if beside else []
-    return _table_log(spark, table).latest(spark).select(*cols, *more)
+    log, at = _table_log(spark, table)
+    return log.latest(spark, at).select(*cols, *more)
 
 
 def batch_metrics(spark: SparkSession, table: str) -> DataFrame:
     """Run, batch, decoded, flagged, quarantined, newest of every committed micro-batch."""
     m = F.col("metrics")
-    return _table_log(spark, table).metrics(spark).select(
+    return _table_log(spark, table)[0].metrics(spark).select(
         "run", "batch", *[m[c].cast("bigint").alias(c) for c in ("decoded", "flagged", "quarantined")], m["newest"].cast("date").alias("newest"))
 
 
@@ -111,10 +112,10 @@ def compact_job(spark: SparkSession, table: str, out: str | None = None) -> str:
     """Make the latest rows of the batches logged so far the keyed table's new base; readers
     switch to it by its pointer while a running publish goes on. Given ``out`` (a folder
     that must not exist), write a compacted copy there instead."""
-    log = _table_log(spark, table)
+    log, at = _table_log(spark, table)
     if out:
         return log.compact(spark, out)
-    log.compact_in_place(spark)
+    log.compact_in_place(spark, at)
     return table
 
 

@@ -128,9 +128,10 @@ NOTES = """
 - `stream_versions` and `replay_latest` bring many versions of a key over several micro-batches.
   Per micro-batch: one decode projection, then last write wins per key (partial
   `SortAggregate` before the key shuffle, so a hot key costs one row per map task), then a
-  partition overwrite of that batch in the change log.
-- The change log grows with every batch; `compact` rewrites it as the latest row per key
-  into a new folder, and later runs continue there.
+  folder of that batch and its commit row.
+- `compacted_upsert` reads a bucketed base beside later batches: a full outer join whose only
+  exchange is over the batches. A table of one batch alone is a plain scan (`table_search`).
+- `named_landing` writes one object per page through a data source of its own.
 - No plan contains a Python evaluation node, a cartesian product or a nested-loop join
   (`tests/test_endpoints_entry.py` asserts this for every query outside `domus/llm`).
 """

@@ -160,6 +160,49 @@ def test_half_a_batch_is_never_seen(spark, tmp, monkeypatch):
     assert log.compact_in_place(spark) == 1 and _prices(spark, log) == {"a": 2.0, "b": 2.0}
 
 
+def test_readers_see_whole_batches_beside_a_writer_and_a_compactor(spark, tmp):
+    """Every batch gives all keys one new version: a reader never sees two versions at once, and no
+    version goes back, while another thread writes and a third one compacts."""
+    import threading
+
+    keys, last, errors = [f"k{i}" for i in range(20)], 10, []
+    _put(spark, _log(tmp), 0, "r", *[(k, 0.0, 0) for k in keys])
+    done = threading.Event()
+
+    def guarded(work):
+        def run():
+            try:
+                work()
+            except Exception as e:  # noqa: BLE001 - told to the test
+                errors.append(e)
+        return threading.Thread(target=run)
+
+    def write():
+        log = _log(tmp)
+        try:
+            for b in range(1, last + 1):
+                _put(spark, log, b, "r", *[(k, float(b), b) for k in keys])
+        finally:
+            done.set()
+
+    def compact():
+        while not done.is_set():
+            _log(tmp).compact_in_place(spark)
+
+    workers = [guarded(write), guarded(compact)]
+    for w in workers:
+        w.start()
+    seen = []
+    while not done.is_set():
+        got = _prices(spark, _log(tmp))
+        assert set(got) == set(keys) and len(set(got.values())) == 1, got
+        seen.append(got["k0"])
+    for w in workers:
+        w.join()
+    assert not errors and seen == sorted(seen)
+    assert set(_prices(spark, _log(tmp)).values()) == {float(last)}
+
+
 def test_empty_tables(spark, tmp):
     log = ChangeLog(tmp + "/none", key="propertycode", order=["seq"], ddl=COLS)
     assert log.latest(spark).count() == 0 and log.latest(spark).columns == ["propertycode", "price", "rooms", "seq"]
