@@ -64,6 +64,67 @@ def test_weak_quality_query_against_brute_force_and_labels(spark):
     assert sum(r.kept for r in clean) / len(clean) > 0.95
 
 
+def slow_votes(text):
+    """The rules' votes on a text, stated anew: 0 bad, 1 abstain, 2 good."""
+    text = text or ""
+    n, chars, symbols, dup, rep = brute(text)[:5]
+    lines = len([x for x in text.split("\n") if x.strip(" \t\n\x0b\x0c\r")])
+    upper, letters = sum("A" <= c <= "Z" for c in text), sum(c.isascii() and c.isalpha() or ord(c) >= 0xC0 for c in text)
+    marks = sum(c in "!?" for c in text)
+
+    def share(a, b, bad, good):
+        if not b:
+            return 1
+        return 0 if bad(a / b) else 2 if good(a / b) else 1
+
+    line = share(dup, lines, lambda x: dup >= 3 and x > 0.5, lambda x: x < 0.05)
+    return (0 if n < 10 else 2 if n >= 50 else 1, share(chars, n, lambda x: not 2.5 <= x <= 12, lambda x: 3 <= x <= 9),
+            share(symbols, n, lambda x: x > 0.1, lambda x: x < 0.02), line, share(rep, n, lambda x: x > 0.2, lambda x: x < 0.05),
+            share(upper, letters, lambda x: x > 0.3, lambda x: x < 0.15), share(marks, n, lambda x: x > 0.2, lambda x: x < 0.05))
+
+
+def slow_posteriors(rows, trust=0.2):
+    """Expectation-maximisation document by document, in plain loops."""
+    rules, classes = len(rows[0]), len(rows[0]) + 1
+    good, own, other = weak_rules.VoteModel.GOOD, weak_rules.VoteModel.OWN, weak_rules.VoteModel.OTHER
+    belief = [[(good if c == 0 else own if r == c - 1 else other) for r in range(rules)] for c in range(classes)]
+    given, share = [[list(b) for b in c] for c in belief], [0.9] + [0.1 / rules] * rules
+
+    def odds(row):
+        p = []
+        for c in range(classes):
+            x = share[c]
+            for r, v in enumerate(row):
+                x *= given[c][r][v]
+            p.append(x)
+        return [x / sum(p) for x in p]
+
+    for _ in range(300):
+        weights, before = [odds(row) for row in rows], share
+        mass = [sum(w[c] for w in weights) for c in range(classes)]
+        for c in range(classes):
+            for r in range(rules):
+                seen = [(trust * mass[c] + 1) * belief[c][r][v] + sum(w[c] for w, row in zip(weights, rows) if row[r] == v) for v in range(3)]
+                given[c][r] = [seen[0] / (seen[0] + seen[2]), 1.0, seen[2] / (seen[0] + seen[2])]
+        share = [(m + 1) / sum(x + 1 for x in mass) for m in mass]
+        if max(abs(a - b) for a, b in zip(share, before)) < 1e-9:
+            break
+    return [odds(row)[0] for row in rows]
+
+
+def test_posterior_equals_a_slow_version(spark):
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()][:120] + ODD[:-3]
+    ascii_only = [t for t in texts if t is None or t.isascii()]
+    votes = [slow_votes(t) for t in ascii_only]
+    docs = spark.createDataFrame(list(enumerate(ascii_only)), "doc_id long, text string")
+    got = {r.doc_id: r for r in weak_rules.judge(docs).collect()}
+    shown = docs.join(weak_rules.statistics(docs), "doc_id").select("doc_id", *[v.alias(k) for k, v in weak_rules.votes().items()]).collect()
+    assert {r[0]: tuple(r)[1:] for r in shown} == dict(enumerate(votes))
+    for i, want in enumerate(slow_posteriors(votes)):
+        assert abs(got[i].quality - want) < 1e-6
+        assert got[i].kept == (not brute(ascii_only[i])[5] and want >= 0.5)
+
+
 def _fold(i):
     return zlib.crc32(str(i).encode()) % 5 == 0
 

@@ -110,3 +110,34 @@ def test_items_of_few_plain_words_are_found_verbatim(spark):
         (20, "What is 13 * 8 + 5?"), (21, "Compute 3/4 + 6/8."), (22, "Who wrote Faust?"), (23, "Capital of Spain?"), (24, "9 8 7 6 5 4 3 2 1 0 3 3")]
     got = _leaks(spark, docs, items)
     assert {k: v[0] for k, v in got.items()} == {**{(i, i): "exact" for i, _ in items}, (3, 5): "exact"}
+
+
+def test_generated_copies_with_other_values(spark):
+    """Items of words, numbers and names; a copy with every value replaced by another, the same one
+    wherever it stood, is found as re-parameterised, a verbatim one as exact, and texts of the
+    same words in another order are clean."""
+    rng = random.Random(9)
+    words = "market river garden window teacher yellow simple travel morning silver kitchen letter answer bridge winter".split()
+    names, others = ["Tom", "Lucy", "Boris", "Wanda"], ["Omar", "Petra", "Quinn", "Xena"]
+
+    def item():
+        out, values = [], [rng.sample(range(2, 90), 3), rng.sample(names, 2)]
+        for k in range(rng.randint(24, 40)):
+            kind = rng.random()
+            out.append(str(rng.choice(values[0])) if kind < 0.12 and k else rng.choice(values[1]) if kind < 0.2 and k else rng.choice(words))
+        return out
+
+    def moved(tokens):
+        number = dict(zip(range(2, 90), rng.sample(range(100, 900), 88)))
+        name = dict(zip(names, rng.sample(others, 4)))
+        return [str(number[int(t)]) if t.isdigit() else name.get(t, t) for t in tokens]
+
+    filler = lambda: [rng.choice(words) for _ in range(rng.randint(5, 60))]
+    items = [item() for _ in range(25)]
+    docs, want = [], {}
+    for i, tokens in enumerate(items):
+        has = any(t.isdigit() or t in names for t in tokens)
+        docs += [(3 * i, filler() + moved(tokens) + filler()), (3 * i + 1, filler() + tokens + filler()), (3 * i + 2, rng.sample(tokens, len(tokens)))]
+        want |= {(3 * i, i): "reparameterised" if has else "exact", (3 * i + 1, i): "exact"}
+    got = _leaks(spark, [(d, " ".join(t)) for d, t in docs], [(i, " ".join(t)) for i, t in enumerate(items)])
+    assert {k: v[0] for k, v in got.items()} == want
