@@ -35,11 +35,11 @@ from domus.llm.spans import Runs, copies, in_list, kept_field, kept_value, keyed
 
 WIDTH = 50
 ANCHOR = 20
-SLICE = 1 << 20
+SLICE = 1 << 19
 COUNTS = ["n_bytes", "n_removed", "n_spans"]
 CHUNK = 40_000  # pieces sorted together, whole anchors
-HOT = 4_000  # pieces of an anchor beyond which its windows are grouped by Spark
-PIECES = "node long, doc long, tag long, m long, c long, start int, n int, left int, many boolean, piece binary"
+HOT = CHUNK  # pieces of an anchor beyond which its windows are grouped by Spark
+PIECES = "node long, doc long, tag int, m long, c long, start int, n int, left int, many boolean, piece binary"
 _CODE = mix(np.arange(1, 257, dtype=np.uint64))
 
 
@@ -118,7 +118,7 @@ def first_documents(group: np.ndarray, left: np.ndarray, n: np.ndarray, doc: np.
     return out
 
 
-SETTLED = "node long, tag long, start int, n int, m long, c long, first binary"
+SETTLED = "node long, tag int, start int, n int, m long, c long, first binary"
 
 
 def _removed(first: np.ndarray, doc: np.ndarray, node: pa.Array, tag: pa.Array, start: np.ndarray, n: np.ndarray) -> dict[str, pa.Array]:
@@ -161,7 +161,7 @@ def _settle(batches: Iterator[pa.RecordBatch], width: int, k: int) -> Iterator[p
         yield pa.RecordBatch.from_pydict({**gone, **rest})
         none = pa.nulls(len(told), pa.int32())
         yield pa.RecordBatch.from_pydict({
-            "node": pa.nulls(len(told), pa.int64()), "tag": pa.nulls(len(told), pa.int64()), "start": none, "n": none, "m": pa.array(m[at][told]), "c": pa.array(c[at][told]),
+            "node": pa.nulls(len(told), pa.int64()), "tag": pa.nulls(len(told), pa.int32()), "start": none, "n": none, "m": pa.array(m[at][told]), "c": pa.array(c[at][told]),
             "first": pa.array([first[i, :w].tobytes() for i, w in zip(told.tolist(), n[at][told].tolist())], pa.binary())})
 
     for batch in batches:
@@ -231,7 +231,7 @@ def repeated_windows(docs: DataFrame, whole: DataFrame, width: int, k: int, hot:
     met = others.join(settled.filter("first IS NOT NULL").select("m", "c", "first"), ["m", "c"])
     often = pieces.join(frequent, "m").select("node", "doc", "tag", "m", "c", "start", "n", "piece")
     met = met.unionByName(often.drop("piece").join(store(hot_contents(often, width), "hot-contents"), ["m", "c"]))
-    more = met.select("node", "doc", "tag", "start", "n", "first").mapInArrow(_windows, "node long, tag long, start int, n int")
+    more = met.select("node", "doc", "tag", "start", "n", "first").mapInArrow(_windows, "node long, tag int, start int, n int")
     return settled.filter("first IS NULL").select("node", "tag", "start", "n").union(more)
 
 

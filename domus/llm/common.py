@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from domus.session import checkpoint_root
 
-SLICE_BYTES = 4 << 20
-MAX_CACHED_WORDS = 300_000
+SLICE_BYTES = 1 << 20
+MAX_CACHED_WORDS = 150_000
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

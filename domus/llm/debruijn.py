@@ -32,9 +32,9 @@ from domus.llm.spans import Runs, copies, in_list, kept_field, kept_value, keyed
 
 WIDTH = 20
 ANCHOR = 6
-SLICE = 2 << 20
+SLICE = 1 << 20
 COUNTS = ["n_words", "n_removed"]
-PATHS = "node long, doc long, tag long, m long, c long, start int, n int, edges binary"
+PATHS = "node long, doc long, tag int, m long, c long, start int, n int, edges binary"
 
 
 def _symbols(part: pa.RecordBatch, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
@@ -101,7 +101,7 @@ def repeated_paths(docs: DataFrame, whole: DataFrame, width: int, k: int) -> Dat
     settled = store(branching.join(firsts, ["m", "c"]), "settled")
     equal = settled.filter("doc > first").select("node", "tag", "start", "n")
     opened = settled.filter("doc = first").select("node", "doc", "tag", "m", "start", "n", "edges") \
-        .mapInArrow(_open, "node long, doc long, tag long, m long, h long, start int")
+        .mapInArrow(_open, "node long, doc long, tag int, m long, h long, start int")
     least = store(opened.groupBy("m", "h").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
                   .filter("first < last"), "edges")
     single = opened.join(least, ["m", "h"]).filter("doc > first").select("node", "tag", "start", F.lit(1).alias("n"))

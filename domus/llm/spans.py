@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,27 +75,30 @@ SIEVED = ~np.uint64(0xFFFF)
 
 
 def _flush(anchors: np.ndarray, nodes: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Packed anchors by bucket. An anchor that several of these documents have is known to
-    repeat: its documents are told at once, and it goes on as two entries of one document."""
-    order = np.lexsort((nodes, anchors))
-    anchors, nodes = anchors[order], nodes[order]
-    new = np.r_[True, (anchors[1:] != anchors[:-1]) | (nodes[1:] != nodes[:-1])]
-    anchors, nodes = anchors[new], nodes[new]
+    """Packed anchors by bucket, their documents as numbers into the flush's list of nodes, which goes
+    along once (kind 2). An anchor that several of these documents have is known to repeat: its
+    documents are told at once (kind 1), and it goes on as two entries of one document."""
+    known, of = np.unique(nodes, return_inverse=True)
+    of = of.astype(np.min_scalar_type(len(known) - 1))
+    flush = xxhash.xxh3_64_intdigest(known.tobytes()) >> 1
+    order = np.lexsort((of, anchors))
+    anchors, of = anchors[order], of[order]
+    new = np.r_[True, (anchors[1:] != anchors[:-1]) | (of[1:] != of[:-1])]
+    anchors, of = anchors[new], of[new]
     equal = anchors[1:] == anchors[:-1]
     first, shared = np.r_[True, ~equal], np.r_[False, equal] | np.r_[equal, False]
-    rows = [(int(d % buckets), 1, np.array([d]).tobytes(), pack(a), b"") for d, a in by_doc(anchors[shared], nodes[shared])]
+    rows = [(flush % buckets, 2, flush, b"", known.tobytes()), (flush % buckets, 1, flush, pack(anchors[shared]), of[shared].tobytes())]
     times = np.where(first, np.where(shared, 2, 1), 0)
-    anchors, nodes = np.repeat(anchors, times), np.repeat(nodes, times)
+    anchors, of = np.repeat(anchors, times), np.repeat(of, times)
     bucket = ((anchors >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
     for b in range(buckets):
         at = order[cuts[b]:cuts[b + 1]]
         if len(at):
-            known, of = np.unique(nodes[at], return_inverse=True)
-            rows.append((b, 0, known.tobytes(), pack(anchors[at]), of.astype(np.min_scalar_type(len(known) - 1)).tobytes()))
+            rows.append((b, 0, flush, pack(anchors[at]), of[at].tobytes()))
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
-        pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["bucket", "kind", "nodes", "anchors", "of"])
+        pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=["bucket", "kind", "flush", "anchors", "of"])
 
 
 def by_doc(anchors: np.ndarray, docs: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -119,38 +123,48 @@ def _anchors(batches: Iterator[pa.RecordBatch], runs: Callable[[pa.RecordBatch],
         yield from _flush(*map(np.concatenate, zip(*held)), buckets)
 
 
+def _numbers(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Anchors of a packed row and the numbers of their documents."""
+    a = unpack(row["anchors"])
+    return a, np.frombuffer(row["of"], dtype=f"u{len(row['of']) // len(a)}" if len(a) else "u1").astype(np.uint32)
+
+
 def _repeats(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
-    """A bucket's anchors that several documents have, packed by group of documents."""
-    told, held = [], []
+    """A bucket's anchors that several documents have, packed by flush; lists of nodes pass through."""
+    out, held, flushes = [], [], []
     for batch in batches:
         for row in batch.to_pylist():
-            a, nodes = unpack(row["anchors"]), np.frombuffer(row["nodes"], dtype=np.int64)
             if row["kind"]:
-                told.append((a, np.full(len(a), nodes[0])))
+                out.append((row["flush"] % groups, row["kind"], row["flush"], row["anchors"],
+                            row["of"] if row["kind"] == 2 else _numbers(row)[1].tobytes()))
             else:
-                held.append((a, nodes[np.frombuffer(row["of"], dtype=f"u{len(row['of']) // len(a)}")]))
+                held.append((*_numbers(row), np.full(len(row["anchors"]) // 6, len(flushes), dtype=np.int32)))
+                flushes.append(row["flush"])
     if held:
-        anchors, docs = map(np.concatenate, zip(*held))
+        anchors, of, flush = map(np.concatenate, zip(*held))
         held.clear()
         order = np.argsort(anchors, kind="stable")
-        anchors, docs = anchors[order], docs[order]
-        equal = anchors[1:] == anchors[:-1]
-        many = np.r_[False, equal] | np.r_[equal, False]
-        told.append((anchors[many], docs[many]))
-    if told:
-        anchors, docs = map(np.concatenate, zip(*told))
-        group = (mix(docs.astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
-        rows = [(g, docs[at].tobytes(), pack(anchors[at])) for g, at in by_doc(np.arange(len(docs)), group)]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else ((), (), ()), (pa.int32(), pa.binary(), pa.binary()))],
-                                         names=["group", "docs", "anchors"])
+        equal = anchors[order][1:] == anchors[order][:-1]
+        many = np.sort(order[np.r_[False, equal] | np.r_[equal, False]])  # flush after flush again
+        for f, at in by_doc(many, flush[many]):
+            out.append((flushes[f] % groups, 0, flushes[f], pack(anchors[at]), of[at].tobytes()))
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
+            pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=["group", "kind", "flush", "anchors", "of"])
 
 
 def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = [(unpack(r["anchors"]), np.frombuffer(r["docs"], dtype=np.int64)) for b in batches for r in b.to_pylist()]
-    if held:
+    nodes: dict[int, np.ndarray] = {}
+    held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    for row in (r for b in batches for r in b.to_pylist()):
+        if row["kind"] == 2:
+            nodes[row["flush"]] = np.frombuffer(row["of"], dtype=np.int64)
+        elif row["of"]:
+            held.setdefault(row["flush"], []).append((unpack(row["anchors"]), np.frombuffer(row["of"], dtype=np.uint32)))
+    for flush, rows in held.items():
         told = []
-        for d, a in by_doc(*map(np.concatenate, zip(*held))):
-            told.append((d, pack(a)))
+        for d, a in by_doc(*map(np.concatenate, zip(*rows))):
+            told.append((int(nodes[flush][d]), pack(a)))
             if len(told) == 4096:
                 yield _told(told)
                 told = []
@@ -167,9 +181,11 @@ def sieve(docs: DataFrame, runs: Callable[[pa.RecordBatch], Runs], text: str, bu
     have too (and a few more, by chance)."""
     n = parts(docs.sparkSession)
     packed = docs.select("node", text).mapInArrow(
-        lambda it: _anchors(it, runs, text, n, budget), "bucket int, kind int, nodes binary, anchors binary, of binary")
-    found = packed.repartitionById(n, F.col("bucket")).mapInArrow(lambda it: _repeats(it, n), "group int, docs binary, anchors binary")
-    return found.repartitionById(n, F.col("group")).mapInArrow(_by_document, "node long, anchors binary")
+        lambda it: _anchors(it, runs, text, n, budget), "bucket int, kind int, flush long, anchors binary, of binary")
+    found = packed.repartitionById(n, F.col("bucket")).mapInArrow(
+        lambda it: _repeats(it, n), "group int, kind int, flush long, anchors binary, of binary")
+    told = found.repartitionById(n, F.col("group")).mapInArrow(_by_document, "node long, anchors binary")
+    return told.dropDuplicates(["node"])  # rows equal in id and text, met in several flushes, are told the same
 
 
 def copies(docs: DataFrame, text: str) -> DataFrame:
@@ -181,12 +197,12 @@ def copies(docs: DataFrame, text: str) -> DataFrame:
 
 def keyed(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
     """doc (order key), text, doc_id, and the columns to carry along as one struct, so that no name can
-    clash. A row's address is (node, tag), 128 bits of its id and text: rows without an id, or
-    of one id, are as spread as any others, and the id only says which is earlier."""
+    clash. A row's address is (node, tag), 64 bits of its id and text and 32 more of the text: rows
+    without an id, or of one id, are as spread as any others, and the id only says which is earlier."""
     rest = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None).cast("int")
     text = F.coalesce(text, F.lit(""))
     return docs.select(order_key("doc_id").alias("doc"), F.xxhash64(order_key("doc_id"), text).alias("node"),
-                       F.xxhash64(F.lit(1), text).alias("tag"), text.alias("text"), F.col("doc_id").cast("long").alias("doc_id"),
+                       F.hash(text).alias("tag"), text.alias("text"), F.col("doc_id").cast("long").alias("doc_id"),
                        rest.alias("rest"))
 
 
