@@ -35,7 +35,8 @@ from domus.llm.spans import Runs, copies, in_list, kept_field, kept_value, keyed
 
 WIDTH = 50
 ANCHOR = 20
-SLICE = 1 << 19
+SLICE = 1 << 18  # bytes of text whose windows are held at once
+MERGED = 1 << 20  # bytes of text whose equal pieces are merged before they are written
 COUNTS = ["n_bytes", "n_removed", "n_spans"]
 CHUNK = 40_000  # pieces sorted together, whole anchors
 HOT = CHUNK  # pieces of an anchor beyond which its windows are grouped by Spark
@@ -52,30 +53,41 @@ def byte_runs(width: int, k: int):
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], width: int, k: int) -> Iterator[pa.RecordBatch]:
-    """Pieces of marked anchors; of equal pieces of a slice only the first carries its bytes, and
-    ``many`` tells that there are others."""
-    runs = byte_runs(width, k)
+    """Pieces of marked anchors; of the equal pieces of some slices (``MERGED`` bytes of text) only the
+    one of the least document carries its bytes, and ``many`` tells that there are others."""
+    runs, held, size = byte_runs(width, k), [], 0
+
+    def merged() -> pa.RecordBatch:
+        m, c, doc, start, n, left = (np.concatenate(x) for x in zip(*[h[:6] for h in held]))
+        node, tag = (pa.chunked_array([h[i] for h in held]).combine_chunks() for i in (6, 7))
+        pieces = [x for h in held for x in h[8]]
+        order = np.lexsort((doc, m, c))
+        same = (c[order][1:] == c[order][:-1]) & (m[order][1:] == m[order][:-1])
+        many, carries = np.zeros(len(m), dtype=bool), np.zeros(len(m), dtype=bool)
+        carries[order[np.r_[True, ~same]]] = True
+        many[order] = np.r_[same, False]
+        return pa.RecordBatch.from_arrays(
+            [node, pa.array(doc), tag, pa.array(m.view(np.int64)), pa.array(c.view(np.int64)), pa.array(start), pa.array(n), pa.array(left),
+             pa.array(many), pa.array([x if y else None for x, y in zip(pieces, carries.tolist())], pa.binary())],
+            names=["node", "doc", "tag", "m", "c", "start", "n", "left", "many", "piece"])
+
     for part in unzipped(batches, SLICE):
         r = runs(part)
         at = np.flatnonzero(in_list(part, r))
-        if not len(at):
-            continue
         flat = b"".join(raw_texts(part))
-        start, n, doc = r.start[at], r.n[at], r.doc[at]
-        content = r.hashes.of(start, start + n + width - 1)
-        ids = part.column("doc").to_numpy()[doc]
-        order = np.lexsort((ids, r.anchor[at], content))
-        same = (content[order][1:] == content[order][:-1]) & (r.anchor[at][order][1:] == r.anchor[at][order][:-1])
-        carries = np.zeros(len(at), dtype=bool)
-        carries[order[np.r_[True, ~same]]] = True
-        many = np.zeros(len(at), dtype=bool)
-        many[order] = np.r_[same, False]
-        piece = [flat[s:s + c + width - 1] if y else None for s, c, y in zip(start.tolist(), n.tolist(), carries.tolist())]
-        yield pa.RecordBatch.from_arrays(
-            [part.column("node").take(pa.array(doc)), pa.array(ids), part.column("tag").take(pa.array(doc)), pa.array(r.anchor[at].view(np.int64)),
-             pa.array(content.view(np.int64)), pa.array((start - r.offsets[doc]).astype(np.int32)),
-             pa.array(n.astype(np.int32)), pa.array((r.place[at] - start).astype(np.int32)), pa.array(many), pa.array(piece, pa.binary())],
-            names=["node", "doc", "tag", "m", "c", "start", "n", "left", "many", "piece"])
+        size += len(flat)
+        if len(at):
+            start, n, doc = r.start[at], r.n[at], r.doc[at]
+            piece = [flat[s:s + c + width - 1] for s, c in zip(start.tolist(), n.tolist())]
+            held.append((r.anchor[at], r.hashes.of(start, start + n + width - 1), part.column("doc").to_numpy()[doc],
+                         (start - r.offsets[doc]).astype(np.int32), n.astype(np.int32), (r.place[at] - start).astype(np.int32),
+                         part.column("node").take(pa.array(doc)), part.column("tag").take(pa.array(doc)), piece))
+        if size >= MERGED:
+            if held:
+                yield merged()
+            held, size = [], 0
+    if held:
+        yield merged()
 
 
 def first_documents(group: np.ndarray, left: np.ndarray, n: np.ndarray, doc: np.ndarray, pieces: list[bytes],
