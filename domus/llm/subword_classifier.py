@@ -157,9 +157,10 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", rows: int = TR
     so_far = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     size = F.octet_length("buckets") + F.octet_length("shares")
     held = bags.select("doc_id", size.alias("size")).withColumn("held", F.sum("size").over(so_far)).filter(F.col("held") <= TRAIN_BYTES)
-    bags = bags.join(F.broadcast(held.select("doc_id")), "doc_id").collect()
-    bags.sort(key=lambda r: (r.doc_id, bytes(r.buckets)))
-    return SubwordClassifier([(r.label, np.frombuffer(r.buckets, np.int32), np.frombuffer(r.shares, np.float32)) for r in bags])
+    # one partition at a time, rows packed by the executors: the JVM holds no copy of the sample, Python one
+    rows = bags.join(F.broadcast(held.select("doc_id")), "doc_id").toLocalIterator()
+    bag = {r.doc_id: (r.label, np.frombuffer(r.buckets, np.int32), np.frombuffer(r.shares, np.float32)) for r in rows}
+    return SubwordClassifier([bag[i] for i in sorted(bag)])  # by id: one row per id
 
 
 def _scores(batches: Iterator[pa.RecordBatch], model: SubwordClassifier, text: str, into: str) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -216,3 +217,13 @@ def test_training_bytes_are_bounded(spark, monkeypatch):
     sc.train(docs, labels)
     size = [sum(b.nbytes + s.nbytes for _, b, s in bags) for bags in seen]
     assert len(seen[0]) > 100 and size[1] <= 20_000 < size[0] and len(seen[1]) > 5
+
+
+def test_the_sample_does_not_come_to_the_driver_at_once(spark, monkeypatch):
+    rows = [(i, f"good text {i} " * 5 if i % 2 else f"bad junk {i} " * 5) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    monkeypatch.setattr(type(docs), "collect", lambda self: pytest.fail("the whole sample in one answer"))
+    model = sc.train(docs, labels)
+    monkeypatch.undo()
+    assert all((r.score > 0.5) == (r.doc_id % 2 == 1) for r in sc.score(docs, model).collect())
