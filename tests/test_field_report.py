@@ -93,3 +93,21 @@ def test_named_and_line_layouts_land_the_same_pages(spark, tmp):
 def test_malformed_alone(spark, text):
     got = field_report(spark.createDataFrame([(text,)], "value string")).collect()
     assert [(r.field, r.status, r.messages) for r in got] == [(None, "malformed", 1)]
+
+
+def test_a_message_is_parsed_once_each_way_and_the_input_is_dealt(spark):
+    from domus.plans.queries import QUERIES
+
+    df = QUERIES["field_report"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    # a parse per field and message took 38 times as long; part is one split, so one task did it all
+    assert plan.count("from_json") <= 1 and plan.count("parse_json") <= 1, plan
+    assert "RepartitionByExpression" in plan or "Repartition " in plan
+
+
+def test_states_by_a_column(spark):
+    rows = [("a", '{"price":1.0}'), ("a", "{bad"), ("b", '{"price":"x","other":1}'), (None, '{"price":null}'), (None, "{}")]
+    got = field_report(spark.createDataFrame(rows, "source string, value string"), ddl="price DOUBLE, rooms BIGINT", by=["source"]).collect()
+    assert {tuple(r) for r in got} == {("a", "price", "present", 1), ("a", "rooms", "absent", 1), ("a", None, "malformed", 1),
+                                       ("b", "price", "wrong type", 1), ("b", "rooms", "absent", 1),
+                                       (None, "price", "null", 1), (None, "price", "absent", 1), (None, "rooms", "absent", 2)}
