@@ -757,10 +757,9 @@ def stream_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     its real order columns. The files are admitted a quarter at a time, so versions of a key
     arrive over several micro-batches and out of order; the newest by the order columns stays."""
     work = shared_dir(spark, "stream-versions")
-    derive.versions_from_lineitem(read_table(spark, sf_dir, "lineitem")).write.parquet(f"{work}/sent")
-    sent = spark.read.parquet(f"{work}/sent")  # the versions' window runs once, not once per pull
-    for pull in range(4):
-        write_messages(sent.filter(F.dayofmonth("page_date") % 4 == pull), path=f"{work}/messages")
+    lines = read_table(spark, sf_dir, "lineitem")
+    for pull in range(4):  # versions are ranked within a ship date, so a pull ranks and builds those of its own dates only
+        write_messages(derive.versions_from_lineitem(lines.filter(F.dayofmonth("l_shipdate") % 4 == pull)), path=f"{work}/messages")
     files = len(spark.read.parquet(f"{work}/messages").inputFiles())
     run = jobs.publish_job(spark, jobs.PublishPaths(f"{work}/table", f"{work}/checkpoint", f"{work}/quarantine"),
                            files=f"{work}/messages", max_files_per_trigger=max(1, files // 4))

@@ -117,23 +117,25 @@ class ChangeLog:
         frame.coalesce(1).write.parquet(f"{self.path}/commits/commit=c{uuid.uuid4().hex}")
 
     # ------------------------------------------------------------------ writing
-    def write_batch(self, df: DataFrame, batch_id: int, run_id: str, metrics: Observation | None = None) -> None:
+    def write_batch(self, df: DataFrame, batch_id: int, run_id: str, metrics: Observation | None = None) -> dict[str, str | None] | None:
         """Batch body: H3 dedupe within the batch, write its folder, then commit it. A batch that is
         committed already is left as it is. ``metrics`` that observe ``df`` are measured by the write
-        itself and travel in the commit row: both are there, or neither."""
+        itself and travel in the commit row: both are there, or neither. Returns what was measured, None
+        where nothing was (a batch committed before)."""
         spark = df.sparkSession
         if run_id not in self._known:  # a run has one writer, which knows its own commits after that
             at = self.snapshot(spark)
             self._known[run_id] = {b for r, b, _ in at.batches if r == run_id}
             self._known[run_id] |= {b for lo, hi in at.covered.get(run_id, []) for b in range(lo, hi + 1)}
         if batch_id in self._known[run_id]:
-            return
+            return None
         attempt = uuid.uuid4().hex
         rows = latest_per_key(df.filter(F.col(self.key).isNotNull()), self.key, self.order)
         rows.write.parquet(f"{self._folder(run_id, batch_id, attempt)}")
         seen = {k: None if v is None else str(v) for k, v in metrics.get.items()} if metrics else None
         self._commit(spark, kind=BATCH, run=run_id, batch=batch_id, attempt=attempt, columns=rows.schema.json(), metrics=seen)
         self._known[run_id].add(batch_id)
+        return seen
 
     def _folder(self, run: str, batch: int, attempt: str) -> str:
         return f"{self.path}/batches/{RUN_COL}={quote(run, safe='')}/{BATCH_COL}={batch}/attempt={attempt}"
@@ -198,7 +200,8 @@ class ChangeLog:
         key and batch at most) are shuffled into its buckets and joined there."""
         alone = len(at.batches) <= 1  # a batch holds one row per key
         if base is None:
-            return changes if alone else latest_per_key(changes, self.key, self._total_order())
+            # a key has one row per batch at most: combining before the exchange would only sort the rows twice
+            return changes if alone else latest_per_key(changes.repartition(self.key), self.key, self._total_order())
         if not at.batches:
             return base
         new = changes.repartition(at.buckets, self.key)

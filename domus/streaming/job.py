@@ -106,7 +106,8 @@ def publish_batch_fn(changelog: ChangeLog, order_cols: list[str], quarantine_pat
                      lenient_maps: bool = False) -> BatchFn:
     """Batch body for listing messages (``value`` and ``order_cols``): listings with a key go to
     the change log, decoded from the fields that are kept; messages without one go to the
-    quarantine with their raw ``value``, and only they are decoded in full.
+    quarantine with their raw ``value``, and only they are decoded in full. A batch whose write
+    counted none is not read again for them.
 
     The write also counts, in the same pass, the decoded messages, those with a bad value in a field
     that is kept (``flagged``) or without a key (``quarantined``), and the newest page date;
@@ -119,8 +120,9 @@ def publish_batch_fn(changelog: ChangeLog, order_cols: list[str], quarantine_pat
         newest = F.max(S.RECENCY) if S.RECENCY in order_cols else F.lit(None)
         good = good.observe(seen, F.count(F.lit(1)).alias("decoded"), F.count(S.CORRUPT_COLUMN).alias("flagged"),
                             F.count_if(F.col(S.PUBLISHED_KEY).isNull()).alias("quarantined"), newest.cast("string").alias("newest"))
-        changelog.write_batch(good.drop(S.CORRUPT_COLUMN), batch_id, run_id, seen)
-        if quarantine_path is None:
+        counted = changelog.write_batch(good.drop(S.CORRUPT_COLUMN), batch_id, run_id, seen)
+        # the write has counted the messages without a key; a replayed batch, which it leaves alone, is looked through again
+        if quarantine_path is None or (counted and counted["quarantined"] == "0"):
             return
         code = F.from_json(F.col("value").cast("string"), "propertyCode STRING")["propertyCode"]
         aside = batch.filter(code.isNull()).withColumn("value", F.col("value").cast("string"))

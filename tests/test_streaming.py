@@ -190,3 +190,29 @@ def test_quarantine_kept_across_streams(spark, tmp):
         job.run_stream(spark, read_message_files(spark, f"{tmp}/in{i}"), job.publish_batch_fn(log, MESSAGE_ORDER, tmp + "/q"), f"{tmp}/ckpt{i}")
     assert {r["value"] for r in spark.read.parquet(tmp + "/q").collect()} == {"junk0", "junk1"}
     assert log.latest(spark).count() == 2
+
+
+def test_a_batch_without_bad_messages_is_not_read_again_for_the_quarantine(spark, tmp):
+    log = ChangeLog(tmp + "/table", key="propertycode", order=list(MESSAGE_ORDER))
+    fn = job.publish_batch_fn(log, list(MESSAGE_ORDER), tmp + "/q")
+    frame = lambda *texts: spark.createDataFrame([(t, None, n, 0) for n, t in enumerate(texts)],
+                                                 "value string, page_date date, page_no long, pos int")
+    fn(frame('{"propertyCode":"a"}', '{"propertyCode":"b"}'), 0, "r")
+    assert not os.path.exists(tmp + "/q")
+    fn(frame('{"propertyCode":"a"}', "junk"), 1, "r")
+    assert [r.value for r in spark.read.parquet(tmp + "/q").collect()] == ["junk"]
+    # the same batch again, by a writer that finds it committed but not put aside
+    job.publish_batch_fn(ChangeLog(tmp + "/table", key="propertycode", order=list(MESSAGE_ORDER)), list(MESSAGE_ORDER), tmp + "/q2")(
+        frame('{"propertyCode":"a"}', "junk"), 1, "r")
+    assert [r.value for r in spark.read.parquet(tmp + "/q2").collect()] == ["junk"]
+    assert {r.propertycode for r in log.latest(spark).collect()} == {"a", "b"}
+
+
+def test_versions_of_several_batches_are_sorted_once(spark, tmp):
+    log = ChangeLog(tmp + "/table", key="k", order=["n"])
+    for batch in range(3):
+        log.write_batch(spark.createDataFrame([("a", batch), ("b", -batch)], "k string, n long"), batch, "r")
+    latest = log.latest(spark)
+    assert {(r.k, r.n) for r in latest.collect()} == {("a", 2), ("b", 0)}
+    plan = latest._jdf.queryExecution().sparkPlan().toString()
+    assert "RepartitionBy" in latest._jdf.queryExecution().optimizedPlan().toString(), plan
