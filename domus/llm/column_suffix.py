@@ -13,7 +13,7 @@ among them is its first document.
 
 A round keeps its columns in bounded arrays of the task, read and written in order, instead
 of files: a task holds some thousand anchors' different pieces at a time, and equal pieces
-were merged before. An anchor with more than ``HOT`` pieces is not sorted by one task: its windows
+were merged before, their places packed. An anchor with more than ``HOT`` pieces is not sorted by one task: its windows
 are grouped by their bytes, all of them. Whole copies of a document are settled by its digest.
 
 Defined results: null and empty texts, and those shorter than a window, lose nothing. Rows
@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +41,9 @@ MERGED = 1 << 20  # bytes of text whose equal pieces are merged before they are
 COUNTS = ["n_bytes", "n_removed", "n_spans"]
 CHUNK = 40_000  # pieces sorted together, whole anchors
 HOT = CHUNK  # pieces of an anchor beyond which its windows are grouped by Spark
-PIECES = "node long, doc long, tag int, m long, c long, start int, n int, left int, many boolean, piece binary"
+PIECES = "slice long, node long, doc long, tag int, m long, c long, start int, n int, left int, many boolean, piece binary, others binary"
+PLACE = np.dtype([("node", "<i8"), ("doc", "<i8"), ("tag", "<i4"), ("start", "<i4")])  # an occurrence of a piece
+SPANS = "node long, tag int, spans array<struct<start:int,n:int>>"
 _CODE = mix(np.arange(1, 257, dtype=np.uint64))
 
 
@@ -53,23 +56,25 @@ def byte_runs(width: int, k: int):
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], width: int, k: int) -> Iterator[pa.RecordBatch]:
-    """Pieces of marked anchors; of the equal pieces of some slices (``MERGED`` bytes of text) only the
-    one of the least document carries its bytes, and ``many`` tells that there are others."""
+    """Pieces of marked anchors; the equal pieces of some slices (``MERGED`` bytes of text) are one row, that of
+    the least document, with the places of the others (``others``; ``many`` tells that there are some)."""
     runs, held, size = byte_runs(width, k), [], 0
 
     def merged() -> pa.RecordBatch:
-        m, c, doc, start, n, left = (np.concatenate(x) for x in zip(*[h[:6] for h in held]))
-        node, tag = (pa.chunked_array([h[i] for h in held]).combine_chunks() for i in (6, 7))
+        m, c, doc, start, n, left, node, tag = (np.concatenate(x) for x in zip(*[h[:8] for h in held]))
         pieces = [x for h in held for x in h[8]]
         order = np.lexsort((doc, m, c))
-        same = (c[order][1:] == c[order][:-1]) & (m[order][1:] == m[order][:-1])
-        many, carries = np.zeros(len(m), dtype=bool), np.zeros(len(m), dtype=bool)
-        carries[order[np.r_[True, ~same]]] = True
-        many[order] = np.r_[same, False]
+        head = np.flatnonzero(np.r_[True, (c[order][1:] != c[order][:-1]) | (m[order][1:] != m[order][:-1])])
+        place = np.empty(len(m), dtype=PLACE)
+        for name, column in (("node", node), ("doc", doc), ("tag", tag), ("start", start)):
+            place[name] = column[order]
+        others = [place[lo + 1:hi].tobytes() or None for lo, hi in zip(head.tolist(), [*head[1:].tolist(), len(m)])]
+        at = order[head]
+        name = np.full(len(at), xxhash.xxh3_64_intdigest(place.tobytes()) >> 1, dtype=np.int64)
         return pa.RecordBatch.from_arrays(
-            [node, pa.array(doc), tag, pa.array(m.view(np.int64)), pa.array(c.view(np.int64)), pa.array(start), pa.array(n), pa.array(left),
-             pa.array(many), pa.array([x if y else None for x, y in zip(pieces, carries.tolist())], pa.binary())],
-            names=["node", "doc", "tag", "m", "c", "start", "n", "left", "many", "piece"])
+            [*map(pa.array, (name, node[at], doc[at], tag[at], m[at].view(np.int64), c[at].view(np.int64), start[at], n[at], left[at])),
+             pa.array([x is not None for x in others]), pa.array([pieces[i] for i in at.tolist()], pa.binary()), pa.array(others, pa.binary())],
+            names=["slice", "node", "doc", "tag", "m", "c", "start", "n", "left", "many", "piece", "others"])
 
     for part in unzipped(batches, SLICE):
         r = runs(part)
@@ -81,7 +86,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], width: int, k: int) -> Iterator[p
             piece = [flat[s:s + c + width - 1] for s, c in zip(start.tolist(), n.tolist())]
             held.append((r.anchor[at], r.hashes.of(start, start + n + width - 1), part.column("doc").to_numpy()[doc],
                          (start - r.offsets[doc]).astype(np.int32), n.astype(np.int32), (r.place[at] - start).astype(np.int32),
-                         part.column("node").take(pa.array(doc)), part.column("tag").take(pa.array(doc)), piece))
+                         part.column("node").to_numpy()[doc], part.column("tag").to_numpy()[doc], piece))
         if size >= MERGED:
             if held:
                 yield merged()
@@ -189,12 +194,48 @@ def _settle(batches: Iterator[pa.RecordBatch], width: int, k: int) -> Iterator[p
         yield from done(pa.Table.from_batches(held))
 
 
+def _united(node: np.ndarray, tag: np.ndarray, start: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Runs of windows as one row per document, those that touch as one run."""
+    order = np.lexsort((start, tag, node))
+    node, tag, start, n = node[order], tag[order], start[order].astype(np.int64), n[order].astype(np.int64)
+    new = np.r_[True, (node[1:] != node[:-1]) | (tag[1:] != tag[:-1])][:len(node)]
+    base = np.cumsum(new) << 32  # documents apart, so that the farthest end so far is the document's own
+    reach = np.maximum.accumulate(base + start + n)
+    head = np.flatnonzero(np.r_[True, (base + start)[1:] > reach[:-1]][:len(node)] | new)
+    last = np.r_[head[1:], len(node)] - 1
+    spans = pa.StructArray.from_arrays([pa.array(start[head].astype(np.int32)), pa.array((reach[last] - (base + start)[head]).astype(np.int32))],
+                                       names=["start", "n"])
+    first = np.flatnonzero(new)
+    offsets = np.r_[np.searchsorted(head, first), len(head)].astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(node[first]), pa.array(tag[first]), pa.ListArray.from_arrays(pa.array(offsets), spans)],
+                                      names=["node", "tag", "spans"])
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences with their windows' first documents into runs of windows to remove."""
+    """Rows sorted by ``slice``: pieces with their windows' first documents (n, first) and places (``others``, and
+    one of their own if ``node`` is given). One row per document of a slice: its runs of windows to remove."""
+    at, held = None, []
+
+    def done() -> pa.RecordBatch:
+        return _united(*map(np.concatenate, zip(*held)))
+
     for batch in batches:
-        first = np.frombuffer(b"".join(batch.column("first").to_pylist()), dtype=np.int64)
-        yield pa.RecordBatch.from_pydict(_removed(first, batch.column("doc").to_numpy(), batch.column("node"), batch.column("tag"),
-                                                  batch.column("start").to_numpy(), batch.column("n").to_numpy()))
+        cols = [batch.column(x).to_pylist() for x in ("slice", "n", "first", "others", "node", "doc", "tag", "start")]
+        for name, n, first, others, *own in zip(*cols):
+            if name != at:
+                if held:
+                    yield done()
+                at, held = name, []
+            place = np.frombuffer(others or b"", dtype=PLACE)
+            if own[0] is not None:
+                place = np.r_[place, np.array([tuple(own)], dtype=PLACE)]
+            gone = np.frombuffer(first, dtype=np.int64)[None, :] < place["doc"][:, None]
+            edge = np.diff(gone.astype(np.int8), axis=1, prepend=0, append=0)
+            (row, lo), (_, hi) = np.nonzero(edge == 1), np.nonzero(edge == -1)
+            if len(row):
+                held.append((place["node"][row], place["tag"][row], place["start"][row] + lo, hi - lo))
+    if held:
+        yield done()
 
 
 def _open(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -227,24 +268,25 @@ def hot_contents(rows: DataFrame, width: int) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, whole: DataFrame, width: int, k: int, hot: int = HOT) -> DataFrame:
-    """node, tag, start, n: runs of windows that a document with a smaller id has."""
+    """node, tag, spans (start, n): runs of windows that a document with a smaller id has."""
     marks = sieve(docs, byte_runs(width, k), "text", SLICE)
     near = zipped(docs.select("node", "doc", "tag", "text")).join(marks, "node").join(whole, ["node", "tag"], "left_anti") \
         .select("node", "doc", "tag", "text", "anchors")
     pieces = store(near.mapInArrow(lambda it: _pieces(it, width, k), PIECES), "pieces")
-    frequent = store(pieces.filter("piece IS NOT NULL").groupBy("m").agg(F.count("*").alias("times")).filter(F.col("times") > hot)
+    frequent = store(pieces.groupBy("m").agg(F.count("*").alias("times")).filter(F.col("times") > hot)
                      .select("m"), "hot-anchors")
     usual = pieces.join(frequent, "m", "left_anti")
-    dealt = (usual.filter("piece IS NOT NULL")
-             .select(F.shiftright("m", 32).cast("int").alias("part"), "node", "doc", "tag", "start", "n", "left", "many", "piece")
+    dealt = (usual.select(F.shiftright("m", 32).cast("int").alias("part"), "node", "doc", "tag", "start", "n", "left", "many", "piece")
              .repartition(parts(docs.sparkSession), "part").sortWithinPartitions("part"))
     settled = store(dealt.mapInArrow(lambda it: _settle(it, width, k), SETTLED), "settled")
-    others = usual.filter("piece IS NULL").select("node", "doc", "tag", "m", "c", "start", "n")
+    others = usual.filter("many").select("slice", "m", "c", "n", "others")
     met = others.join(settled.filter("first IS NOT NULL").select("m", "c", "first"), ["m", "c"])
-    often = pieces.join(frequent, "m").select("node", "doc", "tag", "m", "c", "start", "n", "piece")
-    met = met.unionByName(often.drop("piece").join(store(hot_contents(often, width), "hot-contents"), ["m", "c"]))
-    more = met.select("node", "doc", "tag", "start", "n", "first").mapInArrow(_windows, "node long, tag int, start int, n int")
-    return settled.filter("first IS NULL").select("node", "tag", "start", "n").union(more)
+    often = pieces.join(frequent, "m").select("slice", "node", "doc", "tag", "m", "c", "start", "n", "piece", "others")
+    met = met.unionByName(often.drop("piece").join(store(hot_contents(often, width), "hot-contents"), ["m", "c"]), allowMissingColumns=True)
+    more = (met.select("slice", "n", "first", "others", "node", "doc", "tag", "start")
+            .repartition(parts(docs.sparkSession), "slice").sortWithinPartitions("slice").mapInArrow(_windows, SPANS))
+    own = F.array(F.struct("start", "n")).cast("array<struct<start:int,n:int>>").alias("spans")
+    return settled.filter("first IS NULL").select("node", "tag", own).union(more)
 
 
 def _rebuild(batches: Iterator[pa.RecordBatch], width: int, form: str) -> Iterator[pa.RecordBatch]:

@@ -267,8 +267,10 @@ def spans_of(starts: np.ndarray, lengths: np.ndarray, size: int) -> np.ndarray:
 
 
 def rejoin(docs: DataFrame, removed: DataFrame, whole: DataFrame) -> DataFrame:
-    """Documents with their removed spans (start, n windows) and whether all is removed. Rows equal in
-    id and text have the same spans: a set, so that many such rows do not multiply them."""
-    spans = removed.groupBy("node", "tag").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
+    """Documents with their removed spans (start, n windows; or ``spans``, some of them in an array) and whether
+    all is removed. Rows equal in id and text have the same spans: a set, so that many such rows do
+    not multiply them."""
+    several = F.array_distinct(F.flatten(F.collect_set("spans"))) if "spans" in removed.columns else F.collect_set(F.struct("start", "n"))
+    spans = removed.groupBy("node", "tag").agg(several.alias("spans"))
     told = spans.join(whole.select("node", "tag", F.lit(True).alias("whole")), ["node", "tag"], "full_outer")
     return zipped(docs).join(told, ["node", "tag"], "left").select("doc_id", "text", "rest", "spans", "whole")

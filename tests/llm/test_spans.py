@@ -149,3 +149,20 @@ def test_rows_of_one_id_whose_texts_collide_in_32_bits_stay_apart(spark):
     assert got == brute_words(rows)
     got = sorted((tuple(r) for r in column_suffix.deduplicate(_frame(spark, rows), form="digest").collect()), key=str)
     assert got == brute_bytes(rows)
+
+
+def test_a_common_passage_is_one_row_per_document_and_slice(spark, monkeypatch):
+    """Its pieces' places travel packed: rows follow the documents, not documents x pieces."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    common = " ".join(word() for _ in range(60))
+    rows = [(i, " ".join([*(word() for _ in range(12)), common, *(word() for _ in range(12))])) for i in range(300)]
+    rows += [(300 + i, common[40:300] + word()) for i in range(20)]
+    docs = spans.keyed(_frame(spark, rows).repartition(2), "text", [])
+    found = column_suffix.repeated_windows(docs, spans.copies(docs, "text").limit(0), 50, 20)
+    assert {tuple(f) for f in found.dtypes} == {("node", "bigint"), ("tag", "int"), ("spans", "array<struct<start:int,n:int>>")}
+    # a row of the merged places and those of the two pieces at its ends, which differ; not one for each of its pieces
+    assert found.groupBy("node").count().agg(F.expr("median(count)")).first()[0] <= 3
+    for hot in (column_suffix.HOT, 3):
+        got = column_suffix.deduplicate(_frame(spark, rows).repartition(2), form="digest", hot=hot).collect()
+        assert sorted((tuple(r) for r in got), key=str) == brute_bytes(rows)
