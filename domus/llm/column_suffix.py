@@ -275,15 +275,18 @@ def repeated_windows(docs: DataFrame, whole: DataFrame, width: int, k: int, hot:
     pieces = store(near.mapInArrow(lambda it: _pieces(it, width, k), PIECES), "pieces")
     frequent = store(pieces.groupBy("m").agg(F.count("*").alias("times")).filter(F.col("times") > hot)
                      .select("m"), "hot-anchors")
-    usual = pieces.join(frequent, "m", "left_anti")
+    none = frequent.isEmpty()  # mostly so: then there is nothing to leave out here, nor to group below
+    usual = pieces if none else pieces.join(frequent, "m", "left_anti")
     dealt = (usual.select(F.shiftright("m", 32).cast("int").alias("part"), "node", "doc", "tag", "start", "n", "left", "many", "piece")
              .repartition(parts(docs.sparkSession), "part").sortWithinPartitions("part"))
     settled = store(dealt.mapInArrow(lambda it: _settle(it, width, k), SETTLED), "settled")
     others = usual.filter("many").select("slice", "m", "c", "n", "others")
     met = others.join(settled.filter("first IS NOT NULL").select("m", "c", "first"), ["m", "c"])
-    often = pieces.join(frequent, "m").select("slice", "node", "doc", "tag", "m", "c", "start", "n", "piece", "others")
-    met = met.unionByName(often.drop("piece").join(store(hot_contents(often, width), "hot-contents"), ["m", "c"]), allowMissingColumns=True)
-    more = (met.select("slice", "n", "first", "others", "node", "doc", "tag", "start")
+    met = met.select("slice", "n", "first", "others", *[F.lit(None).cast(t).alias(x) for x, t in (("node", "long"), ("doc", "long"), ("tag", "int"), ("start", "int"))])
+    if not none:
+        often = pieces.join(frequent, "m").select("slice", "node", "doc", "tag", "m", "c", "start", "n", "piece", "others")
+        met = met.unionByName(often.drop("piece").join(store(hot_contents(often, width), "hot-contents"), ["m", "c"]).select(*met.columns))
+    more = (met
             .repartition(parts(docs.sparkSession), "slice").sortWithinPartitions("slice").mapInArrow(_windows, SPANS))
     own = F.array(F.struct("start", "n")).cast("array<struct<start:int,n:int>>").alias("spans")
     return settled.filter("first IS NULL").select("node", "tag", own).union(more)

@@ -117,7 +117,9 @@ class SubwordClassifier:
 
     def __init__(self, bags: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 7):
         rng = np.random.default_rng(seed)
-        vectors = rng.uniform(-0.5, 0.5, (BUCKETS, DIMENSIONS)) / DIMENSIONS
+        self.value = np.empty(BUCKETS)  # what outlives the training comes first: memory behind it can be given back
+        vectors = rng.uniform(-0.5, 0.5, (BUCKETS, DIMENSIONS))
+        vectors /= DIMENSIONS
         out, bias = np.zeros((DIMENSIONS, 2)), np.zeros(2)
         steps = EPOCHS * len(bags) if len({label for label, _, _ in bags}) == 2 else 0
         order = np.concatenate([rng.permutation(len(bags)) for _ in range(EPOCHS)]) if steps else []
@@ -133,7 +135,7 @@ class SubwordClassifier:
             out -= rate * np.outer(mean, p)
             bias -= 0.1 * rate * p
             vectors[bucket] -= (rate * 20) * share[:, None] * back
-        self.value = vectors @ (out[:, 1] - out[:, 0])
+        np.matmul(vectors, out[:, 1] - out[:, 0], out=self.value)
         self.bias = float(bias[1] - bias[0])
 
     def scores(self, texts: list[bytes], hashes: WordHashes) -> np.ndarray:
@@ -157,10 +159,15 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", rows: int = TR
     so_far = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     size = F.octet_length("buckets") + F.octet_length("shares")
     held = bags.select("doc_id", size.alias("size")).withColumn("held", F.sum("size").over(so_far)).filter(F.col("held") <= TRAIN_BYTES)
-    # one partition at a time, rows packed by the executors: the JVM holds no copy of the sample, Python one
-    rows = bags.join(F.broadcast(held.select("doc_id")), "doc_id").toLocalIterator()
-    bag = {r.doc_id: (r.label, np.frombuffer(r.buckets, np.int32), np.frombuffer(r.shares, np.float32)) for r in rows}
-    return SubwordClassifier([bag[i] for i in sorted(bag)])  # by id: one row per id
+    # one partition at a time, rows packed by the executors: the JVM holds no copy of the sample, Python one. That
+    # one lies end to end in one buffer: thousands of small pieces would stay the driver's after they are freed
+    packed, at = bytearray(), {}
+    for r in bags.join(F.broadcast(held.select("doc_id")), "doc_id").toLocalIterator():
+        at[r.doc_id] = (r.label, len(packed) // 4, len(r.buckets) // 4)
+        packed += r.buckets
+        packed += r.shares
+    bucket, share = (np.frombuffer(packed, kind) for kind in (np.int32, np.float32))
+    return SubwordClassifier([(label, bucket[lo:lo + n], share[lo + n:lo + 2 * n]) for _, (label, lo, n) in sorted(at.items())])  # by id: one row per id
 
 
 def _scores(batches: Iterator[pa.RecordBatch], model: SubwordClassifier, text: str, into: str) -> Iterator[pa.RecordBatch]:

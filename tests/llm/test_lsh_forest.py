@@ -103,3 +103,13 @@ def test_query_equals_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert _got(queries.op2_lsh_forest_join(spark, sf)) == brute(rows)
+
+
+def test_rounds_write_few_tables(spark, monkeypatch):
+    names, write = [], graph.store
+    monkeypatch.setattr(graph, "store", lambda df, name: names.append(name) or write(df, name))
+    chain = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(1000, 1001)], "a long, b long")
+    got = {r.node: r.root for r in graph.components(chain).collect()}
+    assert got == {**{i: 0 for i in range(201)}, 1000: 1000, 1001: 1000}
+    rounds = names.count("edges") - 1
+    assert rounds > 2 and names.count("step") == rounds and names.count("mapped") == 1

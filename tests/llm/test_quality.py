@@ -227,3 +227,14 @@ def test_the_sample_does_not_come_to_the_driver_at_once(spark, monkeypatch):
     model = sc.train(docs, labels)
     monkeypatch.undo()
     assert all((r.score > 0.5) == (r.doc_id % 2 == 1) for r in sc.score(docs, model).collect())
+
+
+def test_the_sample_lies_in_one_buffer(spark, monkeypatch):
+    rows = [(i, f"good text {i} " * 5 if i % 2 else f"bad junk {i} " * 5) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(sc, "SubwordClassifier", seen.extend)
+    sc.train(docs, labels)
+    assert len(seen) > 20 and all(abs(share.sum() - 1) < 1e-5 for _, _, share in seen)
+    assert len({id(x.base) for _, bucket, _ in seen for x in [bucket]}) == 1
